@@ -1,0 +1,52 @@
+"""Zip archives: Spark reads no zip, so members are unpacked to gzip files first."""
+
+from __future__ import annotations
+
+import gzip
+import shutil
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.functions.files import open_fs
+from tidemark.sources.landing import Paths, list_sink_files
+
+
+def unzip_landing(spark: SparkSession, glob: Paths, out_dir: str) -> DataFrame:
+    """Unpack every member of every archive to ``out_dir``; returns ``file, member, bytes``.
+
+    An archive is streamed in chunks by one task, so memory does not grow with
+    its size.  Its members go to a folder named after it and appear there only
+    when complete; a task that runs again replaces its own output.  The work is
+    done when the result is evaluated.
+    """
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["file"]:
+                source_fs, source = open_fs(path)
+                stem = source.rsplit("/", 1)[-1].removesuffix(".zip")
+                target_fs, target = open_fs(f"{out_dir}/{stem}")
+                target_fs.create_dir(target, recursive=True)
+                rows = []
+                with source_fs.open_input_file(source) as raw, zipfile.ZipFile(raw) as archive:
+                    for info in archive.infolist():
+                        if info.is_dir():
+                            continue
+                        name = info.filename.replace("/", "_")
+                        partial = f"{target}/_{name}.partial"
+                        with (
+                            archive.open(info) as member,
+                            target_fs.open_output_stream(partial, compression=None) as sink,
+                            gzip.GzipFile(fileobj=sink, mode="wb", mtime=0) as packed,
+                        ):
+                            shutil.copyfileobj(member, packed, 1 << 20)
+                        target_fs.move(partial, f"{target}/{name}.gz")
+                        rows.append((path, info.filename, info.file_size))
+                yield pd.DataFrame(rows, columns=["file", "member", "bytes"])
+
+    archives = list_sink_files(spark, glob).select("file")
+    tasks = archives.repartition(spark.sparkContext.defaultParallelism, "file")
+    return tasks.mapInPandas(unpack, "file string, member string, bytes bigint")
