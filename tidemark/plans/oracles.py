@@ -71,7 +71,7 @@ _NAMED = (
     + """,
 stamped as (
   select cast(event_id // 500 as bigint) as file_no, min(ts) as first_ts,
-    lower(lpad(to_hex(epoch_ms(min(ts))), 12, '0')) as stamp
+    lower(lpad(to_hex(epoch_us(min(ts)) // 1000), 12, '0')) as stamp
   from events group by 1),
 named_files as (
   select concat('/sink/companies/', substr(stamp, 1, 8), '-', substr(stamp, 9, 4), '-7000-8000-',
@@ -134,9 +134,9 @@ lines as (
     json_valid(line) as ok
   from placed),
 parsed as (
-  select *, case when ok then cast(json_extract(line, '$.event.timepoint') as bigint) end as tp,
-    ok and coalesce(json_extract(line, '$.error') is null, true) as whole
-  from lines),
+  select file_no, line_no, cast(json_extract(doc, '$.event.timepoint') as bigint) as tp,
+    ok and json_extract(doc, '$.error') is null as whole
+  from (select *, case when ok then try_cast(line as json) end as doc from lines)),
 bad as (select file_no, min(line_no) as line_no from lines where not ok group by file_no),
 classified as (
   select t.file_no,
