@@ -1,8 +1,8 @@
 """Neighbours and positions in a total order without sorting it in one task.
 
 A window without PARTITION BY pulls every row into one task.  Here rows are
-cut into buckets that follow the order; the window runs per bucket and only
-one row per bucket meets again to bridge the seams.
+cut into buckets that follow the order; the window runs per bucket, and only
+the first and last row of each bucket meet again to bridge the seams.
 """
 
 from __future__ import annotations
@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def floor_div(value: Column, by: int) -> Column:
+    """``value`` divided by ``by``, rounded down, in 64-bit integers."""
+    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
+
+
 def with_neighbours(
     df: DataFrame,
     bucket: Column,
@@ -24,35 +29,35 @@ def with_neighbours(
 
     ``order`` must be a total order and ``bucket`` monotone in it.  The structs
     are NULL at the two ends.  Where buckets themselves are many, ``coarse``
-    (an expression over the column ``bucket``) buckets them once more.
+    buckets their edges once more.  Both branches read one shuffle.
     """
-    rows = df.withColumn("__bucket", bucket)
-    value, key = F.struct(*carry), F.struct(*order)
-    inside = Window.partitionBy("__bucket").orderBy(*order)
-    edges = rows.groupBy(F.col("__bucket").alias("bucket")).agg(
-        F.min_by(value, key).alias("first"), F.max_by(value, key).alias("last")
-    )
-    if coarse is None:
-        across = Window.orderBy("bucket")
-        seams = edges.select(
-            "bucket",
-            F.lag("last").over(across).alias("__before"),
-            F.lead("first").over(across).alias("__after"),
+    # Names that cannot meet those of an outer call.
+    depth = len(df.columns)
+    own, value, own_prev, own_next = (f"__{n}{depth}" for n in ("bucket", "value", "prev", "next"))
+    inside = Window.partitionBy(own).orderBy(*order)
+
+    def sides(rows: DataFrame, window: Window) -> DataFrame:
+        # One select, so both sides share a window.
+        return rows.select(
+            "*", F.lag(value).over(window).alias("prev"), F.lead(value).over(window).alias("next")
         )
+
+    # Bucket and value are columns, so both branches below need the same columns
+    # of the shuffle and it runs once.
+    rows = sides(df.withColumn(own, bucket).withColumn(value, F.struct(*carry)), inside).drop(own)
+    at_edge = F.col("prev").isNull() | F.col("next").isNull()
+    edges = rows.where(at_edge).withColumnsRenamed({"prev": own_prev, "next": own_next})
+    # The edge ahead of a bucket's first row is the last row of the bucket before.
+    if coarse is None:
+        edges = sides(edges, Window.orderBy(*order))
     else:
-        seams = with_neighbours(edges, coarse, ["bucket"], ["first", "last"]).select(
-            "bucket",
-            F.col("prev.last").alias("__before"),
-            F.col("next.first").alias("__after"),
-        )
-    return (
-        rows.withColumn("prev", F.lag(value).over(inside))
-        .withColumn("next", F.lead(value).over(inside))
-        .join(seams.withColumnRenamed("bucket", "__bucket"), "__bucket")
-        .withColumn("prev", F.coalesce("prev", "__before"))
-        .withColumn("next", F.coalesce("next", "__after"))
-        .drop("__bucket", "__before", "__after")
+        edges = with_neighbours(edges, coarse, order, carry)
+    bridged = edges.select(
+        *df.columns,
+        F.coalesce(own_prev, "prev").alias("prev"),
+        F.coalesce(own_next, "next").alias("next"),
     )
+    return rows.where(~at_edge).drop(value).unionByName(bridged)
 
 
 def with_position(

@@ -116,14 +116,14 @@ def newest_files(files: DataFrame, n: int = NEWEST_FILES_CHECKED) -> DataFrame:
     return files.select("file").orderBy(F.col("file").desc()).limit(n)
 
 
-def newest_file_stats(ev: DataFrame) -> DataFrame:
+def newest_file_stats(ev: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Timepoints, publication times and size of the newest file.
 
-    The newest name is found first as a scalar, so on a landing scan the filter
-    prunes all other files before they are opened.
+    With the listing ``files`` its name is known before anything is read, and as
+    a literal it keeps a landing scan from opening any other file.
     """
-    newest = ev.agg(F.max("file").alias("file"))
-    return ev.where(F.col("file") == newest.scalar()).agg(
+    newest = (ev if files is None else files).agg(F.max("file")).head()[0]
+    return ev.where(F.col("file") == newest).agg(
         F.min("timepoint").alias("min_timepoint"),
         F.max("timepoint").alias("max_timepoint"),
         F.min("published_at").alias("min_published_at"),
@@ -175,19 +175,16 @@ def verify_landing(
     The newest file is recent by its name and by its content; every file is
     dense; together they are dense.
     """
-    newest = newest_files(files, n)
+    # n names at most; as literals they limit a landing scan to these files.
+    names = [r.file for r in newest_files(files, n).collect()]
     by_name = (
         check_file_age(newest_files(files, 1), now)
         .agg(F.max("written_at").alias("at"), F.max("too_old").alias("old"))
         .select(*_report("newest_file_age", F.coalesce(~F.col("old"), F.lit(False)), F.col("at")))
     )
-    # n names at most, so the semi join side is bounded.
-    recent = ev.join(F.broadcast(newest), "file", "left_semi")
-    stats = file_stats(recent)
+    stats = file_stats(ev.where(F.col("file").isin(names)))
     by_content = check_freshness(
-        recent.where(F.col("file") == newest.agg(F.max("file").alias("file")).scalar()),
-        now,
-        FILE_MAX_AGE_HOURS,
+        ev.where(F.col("file").isin(names[:1])), now, FILE_MAX_AGE_HOURS
     ).select(*_report("newest_published_at", F.col("ok"), F.col("max_published_at")))
     each = (
         problem_files(stats)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import flatten, nest
 from tidemark.operators.files import file_contiguity
-from tidemark.operators.ranges import duplicate_range, timepoint_words, words_summary
+from tidemark.operators.ranges import (
+    bounds_of,
+    duplicate_range,
+    duplicate_timepoints,
+    timepoint_words,
+    words_summary,
+)
 
 
 def ledger_missing(wanted: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -22,15 +28,9 @@ def confirm_double_load(ev: DataFrame, rng: DataFrame, ledger: DataFrame) -> Dat
     Their range is the duplicate range, they follow each other without a gap,
     every timepoint in it is duplicated, and all of them were loaded.
     """
-    bounds = rng.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    in_range = ev.where((F.col("timepoint") >= lo) & (F.col("timepoint") <= hi))
-    doubled = (
-        in_range.groupBy("timepoint")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("doubled"))
-    )
+    lo, hi = rng.agg(F.min("lo"), F.max("hi")).head()
+    in_range = ev.where(F.col("timepoint").between(lo, hi))
+    doubled = duplicate_timepoints(in_range).agg(F.count(F.lit(1)).alias("doubled"))
     broken = file_contiguity(rng).agg(
         F.count_if(~F.coalesce("contiguous", F.lit(True))).alias("breaks")
     )
@@ -40,27 +40,26 @@ def confirm_double_load(ev: DataFrame, rng: DataFrame, ledger: DataFrame) -> Dat
             (F.col("min_duplicate") == lo) & (F.col("max_duplicate") == hi), F.lit(False)
         ).alias("range_match"),
         (broken.scalar() == 0).alias("contiguous"),
-        F.coalesce(doubled.scalar() == hi - lo + 1, F.lit(False)).alias("all_duplicated"),
+        (doubled.scalar() == hi - lo + 1).alias("all_duplicated"),
         (unknown.scalar() == 0).alias("all_in_ledger"),
     )
 
 
-def _within(dup: DataFrame):
-    return F.coalesce(
-        F.col("timepoint").between(
-            dup.select("min_duplicate").scalar(), dup.select("max_duplicate").scalar()
-        ),
-        F.lit(False),
-    )
+def _within(dup: DataFrame) -> Column:
+    least, greatest = bounds_of(dup)
+    if least is None:
+        return F.lit(False)
+    return F.col("timepoint").between(least, greatest)
 
 
 def correction_plan(ev: DataFrame, dup: DataFrame) -> DataFrame:
     """What taking the duplicate range out would delete; changes nothing."""
-    expected = dup.select(F.col("max_duplicate") - F.col("min_duplicate") + 1).scalar()
+    least, greatest = bounds_of(dup)
+    expected = None if least is None else greatest - least + 1
     return words_summary(timepoint_words(ev.where(_within(dup)))).select(
         F.col("row_count").alias("rows_to_delete"),
         F.col("distinct_timepoints").alias("distinct_in_range"),
-        expected.alias("expected_after"),
+        F.lit(expected).cast("bigint").alias("expected_after"),
     )
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import name_bucket, stream_of
-from tidemark.functions.order import with_neighbours, with_position
+from tidemark.functions.order import floor_div, with_neighbours, with_position
+from tidemark.operators.ranges import bounds_of
 
 # Files per window partition where files are numbered.
 _FILES = 1 << 16
@@ -107,7 +108,7 @@ def replay_events(
 
 
 def _by_index() -> Column:
-    return F.floor(F.col("idx") / _FILES).cast("bigint")
+    return floor_div(F.col("idx"), _FILES)
 
 
 def _with_file_neighbours(rng: DataFrame) -> DataFrame:
@@ -129,7 +130,7 @@ def file_contiguity(rng: DataFrame) -> DataFrame:
     """Does each file, by what it holds, start right after the one before; NULL for the first."""
     by_start = with_neighbours(
         rng.select("file", "lo", "hi"),
-        F.floor(F.col("lo") / _REACH).cast("bigint"),
+        floor_div(F.col("lo"), _REACH),
         ["lo", "hi", "file"],
         ["hi"],
     )
@@ -143,8 +144,7 @@ def file_contiguity(rng: DataFrame) -> DataFrame:
 
 def file_overlap_flags(rng: DataFrame, dup: DataFrame) -> DataFrame:
     """Flags per file against its predecessor and the duplicate range (one-row ``dup``)."""
-    least = dup.select("min_duplicate").scalar()
-    greatest = dup.select("max_duplicate").scalar()
+    least, greatest = (F.lit(b).cast("bigint") for b in bounds_of(dup))
     no = F.lit(False)
     return _with_file_neighbours(rng).select(
         "file",
@@ -207,7 +207,7 @@ def overlap_recommendation(rng: DataFrame, dup: DataFrame) -> DataFrame:
     keep_later = F.col("reason").isin(
         "later file fills the gap", "earlier file reaches back into the file before it"
     )
-    first_dup = dup.select("min_duplicate").scalar()
+    first_dup = F.lit(bounds_of(dup)[0]).cast("bigint")
     return (
         pairs.withColumn("expected_lo", F.coalesce(b_hi + 1, e_lo))
         .withColumn("expected_hi", F.coalesce(a_lo - 1, hi))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import name_bucket
-from tidemark.functions.order import with_neighbours
+from tidemark.functions.order import floor_div, with_neighbours
 
 # Timepoints per window partition.  One row per span meets in one task, so 10^11
 # timepoints bring 10^5 rows together.
@@ -25,10 +25,6 @@ def _word(tp: Column) -> Column:
     return F.shiftright(tp, 6)
 
 
-def _floor_div(value: Column, by: int) -> Column:
-    return F.floor(value / by).cast("bigint")
-
-
 def timepoint_words(ev: DataFrame) -> DataFrame:
     """``word, mask, n, lo, hi`` for all timepoints of the log."""
     tp = F.col("timepoint")
@@ -56,31 +52,21 @@ def words_summary(words: DataFrame) -> DataFrame:
     ).withColumn("diff_timepoints", F.col("max_tp") - F.col("min_tp") + 1)
 
 
-def _gaps(intervals: DataFrame, order: Window) -> DataFrame:
-    """What lies between neighbouring intervals ``lo, hi``."""
-    before = F.lag("hi").over(order)
-    return (
-        intervals.withColumn("before", before)
-        .where("lo - before > 1")
-        .select((F.col("before") + 1).alias("range_min"), (F.col("lo") - 1).alias("range_max"))
-    )
-
-
 def missing_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
     """Maximal ranges between the least and greatest timepoint that no event has."""
-    words = timepoint_words(ev).withColumn("span", _floor_div(F.col("word") * 64, span))
     # A word without an inner gap is one interval, any other one per set bit.
     unbroken = F.col("hi") - F.col("lo") + 1 == F.bit_count("mask")
     bits = F.expr(
         "transform(filter(sequence(0, 63), i -> getbit(mask, i) = 1),"
         " i -> named_struct('lo', word * 64 + i, 'hi', word * 64 + i))"
     )
-    present = words.select(
-        "span", F.inline(F.when(unbroken, F.array(F.struct("lo", "hi"))).otherwise(bits))
+    present = timepoint_words(ev).select(
+        F.inline(F.when(unbroken, F.array(F.struct("lo", "hi"))).otherwise(bits))
+    )
+    ordered = with_neighbours(present, floor_div(F.col("lo"), span), ["lo"], ["hi"])
+    return ordered.where("lo - prev.hi > 1").select(
+        (F.col("prev.hi") + 1).alias("range_min"), (F.col("lo") - 1).alias("range_max")
     )
-    inside = _gaps(present, Window.partitionBy("span").orderBy("lo"))
-    spans = words.groupBy("span").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return inside.unionByName(_gaps(spans, Window.orderBy("span")))
 
 
 def duplicate_timepoints(ev: DataFrame) -> DataFrame:
@@ -111,7 +97,7 @@ def duplicate_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
     inside = Window.partitionBy("span").orderBy("timepoint")
     runs = (
         duplicate_timepoints(ev)
-        .withColumn("span", _floor_div(tp, span))
+        .withColumn("span", floor_div(tp, span))
         .withColumn("run", tp - F.row_number().over(inside))
         .groupBy("span", "run")
         .agg(F.min(tp).alias("lo"), F.max(tp).alias("hi"))
@@ -155,6 +141,16 @@ def duplicate_range(ev: DataFrame) -> DataFrame:
     )
 
 
+def bounds_of(dup: DataFrame) -> tuple[int | None, int | None]:
+    """The two numbers of a one-row range.
+
+    As literals they reach the scan, and the log is not searched for duplicates
+    once per use.
+    """
+    least, greatest = dup.select("min_duplicate", "max_duplicate").head()
+    return least, greatest
+
+
 def order_breaks(lines: DataFrame, start: int | None = None, span: int = SPAN) -> DataFrame:
     """Events that do not follow the one before them in arrival order by exactly one.
 
@@ -165,10 +161,10 @@ def order_breaks(lines: DataFrame, start: int | None = None, span: int = SPAN) -
     events = lines.where(F.col("timepoint").isNotNull()).select("file", "line_no", "timepoint")
     ordered = with_neighbours(
         events,
-        F.struct("file", _floor_div(F.col("line_no"), span).alias("part")),
+        F.struct("file", floor_div(F.col("line_no"), span).alias("part")),
         ["file", "line_no"],
         ["timepoint"],
-        coarse=name_bucket(F.col("bucket.file")),
+        coarse=name_bucket(F.col("file")),
     )
     previous = F.col("prev.timepoint")
     if start is not None:

@@ -196,7 +196,7 @@ def newest_files(spark, sf):
 
 @_query
 def newest_file_stats(spark, sf):
-    return checks.newest_file_stats(v.events(spark, sf))
+    return checks.newest_file_stats(v.events(spark, sf), v.files(spark, sf))
 
 
 @_query
