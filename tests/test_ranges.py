@@ -1,0 +1,120 @@
+import random
+
+import pytest
+from conftest import SF01
+
+from tidemark.operators import ranges as rng
+from tidemark.operators.checks import check_contiguity
+from tidemark.plans import views
+
+
+def runs(values):
+    out = []
+    for v in sorted(values):
+        if out and v == out[-1][1] + 1:
+            out[-1][1] = v
+        else:
+            out.append([v, v])
+    return [tuple(r) for r in out]
+
+
+def brute_missing(values):
+    present = set(values)
+    return runs(set(range(min(present), max(present) + 1)) - present)
+
+
+def brute_duplicates(values):
+    seen, twice = set(), set()
+    for v in values:
+        (twice if v in seen else seen).add(v)
+    return runs(twice)
+
+
+def as_pairs(df):
+    return sorted((r.range_min, r.range_max) for r in df.collect())
+
+
+CASES = {
+    "dense": list(range(1, 400)),
+    "word edges": [0, 63, 64, 65, 127, 128, 191, 256],
+    "one": [77],
+    "sparse": [3, 10**6, 10**12, 10**12 + 1],
+    "negative": [-130, -129, -64, -63, -1, 0, 1],
+    "hot": [500] * 300 + list(range(450, 560)) + list(range(520, 540)),
+    "all twice": list(range(60, 200)) * 2,
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+@pytest.mark.parametrize("span", [1 << 20, 64, 100])
+def test_ranges_equal_brute_force(timepoints, name, span):
+    values = CASES[name]
+    ev = timepoints(values)
+    assert as_pairs(rng.duplicate_ranges(ev, span)) == brute_duplicates(values)
+    if name != "sparse":
+        assert as_pairs(rng.missing_ranges(ev, span)) == brute_missing(values)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_logs(timepoints, seed):
+    r = random.Random(seed)
+    values = [r.randrange(1, 2000) for _ in range(r.randrange(500, 4000))]
+    span = r.choice([64, 128, 333, 1 << 20])
+    ev = timepoints(values)
+    assert as_pairs(rng.missing_ranges(ev, span)) == brute_missing(values)
+    assert as_pairs(rng.duplicate_ranges(ev, span)) == brute_duplicates(values)
+    row = check_contiguity(ev).head()
+    assert (row.row_count, row.distinct_timepoints) == (len(values), len(set(values)))
+    assert row.diff_timepoints == max(values) - min(values) + 1
+
+
+def test_sparse_gap(timepoints):
+    got = as_pairs(rng.missing_ranges(timepoints(CASES["sparse"])))
+    assert got == [(4, 10**6 - 1), (10**6 + 1, 10**12 - 1)]
+
+
+def test_empty_log(timepoints):
+    empty = timepoints([])
+    assert rng.missing_ranges(empty).count() == 0
+    assert rng.duplicate_ranges(empty).count() == 0
+    assert tuple(rng.duplicate_range(empty).head()) == (None, None)
+    row = check_contiguity(empty).head()
+    assert (row.row_count, row.min_tp, row.ok) == (0, None, False)
+
+
+def test_null_timepoints_are_ignored(timepoints):
+    ev = timepoints([1, 2, None, 4, None])
+    assert as_pairs(rng.missing_ranges(ev)) == [(3, 3)]
+    assert rng.duplicate_ranges(ev).count() == 0
+
+
+def test_known_answers(spark):
+    log = views.log(spark, SF01)
+    kept = log.where("timepoint % 97 <> 0 and timepoint not between 3991 and 4211")
+    damaged = kept.unionByName(kept.where("timepoint between 501 and 621"))
+    row = check_contiguity(damaged).head()
+    assert (row.row_count, row.distinct_timepoints, row.diff_timepoints) == (9798, 9678, 10000)
+    missing = as_pairs(rng.missing_ranges(damaged))
+    assert len(missing) == 102 and any(a <= 3991 and b >= 4211 for a, b in missing)
+    assert as_pairs(rng.duplicate_ranges(damaged)) == [(501, 581), (583, 621)]
+
+
+def test_issue_order(timepoints):
+    issues = rng.timepoint_issues(timepoints([1, 1, 2, 5, 5, 6, 9])).collect()
+    assert [tuple(r) for r in issues] == [
+        ("duplicate", 1, 1), ("missing", 3, 4), ("duplicate", 5, 5), ("missing", 7, 8),
+    ]
+
+
+@pytest.mark.parametrize("span", [2, 3, 1 << 20])
+def test_order_breaks(spark, span):
+    arrived = [("/s/a", [5, 6, 8, 7]), ("/s/b", [8, 9, 9]), ("/s/c", []), ("/s/d", [10, 12])]
+    rows = [(f, i + 1, tp) for f, tps in arrived for i, tp in enumerate(tps)]
+    lines = spark.createDataFrame(rows, "file string, line_no bigint, timepoint bigint")
+    got = {(r.file, r.line_no, r.prev_tp, r.tp) for r in rng.order_breaks(lines, 4, span).collect()}
+    flat = [4 - 1] + [tp for _, _, tp in rows]
+    expected = {
+        (f, n, flat[i], tp) for i, (f, n, tp) in enumerate(rows) if tp != flat[i] + 1
+    }
+    assert got == expected
+    assert (rows[0][0], 1, 3, 5) in got

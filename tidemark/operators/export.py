@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +15,18 @@ EXTENSIONS = {"json": ".json", "csv": ".csv", "parquet": ".parquet"}
 SINGLE_FILE_ROWS = 5_000_000
 
 
-def _codec(fmt: str, compression: str) -> str:
-    """Codec that is really used: text codecs of the JVM have no zstd here."""
-    if fmt in ("json", "csv") and compression == "zstd":
-        return "gzip"
-    return compression
+def _codec(spark: SparkSession, fmt: str, compression: str) -> str:
+    """Codec that will be used: zstd for text needs the native Hadoop library, else gzip."""
+    if fmt not in ("json", "csv") or compression != "zstd":
+        return compression
+    native = spark._jvm.org.apache.hadoop.io.compress.ZStandardCodec.isNativeCodeLoaded()
+    return "zstd" if native else "gzip"
 
 
 def _write(df: DataFrame, path: str, fmt: str, compression: str, rows_per_file: int) -> None:
     (
         df.write.format(fmt)
-        .option("compression", _codec(fmt, compression))
+        .option("compression", _codec(df.sparkSession, fmt, compression))
         .option("header", True)
         .option("escape", '"')
         .option("ignoreNullFields", False)
@@ -38,21 +41,18 @@ def export_manifest(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     Counting parquet rows touches footers only; of text formats one column at most.
     """
     reader = spark.read.option("header", True).option("escape", '"')
-    data = reader.option("multiLine", True).csv(path) if fmt == "csv" else (
-        spark.read.text(path) if fmt == "json" else spark.read.parquet(path)
-    )
+    if fmt == "csv":
+        data = reader.option("multiLine", True).csv(path)
+    else:
+        data = spark.read.text(path) if fmt == "json" else spark.read.parquet(path)
     rows = data.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("rows")
     )
     sizes = spark.read.format("binaryFile").load(path).select(
         F.col("path").alias("file"), F.col("length").alias("bytes")
     )
-    # Both listings print the same URI apart from the slashes after "file:".
-    plain = F.regexp_replace("file", "^file:/+", "file:/")
-    return (
-        sizes.withColumn("file", plain)
-        .join(rows.withColumn("file", plain), "file", "left")
-        .select("file", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes")
+    return sizes.join(rows, "file", "left").select(
+        "file", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes"
     )
 
 
@@ -61,9 +61,12 @@ def describe_export(
 ) -> DataFrame:
     """One manifest entry for an export: its files, rows, bytes and labels.
 
-    The list of names is bounded by the size of the parts, not by the rows.
+    The list of names is bounded by the size of the parts, not by the rows.  The
+    entry names the codec that was used, also where it is not the one asked for.
     """
-    used = _codec(fmt, compression)
+    used = _codec(files.sparkSession, fmt, compression)
+    if used != compression:
+        description = re.sub(compression, used, description, flags=re.IGNORECASE)
     suffix = {"gzip": ".gz", "zstd": ".zst"}.get(used, "") if fmt != "parquet" else ""
     return files.agg(
         F.sort_array(F.collect_list("file")).alias("files"),
@@ -125,8 +128,8 @@ def export_split(
     spark = df.sparkSession
     rows = pin(df, "split")
     n = max(rows.count(), 1)
-    stored = rows.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
-    total = stored.distinct().agg(F.coalesce(F.sum("b"), F.lit(1))).head()[0]
+    stored = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
+    total = stored.agg(F.coalesce(F.sum("file_size"), F.lit(1))).head()[0]
     per_file = max(1, int(file_bytes / max(1.0, total / n)))
     _write(rows, path, fmt, compression, per_file)
     return describe_export(

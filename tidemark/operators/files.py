@@ -107,6 +107,33 @@ def replay_events(
     )
 
 
+def replay_smoke(
+    ev: DataFrame, index: DataFrame, stream: str, last: int = 1_000_000
+) -> DataFrame:
+    """Replay the last ``last`` timepoints of a stream: events, and breaks in their order.
+
+    A break is counted where an event does not follow the one before by one;
+    replays come in timepoint order, so neighbours are found per range.
+    """
+    known = stream_range(index, stream).head()
+    if known is None or known["min"] is None:
+        raise LookupError(f"no data indexed for {stream}")
+    start = max(known["max"] - last, known["min"])
+    played = ev.where((stream_of(F.col("file")) == stream) & (F.col("timepoint") >= start))
+    # Copies of a timepoint follow each other and each one after the first is a break.
+    per_timepoint = played.groupBy("timepoint").agg(F.count(F.lit(1)).alias("n"))
+    followed = with_neighbours(
+        per_timepoint, floor_div(F.col("timepoint"), 1 << 20), ["timepoint"], ["timepoint"]
+    )
+    ahead = F.coalesce(F.col("prev.timepoint"), F.lit(start - 1))
+    return followed.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("events"),
+        F.coalesce(
+            F.sum(F.col("n") - 1 + (F.col("timepoint") != ahead + 1).cast("int")), F.lit(0)
+        ).alias("breaks"),
+    )
+
+
 def _by_index() -> Column:
     return floor_div(F.col("idx"), _FILES)
 

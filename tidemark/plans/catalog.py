@@ -16,6 +16,7 @@ from tidemark.operators import (
     lines as lin,
     ranges as rng,
     register as reg,
+    publish,
     repair,
     snapshot as snp,
     tables,
@@ -295,6 +296,12 @@ def replay_events_raw(spark, sf):
     )
 
 
+@_query
+def replay_smoke(spark, sf):
+    ev = v.sink(spark, sf)
+    return fil.replay_smoke(ev, _index(spark, sf), "officers")
+
+
 @_query
 def file_ranges(spark, sf):
     return fil.file_ranges(v.damaged(spark, sf))
@@ -680,3 +687,40 @@ def export_manifest(spark, sf):
         "compression",
         F.array_join("labels", ",").alias("labels"),
     )
+
+
+@_query
+def publish_snapshot(spark, sf):
+    """All exports and the manifest of a stream; the manifest as it was written."""
+    out = scratch(spark, "published")
+    publish.publish_snapshot(v.events(spark, sf), "companies", out, v.NOW)
+    manifest = spark.read.json(f"{out}/companies-manifest.json")
+    return manifest.select(
+        "record_count",
+        "min_timepoint",
+        "max_timepoint",
+        "max_published_at",
+        F.size("downloads").cast("bigint").alias("downloads"),
+        F.expr("aggregate(downloads, 0L, (n, d) -> n + d.count)").alias("rows_listed"),
+    )
+
+
+@_query
+def publish_accounts(spark, sf):
+    out = scratch(spark, "published")
+    publish.publish_accounts(v.accounts(spark, sf), out, "1998-06-15T00:00:00")
+    manifest = spark.read.json(f"{out}/accounts-manifest.json")
+    return manifest.select(F.explode("downloads").alias("d")).select(
+        F.col("d.description").alias("description"), F.col("d.count").alias("count")
+    )
+
+
+@_query
+def publish_register(spark, sf):
+    out = scratch(spark, "published")
+    names = ("customer", "supplier", "nation")
+    publish.publish_register({n: v.table(spark, sf, n) for n in names}, out, v.NOW)
+    manifest = spark.read.json(f"{out}/register-manifest.json")
+    return manifest.select(
+        "table", "record_count", F.size("downloads").cast("bigint").alias("downloads")
+    )

@@ -398,6 +398,14 @@ def oracle_sql() -> dict[str, str]:
             f"""select file, {_ROW} from sink
             where split_part(file, '/', 3) = 'officers' and timepoint >= 503""",
         )
+    sql["replay_smoke"] = _with(
+        _SINK,
+        """select count(*) as events, count(*) filter (where timepoint <> prev + 1) as breaks
+        from (select timepoint, coalesce(lag(timepoint) over (order by timepoint), timepoint - 1) as prev
+              from sink where split_part(file, '/', 3) = 'officers'
+                and timepoint >= (select greatest(max(max) - 1000000, min(min)) from idx
+                                  where stream = 'officers'))""",
+    )
     sql["file_ranges"] = _with(
         _DAMAGED,
         """select file, row_number() over (order by file) - 1 as idx, lo, hi from (
@@ -621,4 +629,27 @@ def oracle_sql() -> dict[str, str]:
         """select cast(1 as bigint) as files, count(*) as count, true as filled, 'csv' as format,
         '.csv.gz' as extension, 'gzip' as compression, 'daily,single' as labels from log""",
     )
+    sql["publish_snapshot"] = _with(
+        _LATEST
+        + """, live as (
+        select * from (select * replace (data::json as data) from latest)
+        where data.date_of_cessation is null and data.company_status != '"dissolved"')""",
+        """select count(*) as record_count, min(timepoint) as min_timepoint,
+        max(timepoint) as max_timepoint, max(published_at) as max_published_at,
+        cast(3 as bigint) as downloads,
+        cast(count(*) + 2 * least(count(*), 1000) as bigint) as rows_listed from live""",
+    )
+    sql["publish_accounts"] = _with(
+        _ACCOUNTS,
+        """select d.description, count(k.company_id) as count
+        from (values ('Last two years (CSV gzip)', date '1996-06-01'),
+                     ('Last two years (Parquet)', date '1996-06-01'),
+                     ('Full history (Parquet)', date '2008-01-01')) d(description, since)
+        left join kept k on k.zip_start >= d.since and k.zip_end <= date '1998-05-31'
+        group by d.description""",
+    )
+    sql["publish_register"] = " union all ".join(
+        f"select '{t}' as \"table\", count(*) as record_count, cast(3 as bigint) as downloads from {t}"
+        for t in ("customer", "supplier", "nation")
+    )
     return sql

@@ -95,15 +95,11 @@ def _load(
         .groupBy(F.col(file_column).alias("file"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return _same_uri(added).join(_same_uri(rows), "file", "left").select(
+    return added.join(rows, "file", "left").select(
         "file", F.coalesce("rows", F.lit(0)).alias("rows")
     )
 
 
-def _same_uri(df: DataFrame) -> DataFrame:
-    return df.withColumn("file", F.regexp_replace("file", "^file:/+", "file:/"))
-
-
 def load_events(
     spark: SparkSession, landing: str, table: str, checkpoint: str, max_files: int = 1000
 ) -> DataFrame:
