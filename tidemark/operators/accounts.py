@@ -24,10 +24,8 @@ def accounts_dedup(accounts: DataFrame) -> DataFrame:
         .select(F.explode(F.sequence("zip_start", "zip_end")).alias("day"))
         .distinct()
     )
-    daily = accounts.where(~longer).join(
-        F.broadcast(covered), F.col("zip_start") == F.col("day"), "left_anti"
-    )
-    return accounts.where(longer).unionByName(daily)
+    dropped = (F.col("zip_start") == F.col("day")) & ~longer
+    return accounts.join(F.broadcast(covered), dropped, "left_anti")
 
 
 def accounts_zip_counts(accounts: DataFrame, first: str, last: str) -> DataFrame:

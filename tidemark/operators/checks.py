@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import uuid7_millis
 from tidemark.operators.ranges import timepoint_words, words_summary
+from tidemark.operators.snapshot import check_unique_resources
 from tidemark.schemas import FILE_MAX_AGE_HOURS, NEWEST_FILES_CHECKED, TABLE_MAX_AGE_HOURS
 
 
@@ -90,6 +91,19 @@ def verify_events(ev: DataFrame, now: str, start: int = 0) -> DataFrame:
     return dense.unionByName(fresh).unionByName(filled)
 
 
+def verify_snapshot(snap: DataFrame, now: str, key: str = "resource_uri") -> DataFrame:
+    """One row per snapshot check: published recently, every resource once."""
+    fresh = check_freshness(snap, now).select(
+        *_report("freshness", F.col("ok"), F.col("max_published_at"))
+    )
+    repeated = (
+        check_unique_resources(snap, key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*_report("unique_resources", F.col("n") == 0, F.col("n").cast("string")))
+    )
+    return fresh.unionByName(repeated)
+
+
 def require(report: DataFrame) -> None:
     """Raise if a report has a failed check; reports have one row per check."""
     failed = report.where(~F.col("ok")).collect()

@@ -80,6 +80,12 @@ def check_replay(index: DataFrame, stream: str, timepoint: int) -> None:
         )
 
 
+def _in_order(ev: DataFrame) -> DataFrame:
+    # The second key lets the sort cut a timepoint with very many copies.
+    arrival = ev.withColumn("__arrival", F.monotonically_increasing_id())
+    return arrival.orderBy("timepoint", "__arrival").drop("__arrival")
+
+
 def replay_events(
     ev: DataFrame, index: DataFrame, stream: str, timepoint: int, raw: bool = False
 ) -> DataFrame:
@@ -97,13 +103,13 @@ def replay_events(
         (F.col("file") >= first_by_name) & (stream_of(F.col("file")) == stream)
     )
     if not raw:
-        return reachable.where(F.col("timepoint") >= timepoint).orderBy("timepoint")
+        return _in_order(reachable.where(F.col("timepoint") >= timepoint))
     first_played = wanted.agg(F.min_by("filename", F.struct("min", "filename"))).head()[0]
     trimmed = (F.col("file") == first_played) & (F.col("timepoint") < timepoint)
-    return (
-        reachable.join(wanted.select(F.col("filename").alias("file")), "file", "left_semi")
-        .where(~trimmed)
-        .orderBy("timepoint")
+    return _in_order(
+        reachable.join(wanted.select(F.col("filename").alias("file")), "file", "left_semi").where(
+            ~trimmed
+        )
     )
 
 

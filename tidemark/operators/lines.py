@@ -15,26 +15,29 @@ from tidemark.functions.names import name_bucket
 from tidemark.functions.order import with_neighbours
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Add ``line_no``, 1-based among the non-empty lines of each file.
-
-    Lines are numbered per split and shifted by the size of the splits before,
-    so a file that holds a third of all lines is still many partitions.
-    """
-    split = ["file", "block"]
+def _blocks(lines: DataFrame) -> DataFrame:
+    """Per split of a file: its first ``id`` and how many lines lie ahead of it."""
     before = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = (
-        lines.groupBy(*split)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(*split, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    inside = Window.partitionBy(*split).orderBy("id")
     return (
-        lines.withColumn("n", F.row_number().over(inside))
-        .join(offsets, split)
-        .select("file", (F.col("offset") + F.col("n")).alias("line_no"), "line", "ok")
+        lines.groupBy("file", "block")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+        .select(
+            "file", "block", "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead")
+        )
+    )
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Add ``line_no``, 1-based among the non-empty lines of each file.
+
+    Ids have no holes inside a split, so a line's number follows from two facts
+    about its split; lines are neither sorted nor grouped by file.  Two passes
+    over ``lines``: pin them first.
+    """
+    return lines.join(_blocks(lines), ["file", "block"]).select(
+        "file", (F.col("ahead") + F.col("id") - F.col("first_id") + 1).alias("line_no"), "line", "ok"
     )
 
 
@@ -155,12 +158,15 @@ def clean_landing(lines: DataFrame) -> DataFrame:
     """Complete lines: without the tail a broken connection cut off.
 
     Only the last line of a file can be cut, so only there a malformed one is
-    dropped; damage elsewhere stays for ``classify_files`` to report.
+    dropped; damage elsewhere stays for ``classify_files`` to report.  Two
+    passes over ``lines``: pin them first.
     """
-    place = F.struct("block", "id")
+    splits = lines.groupBy("file", "block").agg(
+        F.max("id").alias("id"), F.max_by("ok", "id").alias("ok")
+    )
     tails = (
-        lines.groupBy("file")
-        .agg(F.max_by(F.struct("block", "id", "ok"), place).alias("t"))
+        splits.groupBy("file")
+        .agg(F.max_by(F.struct("block", "id", "ok"), "block").alias("t"))
         .where(~F.col("t.ok"))
         .select("file", "t.block", "t.id")
     )

@@ -29,7 +29,12 @@ def register_link(
     """
     other = link.withColumnRenamed(link_key, key) if link_key else link
     extra = [c for c in other.columns if c == key or c not in main.columns]
-    return main.join(other.select(*extra), key, "left")
+    other = other.select(*extra)
+    # Inner plus anti instead of left outer: an inner join lets adaptive execution
+    # split the linked rows of one organisation that has very many.
+    linked = main.join(other, key)
+    alone = main.join(other.select(key), key, "left_anti")
+    return linked.unionByName(alone, allowMissingColumns=True)
 
 
 def _differs(total: Column, parts: Column) -> Column:
@@ -67,6 +72,16 @@ def register_latest_filing(partb: DataFrame) -> DataFrame:
     return partb.where(F.col("fin_period_order_number") == 1)
 
 
+def register_filing_order(partb: DataFrame) -> DataFrame:
+    """Organisations whose filing numbered 1 is not the one of their newest period."""
+    first = F.when(F.col("fin_period_order_number") == 1, F.col("fin_period_end_date"))
+    return (
+        partb.groupBy("organisation_number")
+        .agg(F.max(first).alias("numbered_first"), F.max("fin_period_end_date").alias("newest"))
+        .where(~F.col("numbered_first").eqNullSafe(F.col("newest")))
+    )
+
+
 def register_main(charity: DataFrame) -> DataFrame:
     """Main organisations, without linked ones."""
     return charity.where(F.col("linked_charity_number") == 0)

@@ -30,7 +30,7 @@ def repair_files(lines: DataFrame, out_dir: str) -> DataFrame:
         .select("file", F.col("line_no").alias("first_bad"))
     )
     kept = (
-        number_lines(lines)
+        number_lines(lines.join(broken.select("file"), "file", "left_semi"))
         .join(broken, "file")
         .where("line_no < first_bad")
         .select("file", "line_no", "line", base_name(F.col("file")).alias("name"))

@@ -47,3 +47,24 @@ def compact_events(
             F.max(by).alias("hi"),
         )
     )
+
+
+def drop_superseded(spark: SparkSession, old_dir: str, new_dir: str, by: str = "event.timepoint") -> None:
+    """Delete the old version of a table once the new one holds the same rows.
+
+    Compared by row count, bounds and sum of ``by``; on a difference nothing is
+    deleted.
+    """
+
+    def facts(path: str) -> tuple:
+        value = F.col(by).cast("decimal(38,0)")
+        return tuple(
+            spark.read.parquet(path)
+            .agg(F.count(F.lit(1)), F.min(by), F.max(by), F.sum(value))
+            .head()
+        )
+
+    if facts(old_dir) != facts(new_dir):
+        raise ValueError(f"{new_dir} does not hold the rows of {old_dir}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(old_dir)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -305,6 +305,13 @@ def oracle_sql() -> dict[str, str]:
           from ({null_data.format('damaged')})""",
     )
 
+    sql["verify_snapshot"] = _with(
+        _LATEST,
+        f"""select 'freshness' as "check", ok, max_published_at as detail from ({freshness} from latest)
+        union all select 'unique_resources', count(*) = 0, cast(count(*) as varchar)
+          from (select resource_uri from latest group by 1 having count(*) > 1)""",
+    )
+
     # Landing checks
     stats = """select file, min(timepoint) as lo, max(timepoint) as hi, count(*) as row_count
       from damaged group by file"""
@@ -517,6 +524,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["list_sink_files"] = _with(_FILES, "select file_no, true as filled from files")
     sql["load_events"] = _with(_LOG, f"select file_no, {_ROW} from log")
+    sql["compact_loaded"] = sql["load_events"]
     sql["load_accounts"] = _LANDED_ACCOUNTS
     sql["sort_events"] = _with(
         _DAMAGED, "select count(*) as row_count, cast(0 as bigint) as overlaps from damaged"
@@ -617,6 +625,14 @@ def oracle_sql() -> dict[str, str]:
         where fin_period_order_number = 1""",
     )
 
+    sql["register_filing_order"] = """
+      select organisation_number, numbered_first, newest from (
+        select o_custkey as organisation_number,
+          max(case when o_orderkey % 3 = 0 then cast(o_orderdate as date) end) as numbered_first,
+          max(cast(o_orderdate as date)) as newest
+        from orders group by o_custkey)
+      where numbered_first is distinct from newest"""
+
     # Exports
     sql["export_split"] = _with(_LOG, f"select {_ROW} from log")
     sql["export_sample"] = _with(

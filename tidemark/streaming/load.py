@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import stream_of
+from tidemark.operators.tables import sort_events
 from tidemark.sources.accounts import scan_accounts
 from tidemark.sources.landing import scan_events
 
@@ -131,3 +132,22 @@ def load_accounts(
         "zip_start",
         "csv_name",
     )
+
+
+def compact_loaded(
+    spark: SparkSession,
+    table: str,
+    out: str,
+    target_rows: int = 5_000_000,
+    by: str = "event.timepoint",
+) -> None:
+    """Merge the small files of all loads into sorted large ones, as a new table ``out``.
+
+    Rows and ledger go under the number of the last load, so a loader with the
+    same checkpoint goes on with ``out`` where it left off.
+    """
+    last = _last_load(spark, table)
+    rows = read_loaded(spark, table).drop("load")
+    parts = max(1, -(-rows.count() // target_rows))
+    sort_events(rows, parts, by).write.parquet(f"{out}/rows/load={last}")
+    read_ledger(spark, table).select("file").write.parquet(f"{out}/ledger/load={last}")
