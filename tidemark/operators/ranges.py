@@ -54,14 +54,19 @@ def words_summary(words: DataFrame) -> DataFrame:
 
 def missing_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
     """Maximal ranges between the least and greatest timepoint that no event has."""
-    # A word without an inner gap is one interval, any other one per set bit.
+    # A word without an inner gap is one interval.  In any other one, runs begin at
+    # bits without a lower neighbour and end at bits without a higher one.
     unbroken = F.col("hi") - F.col("lo") + 1 == F.bit_count("mask")
-    bits = F.expr(
-        "transform(filter(sequence(0, 63), i -> getbit(mask, i) = 1),"
-        " i -> named_struct('lo', word * 64 + i, 'hi', word * 64 + i))"
+    bits = "transform(filter(sequence(0, 63), i -> getbit({}, i) = 1), i -> word * 64 + i)"
+    runs = F.expr(
+        "zip_with("
+        + bits.format("mask & ~shiftleft(mask, 1)")
+        + ", "
+        + bits.format("mask & ~shiftrightunsigned(mask, 1)")
+        + ", (lo, hi) -> named_struct('lo', lo, 'hi', hi))"
     )
     present = timepoint_words(ev).select(
-        F.inline(F.when(unbroken, F.array(F.struct("lo", "hi"))).otherwise(bits))
+        F.inline(F.when(unbroken, F.array(F.struct("lo", "hi"))).otherwise(runs))
     )
     ordered = with_neighbours(present, floor_div(F.col("lo"), span), ["lo"], ["hi"])
     return ordered.where("lo - prev.hi > 1").select(
