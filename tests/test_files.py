@@ -3,6 +3,7 @@ import random
 import pytest
 from conftest import SF01
 
+from tidemark.functions.names import common_stream, schema_name
 from tidemark.operators import correction, files as fil
 from tidemark.operators import checks
 from tidemark.plans import views
@@ -142,6 +143,8 @@ def test_replay_checks_its_arguments(played):
         fil.replay_events(ev, index, "charges", "9")
     with pytest.raises(LookupError):
         fil.replay_events(ev, index, "officers", 3)
+    with pytest.raises(ValueError, match="unknown stream"):
+        fil.replay_events(ev, index, "parties", 3)
 
 
 def test_replay_smoke(played):
@@ -225,6 +228,32 @@ def test_file_age_from_uuid(spark):
     assert later == 1
 
 
+def test_files_of_one_request():
+    root = "s3://sink"
+    assert common_stream(["s3://sink/charges/a.json.gz", "s3://sink/charges/b.json.gz"], root) == "charges"
+    for bad in (
+        [], ["s3://sink/charges/a.csv"], ["s3://other/charges/a.json.gz"],
+        ["s3://sink/charges/a.json.gz", "s3://sink/filings/a.json.gz"],
+    ):
+        with pytest.raises(ValueError):
+            common_stream(bad, root)
+    assert schema_name("persons-with-significant-control") == "persons_with_significant_control"
+
+
+def test_early_faults_of_a_stream_are_not_checked(make_log):
+    log = make_log([(1, "/a", "changed"), (3205879, "/a", "changed"), (3205880, "/b", "changed")])
+    ok = {r.check: r.ok for r in checks.verify_stream(log, "insolvency-cases", "2024-01-02T00:00:00").collect()}
+    assert ok["contiguity"]
+    ok = {r.check: r.ok for r in checks.verify_stream(log, "charges", "2024-01-02T00:00:00").collect()}
+    assert not ok["contiguity"]
+
+
+def test_verify_snapshot(make_log):
+    log = make_log([(1, "/a", "changed"), (2, "/a", "changed")])
+    ok = {r.check: r.ok for r in checks.verify_snapshot(log, "2024-01-02T00:00:00").collect()}
+    assert ok == {"freshness": True, "unique_resources": False}
+
+
 def test_verification_raises_on_failure(make_log):
     log = make_log([(1, "/a", "changed"), (3, "/a", "changed")])
     report = checks.verify_events(log, "2024-01-01T12:00:00")

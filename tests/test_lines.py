@@ -202,3 +202,13 @@ def test_find_broken_files_in_name_order(spark, lines):
     pending = lines.select("file").distinct()
     first = lin.find_broken_files(lines, pending, limit=1).collect()
     assert len(first) == 1 and first[0].file.endswith("b.json.gz")
+
+
+def test_write_clean(spark, sink, tmp_path):
+    lines = pin(landing.read_lines(spark, [str(sink / n) for n in ("b.json.gz", "g.json.gz")]), "c")
+    assert repair.write_clean(lines, str(tmp_path / "o"))
+    kept = landing.scan_events(spark, f"{tmp_path}/o/name=*").collect()
+    assert sorted(r.event.timepoint for r in kept) == [6, 7, 8]
+    blank = pin(landing.read_lines(spark, str(sink / "g.json.gz")), "g")
+    assert not repair.write_clean(blank, str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()

@@ -10,7 +10,9 @@ from test_lines import event, write
 from tidemark.operators import tables
 from tidemark.operators.events import flatten, nest
 from tidemark.operators.files import file_ranges
+from tidemark.operators.ranges import duplicate_range
 from tidemark.streaming import load
+from tidemark.streaming.index import maintain_index
 
 
 @pytest.fixture
@@ -62,6 +64,60 @@ def test_batch_that_runs_again_loads_nothing_twice(spark, tmp_path, dirs, lost):
     assert load.read_ledger(spark, table).count() == 4
 
 
+def test_correction_and_second_load(spark, tmp_path, dirs):
+    landing, table, mark = dirs
+    for i in range(4):
+        lines = "".join(event(tp) + "\n" for tp in range(i * 10, i * 10 + 10))
+        write(tmp_path / "landing" / "s", f"{i}.json.gz", lines)
+    load.load_events(spark, landing, table, mark, max_files=3)
+    names = [r.file for r in load.read_ledger(spark, table).orderBy("file").collect()][1:3]
+    load.store_load(spark, table, -1, names, load.scan_for_load, "event.timepoint")
+    log = flatten(load.read_loaded(spark, table))
+    assert log.count() == 60
+    files = spark.createDataFrame([(n,) for n in names], "file string")
+    with pytest.raises(ValueError):
+        load.correct_loaded(spark, table, duplicate_range(log.where("false")), files)
+    left = load.correct_loaded(spark, table, duplicate_range(log), files)
+    assert tuple(left.head()) == (None, None)
+    assert sorted(r.timepoint for r in flatten(load.read_loaded(spark, table)).collect()) == [
+        *range(10), *range(30, 40),
+    ]
+    assert load.read_ledger(spark, table).select("file").distinct().count() == 2
+    again = load.load_pending(spark, f"{landing}/s/*.json.gz", table, max_files=1)
+    assert added(again) == {"1.json.gz": 10, "2.json.gz": 10}
+    assert load.load_pending(spark, f"{landing}/s/*.json.gz", table).count() == 0
+    assert sorted(r.timepoint for r in flatten(load.read_loaded(spark, table)).collect()) == [
+        *range(40)
+    ]
+    write(tmp_path / "landing" / "s", "4.json.gz", event(40) + "\n")
+    assert added(load.load_events(spark, landing, table, mark)) == {"4.json.gz": 1}
+    assert load.read_loaded(spark, table).count() == 41
+
+
+def test_pending_load_alone(spark, tmp_path, dirs):
+    landing, table, _ = dirs
+    for i in range(3):
+        write(tmp_path / "landing" / "s", f"{i}.json.gz", event(i) + "\n")
+    glob = f"{landing}/s/*.json.gz"
+    assert len(added(load.load_pending(spark, glob, table, max_files=2))) == 3
+    assert load.load_pending(spark, glob, table).count() == 0
+    assert load.read_loaded(spark, table).count() == 3
+
+
+def test_index_reads_every_file_once(spark, tmp_path, dirs):
+    landing, index, mark = dirs
+    write(tmp_path / "landing" / "charges", "a.json.gz", event(5) + "\n{bad\n" + event(9) + "\n")
+    write(tmp_path / "landing" / "filings", "b.json.gz", '{"error":"x"}\n')
+    maintain_index(spark, landing, index, mark, max_files=1)
+    write(tmp_path / "landing" / "charges", "c.json.gz", event(10) + "\n")
+    rows = maintain_index(spark, landing, index, mark).collect()
+    got = sorted((r.filename.rsplit("/", 1)[-1], r.min, r.max, r.stream) for r in rows)
+    assert got == [
+        ("a.json.gz", 5, 9, "charges"), ("b.json.gz", None, None, "filings"),
+        ("c.json.gz", 10, 10, "charges"),
+    ]
+
+
 def test_malformed_file_stops_the_load(spark, tmp_path, dirs):
     landing, table, mark = dirs
     write(tmp_path / "landing" / "s", "a.json.gz", event(1) + "\n{bad\n")
@@ -101,3 +157,9 @@ def test_compact(spark, make_log, tmp_path):
     assert back.select(*log.columns).exceptAll(log).count() == 0
     named = back.withColumn("file", F.col("_metadata.file_path"))
     assert file_ranges(named).count() == len(files)
+    tables.drop_superseded(spark, many, few)
+    assert not (tmp_path / "many").exists()
+    nest(log.where("timepoint < 9")).write.parquet(many)
+    with pytest.raises(ValueError):
+        tables.drop_superseded(spark, many, few)
+    assert (tmp_path / "many").exists()

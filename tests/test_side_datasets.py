@@ -186,6 +186,9 @@ def test_register_links_and_sums(spark):
         (1, "r1"), (1, "r2"), (2, ""),
     ]
     assert [r.name for r in reg.register_main(main).collect()] == ["a"]
+    history = spark.createDataFrame([(1, 2, "merged")], "organisation_number int, assoc_organisation_number int, event_type string")
+    other = reg.register_link(main, history, link_key="assoc_organisation_number")
+    assert sorted((r.organisation_number, r.linked_organisation_number) for r in other.collect() if r.event_type) == [(2, 1)]
     columns = (
         "assets_own_use", "assets_total_fixed", "assets_long_term_investment",
         "assets_total_liabilities", "creditors_one_year_total_current",

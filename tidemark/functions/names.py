@@ -13,6 +13,18 @@ def schema_name(stream: str) -> str:
     return re.sub(r"[^a-z0-9_]", "_", stream, flags=re.IGNORECASE)
 
 
+def common_stream(files: list[str], root: str) -> str:
+    """Stream of sink files under ``root``; raises unless all are event files of one stream."""
+    root = root.rstrip("/") + "/"
+    wrong = [f for f in files if not (f.startswith(root) and f.endswith(".json.gz"))]
+    if wrong or not files:
+        raise ValueError(f"expected .json.gz files under {root}, got {wrong or 'none'}")
+    streams = {f[len(root) :].split("/")[0] for f in files}
+    if len(streams) > 1:
+        raise ValueError(f"files of several streams: {', '.join(sorted(streams))}")
+    return streams.pop()
+
+
 def stream_of(file: Column) -> Column:
     """Folder a sink file lies in, which is the name of its stream."""
     return F.element_at(F.split(file, "/"), -2)

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import uuid7_millis
 from tidemark.operators.ranges import timepoint_words, words_summary
 from tidemark.operators.snapshot import check_unique_resources
-from tidemark.schemas import FILE_MAX_AGE_HOURS, NEWEST_FILES_CHECKED, TABLE_MAX_AGE_HOURS
+from tidemark.schemas import (
+    FILE_MAX_AGE_HOURS,
+    FIRST_CHECKED_TIMEPOINT,
+    NEWEST_FILES_CHECKED,
+    TABLE_MAX_AGE_HOURS,
+    check_stream,
+)
 
 
 def age_seconds(published_at: Column, now: str) -> Column:
@@ -91,6 +97,12 @@ def verify_events(ev: DataFrame, now: str, start: int = 0) -> DataFrame:
     return dense.unionByName(fresh).unionByName(filled)
 
 
+def verify_stream(ev: DataFrame, stream: str, now: str) -> DataFrame:
+    """``verify_events`` from the first timepoint of the stream that is to be checked."""
+    start = FIRST_CHECKED_TIMEPOINT.get(check_stream(stream), 0)
+    return verify_events(ev, now, start)
+
+
 def verify_snapshot(snap: DataFrame, now: str, key: str = "resource_uri") -> DataFrame:
     """One row per snapshot check: published recently, every resource once."""
     fresh = check_freshness(snap, now).select(

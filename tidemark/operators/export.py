@@ -11,8 +11,9 @@ from tidemark.schemas import SAMPLE_ROWS, SPLIT_FILE_BYTES
 from tidemark.session import pin
 
 EXTENSIONS = {"json": ".json", "csv": ".csv", "parquet": ".parquet"}
-# Rows a single task may write as one file; larger exports stay in parts.
+# What a single task may write as one file; larger exports stay in parts.
 SINGLE_FILE_ROWS = 5_000_000
+SINGLE_FILE_BYTES = 1 << 30
 
 
 def _codec(spark: SparkSession, fmt: str, compression: str) -> str:
@@ -35,6 +36,12 @@ def _write(df: DataFrame, path: str, fmt: str, compression: str, rows_per_file:
     )
 
 
+def _stored_bytes(rows: DataFrame) -> int:
+    """Size of the parquet files behind a pinned DataFrame."""
+    files = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).head()[0]
+
+
 def export_manifest(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """``file, rows, bytes`` of the files written to ``path``.
 
@@ -93,14 +100,13 @@ def export_snapshot(
     single_file_rows: int = SINGLE_FILE_ROWS,
     **labels: bool,
 ) -> DataFrame:
-    """Write all rows; one file if they are few enough for a single task, else parts.
+    """Write all rows; one file if rows and bytes are few enough for a task, else parts.
 
     The rows are pinned first, so the count and the file see the same data and
     the plan behind it runs once.
     """
     rows = pin(df, "export")
-    n = rows.count()
-    single = n <= single_file_rows
+    single = rows.count() <= single_file_rows and _stored_bytes(rows) <= SINGLE_FILE_BYTES
     _write(rows.coalesce(1) if single else rows, path, fmt, compression, 0)
     return describe_export(
         export_manifest(df.sparkSession, path, fmt),
@@ -127,10 +133,8 @@ def export_split(
     """
     spark = df.sparkSession
     rows = pin(df, "split")
-    n = max(rows.count(), 1)
-    stored = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
-    total = stored.agg(F.coalesce(F.sum("file_size"), F.lit(1))).head()[0]
-    per_file = max(1, int(file_bytes / max(1.0, total / n)))
+    row_bytes = _stored_bytes(rows) / max(rows.count(), 1)
+    per_file = max(1, int(file_bytes / max(1.0, row_bytes)))
     _write(rows, path, fmt, compression, per_file)
     return describe_export(
         export_manifest(spark, path, fmt), fmt, compression, description, split=True

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import name_bucket, stream_of
 from tidemark.functions.order import floor_div, with_neighbours, with_position
 from tidemark.operators.ranges import bounds_of
+from tidemark.schemas import check_stream
 
 # Files per window partition where files are numbered.
 _FILES = 1 << 16
@@ -68,7 +69,8 @@ def replay_files(index: DataFrame, stream: str, timepoint: int) -> DataFrame:
 
 
 def check_replay(index: DataFrame, stream: str, timepoint: int) -> None:
-    """Raise unless the stream has data and ``timepoint`` lies in its range."""
+    """Raise unless the stream is known, has data, and ``timepoint`` lies in its range."""
+    check_stream(stream)
     if isinstance(timepoint, bool) or not isinstance(timepoint, int):
         raise ValueError("timepoint must be an integer")
     known = stream_range(index, stream).head()

@@ -154,8 +154,8 @@ def valid_prefix(lines: DataFrame) -> DataFrame:
     )
 
 
-def clean_landing(lines: DataFrame) -> DataFrame:
-    """Complete lines: without the tail a broken connection cut off.
+def without_cut_tails(lines: DataFrame) -> DataFrame:
+    """``lines`` less those last lines of files that a broken connection cut off.
 
     Only the last line of a file can be cut, so only there a malformed one is
     dropped; damage elsewhere stays for ``classify_files`` to report.  Two
@@ -170,4 +170,9 @@ def clean_landing(lines: DataFrame) -> DataFrame:
         .where(~F.col("t.ok"))
         .select("file", "t.block", "t.id")
     )
-    return lines.join(tails, ["file", "block", "id"], "left_anti").select("file", "line")
+    return lines.join(tails, ["file", "block", "id"], "left_anti").select(*lines.columns)
+
+
+def clean_landing(lines: DataFrame) -> DataFrame:
+    """The complete lines of each file."""
+    return without_cut_tails(lines).select("file", "line")

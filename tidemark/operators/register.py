@@ -25,9 +25,12 @@ def register_link(
 ) -> DataFrame:
     """Main rows with their linked rows; main rows without one stay.
 
-    Link columns that the main table has too are taken from the main table.
+    Link columns that the main table has too are taken from the main table.  With
+    ``link_key`` the link's own ``key`` column, if any, becomes ``linked_<key>``.
     """
-    other = link.withColumnRenamed(link_key, key) if link_key else link
+    other = link
+    if link_key:
+        other = link.withColumnsRenamed({key: f"linked_{key}", link_key: key})
     extra = [c for c in other.columns if c == key or c not in main.columns]
     other = other.select(*extra)
     # Inner plus anti instead of left outer: an inner join lets adaptive execution

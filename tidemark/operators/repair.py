@@ -11,11 +11,41 @@ from tidemark.operators.lines import (
     classify_files,
     file_first_last,
     number_lines,
+    without_cut_tails,
 )
 from tidemark.session import pin
 from tidemark.sources.landing import Paths, read_lines
 
 
+def _write_files(lines: DataFrame, order: list[str], out_dir: str) -> None:
+    """Gzip text in ``out_dir/name=<file>``, lines in order.
+
+    A range over the order may cut a large file into several parts, whose names
+    follow the order.
+    """
+    (
+        lines.withColumn("name", base_name(F.col("file")))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("name", "line")
+        .write.partitionBy("name")
+        .option("compression", "gzip")
+        .text(out_dir)
+    )
+
+
+def write_clean(lines: DataFrame, out_dir: str) -> bool:
+    """Write the complete lines of captured files; files of blank lines leave nothing.
+
+    Returns whether there was anything to write.  ``lines`` must be pinned.
+    """
+    whole = without_cut_tails(lines)
+    if whole.isEmpty():
+        return False
+    _write_files(whole, ["file", "block", "id"], out_dir)
+    return True
+
+
 def repair_files(lines: DataFrame, out_dir: str) -> DataFrame:
     """Write the valid part of every file broken at its end to ``out_dir/name=<file>``.
 
@@ -33,18 +63,9 @@ def repair_files(lines: DataFrame, out_dir: str) -> DataFrame:
         number_lines(lines.join(broken.select("file"), "file", "left_semi"))
         .join(broken, "file")
         .where("line_no < first_bad")
-        .select("file", "line_no", "line", base_name(F.col("file")).alias("name"))
-    )
-    # A range over (file, line) keeps lines in order and may cut a large file
-    # into several parts, whose names follow the order.
-    (
-        kept.repartitionByRange("file", "line_no")
-        .sortWithinPartitions("file", "line_no")
-        .select("name", "line")
-        .write.partitionBy("name")
-        .option("compression", "gzip")
-        .text(out_dir)
+        .select("file", "line_no", "line")
     )
+    _write_files(kept, ["file", "line_no"], out_dir)
     written = (
         read_lines(spark, f"{out_dir}/name=*")
         .withColumn("name", F.url_decode(F.regexp_extract("file", "/name=([^/]+)/", 1)))

@@ -27,6 +27,7 @@ from tidemark.session import pin, prepare, scratch
 from tidemark.sources import accounts as acc_src
 from tidemark.sources import archives, landing
 from tidemark.sources import register as reg_src
+from tidemark.streaming import index as idx
 from tidemark.streaming import load, snapshot as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -489,6 +490,29 @@ def compact_events(spark, sf):
     )
 
 
+@_query
+def maintain_index(spark, sf):
+    """Index of the landing files, read in batches as they are found."""
+    path, index, mark = v.land_events(spark, sf), scratch(spark, "index"), scratch(spark, "mark")
+    idx.maintain_index(spark, path, index, mark, max_files=100)
+    return _numbered(idx.read_index(spark, index), F.col("filename")).select("file_no", "min", "max")
+
+
+@_query
+def correct_loaded(spark, sf):
+    """Files loaded twice by mistake: taken out of the table again, and loaded once."""
+    path, table, mark = v.land_events(spark, sf), scratch(spark, "events"), scratch(spark, "mark")
+    load.load_events(spark, path, table, mark, max_files=60)
+    twice = load.read_ledger(spark, table).where(v.number_of(F.col("file")).between(1, 2))
+    names = [r.file for r in twice.collect()]
+    # A load that read the two files again.
+    load.store_load(spark, table, -1, names, load.scan_for_load, "event.timepoint")
+    dup = rng.duplicate_range(flatten(load.read_loaded(spark, table)))
+    load.correct_loaded(spark, table, dup, twice)
+    load.load_pending(spark, f"{path}/*", table)
+    return _numbered(flatten(load.read_loaded(spark, table)).select("file", *_ROW))
+
+
 @_query
 def compact_loaded(spark, sf):
     """Loaded, compacted, and read back as the next version of the table."""

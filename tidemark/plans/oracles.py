@@ -525,6 +525,10 @@ def oracle_sql() -> dict[str, str]:
     sql["list_sink_files"] = _with(_FILES, "select file_no, true as filled from files")
     sql["load_events"] = _with(_LOG, f"select file_no, {_ROW} from log")
     sql["compact_loaded"] = sql["load_events"]
+    sql["correct_loaded"] = sql["load_events"]
+    sql["maintain_index"] = _with(
+        _LOG, "select file_no, min(timepoint) as min, max(timepoint) as max from log group by file_no"
+    )
     sql["load_accounts"] = _LANDED_ACCOUNTS
     sql["sort_events"] = _with(
         _DAMAGED, "select count(*) as row_count, cast(0 as bigint) as overlaps from damaged"

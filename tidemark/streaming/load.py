@@ -1,11 +1,16 @@
 """Load landing files into parquet tables exactly once.
 
-The stream is the listing of the landing folder: every new file is one row, its
-content is not read by the source.  A batch reads its files with the strict
-scan, writes them as ``load=<batch>`` and then enters them in the ledger, also as
-``load=<batch>``.  Both writes replace their own folder, and the checkpoint gives
-a batch that runs again the same files, so a crash at any point loads nothing
-twice and the ledger names a file only after its rows are stored.
+A table is two folders: ``rows/load=<n>`` holds what load ``n`` read, and
+``ledger/load=<n>`` names its files and is written last.  Both writes replace
+their own folder, so a load that runs again changes nothing, and rows count only
+once the ledger has their load.
+
+New files are found by a stream over the listing of the landing folder: every
+file is one row, its content is not read by the source.  The checkpoint gives a
+batch that runs again the same files.  Files taken out of the ledger by a
+correction are old to that stream; ``load_pending`` finds them by comparing the
+listing with the ledger.  Stream loads count up from 0, pending ones down from
+-1, so the two never share a folder.  One job at a time writes to a table.
 """
 
 from __future__ import annotations
@@ -16,64 +21,97 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import stream_of
+from tidemark.operators.events import flatten
+from tidemark.operators.ranges import bounds_of, duplicate_range
 from tidemark.operators.tables import sort_events
+from tidemark.session import pin
 from tidemark.sources.accounts import scan_accounts
-from tidemark.sources.landing import scan_events
+from tidemark.sources.landing import list_sink_files, scan_events, unloaded_files
+
+Scan = Callable[[SparkSession, list[str]], DataFrame]
 
 _LISTING_DDL = "path string, modificationTime timestamp, length bigint, content binary"
+_LEDGER_DDL = "file string, load bigint"
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def read_ledger(spark: SparkSession, table: str) -> DataFrame:
-    """``file, load`` of everything loaded into ``table``."""
-    return spark.read.schema("file string, load bigint").parquet(f"{table}/ledger")
+    """``file, load`` of everything loaded into ``table``; empty before the first load."""
+    fs, path = _path(spark, f"{table}/ledger")
+    if not fs.exists(path):
+        return spark.createDataFrame([], _LEDGER_DDL)
+    return spark.read.schema(_LEDGER_DDL).parquet(f"{table}/ledger")
+
+
+def _loads(spark: SparkSession, table: str) -> tuple[int, int]:
+    """Least and greatest number in the ledger; (0, -1) before the first load."""
+    least, greatest = read_ledger(spark, table).agg(F.min("load"), F.max("load")).head()
+    return (0, -1) if least is None else (least, greatest)
 
 
 def read_loaded(spark: SparkSession, table: str) -> DataFrame:
-    """Rows of the table that are entered in the ledger."""
-    committed = read_ledger(spark, table).agg(F.max("load")).scalar()
-    return spark.read.parquet(f"{table}/rows").where(F.col("load") <= committed)
+    """Rows of the loads the ledger has."""
+    return spark.read.parquet(f"{table}/rows").where(
+        F.col("load").between(*_loads(spark, table))
+    )
 
 
-def _last_load(spark: SparkSession, table: str) -> int:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/ledger")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return -1
-    return read_ledger(spark, table).agg(F.max("load")).head()[0]
+def store_load(
+    spark: SparkSession, table: str, load: int, paths: list[str], scan: Scan, order: str
+) -> None:
+    """Write the rows of some files as load ``load``, then its ledger entry."""
+    # Each task writes its rows in order: files are in order already, so this is
+    # no shuffle and row groups stay narrow.
+    scan(spark, paths).sortWithinPartitions(order).write.mode("overwrite").parquet(
+        f"{table}/rows/load={load}"
+    )
+    names = spark.createDataFrame([(p,) for p in paths], "file string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{table}/ledger/load={load}")
 
 
-def _load(
+def _added(
+    spark: SparkSession, table: str, before: tuple[int, int], file_column: str
+) -> DataFrame:
+    """Rows per file of the loads outside ``before``."""
+    new = ~F.col("load").between(*before)
+    files = read_ledger(spark, table).where(new).select("file")
+    if _loads(spark, table) == before:
+        return files.select("file", F.lit(0).cast("bigint").alias("rows"))
+    rows = (
+        read_loaded(spark, table)
+        .where(new)
+        .groupBy(F.col(file_column).alias("file"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return files.join(rows, "file", "left").select(
+        "file", F.coalesce("rows", F.lit(0)).alias("rows")
+    )
+
+
+def for_each_batch_of_files(
     spark: SparkSession,
     landing: str,
     pattern: str,
-    table: str,
     checkpoint: str,
     max_files: int,
-    scan: Callable[[SparkSession, list[str]], DataFrame],
-    order: str,
-    file_column: str,
-) -> DataFrame:
-    before = _last_load(spark, table)
-
-    def store(files: DataFrame, batch: int) -> None:
-        session = files.sparkSession
-        # At most max_files names.
-        paths = [r.path for r in files.sort("path").collect()]
-        if not paths:
-            return
-        # Each task writes its rows in order: files are in order already, so
-        # this is no shuffle and row groups stay narrow.
-        scan(session, paths).sortWithinPartitions(order).write.mode("overwrite").parquet(
-            f"{table}/rows/load={batch}"
-        )
-        (
-            files.select(F.col("path").alias("file"))
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{table}/ledger/load={batch}")
-        )
-
-    query = (
+    store: Callable[[SparkSession, list[str], int], None],
+) -> None:
+    """Call ``store(session, names, batch)`` for all files not seen yet, then return.
+
+    A batch has at most ``max_files`` names; one that failed comes again with the
+    same names and number.
+    """
+
+    def take(files: DataFrame, batch: int) -> None:
+        names = [r.path for r in files.sort("path").collect()]
+        if names:
+            store(files.sparkSession, names, batch)
+
+    (
         spark.readStream.format("binaryFile")
         .schema(_LISTING_DDL)
         .option("pathGlobFilter", pattern)
@@ -81,24 +119,36 @@ def _load(
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
         .select("path")
-        .writeStream.foreachBatch(store)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
-    query.awaitTermination()
-    if _last_load(spark, table) < 0:
-        return spark.createDataFrame([], "file string, rows bigint")
-    added = read_ledger(spark, table).where(F.col("load") > before).select("file")
-    rows = (
-        spark.read.parquet(f"{table}/rows")
-        .where(F.col("load") > before)
-        .groupBy(F.col(file_column).alias("file"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    return added.join(rows, "file", "left").select(
-        "file", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+
+
+def _load(
+    spark: SparkSession,
+    landing: str,
+    pattern: str,
+    table: str,
+    checkpoint: str,
+    max_files: int,
+    scan: Scan,
+    order: str,
+    file_column: str,
+) -> DataFrame:
+    before = _loads(spark, table)
+
+    def store(session: SparkSession, names: list[str], batch: int) -> None:
+        store_load(session, table, batch, names, scan, order)
+
+    for_each_batch_of_files(spark, landing, pattern, checkpoint, max_files, store)
+    return _added(spark, table, before, file_column)
+
+
+def scan_for_load(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return scan_events(spark, paths).withColumn("stream", stream_of(F.col("file")))
 
 
 def load_events(
@@ -108,12 +158,9 @@ def load_events(
 
     ``max_files`` bounds one batch; a run goes on until nothing is left.
     """
-
-    def scan(session: SparkSession, paths: list[str]) -> DataFrame:
-        return scan_events(session, paths).withColumn("stream", stream_of(F.col("file")))
-
     return _load(
-        spark, landing, "*.json.gz", table, checkpoint, max_files, scan, "event.timepoint", "file"
+        spark, landing, "*.json.gz", table, checkpoint, max_files, scan_for_load,
+        "event.timepoint", "file",
     )
 
 
@@ -122,18 +169,66 @@ def load_accounts(
 ) -> DataFrame:
     """Load all accounts CSV files not loaded yet; returns rows per newly loaded file."""
     return _load(
-        spark,
-        landing,
-        "*.csv",
-        table,
-        checkpoint,
-        max_files,
-        scan_accounts,
-        "zip_start",
-        "csv_name",
+        spark, landing, "*.csv", table, checkpoint, max_files, scan_accounts,
+        "zip_start", "csv_name",
     )
 
 
+def load_pending(
+    spark: SparkSession, glob: str, table: str, max_files: int = 1000
+) -> DataFrame:
+    """Load the event files under ``glob`` that the ledger lacks, oldest name first."""
+    before = _loads(spark, table)
+    while True:
+        ledger = read_ledger(spark, table)
+        pending = unloaded_files(list_sink_files(spark, glob), ledger, max_files)
+        names = [r.file for r in pending.collect()]
+        if not names:
+            return _added(spark, table, before, "file")
+        load = min(_loads(spark, table)[0], 0) - 1
+        store_load(spark, table, load, names, scan_for_load, "event.timepoint")
+
+
+def correct_loaded(
+    spark: SparkSession, table: str, dup: DataFrame, files: DataFrame
+) -> DataFrame:
+    """Take a duplicate range and its files out of a loaded table, to be loaded again once.
+
+    Only loads that hold the range or the files are rewritten, from a staged copy
+    in the shared folder; run again with the same bounds, it finishes what a
+    failed run left.  Returns the duplicate range that remains (NULLs when the
+    log is clean).
+    """
+    least, greatest = bounds_of(dup)
+    if least is None:
+        raise ValueError("no duplicate range to take out")
+    inside = F.col("event.timepoint").between(least, greatest)
+    rows = read_loaded(spark, table)
+    # One number per load folder, not per row.
+    touched = [r.load for r in rows.where(inside).select("load").distinct().collect()]
+    _replace_loads(spark, f"{table}/rows", rows.where(F.col("load").isin(touched) & ~inside), touched)
+    ledger = read_ledger(spark, table)
+    named = files.select("file")
+    cut = [r.load for r in ledger.join(named, "file").select("load").distinct().collect()]
+    left = ledger.where(F.col("load").isin(cut)).join(named, "file", "left_anti")
+    _replace_loads(spark, f"{table}/ledger", left, cut, keep_empty=True)
+    return duplicate_range(flatten(read_loaded(spark, table)))
+
+
+def _replace_loads(
+    spark: SparkSession, folder: str, kept: DataFrame, loads: list[int], keep_empty: bool = False
+) -> None:
+    staged = pin(kept, "corrected")
+    for load in loads:
+        part = staged.where(F.col("load") == load).drop("load")
+        target = f"{folder}/load={load}"
+        if keep_empty or not part.isEmpty():
+            part.write.mode("overwrite").parquet(target)
+        else:
+            fs, path = _path(spark, target)
+            fs.delete(path, True)
+
+
 def compact_loaded(
     spark: SparkSession,
     table: str,
@@ -146,7 +241,7 @@ def compact_loaded(
     Rows and ledger go under the number of the last load, so a loader with the
     same checkpoint goes on with ``out`` where it left off.
     """
-    last = _last_load(spark, table)
+    last = _loads(spark, table)[1]
     rows = read_loaded(spark, table).drop("load")
     parts = max(1, -(-rows.count() // target_rows))
     sort_events(rows, parts, by).write.parquet(f"{out}/rows/load={last}")
