@@ -126,7 +126,9 @@ def test_json_null_is_not_absent(spark):
         ('{"a":1}', True), ("[1,2]", True), ("5", True), ('"x"', True), ("null", True),
         ('{"a":1} x', False), ('{"a":1}{"b":2}', False), ('{"a":1}}', False), ('{"a":1', False),
         ("{bad", False), ("1,2", False), ("1],[2", False), ('1,"x":2', False), ("", False),
-        ("{'a':1}", False), ('{"a":01}', False), ('{"a":NaN}', False), ('{"a":1,}', False),
+        ('1,"__end__"]', False), ('{"a":1},"__end__"],"x":3', False), ('1,"__end__"', False),
+        ('{"a":"__end__"}', True), ('"__end__"', True), ('{"a":1},{"b":2}', False),
+        ('{"a":{"b":[1,{"c":null}]}}', True), ("{'a':1}", False), ('{"a":01}', False), ('{"a":NaN}', False), ('{"a":1,}', False),
     ],
 )
 def test_json_ok(spark, text, ok):

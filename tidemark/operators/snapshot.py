@@ -78,12 +78,15 @@ def latest_by_join(
 
     Two narrow passes instead of sorting whole rows: the maximum per key is a
     hash aggregation over two columns, then rows are matched on key and
-    timepoint.  ``limit`` cuts the batch to the first ``limit`` events in order;
-    the log is dense, so callers with large batches should cut by timepoint.
+    timepoint.  ``limit`` cuts the batch to the first ``limit`` events in order (and
+    any copies of the last timepoint); only timepoints are sorted for that, and the
+    cut is a number the scan can use.
     """
     batch = ev.where(F.col("timepoint") > watermark)
     if limit is not None:
-        batch = batch.orderBy("timepoint").limit(limit)
+        first = batch.select("timepoint").orderBy("timepoint").limit(limit)
+        cut = first.agg(F.max("timepoint")).head()[0]
+        batch = batch.where(F.col("timepoint") <= F.lit(cut).cast("bigint"))
     newest = batch.groupBy(key).agg(F.max("timepoint").alias("timepoint"))
     return batch.join(newest, [key, "timepoint"], "left_semi").select(*ev.columns)
 
