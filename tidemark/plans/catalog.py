@@ -445,8 +445,8 @@ def list_sink_files(spark, sf):
 def load_events(spark, sf):
     """Load the landing files, load again (adds nothing), read the table back."""
     path, table, mark = v.land_events(spark, sf), scratch(spark, "events"), scratch(spark, "mark")
-    load.load_events(spark, path, table, mark, max_files=50)
-    load.load_events(spark, path, table, mark, max_files=50)
+    load.load_events(spark, path, table, mark)
+    load.load_events(spark, path, table, mark)
     return _numbered(flatten(load.read_loaded(spark, table)).select("file", *_ROW))
 
 
