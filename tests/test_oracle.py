@@ -9,9 +9,10 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry_module
+from tidemark.plans import catalog, oracles
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
