@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import suffix_dedup
+from tidemark.llm import (
+    chat,
+    exact_dedup,
+    ngram_join,
+    sharding,
+    suffix_dedup,
+)
 from tidemark.llm.common import table
 from tidemark.session import prepare
 
@@ -20,9 +26,17 @@ def on(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_chat_formatting": on("conversations", chat.digest),
+        "op2_ngram_jaccard_join": on("documents", ngram_join.digest),
         "op6_suffix_dedup": on("documents", suffix_dedup.digest),
+        "op7_exact_dedup": on("documents", exact_dedup.decisions),
+        "op10_sharding": on("documents", sharding.shards),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_chat_formatting": chat.ORACLE,
+        "op7_exact_dedup": exact_dedup.ORACLE,
+        "op10_sharding": sharding.ORACLE,
+    }
