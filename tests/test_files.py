@@ -2,8 +2,9 @@ import random
 
 import pytest
 from conftest import SF01
+from pyspark.sql import functions as F
 
-from tidemark.functions.names import common_stream, schema_name
+from tidemark.functions.names import common_start, common_stream, name_bucket, schema_name
 from tidemark.operators import correction, files as fil
 from tidemark.operators import checks
 from tidemark.plans import views
@@ -33,7 +34,45 @@ def dup(spark):
 def test_known_overlaps(spark):
     pairs = fil.overlap_pairs(views.ranges(spark, SF01)).collect()
     got = sorted((int(r.earlier[-13:-8]), int(r.later[-13:-8]), r.width) for r in pairs)
-    assert got == [(3, 4, 40), (10, 11, 40), (17, 18, 40)]
+    assert got == [
+        (3, 4, 40), (6, 7, 500), (6, 8, 500), (6, 9, 100), (10, 11, 40), (12, 13, 500),
+        (15, 16, 500), (17, 18, 40),
+    ]
+
+
+def test_overlaps_behind_short_files(rng):
+    """Every file that begins before an earlier one has ended has its row."""
+    got = fil.overlap_pairs(rng([(1, 1000), (200, 300), (500, 600), (1001, 1002)])).collect()
+    assert sorted((r.earlier, r.later, r.width) for r in got) == [
+        ("/s/000", "/s/001", 101), ("/s/000", "/s/002", 101),
+    ]
+
+
+def test_recommendation_names_the_files_that_hold_the_duplicate(rng, dup):
+    """The short file between the two ends before the duplicate begins."""
+    rows = fil.overlap_recommendation(rng([(1, 1000), (200, 900), (850, 1100)]), dup(950, 990))
+    got = {(r.earlier, r.later): r.holds_duplicate for r in rows.collect()}
+    assert got == {("/s/000", "/s/001"): False, ("/s/000", "/s/002"): True}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_overlaps_equal_all_pairs(spark, monkeypatch, seed):
+    """Three streams, small buckets: each later file with the one that reaches furthest."""
+    monkeypatch.setattr(fil, "_FILES", 3)
+    r = random.Random(seed)
+    rows = []
+    for stream in ("a", "b", "c"):
+        lo = 0
+        for i in range(r.randrange(0, 25)):
+            lo += r.randrange(1, 30)
+            rows.append((f"/x/{stream}/{i:03d}", i, lo, lo + r.choice([3, 20, 90])))
+    want = set()
+    for f, i, lo, hi in rows:
+        ahead = [(e_hi, e_i, e) for e, e_i, _, e_hi in rows if e[:4] == f[:4] and e_i < i and e_hi >= lo]
+        if ahead:
+            want.add((max(ahead)[2], f))
+    got = fil.overlap_pairs(spark.createDataFrame(rows, RANGE)).collect()
+    assert {(r.earlier, r.later) for r in got} == want and len(got) == len(want)
 
 
 # before, earlier, later, after -> reason, is the later one kept
@@ -111,6 +150,27 @@ def test_number_files_over_buckets(spark):
     assert got == {n: i for i, n in enumerate(sorted(names))}
 
 
+def test_number_files_with_like_names(spark):
+    names = [f"/x/{s}/events-{i:08d}.json.gz" for s in ("officers", "charges") for i in range(300)]
+    df = spark.createDataFrame([(n,) for n in names], "file string")
+    got = {r.file: r.idx for r in fil.number_files(df).collect()}
+    assert got == {n: int(n[-16:-8]) for n in names}
+    bucket = name_bucket(F.col("file"), common_start(df))
+    assert df.select(bucket).distinct().count() > 100
+
+
+def test_files_of_other_streams_are_no_neighbours(spark):
+    rows = [("/x/charges/a", 0, 1, 9), ("/x/charges/b", 1, 10, 20), ("/x/officers/a", 0, 5, 30),
+            ("/x/officers/b", 1, 31, 40)]
+    rng = spark.createDataFrame(rows, RANGE)
+    got = {r.file: (r.prev_hi, r.next_lo) for r in fil.file_neighbours(rng).collect()}
+    assert got == {"/x/charges/a": (None, 10), "/x/charges/b": (9, None),
+                   "/x/officers/a": (None, 31), "/x/officers/b": (30, None)}
+    assert {r.file: r.contiguous for r in fil.file_contiguity(rng).collect()} == {
+        "/x/charges/a": None, "/x/charges/b": True, "/x/officers/a": None, "/x/officers/b": True}
+    assert fil.overlap_pairs(rng).collect() == []
+
+
 def test_contiguity_orders_by_content(spark, rng):
     rows = {r.file: r.contiguous for r in fil.file_contiguity(rng([(11, 20), (1, 10), (22, 30)])).collect()}
     assert rows == {"/s/000": True, "/s/001": None, "/s/002": False}
@@ -120,7 +180,8 @@ def test_contiguity_orders_by_content(spark, rng):
 def played(spark):
     rows = [("/x/charges/a", tp) for tp in range(1, 11)]
     rows += [("/x/charges/b", tp) for tp in range(8, 15)] + [("/x/filings/a", 3)]
-    ev = spark.createDataFrame(rows, "file string, timepoint bigint")
+    rows = [(*r, i) for i, r in enumerate(rows)]
+    ev = spark.createDataFrame(rows, "file string, timepoint bigint, position bigint")
     empty = spark.createDataFrame([], "filename string, min bigint, max bigint, stream string")
     return ev, fil.update_file_index(empty, ev)
 
@@ -130,7 +191,8 @@ def test_replay(played):
     got = [r.timepoint for r in fil.replay_events(ev, index, "charges", 9).collect()]
     assert got == sorted([9, 10] + list(range(9, 15)))
     raw = [r.timepoint for r in fil.replay_events(ev, index, "charges", 9, raw=True).collect()]
-    assert raw == sorted([9, 10] + list(range(8, 15)))
+    # Files one after another, each in its own order.
+    assert raw == [9, 10, *range(8, 15)]
     assert [r.filename for r in fil.replay_files(index, "charges", 11).collect()] == ["/x/charges/b"]
 
 
@@ -157,7 +219,7 @@ def test_replay_smoke(played):
 def test_index_update_adds_only_new_files(spark, played):
     ev, index = played
     more = ev.unionByName(
-        spark.createDataFrame([("/x/charges/c", None), ("/x/charges/d", 20)], ev.schema)
+        spark.createDataFrame([("/x/charges/c", None, 0), ("/x/charges/d", 20, 1)], ev.schema)
     )
     grown = fil.update_file_index(index, more)
     assert grown.count() == 5
@@ -166,6 +228,11 @@ def test_index_update_adds_only_new_files(spark, played):
     }
     assert fil.update_file_index(grown, more).count() == 5
     assert fil.update_file_index(index, more, limit=1).count() == 4
+    listing = more.select("file").distinct()
+    assert sorted(fil.update_file_index(index, more, listing).collect()) == sorted(grown.collect())
+    first = fil.update_file_index(index, more, listing, limit=1)
+    assert {r.filename for r in first.collect()} - {r.filename for r in index.collect()} == {
+        "/x/charges/c"}
     assert {r.stream: r.file_count for r in fil.index_file_count(grown).collect()} == {
         "charges": 4, "filings": 1,
     }
@@ -195,16 +262,26 @@ def test_confirm_double_load(spark, rng):
 
 
 def test_correction_leaves_a_clean_log(spark, dup):
-    ev = spark.createDataFrame([(tp,) for tp in [1, 2, 3, 3, 4, 4, 5]], "timepoint bigint")
+    rows = [("/s/a", 1), ("/s/a", 2), ("/s/b", 3), ("/s/b", 3), ("/s/b", 4), ("/s/b", 4), ("/s/c", 5)]
+    ev = spark.createDataFrame(rows, "file string, timepoint bigint")
     plan = correction.correction_plan(ev, dup(3, 4)).head()
     assert tuple(plan) == (4, 2, 2)
-    kept, ledger = correction.apply_correction(
-        ev, ledger_of(spark, "a", "b"), dup(3, 4), ledger_of(spark, "b")
-    )
+    wanted = spark.createDataFrame([("/s/b", 3, 4)], "file string, lo bigint, hi bigint")
+    kept, ledger = correction.apply_correction(ev, ledger_of(spark, "/s/a", "/s/b"), wanted)
     assert sorted(r.timepoint for r in kept.collect()) == [1, 2, 5]
-    assert [r.file for r in ledger.collect()] == ["a"]
-    same, _ = correction.apply_correction(ev, ledger_of(spark, "a"), dup(None, None), ledger_of(spark))
-    assert same.count() == 7
+    assert [r.file for r in ledger.collect()] == ["/s/a"]
+
+
+@pytest.mark.parametrize(
+    "files, names",
+    [([("/s/b", 3, 5)], "range_match"), ([("/s/z", 3, 4)], "all_in_ledger"), ([("/s/b", 3, 3)], "range")],
+)
+def test_unconfirmed_corrections_are_refused(spark, files, names):
+    rows = [("/s/a", 1), ("/s/b", 3), ("/s/b", 3), ("/s/b", 4), ("/s/b", 4)]
+    ev = spark.createDataFrame(rows, "file string, timepoint bigint")
+    wanted = spark.createDataFrame(files, "file string, lo bigint, hi bigint")
+    with pytest.raises(ValueError, match=names):
+        correction.apply_correction(ev, ledger_of(spark, "/s/a", "/s/b"), wanted)
 
 
 def test_ledger_with_null_hides_nothing(spark):

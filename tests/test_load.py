@@ -10,7 +10,6 @@ from test_lines import event, write
 from tidemark.operators import tables
 from tidemark.operators.events import flatten, nest
 from tidemark.operators.files import file_ranges
-from tidemark.operators.ranges import duplicate_range
 from tidemark.streaming import load
 from tidemark.streaming.index import maintain_index
 
@@ -75,9 +74,12 @@ def test_correction_and_second_load(spark, tmp_path, dirs):
     log = flatten(load.read_loaded(spark, table))
     assert log.count() == 60
     files = spark.createDataFrame([(n,) for n in names], "file string")
-    with pytest.raises(ValueError):
-        load.correct_loaded(spark, table, duplicate_range(log.where("false")), files)
-    left = load.correct_loaded(spark, table, duplicate_range(log), files)
+    for wrong in (names[:1], [], ["/x/s/1.json.gz"]):
+        given = spark.createDataFrame([(n,) for n in wrong], "file string")
+        with pytest.raises(ValueError):
+            load.correct_loaded(spark, table, given)
+    assert load.read_loaded(spark, table).count() == 60
+    left = load.correct_loaded(spark, table, files)
     assert tuple(left.head()) == (None, None)
     assert sorted(r.timepoint for r in flatten(load.read_loaded(spark, table)).collect()) == [
         *range(10), *range(30, 40),
@@ -94,6 +96,64 @@ def test_correction_and_second_load(spark, tmp_path, dirs):
     assert load.read_loaded(spark, table).count() == 41
 
 
+def test_partial_overlap_is_refused(spark, tmp_path, dirs):
+    """Files that share only part of their range: taking both ranges out would lose data."""
+    landing, table, mark = dirs
+    for name, span in (("a", range(10)), ("b", range(5, 15))):
+        text = "".join(event(tp) + "\n" for tp in span)
+        write(tmp_path / "landing" / "s", f"{name}.json.gz", text)
+    load.load_events(spark, landing, table, mark)
+    for chosen in ("b", "ab"):
+        files = load.read_ledger(spark, table).where(
+            F.substring_index("file", "/", -1).isin([f"{c}.json.gz" for c in chosen])
+        )
+        with pytest.raises(ValueError, match="range_match"):
+            load.correct_loaded(spark, table, files)
+    assert load.read_loaded(spark, table).count() == 20
+
+
+@pytest.mark.parametrize("stop", ["ledger", "rows"])
+def test_correction_survives_a_stop(spark, tmp_path, dirs, monkeypatch, stop):
+    landing, table, mark = dirs
+    for i in range(4):
+        text = "".join(event(tp) + "\n" for tp in range(i * 10, i * 10 + 10))
+        write(tmp_path / "landing" / "s", f"{i}.json.gz", text)
+    load.load_events(spark, landing, table, mark, max_files=2)
+    twice = load.read_ledger(spark, table).orderBy("file").collect()[1:3]
+    names = [r.file for r in twice]
+    load.store_load(spark, table, -1, names, load.scan_for_load, "event.timepoint")
+    files = spark.createDataFrame([(n,) for n in names], "file string")
+    whole = load._replace_loads
+
+    def stopped(session, folder, *rest):
+        if folder.endswith(stop):
+            raise KeyboardInterrupt
+        whole(session, folder, *rest)
+
+    monkeypatch.setattr(load, "_replace_loads", stopped)
+    with pytest.raises(KeyboardInterrupt):
+        load.correct_loaded(spark, table, files)
+    monkeypatch.setattr(load, "_replace_loads", whole)
+    glob = f"{landing}/s/*.json.gz"
+    with pytest.raises(RuntimeError):
+        load.load_pending(spark, glob, table)
+    assert tuple(load.correct_loaded(spark, table).head()) == (None, None)
+    load.load_pending(spark, glob, table)
+    rows = flatten(load.read_loaded(spark, table)).collect()
+    assert sorted(r.timepoint for r in rows) == [*range(40)]
+
+
+def test_stream_is_checked(spark, dirs):
+    landing, table, mark = dirs
+    with pytest.raises(ValueError):
+        load.load_events(spark, f"{landing}/parties", table, mark, stream="parties")
+    with pytest.raises(ValueError):
+        load.load_events(spark, f"{landing}/charges", table, mark, stream="officers")
+    assert load.table_path("/lake", "insolvency-cases") == "/lake/insolvency_cases"
+    with pytest.raises(ValueError):
+        load.table_path("/lake", "parties")
+
+
 def test_pending_load_alone(spark, tmp_path, dirs):
     landing, table, _ = dirs
     for i in range(3):

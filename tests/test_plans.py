@@ -4,9 +4,11 @@ import re
 
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import accounts as acc
-from tidemark.operators import checks, ranges, snapshot, tables
+from tidemark.operators import checks, correction, files, ranges, snapshot, tables
 from tidemark.operators.events import flatten, nest
 from tidemark.operators.files import file_contiguity, replay_events, update_file_index
 from tidemark.plans import views
@@ -77,10 +79,43 @@ def test_gaps_scan_once(stored):
     assert text.count("FileScan") == 1 and "ReusedExchange" in text
 
 
-def test_healthy_log_is_not_searched_for_duplicates_again(spark, stored):
-    text = final_plan(ranges.duplicate_timepoints(flatten(stored)))
-    # Known to be empty, the second look is gone from the plan.
-    assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
+def scans_of(monkeypatch, make):
+    """File scans of a whole job: those of its pinned parts and of its final plan.
+
+    Reading a pinned part back is no scan of the log.
+    """
+    seen = []
+    keep = session.pin
+
+    def watched(df, label):
+        seen.append(final_plan(df))
+        return keep(df, label)
+
+    for module in (ranges, files, correction):
+        monkeypatch.setattr(module, "pin", watched, raising=False)
+    seen.append(final_plan(make()))
+    lines = "\n".join(seen).split("\n")
+    # Pinned parts lie in a folder of their own.
+    return sum("FileScan" in line and "/tidemark/" not in line for line in lines)
+
+
+def test_duplicates_come_from_one_pass(monkeypatch, stored):
+    """Also where there are some: copies that occur twice are read off the words."""
+    twice = flatten(stored)
+    count = scans_of(monkeypatch, lambda: ranges.duplicate_timepoints(twice))
+    assert count == 1
+    count = scans_of(monkeypatch, lambda: ranges.timepoint_issues(twice))
+    assert count == 1
+
+
+def test_file_ranges_read_the_log_once(monkeypatch, stored):
+    named = flatten(stored).withColumn("file", F.col("_metadata.file_path"))
+    count = scans_of(monkeypatch, lambda: files.file_ranges(named))
+    assert count == 1
+
+
+def test_checks_of_a_table_are_one_scan(stored):
+    assert final_plan(checks.verify_events(flatten(stored), "2024-01-31T00:00:00")).count("FileScan") == 1
 
 
 def test_file_windows_share_a_shuffle(spark):
@@ -118,9 +153,9 @@ def test_file_names_prune_a_landing_scan(spark, tmp_path):
     log = nest(views.events(spark, SF).drop("file"))
     tables.sort_events(log, 6, "event.timepoint").write.option("compression", "gzip").json(path)
     ev = landing.scan_flat(spark, path)
-    files = landing.list_sink_files(spark, path)
+    listed = landing.list_sink_files(spark, path)
     assert files_read(ev) == [6]
-    newest = files.agg({"file": "max"}).head()[0]
+    newest = listed.agg({"file": "max"}).head()[0]
     assert files_read(ev.where(ev.file == newest)) == [1]
     empty = spark.createDataFrame([], "filename string, min bigint, max bigint, stream string")
     index = update_file_index(empty, ev)

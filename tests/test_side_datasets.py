@@ -2,7 +2,6 @@
 
 import datetime as dt
 import random
-import zipfile
 
 import pytest
 from conftest import SF01
@@ -12,8 +11,9 @@ from tidemark.operators import accounts as acc
 from tidemark.operators import export, publish
 from tidemark.operators import register as reg
 from tidemark.plans import views
+from tidemark.schemas import REGISTER_TABLES
+from tidemark.session import pin
 from tidemark.sources import accounts as acc_src
-from tidemark.sources import archives
 from tidemark.sources import register as reg_src
 from tidemark.streaming import load
 
@@ -109,14 +109,22 @@ def test_accounts_with_another_header_fail(spark, tmp_path):
         acc_src.scan_accounts(spark, str(bad)).collect()
 
 
+def register_file(path, table, rows, order=None):
+    """A tab-separated file of a table; columns not given are empty."""
+    names = [f.name for f in reg_src.register_schema(table)]
+    lines = ["\t".join(order or names)]
+    lines += ["\t".join(row.get(n, "") for n in names) for row in rows]
+    path.write_text("\n".join(lines) + "\n")
+
+
 def test_register_types(spark, tmp_path):
-    header = [
-        "date_of_extract", "organisation_number", "registered_charity_number", "charity_name",
-        "charity_company_registration_number", "date_of_removal", "latest_income",
-        "charity_insolvent", "charity_is_cdf_or_cif", "charity_activities",
-    ]
-    body = ["2024-01-31", "12", "34", "Name", "0012", "", "12.50", "True", "CIF", '"tab\there\nand line"']
-    (tmp_path / "charity.txt").write_text("\t".join(header) + "\n" + "\t".join(body) + "\n")
+    row = {
+        "date_of_extract": "2024-01-31", "organisation_number": "12", "charity_name": "Name",
+        "charity_company_registration_number": "0012", "latest_income": "12.50",
+        "charity_insolvent": "True", "charity_activities": '"tab\there\nand line"',
+        "date_of_removal": "31/01/2024", "registered_charity_number": "12A",
+    }
+    register_file(tmp_path / "charity.txt", "charity", [row])
     df = reg_src.scan_register(spark, "charity", str(tmp_path))
     row = df.head()
     assert df.count() == 1
@@ -124,58 +132,51 @@ def test_register_types(spark, tmp_path):
     assert (row.organisation_number, row.charity_insolvent) == (12, True)
     assert (row.charity_company_registration_number, row.date_of_removal) == ("0012", None)
     assert str(row.latest_income) == "12.50"
+    # What does not fit is kept as it was written.
+    assert row._rejected == {"date_of_removal": "31/01/2024", "registered_charity_number": "12A"}
     with pytest.raises(ValueError):
         reg_src.scan_register(spark, "parties", str(tmp_path))
 
 
-@pytest.mark.parametrize(
-    "name,kind",
-    [
-        ("fin_period_order_number", "tinyint"), ("charity_event_order", "bigint"),
-        ("regulator_order", "bigint"), ("trustee_date_of_appointment", "date"),
-        ("ar_received_date", "date"), ("date_cio_dissolution_notice", "date"),
-        ("latest_acc_fin_period_end_date", "date"), ("date_of_event", "date"),
-        ("assoc_organisation_number", "int"), ("linked_charity_number", "int"),
-        ("charity_id", "int"), ("charity_name_id", "int"), ("classification_code", "int"),
-        ("count_salary_band_over_500000", "int"), ("count_volunteers", "int"),
-        ("total_gross_income", "decimal(18,2)"), ("income_from_government_grants", "decimal(18,2)"),
-        ("latest_expenditure", "decimal(18,2)"), ("gain_loss_other", "decimal(18,2)"),
-        ("reserves", "decimal(18,2)"), ("defined_benefit_pension_scheme", "decimal(18,2)"),
-        ("funds_total", "decimal(18,2)"), ("assets_cash", "decimal(18,2)"),
-        ("creditors_one_year_total_current", "decimal(18,2)"),
-        ("latest_fin_period_submitted_ind", "boolean"), ("welsh_ind", "boolean"),
-        ("suppression_ind", "boolean"), ("accounts_qualified", "boolean"),
-        ("charity_only_accounts", "boolean"), ("consolidated_accounts", "boolean"),
-        ("charity_is_cio", "boolean"), ("cio_is_dissolved", "boolean"),
-        ("charity_in_administration", "boolean"), ("charity_has_land", "boolean"),
-        ("charity_gift_aid", "boolean"), ("charity_previously_excepted", "boolean"),
-        ("charity_raises_funds_from_public", "boolean"),
-        ("charity_agreement_commerical_participator", "boolean"),
-        ("charity_receives_govt_funding_grants", "boolean"),
-        ("grant_making_is_main_activity", "boolean"),
-        ("trustee_also_director_of_subsidiary", "boolean"), ("trustee_is_chair", "boolean"),
-        ("does_trustee_receive_any_benefit", "boolean"),
-        ("trustee_receives_other_benefit", "boolean"), ("trustee_resigned_employment", "boolean"),
-        ("employees_salary_over_60k", "boolean"), ("charity_has_trading_subsidiary", "boolean"),
-        ("suppression_type", "string"), ("ar_cycle_reference", "string"),
-        ("charity_type", "string"), ("trustee_name", "string"), ("event_type", "string"),
-        ("charity_registration_status", "string"), ("individual_or_organisation", "string"),
-        ("charity_contact_address1", "string"), ("charity_reporting_status", "string"),
-        ("governing_document_description", "string"), ("charity_contact_phone", "string"),
-    ],
-)
-def test_register_column_types(name, kind):
-    assert reg_src.column_type(name) == kind
+def test_register_files_with_another_header_are_refused(spark, tmp_path):
+    names = [f.name for f in reg_src.register_schema("charity_policy")]
+    register_file(tmp_path / "a.txt", "charity_policy", [{"organisation_number": "1"}])
+    register_file(tmp_path / "b.txt", "charity_policy", [{"organisation_number": "2"}],
+                  order=[names[0], names[4], names[2], names[3], names[1]])
+    assert reg_src.scan_register(spark, "charity_policy", str(tmp_path / "a.txt")).count() == 1
+    with pytest.raises(Exception, match="(?i)header"):
+        reg_src.scan_register(spark, "charity_policy", str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("table", REGISTER_TABLES)
+def test_register_schemas(table):
+    schema = reg_src.register_schema(table)
+    assert schema[0].name == "date_of_extract" and len({f.name for f in schema}) == len(schema)
+    kinds = {f.name: f.dataType.simpleString() for f in schema}
+    assert kinds["registered_charity_number"] == "int"
+    assert set(kinds.values()) <= {
+        "date", "int", "string", "boolean", "bigint", "tinyint", "decimal(18,2)"
+    }
+
+
+def test_register_schema_sizes():
+    sizes = {t: len(reg_src.register_schema(t)) for t in REGISTER_TABLES}
+    assert len(sizes) == 13 and sum(sizes.values()) == 217
+    assert sizes["charity"] == 34 and sizes["charity_policy"] == 5
 
 
 def test_register_json_array(spark, tmp_path):
     (tmp_path / "x.json").write_text(
-        '[{"organisation_number": 1, "policy_name": "a"},\n {"organisation_number": 2, "policy_name": null}]'
+        '[{"organisation_number": 1, "policy_name": "a"},\n'
+        ' {"policy_name": null, "organisation_number": 2, "linked_charity_number": "x"}]'
     )
     df = reg_src.scan_register(spark, "charity_policy", str(tmp_path), json_array=True)
-    assert sorted((r.organisation_number, r.policy_name or "") for r in df.collect()) == [
-        (1, "a"), (2, ""),
+    rows = sorted(df.collect(), key=lambda r: r.organisation_number)
+    assert [(r.organisation_number, r.policy_name, r._rejected) for r in rows] == [
+        (1, "a", None), (2, None, {"linked_charity_number": "x"}),
     ]
+    rejects = reg_src.rejected_rows({"charity_policy": df}).collect()
+    assert rejects == [("charity_policy", "linked_charity_number", 1)]
 
 
 def test_register_links_and_sums(spark):
@@ -202,32 +203,15 @@ def test_register_links_and_sums(spark):
     assert got == {"assets_own_use": 1, "assets_total_liabilities": 0, "funds_total": 1}
 
 
-def test_unzip(spark, tmp_path):
-    zips, out = tmp_path / "zips", tmp_path / "out"
-    zips.mkdir()
-    with zipfile.ZipFile(zips / "a.zip", "w") as z:
-        z.writestr("in/one.txt", "x\ty\n1\t2\n")
-        z.writestr("two.txt", "z\n")
-    with zipfile.ZipFile(zips / "b.zip", "w") as z:
-        z.writestr("two.txt", "other\n")
-    got = archives.unzip_landing(spark, f"{zips}/*.zip", str(out)).collect()
-    assert {(r.file[-5:], r.member, r.bytes) for r in got} == {
-        ("a.zip", "in/one.txt", 8), ("a.zip", "two.txt", 2), ("b.zip", "two.txt", 6),
-    }
-    text = {r.value for r in spark.read.text(f"{out}/*/*.gz").collect()}
-    assert text == {"x\ty", "1\t2", "z", "other"}
-    # Running again replaces the same files.
-    archives.unzip_landing(spark, f"{zips}/*.zip", str(out)).collect()
-    assert spark.read.text(f"{out}/*/*.gz").count() == 4
-
-
 def test_export_formats(spark, make_log, tmp_path):
     log = make_log([(tp, f'/r"{tp}', "changed") for tp in range(1, 101)])
     for fmt, compression in (("json", "none"), ("json", "gzip"), ("json", "zstd"),
                              ("csv", "zstd"), ("parquet", "snappy"), ("parquet", "zstd")):
         out = str(tmp_path / f"{fmt}-{compression}")
-        entry = export.export_snapshot(log, out, fmt, compression, "X (zstd)", daily=True).head()
-        assert (entry["count"], len(entry.files), entry.labels) == (100, 1, ["daily", "single"])
+        entry = export.export_snapshot(
+            log, out, fmt, compression, "X (zstd)", "single", daily=True
+        ).head()
+        assert (entry["count"], entry.file_count, entry.labels) == (100, 1, ["daily", "single"])
         assert entry.total_size_bytes > 0
         if fmt == "csv":
             back = spark.read.schema(log.schema).option("header", True).option("escape", '"').csv(out)
@@ -239,16 +223,24 @@ def test_export_formats(spark, make_log, tmp_path):
         assert entry.description == f"X ({entry.compression if compression == 'zstd' else 'zstd'})"
 
 
-def test_large_export_stays_in_parts(spark, make_log, tmp_path):
-    log = make_log([(tp, "/r", "changed") for tp in range(1, 101)]).repartition(3)
-    entry = export.export_snapshot(log, str(tmp_path / "o"), "json", "none", single_file_rows=50).head()
-    assert entry["count"] == 100 and len(entry.files) > 1 and entry.labels == []
+@pytest.mark.parametrize("rows", [100, 5000])
+def test_layout_is_the_callers_choice(spark, make_log, tmp_path, rows):
+    """The same at any number of rows."""
+    log = make_log([(tp, "/r", "changed") for tp in range(1, rows + 1)]).repartition(3)
+    for layout, files in (("parts", 3), ("single", 1)):
+        out = str(tmp_path / layout)
+        entry = export.export_snapshot(log, out, "json", "none", layout=layout).head()
+        assert (entry["count"], entry.file_count) == (rows, files)
+        listed = export.export_manifest(spark, out, "json").collect()
+        assert len(listed) == files and sum(r.rows for r in listed) == rows
+    with pytest.raises(ValueError):
+        export.export_snapshot(log, str(tmp_path / "x"), layout="both")
 
 
 def test_export_split(spark, make_log, tmp_path):
-    log = make_log([(tp, f"/r{tp}", "changed") for tp in range(1, 2001)]).coalesce(1)
+    log = pin(make_log([(tp, f"/r{tp}", "changed") for tp in range(1, 2001)]).coalesce(1), "log")
     entry = export.export_split(log, str(tmp_path / "o"), file_bytes=4000).head()
-    assert len(entry.files) > 3 and entry["count"] == 2000 and entry.labels == ["split"]
+    assert entry.file_count > 3 and entry["count"] == 2000 and entry.labels == ["split"]
     assert spark.read.parquet(str(tmp_path / "o")).count() == 2000
 
 
@@ -268,3 +260,6 @@ def test_publish_with_split(spark, make_log, tmp_path):
     assert (row.record_count, len(row.downloads)) == (30, 7)
     labels = sorted(tuple(d.labels) for d in row.downloads)
     assert labels.count(("split",)) == 4 and labels.count(("sample", "single")) == 2
+    files = spark.read.parquet(f"{out}/filings-files").collect()
+    assert {f.path for f in files} == {d.path for d in row.downloads}
+    assert len(files) == sum(d.file_count for d in row.downloads)

@@ -1,15 +1,39 @@
-"""File systems inside tasks."""
+"""Files moved by the driver: names only, never content."""
 
 from __future__ import annotations
 
-import re
+from pyspark.sql import SparkSession
 
 
-def open_fs(uri: str):
-    """``(file system, path)`` for a URI or plain path as Spark prints it."""
-    from pyarrow import fs
+def hadoop_path(spark: SparkSession, name: str):
+    """``(file system, path)`` for a name as Spark prints it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
-    if "://" not in uri:
-        # Spark writes local paths as file:/x, the file system wants file:///x.
-        uri = "file:///" + re.sub(r"^(file:)?/+", "", uri)
-    return fs.FileSystem.from_uri(uri)
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, making the folder it goes to; raises if that fails."""
+    fs, path = hadoop_path(spark, source)
+    _, to = hadoop_path(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(path, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def exists(spark: SparkSession, name: str) -> bool:
+    fs, path = hadoop_path(spark, name)
+    return fs.exists(path)
+
+
+def place_parts(spark: SparkSession, staged: str, target: str) -> None:
+    """Give the parts in ``staged/stream=<s>/name=<n>`` the names ``target/<s>/<n>``.
+
+    Every folder must hold one part.  One rename for each, no content is moved.
+    """
+    fs, pattern = hadoop_path(spark, f"{staged}/stream=*/name=*/part-*")
+    for status in fs.globStatus(pattern):
+        path = status.getPath()
+        stream, name = (
+            part.split("=", 1)[1] for part in path.getParent().toString().split("/")[-2:]
+        )
+        move(spark, path.toString(), f"{target}/{stream}/{name}")

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _END = "__end__"
+_BAD = "__bad__"
 
 
 def field(data: Column, name: str) -> Column:
@@ -44,6 +45,22 @@ def json_ok(text: Column) -> Column:
     )
 
 
+def parse_one(text: Column, ddl: str) -> Column:
+    """``text`` as one value of type ``ddl``; NULL unless it is exactly one JSON value of it.
+
+    One parse tells both: the text is the first field of an object whose second field
+    must come through, so a second value on the line, or anything else behind the first,
+    makes it NULL, and so does a field of another type.  ``json_ok`` settles the rare
+    text that holds the second field's name.
+    """
+    wrapped = F.concat(F.lit('{"v":'), text, F.lit(f',"{_END}":7}}'))
+    parsed = F.from_json(
+        wrapped, f"v {ddl}, `{_END}` int, `{_BAD}` string", {"columnNameOfCorruptRecord": _BAD}
+    )
+    alone = F.when(text.contains(_END), json_ok(text)).otherwise(True)
+    return F.when((parsed[_END] == 7) & parsed[_BAD].isNull() & alone, parsed["v"])
+
+
 def line_timepoint(text: Column) -> Column:
     """``event.timepoint`` of a valid line, NULL where it is not a number."""
     found = F.try_variant_get(_closed(text), "$[0].event.timepoint", "variant")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,8 +27,8 @@ def common_stream(files: list[str], root: str) -> str:
 
 
 def stream_of(file: Column) -> Column:
-    """Folder a sink file lies in, which is the name of its stream."""
-    return F.element_at(F.split(file, "/"), -2)
+    """Folder a sink file lies in, which is the name of its stream; empty without a folder."""
+    return F.coalesce(F.try_element_at(F.split(file, "/"), F.lit(-2)), F.lit(""))
 
 
 def base_name(file: Column) -> Column:
@@ -52,9 +53,18 @@ def csv_end(file: Column) -> Column:
     return F.to_date(F.nullif(F.regexp_extract(file, _CSV_SPAN, 2), F.lit("")))
 
 
-def name_bucket(file: Column) -> Column:
-    """Order-preserving bucket of files in one folder: folder plus six letters of the name.
+def common_start(files: DataFrame) -> int:
+    """How many letters the names (without folders) of all files begin with alike."""
+    least, greatest = files.agg(
+        F.min(base_name(F.col("file"))), F.max(base_name(F.col("file")))
+    ).head()
+    return len(os.path.commonprefix([least or "", greatest or ""]))
 
-    For UUIDv7 names six hex digits are about 4.7 hours of files.
+
+def name_bucket(file: Column, alike: int = 0) -> Column:
+    """Order-preserving bucket of files: folder plus the name up to three letters that differ.
+
+    ``alike`` is what :func:`common_start` finds; three letters behind it make some
+    thousand buckets, whatever the names look like.
     """
-    return F.regexp_extract(file, r"^(.*/)?[^/]{0,6}", 0)
+    return F.regexp_extract(file, f"^(.*/)?[^/]{{0,{alike + 3}}}", 0)

@@ -78,3 +78,26 @@ def with_position(
         .withColumn(name, F.col("__offset") + F.col("__n") - 1)
         .drop("__bucket", "__n", "__offset")
     )
+
+
+def with_running_max(
+    df: DataFrame, bucket: Column, order: Sequence[str], value: Column, name: str
+) -> DataFrame:
+    """Add the greatest ``value`` of all rows ahead in ``order``, NULL for the first.
+
+    Inside a bucket it is a window; of each bucket one maximum goes on to the later ones.
+    """
+    rows = df.withColumn("__bucket", bucket).withColumn("__value", value)
+    ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        rows.groupBy("__bucket")
+        .agg(F.max("__value").alias("most"))
+        .select("__bucket", F.max("most").over(ahead).alias("__before"))
+    )
+    inside = (
+        Window.partitionBy("__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    own = rows.withColumn("__own", F.max("__value").over(inside)).join(before, "__bucket")
+    return own.withColumn(name, F.greatest("__own", "__before")).drop(
+        "__bucket", "__value", "__own", "__before"
+    )

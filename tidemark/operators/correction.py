@@ -22,29 +22,46 @@ def ledger_missing(wanted: DataFrame, ledger: DataFrame) -> DataFrame:
     return wanted.select("file").join(known, "file", "left_anti")
 
 
+FLAGS = ("range_match", "contiguous", "all_duplicated", "all_in_ledger")
+
+
 def confirm_double_load(ev: DataFrame, rng: DataFrame, ledger: DataFrame) -> DataFrame:
     """Are the files ``rng`` exactly the doubly loaded part of the log (one row of flags).
 
     Their range is the duplicate range, they follow each other without a gap,
-    every timepoint in it is duplicated, and all of them were loaded.
+    every timepoint in it is duplicated, and all of them were loaded.  One pass over
+    the log.
     """
     lo, hi = rng.agg(F.min("lo"), F.max("hi")).head()
-    in_range = ev.where(F.col("timepoint").between(lo, hi))
-    doubled = duplicate_timepoints(in_range).agg(F.count(F.lit(1)).alias("doubled"))
+    doubled = duplicate_timepoints(ev).agg(
+        F.min("timepoint").alias("least"),
+        F.max("timepoint").alias("greatest"),
+        F.count_if(F.col("timepoint").between(lo, hi)).alias("inside"),
+    )
     broken = file_contiguity(rng).agg(
         F.count_if(~F.coalesce("contiguous", F.lit(True))).alias("breaks")
     )
     unknown = ledger_missing(rng, ledger).agg(F.count(F.lit(1)).alias("unknown"))
-    return duplicate_range(ev).select(
-        F.coalesce(
-            (F.col("min_duplicate") == lo) & (F.col("max_duplicate") == hi), F.lit(False)
-        ).alias("range_match"),
+    return doubled.select(
+        F.coalesce((F.col("least") == lo) & (F.col("greatest") == hi), F.lit(False)).alias(
+            "range_match"
+        ),
         (broken.scalar() == 0).alias("contiguous"),
-        (doubled.scalar() == hi - lo + 1).alias("all_duplicated"),
+        F.coalesce(F.col("inside") == F.lit(hi) - F.lit(lo) + 1, F.lit(False)).alias(
+            "all_duplicated"
+        ),
         (unknown.scalar() == 0).alias("all_in_ledger"),
     )
 
 
+def require_confirmed(ev: DataFrame, rng: DataFrame, ledger: DataFrame) -> None:
+    """Raise unless the files ``rng`` are exactly what was loaded twice."""
+    flags = confirm_double_load(ev, rng, ledger).head()
+    wrong = [name for name in FLAGS if not flags[name]]
+    if wrong:
+        raise ValueError(f"not a confirmed double load: {', '.join(wrong)} does not hold")
+
+
 def _within(dup: DataFrame) -> Column:
     least, greatest = bounds_of(dup)
     if least is None:
@@ -64,17 +81,25 @@ def correction_plan(ev: DataFrame, dup: DataFrame) -> DataFrame:
 
 
 def apply_correction(
-    ev: DataFrame, ledger: DataFrame, dup: DataFrame, files: DataFrame
+    ev: DataFrame, ledger: DataFrame, rng: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Log without the duplicate range and ledger without the files, to be loaded again once.
+    """Log without the files ``rng`` and ledger without them, to be loaded again once.
 
-    Both copies go; write the results as a new version of the two tables.
+    Refused (ValueError) unless they are confirmed.  Both copies of their rows go, by
+    file and range; write the results as a new version of the two tables.
     """
-    return ev.where(~_within(dup)), ledger.join(files.select("file"), "file", "left_anti")
+    require_confirmed(ev, rng, ledger)
+    lo, hi = rng.agg(F.min("lo"), F.max("hi")).head()
+    files = rng.select("file")
+    inside = F.col("timepoint").between(lo, hi)
+    kept = ev.where(~F.coalesce(inside, F.lit(False))).unionByName(
+        ev.where(inside).join(files, "file", "left_anti").select(*ev.columns)
+    )
+    return kept, ledger.join(files, "file", "left_anti")
 
 
 def rewrite_without_range(
-    events: DataFrame, dup: DataFrame, out_dir: str, ledger: DataFrame, files: DataFrame
+    events: DataFrame, rng: DataFrame, out_dir: str, ledger: DataFrame
 ) -> DataFrame:
     """Apply a correction to a stored table: write the next version, then check it.
 
@@ -82,7 +107,7 @@ def rewrite_without_range(
     Returns the duplicate range that remains (NULLs when the log is clean).
     """
     spark = events.sparkSession
-    kept, unloaded = apply_correction(flatten(events), ledger, dup, files)
+    kept, unloaded = apply_correction(flatten(events), ledger, rng)
     nest(kept).write.parquet(f"{out_dir}/rows")
     unloaded.write.parquet(f"{out_dir}/ledger")
     return duplicate_range(flatten(spark.read.parquet(f"{out_dir}/rows")))

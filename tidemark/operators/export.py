@@ -8,26 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import SAMPLE_ROWS, SPLIT_FILE_BYTES
-from tidemark.session import pin
 
 EXTENSIONS = {"json": ".json", "csv": ".csv", "parquet": ".parquet"}
-# What a single task may write as one file; larger exports stay in parts.
-SINGLE_FILE_ROWS = 5_000_000
-SINGLE_FILE_BYTES = 1 << 30
+# Text as zstd needs a native Hadoop library that Spark's own distribution lacks, so it
+# is written as gzip everywhere: an export must not depend on the machine it ran on.
+_TEXT_CODECS = {"zstd": "gzip"}
 
 
-def _codec(spark: SparkSession, fmt: str, compression: str) -> str:
-    """Codec that will be used: zstd for text needs the native Hadoop library, else gzip."""
-    if fmt not in ("json", "csv") or compression != "zstd":
-        return compression
-    native = spark._jvm.org.apache.hadoop.io.compress.ZStandardCodec.isNativeCodeLoaded()
-    return "zstd" if native else "gzip"
+def _codec(fmt: str, compression: str) -> str:
+    """Codec that is used for the one asked for."""
+    return compression if fmt == "parquet" else _TEXT_CODECS.get(compression, compression)
 
 
 def _write(df: DataFrame, path: str, fmt: str, compression: str, rows_per_file: int) -> None:
     (
         df.write.format(fmt)
-        .option("compression", _codec(df.sparkSession, fmt, compression))
+        .option("compression", _codec(fmt, compression))
         .option("header", True)
         .option("escape", '"')
         .option("ignoreNullFields", False)
@@ -64,22 +60,23 @@ def export_manifest(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 
 def describe_export(
-    files: DataFrame, fmt: str, compression: str, description: str, **labels: bool
+    files: DataFrame, fmt: str, compression: str, description: str, path: str, **labels: bool
 ) -> DataFrame:
-    """One manifest entry for an export: its files, rows, bytes and labels.
+    """One manifest entry for an export: where it is, files, rows, bytes and labels.
 
-    The list of names is bounded by the size of the parts, not by the rows.  The
-    entry names the codec that was used, also where it is not the one asked for.
+    The names themselves stay rows of ``files``: there are as many as there are parts.
+    The entry names the codec that was used, also where it is not the one asked for.
     """
-    used = _codec(files.sparkSession, fmt, compression)
+    used = _codec(fmt, compression)
     if used != compression:
         description = re.sub(compression, used, description, flags=re.IGNORECASE)
     suffix = {"gzip": ".gz", "zstd": ".zst"}.get(used, "") if fmt != "parquet" else ""
     return files.agg(
-        F.sort_array(F.collect_list("file")).alias("files"),
+        F.count(F.lit(1)).alias("file_count"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("count"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_size_bytes"),
     ).select(
+        F.lit(path).alias("path"),
         "*",
         F.lit(fmt).alias("format"),
         F.lit(EXTENSIONS[fmt] + suffix).alias("extension"),
@@ -97,25 +94,22 @@ def export_snapshot(
     fmt: str = "parquet",
     compression: str = "snappy",
     description: str = "",
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    layout: str = "parts",
     **labels: bool,
 ) -> DataFrame:
-    """Write all rows; one file if rows and bytes are few enough for a task, else parts.
+    """Write all rows and describe what was written; ``export_manifest`` lists the files.
 
-    The rows are pinned first, so the count and the file see the same data and
-    the plan behind it runs once.
+    ``layout`` is ``parts``, a file per task, or ``single``: one file, written by one
+    task whatever its size.  The caller decides; nothing follows from the data.  ``df``
+    is evaluated once; where several exports share a plan, pin it before.
     """
-    rows = pin(df, "export")
-    single = rows.count() <= single_file_rows and _stored_bytes(rows) <= SINGLE_FILE_BYTES
-    _write(rows.coalesce(1) if single else rows, path, fmt, compression, 0)
-    return describe_export(
-        export_manifest(df.sparkSession, path, fmt),
-        fmt,
-        compression,
-        description,
-        single=single,
-        **labels,
-    )
+    if layout not in ("parts", "single"):
+        raise ValueError(f"unknown layout {layout!r}")
+    rows = df.coalesce(1) if layout == "single" else df
+    _write(rows, path, fmt, compression, 0)
+    labels = labels | {"single": layout == "single"}
+    written = export_manifest(df.sparkSession, path, fmt)
+    return describe_export(written, fmt, compression, description, path, **labels)
 
 
 def export_split(
@@ -126,19 +120,16 @@ def export_split(
     file_bytes: int = SPLIT_FILE_BYTES,
     description: str = "",
 ) -> DataFrame:
-    """Write parts of about ``file_bytes``.
+    """Write parts of about ``file_bytes``.  ``df`` must be pinned.
 
     Rows per part follow from the bytes per row of the pinned copy (parquet), so
     the target is for parquet; text parts are larger by their lower compression.
     """
-    spark = df.sparkSession
-    rows = pin(df, "split")
-    row_bytes = _stored_bytes(rows) / max(rows.count(), 1)
+    row_bytes = _stored_bytes(df) / max(df.count(), 1)
     per_file = max(1, int(file_bytes / max(1.0, row_bytes)))
-    _write(rows, path, fmt, compression, per_file)
-    return describe_export(
-        export_manifest(spark, path, fmt), fmt, compression, description, split=True
-    )
+    _write(df, path, fmt, compression, per_file)
+    written = export_manifest(df.sparkSession, path, fmt)
+    return describe_export(written, fmt, compression, description, path, split=True)
 
 
 def sample_rows(
@@ -164,6 +155,6 @@ def export_sample(
     seed: str = "sample",
     description: str = "",
 ) -> DataFrame:
-    return export_snapshot(
-        sample_rows(df, key, n, seed), path, fmt, compression, description, sample=True
-    )
+    """At most ``n`` rows, as one file."""
+    rows = sample_rows(df, key, n, seed)
+    return export_snapshot(rows, path, fmt, compression, description, "single", sample=True)

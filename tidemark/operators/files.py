@@ -5,44 +5,74 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import name_bucket, stream_of
-from tidemark.functions.order import floor_div, with_neighbours, with_position
+from tidemark.functions.names import common_start, name_bucket, stream_of
+from tidemark.functions.order import floor_div, with_neighbours, with_position, with_running_max
 from tidemark.operators.ranges import bounds_of
 from tidemark.schemas import check_stream
+from tidemark.session import pin
 
 # Files per window partition where files are numbered.
 _FILES = 1 << 16
 # Timepoints per window partition where files are ordered by what they hold.
 _REACH = 1 << 24
+# File names that are passed to a scan as literals.
+_LITERALS = 10_000
 
 
 def number_files(files: DataFrame) -> DataFrame:
-    """Add ``idx``, the position of each file of one folder in name order."""
-    return with_position(files, name_bucket(F.col("file")), ["file"])
+    """Add ``idx``, the position of each file in name order within its stream.
+
+    Several passes over ``files``: pin them first.
+    """
+    bucket = name_bucket(F.col("file"), common_start(files))
+    placed = with_position(files, bucket, ["file"], "__place")
+    streams = placed.withColumn("__stream", stream_of(F.col("file")))
+    first = streams.groupBy("__stream").agg(F.min("__place").alias("__first"))
+    return (
+        streams.join(first, "__stream")
+        .withColumn("idx", F.col("__place") - F.col("__first"))
+        .drop("__stream", "__place", "__first")
+    )
 
 
 def file_ranges(ev: DataFrame) -> DataFrame:
-    """``file, idx, lo, hi`` of every file with a timepoint, from the events themselves."""
+    """``file, idx, lo, hi`` of every file with a timepoint, from one pass over the events."""
     stats = (
         ev.where(F.col("timepoint").isNotNull())
         .groupBy("file")
         .agg(F.min("timepoint").alias("lo"), F.max("timepoint").alias("hi"))
     )
-    return number_files(stats).select("file", "idx", "lo", "hi")
+    return number_files(pin(stats, "file-ranges")).select("file", "idx", "lo", "hi")
 
 
-def update_file_index(index: DataFrame, ev: DataFrame, limit: int | None = None) -> DataFrame:
+def update_file_index(
+    index: DataFrame, ev: DataFrame, files: DataFrame | None = None, limit: int | None = None
+) -> DataFrame:
     """Index rows plus one for every file of ``ev`` that has none yet.
 
-    A file without a timepoint gets NULL bounds.  ``limit`` takes the first
-    files by name.
+    A file without a timepoint gets NULL bounds.  ``files`` is a listing: the index is
+    compared with it, and only events of new files are read and aggregated.  ``limit``
+    takes the first new files by name; their names reach the scan, which then opens
+    no other file.
     """
-    found = ev.groupBy(F.col("file").alias("filename")).agg(
+    known = index.select("filename")
+    found = ev
+    if files is not None:
+        names = files.select(F.col("file").alias("filename"))
+        fresh = names.join(known, "filename", "left_anti")
+        if limit is None:
+            found = ev.join(fresh.withColumnRenamed("filename", "file"), "file", "left_semi")
+        else:
+            first = [r.filename for r in fresh.orderBy("filename").limit(limit).collect()]
+            found = ev.where(F.col("file").isin(first))
+    new = found.groupBy(F.col("file").alias("filename")).agg(
         F.min("timepoint").alias("min"), F.max("timepoint").alias("max")
     )
-    new = found.join(index.select("filename"), "filename", "left_anti")
-    if limit is not None:
-        new = new.orderBy("filename").limit(limit)
+    if files is None:
+        # Without a listing the events themselves tell which files there are.
+        new = new.join(known, "filename", "left_anti")
+        if limit is not None:
+            new = new.orderBy("filename").limit(limit)
     return index.unionByName(
         new.select("filename", "min", "max", stream_of(F.col("filename")).alias("stream"))
     )
@@ -88,30 +118,46 @@ def _in_order(ev: DataFrame) -> DataFrame:
     return arrival.orderBy("timepoint", "__arrival").drop("__arrival")
 
 
+def _reached(ev: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Events of the wanted files.  Names that are few reach the scan as literals."""
+    names = [r.filename for r in wanted.select("filename").limit(_LITERALS + 1).collect()]
+    if len(names) <= _LITERALS:
+        return ev.where(F.col("file").isin(names))
+    least = wanted.agg(F.min("filename")).head()[0]
+    return ev.where(F.col("file") >= least).join(
+        wanted.select(F.col("filename").alias("file")), "file", "left_semi"
+    )
+
+
 def replay_events(
-    ev: DataFrame, index: DataFrame, stream: str, timepoint: int, raw: bool = False
+    ev: DataFrame,
+    index: DataFrame,
+    stream: str,
+    timepoint: int,
+    raw: bool = False,
+    position: str = "position",
 ) -> DataFrame:
     """Events of a stream from ``timepoint`` on, in timepoint order.
 
-    The index gives one bound, the least file name that reaches ``timepoint``;
-    on a landing scan that comparison drops older files before they are opened.
-    ``raw`` trims only the first file and passes the later ones whole, so
-    overlapping files repeat events.
+    The index says which files reach ``timepoint``; only those are read.  ``raw``
+    plays the files as they are, one after another by their first timepoint, each in
+    the order of its column ``position``; only what lies before ``timepoint`` in the
+    first one is left out, so overlapping files repeat events.
     """
     check_replay(index, stream, timepoint)
     wanted = index.where((F.col("stream") == stream) & (F.col("max") >= timepoint))
-    first_by_name = wanted.agg(F.min("filename")).head()[0]
-    reachable = ev.where(
-        (F.col("file") >= first_by_name) & (stream_of(F.col("file")) == stream)
-    )
+    reached = _reached(ev, wanted)
     if not raw:
-        return _in_order(reachable.where(F.col("timepoint") >= timepoint))
+        return _in_order(reached.where(F.col("timepoint") >= timepoint))
     first_played = wanted.agg(F.min_by("filename", F.struct("min", "filename"))).head()[0]
     trimmed = (F.col("file") == first_played) & (F.col("timepoint") < timepoint)
-    return _in_order(
-        reachable.join(wanted.select(F.col("filename").alias("file")), "file", "left_semi").where(
-            ~trimmed
-        )
+    played = reached.join(
+        wanted.select(F.col("filename").alias("file"), F.col("min").alias("__begins")), "file"
+    )
+    return (
+        played.where(~F.coalesce(trimmed, F.lit(False)))
+        .orderBy("__begins", "file", position)
+        .select(*ev.columns)
     )
 
 
@@ -142,16 +188,21 @@ def replay_smoke(
     )
 
 
-def _by_index() -> Column:
-    return floor_div(F.col("idx"), _FILES)
-
-
 def _with_file_neighbours(rng: DataFrame) -> DataFrame:
-    return with_neighbours(rng, _by_index(), ["idx"], ["file", "idx", "lo", "hi"])
+    """With the files before and after in the same stream."""
+    rows = rng.withColumn("__stream", stream_of(F.col("file")))
+    bucket = F.struct("__stream", floor_div(F.col("idx"), _FILES).alias("part"))
+    carry = ["__stream", "file", "idx", "lo", "hi"]
+    around = with_neighbours(rows, bucket, ["__stream", "idx"], carry)
+    same = {
+        side: F.when(F.col(f"{side}.__stream") == F.col("__stream"), F.col(side))
+        for side in ("prev", "next")
+    }
+    return around.withColumns(same).drop("__stream")
 
 
 def file_neighbours(rng: DataFrame) -> DataFrame:
-    """The file before and after each file, with the timepoints facing it."""
+    """The file before and after each file of a stream, with the timepoints facing it."""
     return _with_file_neighbours(rng).select(
         "file",
         F.col("prev.file").alias("prev_file"),
@@ -162,18 +213,16 @@ def file_neighbours(rng: DataFrame) -> DataFrame:
 
 
 def file_contiguity(rng: DataFrame) -> DataFrame:
-    """Does each file, by what it holds, start right after the one before; NULL for the first."""
-    by_start = with_neighbours(
-        rng.select("file", "lo", "hi"),
-        floor_div(F.col("lo"), _REACH),
-        ["lo", "hi", "file"],
-        ["hi"],
-    )
+    """Does each file, by what it holds, start right after the one before in its stream.
+
+    NULL for the first of a stream.
+    """
+    rows = rng.select("file", "lo", "hi", stream_of(F.col("file")).alias("stream"))
+    bucket = F.struct("stream", floor_div(F.col("lo"), _REACH).alias("part"))
+    by_start = with_neighbours(rows, bucket, ["stream", "lo", "hi", "file"], ["stream", "hi"])
+    before = F.when(F.col("prev.stream") == F.col("stream"), F.col("prev.hi"))
     return by_start.select(
-        "file",
-        "lo",
-        F.col("prev.hi").alias("prev_hi"),
-        (F.col("lo") == F.col("prev.hi") + 1).alias("contiguous"),
+        "file", "lo", before.alias("prev_hi"), (F.col("lo") == before + 1).alias("contiguous")
     )
 
 
@@ -191,75 +240,87 @@ def file_overlap_flags(rng: DataFrame, dup: DataFrame) -> DataFrame:
     )
 
 
+def _overlaps(rng: DataFrame) -> DataFrame:
+    """Files that begin before an earlier one of their stream has ended, with that one.
+
+    Of several it is the one that reaches furthest (the latest of equals), so every
+    file that overlaps any earlier one has one row, also behind short files between.
+    """
+    rows = rng.withColumn("__stream", stream_of(F.col("file")))
+    reach = F.struct("__stream", "hi", "idx", "file", "lo")
+    ahead = with_running_max(
+        rows,
+        F.struct("__stream", floor_div(F.col("idx"), _FILES).alias("part")),
+        ["__stream", "idx"],
+        reach,
+        "earlier",
+    )
+    # Streams sort one after another: what is ahead in another one is not earlier.
+    same = F.col("earlier.__stream") == F.col("__stream")
+    return ahead.where(same & (F.col("earlier.hi") >= F.col("lo"))).drop("__stream")
+
+
 def overlap_pairs(rng: DataFrame, timepoint: int | None = None) -> DataFrame:
-    """Files that start before the file ahead of them in name order has ended.
+    """Files that begin before an earlier one in name order has ended, each with one such.
 
-    With ``timepoint`` only files that reach it are compared, and a pair is kept
-    if both hold it; so a short file lying between the two does not hide them.
-    One row per later file at most: output grows with the files, not their square.
+    With ``timepoint`` both files of a pair hold it.  One row per later file at most:
+    output grows with the files, not their square.
     """
-    files = rng if timepoint is None else rng.where(F.col("hi") >= timepoint)
-    pairs = _with_file_neighbours(files).where(F.col("prev.hi") >= F.col("lo"))
+    files = rng
     if timepoint is not None:
-        pairs = pairs.where(F.col("lo") <= timepoint)
-    return pairs.select(
-        F.col("prev.file").alias("earlier"),
+        files = rng.where((F.col("lo") <= timepoint) & (F.col("hi") >= timepoint))
+    return _overlaps(files).select(
+        F.col("earlier.file").alias("earlier"),
         F.col("file").alias("later"),
-        (F.col("prev.hi") - F.col("lo") + 1).alias("width"),
+        (F.least("earlier.hi", "hi") - F.greatest("earlier.lo", "lo") + 1).alias("width"),
     )
 
 
 def overlap_recommendation(rng: DataFrame, dup: DataFrame) -> DataFrame:
     """For each overlapping pair: which file to keep, and why.
 
-    The files before and after the pair say what range it should fill.
-    ``holds_duplicate`` marks the pairs whose overlap holds the least duplicated
-    timepoint.
+    The file before the earlier one and the file after the later one say what range
+    the pair should fill.  ``holds_duplicate`` marks the pairs whose overlap holds the
+    least duplicated timepoint.
     """
-    around = _with_file_neighbours(rng).select(
-        "file", "idx", "lo", "hi", F.col("prev").alias("earlier"), F.col("next").alias("after")
-    )
+    around = _with_file_neighbours(rng)
+    after = around.select("file", F.col("next.lo").alias("a_lo"))
+    before = around.select(F.col("file").alias("earlier_file"), F.col("prev.hi").alias("b_hi"))
     pairs = (
-        with_neighbours(around, _by_index(), ["idx"], ["earlier"])
-        .withColumn("before", F.col("prev.earlier"))
-        .where(F.col("earlier.hi") >= F.col("lo"))
-    )
-    lo, hi = F.col("lo"), F.col("hi")
-    e_lo, e_hi, b_hi, a_lo = (
-        F.col(c) for c in ("earlier.lo", "earlier.hi", "before.hi", "after.lo")
+        _overlaps(rng)
+        .withColumn("earlier_file", F.col("earlier.file"))
+        .join(after, "file", "left")
+        .join(before, "earlier_file", "left")
     )
+    lo, hi, e_lo, e_hi = (F.col(c) for c in ("lo", "hi", "earlier.lo", "earlier.hi"))
+    b_hi, a_lo = F.col("b_hi"), F.col("a_lo")
     want_lo, want_hi = F.col("expected_lo"), F.col("expected_hi")
     later_fills = (lo == want_lo) & (hi == want_hi)
     earlier_fills = (e_lo == want_lo) & (e_hi == want_hi)
-    reaches_back = e_lo <= F.coalesce(b_hi, e_lo - 1)
     reason = (
         F.when(later_fills & ~earlier_fills, "later file fills the gap")
         .when(earlier_fills & ~later_fills, "earlier file fills the gap")
-        .when(lo <= e_hi, "later file captures again what the earlier one holds")
-        .when(reaches_back, "earlier file reaches back into the file before it")
-        .otherwise("check manually")
-    )
-    keep_later = F.col("reason").isin(
-        "later file fills the gap", "earlier file reaches back into the file before it"
+        .otherwise("later file captures again what the earlier one holds")
     )
+    keep_later = F.col("reason") == "later file fills the gap"
     first_dup = F.lit(bounds_of(dup)[0]).cast("bigint")
     return (
         pairs.withColumn("expected_lo", F.coalesce(b_hi + 1, e_lo))
         .withColumn("expected_hi", F.coalesce(a_lo - 1, hi))
         .withColumn("reason", reason)
         .select(
-            F.col("earlier.file").alias("earlier"),
+            F.col("earlier_file").alias("earlier"),
             F.col("file").alias("later"),
             "expected_lo",
             "expected_hi",
-            F.when(keep_later, F.col("file")).otherwise(F.col("earlier.file")).alias("keep"),
-            F.when(keep_later, F.col("earlier.file")).otherwise(F.col("file")).alias("drop"),
+            F.when(keep_later, F.col("file")).otherwise(F.col("earlier_file")).alias("keep"),
+            F.when(keep_later, F.col("earlier_file")).otherwise(F.col("file")).alias("drop"),
             "reason",
             (e_lo - b_hi - 1).alias("gap_before"),
-            (e_hi - lo + 1).alias("overlap_width"),
+            (F.least(e_hi, hi) - F.greatest(e_lo, lo) + 1).alias("overlap_width"),
             (a_lo - hi - 1).alias("gap_after"),
-            F.coalesce((first_dup >= lo) & (first_dup <= e_hi), F.lit(False)).alias(
-                "holds_duplicate"
-            ),
+            F.coalesce(
+                first_dup.between(F.greatest(e_lo, lo), F.least(e_hi, hi)), F.lit(False)
+            ).alias("holds_duplicate"),
         )
     )

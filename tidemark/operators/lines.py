@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.json import line_error, line_timepoint
-from tidemark.functions.names import name_bucket
+from tidemark.functions.names import common_start, name_bucket, stream_of
 from tidemark.functions.order import with_neighbours
 
 
@@ -41,10 +41,12 @@ def number_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def classify_files(lines: DataFrame) -> DataFrame:
+def classify_files(lines: DataFrame, cut: DataFrame | None = None) -> DataFrame:
     """``ok``, ``broken_at_end`` (first bad line is the last one) or ``broken_mid_file``.
 
-    Broken files come with number and text of their first bad line.
+    Broken files come with number and text of their first bad line.  A file in ``cut``
+    (``sources.landing.cut_files``) without a bad line is broken at its end as well: the
+    line after its last one is lost.
     """
     bad = F.when(~F.col("ok"), F.col("id"))
     # Text rides along only on bad lines.
@@ -78,15 +80,29 @@ def classify_files(lines: DataFrame) -> DataFrame:
         .when(F.col("line_no") == F.col("n"), "broken_at_end")
         .otherwise("broken_mid_file")
     )
-    return files.select("file", kind.alias("kind"), "line_no", "line")
+    classified = files.select("file", kind.alias("kind"), "line_no", "line", "n")
+    if cut is not None:
+        # Cut files may not have a single whole line.
+        found = classified.join(
+            cut.select("file", F.lit(True).alias("cut")), "file", "full_outer"
+        )
+        lost = F.coalesce("cut", F.lit(False)) & (F.coalesce("kind", F.lit("ok")) == "ok")
+        classified = found.withColumns(
+            {
+                "line_no": F.when(lost, F.coalesce("n", F.lit(0)) + 1).otherwise(F.col("line_no")),
+                "kind": F.when(lost, "broken_at_end").otherwise(F.col("kind")),
+            }
+        )
+    return classified.select("file", "kind", "line_no", "line")
 
 
 def find_broken_files(
     lines: DataFrame, unloaded: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """Broken files among those not loaded yet, in name order."""
-    pending = lines.join(unloaded.select("file"), "file", "left_semi")
-    broken = classify_files(pending).where("kind <> 'ok'").orderBy("file")
+    # Files are few; their lines are reduced before they meet the list.
+    broken = classify_files(lines).where("kind <> 'ok'")
+    broken = broken.join(unloaded.select("file"), "file", "left_semi").orderBy("file")
     return broken if limit is None else broken.limit(limit)
 
 
@@ -117,24 +133,27 @@ def file_first_last(lines: DataFrame) -> DataFrame:
 
 
 def resume_offset(first_last: DataFrame) -> DataFrame:
-    """Where capture goes on: one past the last event of the newest file."""
-    return first_last.agg((F.max_by("last_tp", "file") + 1).alias("next_timepoint"))
+    """Where capture of each stream goes on: one past the last event of its newest file."""
+    return first_last.groupBy(stream_of(F.col("file")).alias("stream")).agg(
+        (F.max_by("last_tp", "file") + 1).alias("next_timepoint")
+    )
 
 
 def boundary_check(first_last: DataFrame) -> DataFrame:
-    """Does each file's successor start one past its last whole event; NULL for the newest."""
-    joined = with_neighbours(
-        first_last, name_bucket(F.col("file")), ["file"], ["first_tp"]
-    )
-    following = F.col("next.first_tp")
+    """Does each file's successor in its stream start one past its last whole event.
+
+    NULL for the newest of a stream.  Several passes over ``first_last``: pin it first.
+    """
+    rows = first_last.withColumn("stream", stream_of(F.col("file")))
+    bucket = F.struct("stream", name_bucket(F.col("file"), common_start(first_last)).alias("part"))
+    joined = with_neighbours(rows, bucket, ["stream", "file"], ["stream", "first_tp"])
+    same = F.col("next.stream") == F.col("stream")
+    following = F.when(same, F.col("next.first_tp"))
     return joined.select(
         "file",
         "last_tp",
         following.alias("next_first_tp"),
-        F.when(
-            F.col("next").isNotNull(),
-            F.coalesce(following == F.col("last_tp") + 1, F.lit(False)),
-        ).alias("ok"),
+        F.when(same, F.coalesce(following == F.col("last_tp") + 1, F.lit(False))).alias("ok"),
     )
 
 

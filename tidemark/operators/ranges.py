@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import name_bucket
+from tidemark.functions.names import common_start, name_bucket
 from tidemark.functions.order import floor_div, with_neighbours
+from tidemark.session import pin
 
 # Timepoints per window partition.  One row per span meets in one task, so 10^11
 # timepoints bring 10^5 rows together.
@@ -25,24 +26,30 @@ def _word(tp: Column) -> Column:
     return F.shiftright(tp, 6)
 
 
-def timepoint_words(ev: DataFrame) -> DataFrame:
-    """``word, mask, n, lo, hi`` for all timepoints of the log."""
+def timepoint_words(ev: DataFrame, *more: Column) -> DataFrame:
+    """``word, mask, odd, n, lo, hi`` for all timepoints of the log.
+
+    ``odd`` has the bits that occur an odd number of times.  ``more`` are further
+    aggregates to take in the same pass; rows without a timepoint then make a word of
+    their own, NULL.
+    """
     tp = F.col("timepoint")
-    return (
-        ev.where(tp.isNotNull())
-        .groupBy(_word(tp).alias("word"))
-        .agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(timepoint & 63 as int))")).alias("mask"),
-            F.count(F.lit(1)).alias("n"),
-            F.min(tp).alias("lo"),
-            F.max(tp).alias("hi"),
-        )
+    bit = F.expr("shiftleft(1L, cast(timepoint & 63 as int))")
+    rows = ev if more else ev.where(tp.isNotNull())
+    return rows.groupBy(_word(tp).alias("word")).agg(
+        F.bit_or(bit).alias("mask"),
+        F.bit_xor(bit).alias("odd"),
+        F.count(tp).alias("n"),
+        F.min(tp).alias("lo"),
+        F.max(tp).alias("hi"),
+        *more,
     )
 
 
-def words_summary(words: DataFrame) -> DataFrame:
+def words_summary(words: DataFrame, *more: Column) -> DataFrame:
     """Row count, exact distinct count and bounds of the whole log (one row)."""
     return words.agg(
+        *more,
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.bit_count("mask").cast("bigint")), F.lit(0)).alias(
             "distinct_timepoints"
@@ -54,18 +61,24 @@ def words_summary(words: DataFrame) -> DataFrame:
 
 def missing_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
     """Maximal ranges between the least and greatest timepoint that no event has."""
+    return _missing(timepoint_words(ev), span)
+
+
+_BITS = "transform(filter(sequence(0, 63), i -> getbit({}, i) = 1), i -> word * 64 + i)"
+
+
+def _missing(words: DataFrame, span: int) -> DataFrame:
     # A word without an inner gap is one interval.  In any other one, runs begin at
     # bits without a lower neighbour and end at bits without a higher one.
     unbroken = F.col("hi") - F.col("lo") + 1 == F.bit_count("mask")
-    bits = "transform(filter(sequence(0, 63), i -> getbit({}, i) = 1), i -> word * 64 + i)"
     runs = F.expr(
         "zip_with("
-        + bits.format("mask & ~shiftleft(mask, 1)")
+        + _BITS.format("mask & ~shiftleft(mask, 1)")
         + ", "
-        + bits.format("mask & ~shiftrightunsigned(mask, 1)")
+        + _BITS.format("mask & ~shiftrightunsigned(mask, 1)")
         + ", (lo, hi) -> named_struct('lo', lo, 'hi', hi))"
     )
-    present = timepoint_words(ev).select(
+    present = words.select(
         F.inline(F.when(unbroken, F.array(F.struct("lo", "hi"))).otherwise(runs))
     )
     ordered = with_neighbours(present, floor_div(F.col("lo"), span), ["lo"], ["hi"])
@@ -75,25 +88,44 @@ def missing_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def duplicate_timepoints(ev: DataFrame) -> DataFrame:
-    """Timepoints that occur more than once.
+    """Timepoints that occur more than once."""
+    return _duplicates(pin(timepoint_words(ev), "words"), ev)
+
 
-    Only words with more rows than bits can hold one; in a healthy log there are
-    none and the second look at the log is dropped when that is known.
+def _duplicates(words: DataFrame, ev: DataFrame) -> DataFrame:
+    """Duplicated timepoints from ``words`` (pinned), as a rule without a second look at the log.
+
+    A bit that is set but not odd occurs at least twice.  Where the rows beyond one per
+    bit are as many as these bits, each occurs just twice and none is hidden among the
+    odd ones.  Only if a word has more rows than that, the log is counted by timepoint,
+    which combines copies before the shuffle.
     """
-    suspects = timepoint_words(ev).where(F.col("n") > F.bit_count("mask")).select("word")
-    return (
+    twice = "mask & ~odd"
+    extra = F.col("n") - F.bit_count("mask")
+    settled = extra == F.bit_count(F.expr(twice))
+    plain = words.where((extra > 0) & settled).select(
+        F.explode(F.expr(_BITS.format(f"({twice})"))).alias("timepoint")
+    )
+    unclear = words.where(~settled).select("word")
+    if unclear.isEmpty():
+        return plain
+    counted = (
         ev.where(F.col("timepoint").isNotNull())
-        .select("timepoint", _word(F.col("timepoint")).alias("word"))
-        .join(suspects, "word", "left_semi")
         .groupBy("timepoint")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("timepoint")
+        .select("timepoint", _word(F.col("timepoint")).alias("word"))
     )
+    return plain.unionByName(counted.join(unclear, "word", "left_semi").select("timepoint"))
 
 
 def duplicate_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
-    """Maximal runs of consecutive duplicated timepoints.
+    """Maximal runs of consecutive duplicated timepoints."""
+    return _runs(duplicate_timepoints(ev), span)
+
+
+def _runs(timepoints: DataFrame, span: int) -> DataFrame:
+    """Maximal runs of distinct timepoints.
 
     Runs are found per span; only those that touch the edge of their span (two
     per span at most) are joined up across spans.
@@ -101,8 +133,7 @@ def duplicate_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
     tp = F.col("timepoint")
     inside = Window.partitionBy("span").orderBy("timepoint")
     runs = (
-        duplicate_timepoints(ev)
-        .withColumn("span", floor_div(tp, span))
+        timepoints.withColumn("span", floor_div(tp, span))
         .withColumn("run", tp - F.row_number().over(inside))
         .groupBy("span", "run")
         .agg(F.min(tp).alias("lo"), F.max(tp).alias("hi"))
@@ -129,9 +160,13 @@ def duplicate_ranges(ev: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def timepoint_issues(ev: DataFrame, span: int = SPAN) -> DataFrame:
-    """Missing and duplicate ranges by start, missing first where both start together."""
-    missing = missing_ranges(ev, span).withColumn("kind", F.lit("missing"))
-    duplicate = duplicate_ranges(ev, span).withColumn("kind", F.lit("duplicate"))
+    """Missing and duplicate ranges by start, missing first where both start together.
+
+    Both come from one pass over the log.
+    """
+    words = pin(timepoint_words(ev), "words")
+    missing = _missing(words, span).withColumn("kind", F.lit("missing"))
+    duplicate = _runs(_duplicates(words, ev), span).withColumn("kind", F.lit("duplicate"))
     return (
         missing.unionByName(duplicate)
         .select("kind", "range_min", "range_max")
@@ -169,7 +204,7 @@ def order_breaks(lines: DataFrame, start: int | None = None, span: int = SPAN) -
         F.struct("file", floor_div(F.col("line_no"), span).alias("part")),
         ["file", "line_no"],
         ["timepoint"],
-        coarse=name_bucket(F.col("file")),
+        coarse=name_bucket(F.col("file"), common_start(events)),
     )
     previous = F.col("prev.timepoint")
     if start is not None:

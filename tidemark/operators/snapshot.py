@@ -72,17 +72,22 @@ def live_snapshot(ev: DataFrame, stream: str, key: str = "resource_uri") -> Data
 
 
 def latest_by_join(
-    ev: DataFrame, key: str = "resource_uri", watermark: int = 0, limit: int | None = None
+    ev: DataFrame,
+    key: str = "resource_uri",
+    watermark: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Rows of the batch after ``watermark`` that are the newest of their key.
 
+    Without a watermark (nothing taken yet) the batch is all events, timepoint 0 too.
+
     Two narrow passes instead of sorting whole rows: the maximum per key is a
     hash aggregation over two columns, then rows are matched on key and
     timepoint.  ``limit`` cuts the batch to the first ``limit`` events in order (and
     any copies of the last timepoint); only timepoints are sorted for that, and the
     cut is a number the scan can use.
     """
-    batch = ev.where(F.col("timepoint") > watermark)
+    batch = ev if watermark is None else ev.where(F.col("timepoint") > watermark)
     if limit is not None:
         first = batch.select("timepoint").orderBy("timepoint").limit(limit)
         cut = first.agg(F.max("timepoint")).head()[0]
@@ -91,9 +96,9 @@ def latest_by_join(
     return batch.join(newest, [key, "timepoint"], "left_semi").select(*ev.columns)
 
 
-def watermark(state: DataFrame) -> int:
-    """Greatest timepoint of a state that keeps tombstones; 0 when it is empty."""
-    return state.agg(F.coalesce(F.max("timepoint"), F.lit(0)).alias("wm")).head().wm
+def watermark(state: DataFrame) -> int | None:
+    """Greatest timepoint of a state that keeps tombstones; None when it is empty."""
+    return state.agg(F.max("timepoint").alias("wm")).head().wm
 
 
 def incremental_snapshot(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,12 @@ from tidemark.operators import (
     snapshot as snp,
     tables,
 )
+from tidemark.functions.order import with_position
 from tidemark.operators.events import flatten, nest
 from tidemark.plans import views as v
 from tidemark.session import pin, prepare, scratch
 from tidemark.sources import accounts as acc_src
-from tidemark.sources import archives, landing
+from tidemark.sources import landing
 from tidemark.sources import register as reg_src
 from tidemark.streaming import index as idx
 from tidemark.streaming import load, snapshot as stream
@@ -86,11 +88,23 @@ def live_snapshot_streams(spark, sf):
     return out
 
 
+def _from_zero(spark, sf):
+    return v.events(spark, sf).withColumn("timepoint", F.col("timepoint") - 1)
+
+
 @_query
 def latest_by_join(spark, sf):
     return snp.latest_by_join(v.events(spark, sf), watermark=500).select(*_ROW)
 
 
+@_query
+def latest_by_join_first(spark, sf):
+    """The first batch, from an empty state, of a log that begins with timepoint 0."""
+    ev = _from_zero(spark, sf)
+    known = snp.watermark(ev.where("false"))
+    return snp.latest_by_join(ev, watermark=known, limit=700).select(*_ROW)
+
+
 def _late_first(spark, sf):
     """Four batches of the whole log, newest part first."""
     ev = v.events(spark, sf)
@@ -269,8 +283,10 @@ def _index(spark, sf):
 
 @_query
 def update_file_index(spark, sf):
+    """Files of two streams are new to the index; the listing tells which."""
     known = _index(spark, sf).where(F.col("stream") == "officers")
-    return fil.update_file_index(known, v.sink(spark, sf))
+    sink = v.sink(spark, sf)
+    return fil.update_file_index(known, sink, files=sink.select("file").distinct())
 
 
 @_query
@@ -296,10 +312,20 @@ def replay_events(spark, sf):
 
 @_query
 def replay_events_raw(spark, sf):
-    ev = v.sink(spark, sf)
-    return fil.replay_events(ev, _index(spark, sf), "officers", 503, raw=True).select(
-        "file", *_ROW
+    """Overlapping files played one after another, with the place of each event."""
+    ev = v.overlapping_sink(spark, sf)
+    empty = spark.createDataFrame([], "filename string, min bigint, max bigint, stream string")
+    index = pin(fil.update_file_index(empty, ev), "index")
+    played = fil.replay_events(ev, index, "officers", 503, raw=True)
+    # The place in the output: rows of a partition follow those of the ones before.
+    placed = pin(
+        played.select(
+            "file", *_ROW, F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().alias("at"),
+        ),
+        "played",
     )
+    return with_position(placed, F.col("part"), ["at"], "place").drop("part", "at")
 
 
 @_query
@@ -313,6 +339,26 @@ def file_ranges(spark, sf):
     return fil.file_ranges(v.damaged(spark, sf))
 
 
+def _sink_ranges(spark, sf):
+    """Ranges of the files of three streams."""
+    return fil.file_ranges(v.overlapping_sink(spark, sf))
+
+
+@_query
+def file_ranges_streams(spark, sf):
+    return _sink_ranges(spark, sf)
+
+
+@_query
+def file_neighbours_streams(spark, sf):
+    return fil.file_neighbours(_sink_ranges(spark, sf))
+
+
+@_query
+def overlap_pairs_streams(spark, sf):
+    return fil.overlap_pairs(_sink_ranges(spark, sf))
+
+
 @_query
 def file_neighbours(spark, sf):
     return fil.file_neighbours(v.ranges(spark, sf))
@@ -354,14 +400,25 @@ def ledger_missing(spark, sf):
 
 
 def _doubled_ranges(spark, sf):
-    return v.ranges(spark, sf).where("idx between 1 and 2")
+    ev = v.log(spark, sf).where("file_no between 1 and 2")
+    return ev.groupBy("file").agg(F.min("timepoint").alias("lo"), F.max("timepoint").alias("hi"))
 
 
 @_query
 def confirm_double_load(spark, sf):
-    return correction.confirm_double_load(
-        v.double_loaded(spark, sf), _doubled_ranges(spark, sf), v.ledger(spark, sf)
+    """The two files, one too many, one of them with another one, and unloaded ones."""
+    ev, ranges, ledger = (
+        pin(f(spark, sf), n)
+        for f, n in ((v.double_loaded, "doubled"), (v.ranges, "ranges"), (v.ledger, "ledger"))
     )
+    cases = {"both": (1, 2), "one more": (1, 2, 3), "gap": (1, 4), "not loaded": (1, 5)}
+    parts = [
+        correction.confirm_double_load(ev, ranges.where(F.col("idx").isin(*files)), ledger).select(
+            F.lit(case).alias("case"), "*"
+        )
+        for case, files in cases.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query
@@ -374,7 +431,7 @@ def correction_plan(spark, sf):
 def apply_correction(spark, sf):
     ev = v.double_loaded(spark, sf)
     kept, ledger = correction.apply_correction(
-        ev, v.ledger(spark, sf), rng.duplicate_range(ev), _doubled_ranges(spark, sf)
+        ev, v.ledger(spark, sf), pin(_doubled_ranges(spark, sf), "ranges")
     )
     return (
         kept.select(F.lit("event").alias("part"), "file", "timepoint")
@@ -387,9 +444,8 @@ def rewrite_without_range(spark, sf):
     """The same as a stored table: written as its next version and read back."""
     ev = v.double_loaded(spark, sf).drop("file_no")
     out = scratch(spark, "corrected")
-    correction.rewrite_without_range(
-        nest(ev), rng.duplicate_range(ev), out, v.ledger(spark, sf), _doubled_ranges(spark, sf)
-    )
+    ranges = pin(_doubled_ranges(spark, sf), "ranges")
+    correction.rewrite_without_range(nest(ev), ranges, out, v.ledger(spark, sf))
     return flatten(spark.read.parquet(f"{out}/rows")).select("file", *_ROW)
 
 
@@ -429,8 +485,9 @@ def scan_events_tolerant(spark, sf):
     scan = landing.scan_events_tolerant(spark, f"{path}/*")
     return _numbered(
         scan.select(
-            "file", F.col("event.timepoint").alias("timepoint"), "resource_uri"
-        ).where("timepoint is not null")
+            "file", F.col("event.timepoint").alias("timepoint"), "resource_uri",
+            F.col("_corrupt_record").alias("corrupt"),
+        )
     )
 
 
@@ -438,13 +495,23 @@ def scan_events_tolerant(spark, sf):
 def list_sink_files(spark, sf):
     path = v.land_events(spark, sf)
     listed = landing.list_sink_files(spark, f"{path}/*")
-    return _numbered(listed).select("file_no", (F.col("length") > 0).alias("filled"))
+    # Bytes differ between hosts; rows read from the listed files do not.
+    lines = spark.read.text([r.file for r in listed.select("file").collect()])
+    counted = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("lines"), F.max("_metadata.file_size").alias("size")
+    )
+    joined = listed.join(counted, "file", "full_outer")
+    return _numbered(joined).select(
+        "file_no", "lines", (F.col("length") == F.col("size")).alias("same_length"),
+        (F.col("modified") > F.lit("2020-01-01").cast("timestamp")).alias("dated"),
+    )
 
 
 @_query
 def load_events(spark, sf):
     """Load the landing files, load again (adds nothing), read the table back."""
-    path, table, mark = v.land_events(spark, sf), scratch(spark, "events"), scratch(spark, "mark")
+    path, mark = v.land_events(spark, sf), scratch(spark, "mark")
+    table = load.table_path(scratch(spark, "events"), v.STREAM)
     load.load_events(spark, path, table, mark)
     load.load_events(spark, path, table, mark)
     return _numbered(flatten(load.read_loaded(spark, table)).select("file", *_ROW))
@@ -507,8 +574,8 @@ def correct_loaded(spark, sf):
     names = [r.file for r in twice.collect()]
     # A load that read the two files again.
     load.store_load(spark, table, -1, names, load.scan_for_load, "event.timepoint")
-    dup = rng.duplicate_range(flatten(load.read_loaded(spark, table)))
-    load.correct_loaded(spark, table, dup, twice)
+    # These files each lie in a folder of their own, so that is what they have in common.
+    load.correct_loaded(spark, table, twice, root=path.rsplit("/", 1)[0])
     load.load_pending(spark, f"{path}/*", table)
     return _numbered(flatten(load.read_loaded(spark, table)).select("file", *_ROW))
 
@@ -523,22 +590,6 @@ def compact_loaded(spark, sf):
     return _numbered(flatten(load.read_loaded(spark, out)).select("file", *_ROW))
 
 
-@_query
-def unzip_landing(spark, sf):
-    path, out = v.land_zips(spark, sf), scratch(spark, "unzipped")
-    members = pin(archives.unzip_landing(spark, f"{path}/*.zip", out), "members")
-    lines = (
-        spark.read.text(f"{out}/*/*.gz")
-        .groupBy(F.regexp_extract("_metadata.file_path", r"_(\d+)\.json\.gz$", 1).cast("bigint").alias("file_no"))
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
-    return members.select(
-        F.regexp_extract("file", r"/(\d+)\.zip$", 1).cast("bigint").alias("file_no"),
-        "member",
-        "bytes",
-    ).join(lines, "file_no")
-
-
 # --- Lines and repair ---
 
 
@@ -573,6 +624,45 @@ def file_first_last(spark, sf):
     return _numbered(lin.file_first_last(_lines(spark, sf)))
 
 
+def _sink_lines(spark, sf):
+    """Lines of three streams, whose files are numbered alike."""
+    return pin(landing.read_lines(spark, f"{v.land_streams(spark, sf)}/*/*"), "lines")
+
+
+def _short(df: DataFrame) -> DataFrame:
+    """Names without the folder that the run chose."""
+    return df.withColumn("file", F.regexp_extract("file", "[^/]+/[^/]+$", 0))
+
+
+@_query
+def resume_offset_streams(spark, sf):
+    return lin.resume_offset(lin.file_first_last(_sink_lines(spark, sf)))
+
+
+@_query
+def boundary_check_streams(spark, sf):
+    ends = lin.file_first_last(_sink_lines(spark, sf))
+    return _short(lin.boundary_check(pin(ends, "ends")))
+
+
+@_query
+def repair_landing(spark, sf):
+    """Three streams repaired in one run, in place, then loaded; what the table holds."""
+    path, out = v.land_streams(spark, sf), scratch(spark, "repair")
+    table, mark = scratch(spark, "events"), scratch(spark, "mark")
+    pending = landing.list_sink_files(spark, f"{path}/*/*.json.gz")
+    outcomes = repair.repair_landing(spark, f"{path}/*/*.json.gz", pending, out, swap=True)
+    fixed = outcomes.groupBy(F.element_at(F.split("file", "/"), -2).alias("stream")).agg(
+        F.count_if(F.col("status") == "fixed").alias("fixed"), F.count(F.lit(1)).alias("broken")
+    )
+    load.load_events(spark, path, table, mark)
+    loaded = flatten(load.read_loaded(spark, table)).groupBy("stream").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("timepoint").alias("timepoints"),
+        F.min("timepoint").alias("lo"), F.max("timepoint").alias("hi"),
+    )
+    return loaded.join(fixed, "stream")
+
+
 def _padded(df: DataFrame) -> DataFrame:
     """Names of equal length, so that name order is file order."""
     return df.withColumn("file", v._file(v.STREAM, v.number_of(F.col("file"))))
@@ -585,7 +675,7 @@ def resume_offset(spark, sf):
 
 @_query
 def boundary_check(spark, sf):
-    return lin.boundary_check(_padded(lin.file_first_last(_lines(spark, sf))))
+    return lin.boundary_check(pin(_padded(lin.file_first_last(_lines(spark, sf))), "ends"))
 
 
 @_query
@@ -606,9 +696,8 @@ def repair_files(spark, sf):
 @_query
 def repair_outcomes(spark, sf):
     lines, repaired = _repair(spark, sf)
-    return repair.repair_outcomes(
-        lin.classify_files(lines), lin.boundary_check(lin.file_first_last(lines)), repaired
-    )
+    ends = pin(lin.file_first_last(lines), "ends")
+    return repair.repair_outcomes(lin.classify_files(lines), lin.boundary_check(ends), repaired)
 
 
 # --- Accounts ---
@@ -647,10 +736,37 @@ def export_accounts(spark, sf):
 # --- Register ---
 
 
+def _filled(df: DataFrame) -> DataFrame:
+    """A scan without the columns that the derived files leave empty."""
+    given = [c for c in v._REGISTER if set(v._REGISTER[c]) <= set(df.columns)][0]
+    rejected = F.to_json("_rejected").alias("rejected")
+    return df.select(*v._REGISTER[given], rejected)
+
+
 @_query
 def scan_register(spark, sf):
     path = v.land_register(spark, sf)
-    return reg_src.scan_register(spark, "charity", path)
+    return _filled(reg_src.scan_register(spark, "charity", path))
+
+
+@_query
+def scan_register_trustee(spark, sf):
+    path = v.land_register(spark, sf, "charity_trustee")
+    return _filled(reg_src.scan_register(spark, "charity_trustee", path))
+
+
+@_query
+def scan_register_json(spark, sf):
+    path = v.land_register(spark, sf, "charity_policy", json_array=True)
+    return _filled(reg_src.scan_register(spark, "charity_policy", path, json_array=True))
+
+
+@_query
+def register_rejects(spark, sf):
+    """How many values of each column did not fit, over the tables."""
+    return reg_src.rejected_rows(
+        {n: reg_src.scan_register(spark, n, v.land_register(spark, sf, n)) for n in v._REGISTER}
+    )
 
 
 @_query
@@ -706,7 +822,7 @@ def export_snapshot(spark, sf):
 def export_split(spark, sf):
     """The log in parts of 64 KiB of parquet, read back."""
     out = scratch(spark, "split")
-    rows = v.events(spark, sf).select(*_ROW)
+    rows = pin(v.events(spark, sf).select(*_ROW), "log")
     export.export_split(rows, out, file_bytes=64 * 1024)
     return spark.read.parquet(out)
 
@@ -722,14 +838,23 @@ def export_sample(spark, sf):
 
 @_query
 def export_manifest(spark, sf):
-    out = scratch(spark, "described")
-    done = export.export_snapshot(
-        v.events(spark, sf), out, "csv", "zstd", "the log", daily=True
-    )
-    return done.select(
-        F.size("files").cast("bigint").alias("files"),
+    """Both layouts of one export; the entries, and what the list of their files adds up to."""
+    log = pin(v.events(spark, sf).repartition(3), "log")
+    done = []
+    for layout in ("single", "parts"):
+        out = scratch(spark, layout)
+        entry = export.export_snapshot(log, out, "csv", "zstd", "the log", layout, daily=True)
+        listed = export.export_manifest(spark, out, "csv").agg(
+            F.count(F.lit(1)).alias("listed"), F.sum("rows").alias("listed_rows"),
+            F.sum("bytes").alias("listed_bytes"),
+        )
+        done.append(entry.withColumns({c: listed.select(c).scalar() for c in listed.columns}))
+    return reduce(DataFrame.unionByName, done).select(
+        "file_count",
+        "listed",
         "count",
-        (F.col("total_size_bytes") > 0).alias("filled"),
+        "listed_rows",
+        (F.col("total_size_bytes") == F.col("listed_bytes")).alias("same_bytes"),
         "format",
         "extension",
         "compression",

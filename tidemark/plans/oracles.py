@@ -40,8 +40,10 @@ _RANGES = (
     _DOUBLED
     + """,
 rng as (
-  select file, file_no as idx, min(timepoint) as lo,
-    max(timepoint) + case when file_no % 7 = 3 then 40 else 0 end as hi
+  select file, file_no as idx,
+    min(timepoint) - case when file_no % 60 = 13 then 500 else 0 end as lo,
+    max(timepoint) + case when file_no % 60 = 6 then 1100 when file_no % 60 = 15 then 500
+                          when file_no % 7 = 3 then 40 else 0 end as hi
   from log group by file, file_no)"""
 )
 
@@ -59,6 +61,24 @@ idx as (
   from sink group by file)"""
 )
 
+# Files of three streams that begin with the last 30 events of the file before.
+_OVERLAPPING = (
+    _SINK
+    + """,
+over as (
+  select * from sink
+  union all
+  select * replace (file_no + 1 as file_no,
+    concat('/sink/', split_part(file, '/', 3), '/',
+      lpad(cast(file_no + 1 as varchar), 8, '0'), '.json.gz') as file)
+  from sink where (timepoint % 500 > 470 or timepoint % 500 = 0)
+    and file_no < (select max(file_no) from sink)),
+orng as (
+  select split_part(file, '/', 3) as stream, file, min(timepoint) as lo, max(timepoint) as hi,
+    row_number() over (partition by split_part(file, '/', 3) order by file) - 1 as idx
+  from over group by file)"""
+)
+
 _FILES = (
     _LOG
     + """,
@@ -169,14 +189,17 @@ accounts as (
          then 'Accounts_Monthly_Data-x.zip' else 'Accounts_Bulk_Data-x.zip' end as zip_url,
     'x.csv' as csv_name
   from orders),
+spans as (
+  select zip_start as first_day, zip_end as last_day from accounts
+  where not contains(zip_url, 'Accounts_Bulk_Data-')),
+-- Spans open on a day: those begun by then less those that ended before.
+open_on as (
+  select day, (select count(*) from spans where first_day <= day)
+    - (select count(*) from spans where last_day < day) as n
+  from (select distinct zip_start as day from accounts)),
 kept as (
-  select * from accounts d
-  where d.zip_url not like '%Accounts_Bulk_Data-%'
-     or not exists (
-       select 1 from (
-         select distinct zip_start, zip_end from accounts
-         where zip_url not like '%Accounts_Bulk_Data-%') m
-       where d.zip_start >= m.zip_start and d.zip_start <= m.zip_end))"""
+  select a.* from accounts a join open_on o on o.day = a.zip_start
+  where o.n = 0 or not contains(a.zip_url, 'Accounts_Bulk_Data-'))"""
 
 _LANDED_ACCOUNTS = """
 select cast(o_orderkey as varchar) as company_id, cast(o_orderdate as date) as date,
@@ -248,6 +271,12 @@ def oracle_sql() -> dict[str, str]:
         f"""select {_ROW} from (select * from log where timepoint > 500)
         qualify row_number() over (partition by resource_uri order by timepoint desc) = 1""",
     )
+    sql["latest_by_join_first"] = _with(
+        _LOG,
+        f"""select {_ROW} from (select * replace (timepoint - 1 as timepoint) from log)
+        where timepoint < 700
+        qualify row_number() over (partition by resource_uri order by timepoint desc) = 1""",
+    )
     sql["snapshot_counts"] = _with(
         _LATEST,
         "select count(*) as row_count, count(distinct timepoint) as distinct_timepoints from latest",
@@ -399,12 +428,19 @@ def oracle_sql() -> dict[str, str]:
         _SINK,
         "select filename, min, max from idx where stream = 'officers' and max >= 500 order by min",
     )
-    for name in ("replay_events", "replay_events_raw"):
-        sql[name] = _with(
-            _SINK,
-            f"""select file, {_ROW} from sink
-            where split_part(file, '/', 3) = 'officers' and timepoint >= 503""",
-        )
+    sql["replay_events"] = _with(
+        _SINK,
+        f"""select file, {_ROW} from sink
+        where split_part(file, '/', 3) = 'officers' and timepoint >= 503""",
+    )
+    # Files by their least timepoint, each as it is; only the first one is trimmed.
+    sql["replay_events_raw"] = _with(
+        _OVERLAPPING,
+        f"""select file, {_ROW}, row_number() over (order by lo, file, timepoint) - 1 as place
+        from over join (select file, lo, rank() over (order by lo, file) as turn from orng
+                        where stream = 'officers' and hi >= 503) using (file)
+        where turn > 1 or timepoint >= 503""",
+    )
     sql["replay_smoke"] = _with(
         _SINK,
         """select count(*) as events, count(*) filter (where timepoint <> prev + 1) as breaks
@@ -418,6 +454,21 @@ def oracle_sql() -> dict[str, str]:
         """select file, row_number() over (order by file) - 1 as idx, lo, hi from (
           select file, min(timepoint) as lo, max(timepoint) as hi from damaged group by file)""",
     )
+    sql["file_ranges_streams"] = _with(_OVERLAPPING, "select file, idx, lo, hi from orng")
+    sql["file_neighbours_streams"] = _with(
+        _OVERLAPPING,
+        """select file, lag(file) over w as prev_file, lag(hi) over w as prev_hi,
+        lead(file) over w as next_file, lead(lo) over w as next_lo
+        from orng window w as (partition by stream order by idx)""",
+    )
+    sql["overlap_pairs_streams"] = _with(
+        _OVERLAPPING,
+        """select earlier, later, width from (
+          select e.file as earlier, l.file as later, least(e.hi, l.hi) - greatest(e.lo, l.lo) + 1 as width,
+            row_number() over (partition by l.file order by e.hi desc, e.idx desc) as n
+          from orng e join orng l on e.stream = l.stream and e.idx < l.idx and e.hi >= l.lo)
+        where n = 1""",
+    )
     sql["file_neighbours"] = _with(
         _RANGES,
         """select file, lag(file) over w as prev_file, lag(hi) over w as prev_hi,
@@ -436,26 +487,30 @@ def oracle_sql() -> dict[str, str]:
         lo <= d_hi and hi >= d_lo as contains_duplicate, lo = d_lo and hi = d_hi as exact_match
         from rng cross join {dup}""",
     )
+    # Of all earlier files that reach into a later one, the one that reaches furthest.
+    furthest = """
+      select e.file as earlier, l.file as later, e.lo as e_lo, e.hi as e_hi, e.idx as e_idx,
+        l.lo as l_lo, l.hi as l_hi, l.idx as l_idx, greatest(e.lo, l.lo) as both_lo,
+        least(e.hi, l.hi) as both_hi
+      from rng e join rng l on e.idx < l.idx and e.hi >= l.lo {}
+      qualify row_number() over (partition by l.file order by e.hi desc, e.idx desc) = 1"""
     sql["overlap_pairs"] = _with(
         _RANGES,
-        """select e.file as earlier, l.file as later, e.hi - l.lo + 1 as width
-        from rng e join rng l on e.idx < l.idx and e.hi >= l.lo""",
+        f"select earlier, later, both_hi - both_lo + 1 as width from ({furthest.format('')})",
     )
+    holds = "and 2010 between e.lo and e.hi and 2010 between l.lo and l.hi"
     sql["overlap_pairs_at"] = _with(
         _RANGES,
-        """select e.file as earlier, l.file as later, e.hi - l.lo + 1 as width
-        from rng e join rng l on e.idx < l.idx and e.hi >= l.lo
-        where 2010 between l.lo and e.hi and l.hi >= 2010""",
+        f"select earlier, later, both_hi - both_lo + 1 as width from ({furthest.format(holds)})",
     )
     sql["overlap_recommendation"] = _with(
         _RANGES
         + f""",
         pairs as (
-          select e.file as earlier, l.file as later, e.lo as e_lo, e.hi as e_hi,
-            l.lo as l_lo, l.hi as l_hi, b.hi as b_hi, a.lo as a_lo,
-            coalesce(b.hi + 1, e.lo) as expected_lo, coalesce(a.lo - 1, l.hi) as expected_hi
-          from rng e join rng l on l.idx = e.idx + 1 and e.hi >= l.lo
-          left join rng b on b.idx = e.idx - 1 left join rng a on a.idx = l.idx + 1),
+          select p.*, b.hi as b_hi, a.lo as a_lo, coalesce(b.hi + 1, e_lo) as expected_lo,
+            coalesce(a.lo - 1, l_hi) as expected_hi
+          from ({furthest.format('')}) p
+          left join rng b on b.idx = e_idx - 1 left join rng a on a.idx = l_idx + 1),
         judged as (
           select *, l_lo = expected_lo and l_hi = expected_hi as l_fits,
             e_lo = expected_lo and e_hi = expected_hi as e_fits from pairs)""",
@@ -465,8 +520,8 @@ def oracle_sql() -> dict[str, str]:
           case when l_fits and not e_fits then 'later file fills the gap'
                when e_fits and not l_fits then 'earlier file fills the gap'
                else 'later file captures again what the earlier one holds' end as reason,
-          e_lo - b_hi - 1 as gap_before, e_hi - l_lo + 1 as overlap_width,
-          a_lo - l_hi - 1 as gap_after, d_lo between l_lo and e_hi as holds_duplicate
+          e_lo - b_hi - 1 as gap_before, both_hi - both_lo + 1 as overlap_width,
+          a_lo - l_hi - 1 as gap_after, d_lo between both_lo and both_hi as holds_duplicate
         from judged cross join {dup}""",
     )
 
@@ -476,12 +531,24 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["confirm_double_load"] = _with(
         _RANGES
-        + ", bounds as (select min(lo) as lo, max(hi) as hi from rng where idx between 1 and 2)",
-        f"""select lo = d_lo and hi = d_hi as range_match, true as contiguous,
-          (select count(*) from (select timepoint from doubled, bounds
-             where timepoint between lo and hi group by 1 having count(*) > 1)) = hi - lo + 1
-             as all_duplicated, true as all_in_ledger
-        from bounds cross join {dup}""",
+        + """, files as (select distinct file, file_no from log),
+        ledger as (select file from files where file_no <= 11 and file_no <> 5),
+        dups as (select timepoint from doubled group by 1 having count(*) > 1),
+        cases as (select * from (values ('both', [1, 2]), ('one more', [1, 2, 3]), ('gap', [1, 4]),
+          ('not loaded', [1, 5])) c("case", members)),
+        chosen as (
+          select "case", r.*, lag(hi) over (partition by "case" order by lo, hi, file) as prev_hi
+          from cases join rng r on list_contains(members, r.idx)),
+        bounds as (
+          select "case", min(lo) as lo, max(hi) as hi,
+            bool_and(coalesce(lo = prev_hi + 1, prev_hi is null)) as contiguous,
+            bool_and(file in (select file from ledger)) as all_in_ledger
+          from chosen group by "case")""",
+        """select "case", lo = (select min(timepoint) from dups) and hi = (select max(timepoint) from dups)
+            as range_match, contiguous,
+          (select count(*) from dups where timepoint between lo and hi) = hi - lo + 1 as all_duplicated,
+          all_in_ledger
+        from bounds""",
     )
     sql["correction_plan"] = _with(
         _RANGES,
@@ -515,14 +582,19 @@ def oracle_sql() -> dict[str, str]:
         """select timepoint, type, published_at, resource_kind, resource_id, resource_uri, data,
         file_no from log""",
     )
-    # A tolerant scan keeps the first of two objects on one line.
     sql["scan_events_tolerant"] = _with(
         _LINES,
-        """select timepoint, resource_uri, file_no from log
-        where not (file_no % 10 = 6 and timepoint % 500 = 0)
-          and not (file_no % 5 = 2 and timepoint % 500 = 250)""",
+        """select file_no, tp as timepoint,
+          case when l.ok then json_extract_string(try_cast(line as json), '$.resource_uri') end
+            as resource_uri,
+          case when not l.ok then line end as corrupt
+        from lines l join parsed using (file_no, line_no)""",
+    )
+    sql["list_sink_files"] = _with(
+        _LOG,
+        """select file_no, count(*) as lines, count(*) > 0 as same_length, count(*) > 0 as dated
+        from log group by file_no""",
     )
-    sql["list_sink_files"] = _with(_FILES, "select file_no, true as filled from files")
     sql["load_events"] = _with(_LOG, f"select file_no, {_ROW} from log")
     sql["compact_loaded"] = sql["load_events"]
     sql["correct_loaded"] = sql["load_events"]
@@ -537,13 +609,6 @@ def oracle_sql() -> dict[str, str]:
         _LOG,
         "select count(*) as row_count, min(timepoint) as lo, max(timepoint) as hi from log",
     )
-    sql["unzip_landing"] = _with(
-        _LOG,
-        f"""select file_no, concat('events/', cast(file_no as varchar), '.json') as member,
-        cast(sum(strlen({_LINE}) + 1) as bigint) as bytes, count(*) as lines
-        from log group by file_no""",
-    )
-
     # Lines and repair
     sql["number_lines"] = _with(_LINES, "select file_no, line_no, line, ok from lines")
     sql["clean_landing"] = _with(
@@ -559,7 +624,23 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["file_first_last"] = _with(_LINES, "select file_no, first_tp, last_tp from first_last")
     sql["resume_offset"] = _with(
-        _LINES, "select arg_max(last_tp, file_no) + 1 as next_timepoint from first_last"
+        _LINES,
+        """select 'companies' as stream, arg_max(last_tp, file_no) + 1 as next_timepoint
+        from first_last""",
+    )
+    streams = _SINK + """,
+      own as (select * replace (timepoint // 3 as timepoint),
+          split_part(file, '/', 3) as stream, split_part(file, '/', 4) as name from sink),
+      ends as (select stream, concat(stream, '/', name) as file, min(timepoint) as min,
+          max(timepoint) as max from own group by stream, name)"""
+    sql["resume_offset_streams"] = _with(
+        streams, "select stream, arg_max(max, file) + 1 as next_timepoint from ends group by stream"
+    )
+    sql["boundary_check_streams"] = _with(
+        streams,
+        """select file, max as last_tp, lead(min) over w as next_first_tp,
+          lead(min) over w = max + 1 as ok
+        from ends window w as (partition by stream order by file)""",
     )
     sql["boundary_check"] = _with(
         _LINES, "select file, last_tp, next_first_tp, ok from boundary join names using (file_no)"
@@ -571,8 +652,20 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["repair_files"] = _with(
         _LINES,
-        """select file, line_no - 1 as kept_lines, true as verified
-        from classified join names using (file_no) where kind = 'broken_at_end'""",
+        """select file, c.line_no - 1 as kept_lines,
+          count(l.line_no) filter (where l.ok) = c.line_no - 1 as verified
+        from classified c join names using (file_no)
+        left join lines l on l.file_no = c.file_no and l.line_no < c.line_no
+        where kind = 'broken_at_end' group by all""",
+    )
+    # A cut extra line takes nothing from the events, so all broken files can be repaired.
+    sql["repair_landing"] = _with(
+        streams,
+        """select stream, count(*) as rows, count(distinct timepoint) as timepoints,
+          min(timepoint) as lo, max(timepoint) as hi,
+          count(distinct file_no) filter (where file_no % 10 = 1) as fixed,
+          count(distinct file_no) filter (where file_no % 10 = 1) as broken
+        from own group by stream""",
     )
     sql["repair_outcomes"] = _with(
         _LINES,
@@ -601,13 +694,69 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # Register
-    sql["scan_register"] = """
-      select date '2024-01-31' as date_of_extract, cast(c_custkey as integer) as organisation_number,
-        c_nationkey as linked_charity_number, c_name as charity_name,
-        cast(c_acctbal as decimal(18, 2)) as latest_income,
-        case when c_nationkey = 0 then null else c_nationkey < 9 end as charity_insolvent,
-        concat(c_mktsegment, chr(9), 'says "so"', chr(10), 'and more') as charity_activities
-      from customer"""
+    def register(columns: dict[str, str], misfits: dict[str, str]) -> str:
+        """Columns of a scan, and the values that did not fit as JSON."""
+        found = ", ".join(
+            f"""case when {test} then '"{c}":"' || ({text}) || '"' end"""
+            for c, (test, text) in misfits.items()
+        )
+        listed = ", ".join(f"{e} as {c}" for c, e in columns.items())
+        return (
+            f"select {listed}, '{{' || nullif(concat_ws(',', {found}), '') || '}}' as rejected "
+            "from customer"
+        )
+
+    extract, organisation = "date '2024-01-31'", "cast(c_custkey as integer)"
+    sql["scan_register"] = register(
+        {
+            "date_of_extract": extract,
+            "organisation_number": organisation,
+            "registered_charity_number":
+                "case when c_custkey % 50 <> 7 then cast(c_custkey + 1 as integer) end",
+            "linked_charity_number": "c_nationkey",
+            "charity_name": "c_name",
+            "date_of_registration": "case when c_custkey % 40 <> 3 then date '2001-02-03' end",
+            "latest_income": "cast(c_acctbal as decimal(18, 2))",
+            "charity_insolvent": "case when c_nationkey = 0 then null else c_nationkey < 9 end",
+            "charity_activities":
+                "concat(c_mktsegment, chr(9), 'says \"so\"', chr(10), 'and more')",
+        },
+        {
+            "registered_charity_number": ("c_custkey % 50 = 7", "'none'"),
+            "date_of_registration": ("c_custkey % 40 = 3", "'31/01/2024'"),
+        },
+    )
+    sql["scan_register_trustee"] = register(
+        {
+            "date_of_extract": extract,
+            "organisation_number": organisation,
+            "trustee_id": "cast(c_custkey * 3 as integer)",
+            "trustee_name": "c_name",
+            "trustee_is_chair": "c_custkey % 3 = 0",
+            "trustee_date_of_appointment":
+                "case when c_custkey % 30 <> 4 then date '2011-12-13' end",
+        },
+        {"trustee_date_of_appointment": ("c_custkey % 30 = 4", "'unknown'")},
+    )
+    sql["scan_register_json"] = register(
+        {
+            "date_of_extract": extract,
+            "organisation_number": organisation,
+            "linked_charity_number": "case when c_custkey % 20 <> 5 then 0 end",
+            "policy_name": "c_mktsegment",
+        },
+        {"linked_charity_number": ("c_custkey % 20 = 5", "'x1'")},
+    )
+    rejects = (
+        ("charity", "registered_charity_number", "c_custkey % 50 = 7"),
+        ("charity", "date_of_registration", "c_custkey % 40 = 3"),
+        ("charity_trustee", "trustee_date_of_appointment", "c_custkey % 30 = 4"),
+        ("charity_policy", "linked_charity_number", "c_custkey % 20 = 5"),
+    )
+    sql["register_rejects"] = " union all ".join(
+        f"""select '{t}' as "table", '{c}' as "column", count(*) as rows from customer where {test}"""
+        for t, c, test in rejects
+    )
     sql["register_counts"] = " union all ".join(
         f"select '{t}' as \"table\", count(*) as record_count from {t}"
         for t in ("customer", "supplier", "nation")
@@ -646,8 +795,11 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["export_manifest"] = _with(
         _LOG,
-        """select cast(1 as bigint) as files, count(*) as count, true as filled, 'csv' as format,
-        '.csv.gz' as extension, 'gzip' as compression, 'daily,single' as labels from log""",
+        """select cast(files as bigint) as file_count, cast(files as bigint) as listed,
+          count(*) as count, count(*) as listed_rows, true as same_bytes, 'csv' as format,
+          '.csv.gz' as extension, 'gzip' as compression, labels
+        from log, (values (1, 'daily,single'), (3, 'daily')) layouts(files, labels)
+        group by files, labels""",
     )
     sql["publish_snapshot"] = _with(
         _LATEST

@@ -6,15 +6,10 @@ The SQL twins of these views are in ``oracles``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.files import open_fs
+from tidemark.functions.files import place_parts
 from tidemark.session import scratch
 
 EVENTS_PER_FILE = 500
@@ -80,12 +75,24 @@ def double_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File ranges in which every seventh file reaches 40 timepoints into the next."""
+    """File ranges, some of which reach into others.
+
+    Every seventh file reaches 40 timepoints into the next.  Of every sixty, one holds
+    the next two whole, one holds the file before it as well, and one the file after.
+    """
     return (
         log(spark, sf_dir)
         .groupBy("file", F.col("file_no").alias("idx"))
         .agg(F.min("timepoint").alias("lo"), F.max("timepoint").alias("hi"))
-        .withColumn("hi", F.col("hi") + F.expr("case when idx % 7 = 3 then 40 else 0 end"))
+        .withColumns(
+            {
+                "lo": F.expr("lo - case when idx % 60 = 13 then 500 else 0 end"),
+                "hi": F.expr(
+                    "hi + case when idx % 60 = 6 then 1100 when idx % 60 = 15 then 500"
+                    " when idx % 7 = 3 then 40 else 0 end"
+                ),
+            }
+        )
     )
 
 
@@ -101,6 +108,23 @@ def sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def overlapping_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sink, whose files begin with the last 30 events of the file before.
+
+    ``position`` is the place of an event in its file.
+    """
+    ev = sink(spark, sf_dir)
+    again = ev.where("timepoint % 500 > 470 or timepoint % 500 = 0").withColumn(
+        "file_no", F.col("file_no") + 1
+    )
+    # Only into files that there are.
+    last = ev.agg(F.max("file_no")).head()[0]
+    again = again.where(F.col("file_no") <= last).withColumn(
+        "file", _file(F.element_at(F.split("file", "/"), -2), F.col("file_no"))
+    )
+    return ev.unionByName(again).withColumn("position", F.col("timepoint") * 2)
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log(spark, sf_dir).select("file", "file_no").distinct()
 
@@ -275,43 +299,6 @@ def land_lines(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def land_zips(spark: SparkSession, sf_dir: str) -> str:
-    """The lines of each file of the log in a zip archive of its own."""
-    path = scratch(spark, "zips")
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        target_fs, target = open_fs(path)
-        target_fs.create_dir(target, recursive=True)
-
-        def close(number: int, text: io.StringIO) -> pd.DataFrame:
-            with (
-                target_fs.open_output_stream(f"{target}/{number}.zip") as sink,
-                zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive,
-            ):
-                archive.writestr(f"events/{number}.json", text.getvalue())
-            return pd.DataFrame({"file_no": [number]})
-
-        # Rows come sorted by file; a file is five hundred lines.
-        number, text = None, io.StringIO()
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                if row.file_no != number:
-                    if number is not None:
-                        yield close(number, text)
-                    number, text = row.file_no, io.StringIO()
-                text.write(row.line + "\n")
-        if number is not None:
-            yield close(number, text)
-
-    lines = log(spark, sf_dir).select(
-        "file_no", F.col("timepoint").alias("pos"), F.expr(_LINE).alias("line")
-    )
-    _by_file(lines).mapInPandas(pack, "file_no bigint").write.format("noop").mode(
-        "overwrite"
-    ).save()
-    return path
-
-
 def land_accounts(spark: SparkSession, sf_dir: str) -> str:
     """Orders as accounts CSV, one folder of parts per month; pending ones report an error."""
     from tidemark.sources.accounts import accounts_schema
@@ -352,25 +339,94 @@ def land_accounts(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def land_register(spark: SparkSession, sf_dir: str) -> str:
-    """Customers as the main register table, with tabs and line breaks inside fields."""
-    path = scratch(spark, "register")
+def land_streams(spark: SparkSession, sf_dir: str) -> str:
+    """Lines of the log as gzip files ``<stream>/<number>.json.gz`` of three streams.
+
+    Each stream counts its own timepoints.  Of every ten files one ends in a cut extra line.
+    """
+    path = scratch(spark, "streams")
+    staged = scratch(spark, "staged")
+    own = sink(spark, sf_dir).withColumn("timepoint", F.expr("timepoint div 3"))
+    ev = own.withColumns(
+        {
+            "line": F.expr(_LINE),
+            "pos": F.col("timepoint") * 2,
+            "stream": F.element_at(F.split("file", "/"), -2),
+            "name": F.element_at(F.split("file", "/"), -1),
+        }
+    )
+    cut = ev.where("file_no % 10 = 1").groupBy("stream", "name").agg(
+        (F.max("pos") + 1).alias("pos"), F.lit('{"event":{"timep').alias("line")
+    )
     (
-        table(spark, sf_dir, "customer")
-        .select(
-            F.lit("2024-01-31").alias("date_of_extract"),
-            F.col("c_custkey").alias("organisation_number"),
-            F.col("c_nationkey").alias("linked_charity_number"),
-            F.col("c_name").alias("charity_name"),
-            F.col("c_acctbal").alias("latest_income"),
-            F.expr("if(c_nationkey = 0, null, if(c_nationkey < 9, 'True', 'False'))").alias(
-                "charity_insolvent"
-            ),
-            F.concat("c_mktsegment", F.lit("\tsays \"so\"\nand more")).alias(
-                "charity_activities"
-            ),
+        ev.select("stream", "name", "pos", "line")
+        .unionByName(cut.select("stream", "name", "pos", "line"))
+        .repartition("stream", "name")
+        .sortWithinPartitions("stream", "name", "pos")
+        .select("stream", "name", "line")
+        .write.partitionBy("stream", "name")
+        .option("compression", "gzip")
+        .text(staged)
+    )
+    place_parts(spark, staged, path)
+    return path
+
+
+_REGISTER = {
+    "charity": {
+        "date_of_extract": "'2024-01-31'",
+        "organisation_number": "c_custkey",
+        "registered_charity_number": "if(c_custkey % 50 = 7, 'none', c_custkey + 1)",
+        "linked_charity_number": "c_nationkey",
+        "charity_name": "c_name",
+        "date_of_registration": "if(c_custkey % 40 = 3, '31/01/2024', '2001-02-03')",
+        "latest_income": "c_acctbal",
+        "charity_insolvent": "if(c_nationkey = 0, null, if(c_nationkey < 9, 'True', 'False'))",
+        "charity_activities": "concat(c_mktsegment, '\tsays \"so\"\nand more')",
+    },
+    "charity_trustee": {
+        "date_of_extract": "'2024-01-31'",
+        "organisation_number": "c_custkey",
+        "trustee_id": "c_custkey * 3",
+        "trustee_name": "c_name",
+        "trustee_is_chair": "if(c_custkey % 3 = 0, 'True', 'False')",
+        "trustee_date_of_appointment": "if(c_custkey % 30 = 4, 'unknown', '2011-12-13')",
+    },
+    "charity_policy": {
+        "date_of_extract": "'2024-01-31'",
+        "organisation_number": "c_custkey",
+        "linked_charity_number": "if(c_custkey % 20 = 5, 'x1', '0')",
+        "policy_name": "c_mktsegment",
+    },
+}
+
+
+def land_register(
+    spark: SparkSession, sf_dir: str, name: str = "charity", json_array: bool = False
+) -> str:
+    """Customers as a register table, as tab-separated text or as JSON arrays.
+
+    Fields have tabs and line breaks in them, and some values do not fit their type.
+    """
+    from tidemark.sources.register import register_schema
+
+    path = scratch(spark, "register")
+    given = _REGISTER[name]
+    columns = [
+        F.expr(f"cast({given.get(f.name, 'null')} as string)").alias(f.name)
+        for f in register_schema(name)
+    ]
+    rows = table(spark, sf_dir, "customer").select(*columns)
+    if json_array:
+        # One array for each of four files.
+        part = F.pmod(F.xxhash64("organisation_number"), F.lit(4))
+        arrays = rows.groupBy(part.alias("part")).agg(
+            F.to_json(F.collect_list(F.struct("*"))).alias("value")
         )
-        .repartition(4)
+        arrays.select("value").repartition(4).write.text(path)
+        return path
+    (
+        rows.repartition(4)
         .write.option("sep", "\t")
         .option("header", True)
         .option("escape", '"')

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.files import hadoop_path
+
 _LOCAL_ROOTS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -37,8 +42,29 @@ def work_root(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the shared root; nothing is ever reused or cleared."""
-    return f"{work_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name under the shared root; nothing is ever reused."""
+    path = f"{work_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders that a job makes when it ends, also when it fails.
+
+    For jobs that write their result: a DataFrame that still reads a pinned part must
+    not leave the block.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for name in made:
+            fs, path = hadoop_path(spark, name)
+            fs.delete(path, True)
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:

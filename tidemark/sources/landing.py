@@ -2,47 +2,71 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.json import json_ok
+from tidemark.functions.json import json_ok, parse_one
 from tidemark.operators.events import flatten
 from tidemark.schemas import EVENT_DDL
 
 Paths = str | Sequence[str]
 _WHITESPACE = " \t\r\n\f\v"
+_PIECE = 1 << 20
 
 
 def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def _text_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    lines = spark.read.text(_paths(paths)).select(
+        trimmed(F.col("value")).alias("line"), F.col("_metadata.file_path").alias("file")
+    )
+    return lines.where("line <> ''")
+
+
 def scan_events(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Stored layout plus ``file``; malformed lines fail the job.
+    """Stored layout plus ``file``; a line that is not one whole object fails the job.
 
-    Blank heartbeat lines and lines without a timepoint (error objects) are
-    dropped.  ``data`` keeps the raw text of its object.
+    The JSON reader fails on malformed lines but stops reading a line after its first
+    object, so a second look at the text fails on two objects in one line and on text
+    behind an object.  Blank heartbeat lines and lines without a timepoint (error
+    objects) are dropped.  ``data`` keeps the raw text of its object.
     """
-    return (
+    events = (
         spark.read.schema(EVENT_DDL)
         .option("mode", "FAILFAST")
         .json(_paths(paths))
         .withColumn("file", F.col("_metadata.file_path"))
-        .where(F.col("event.timepoint").isNotNull())
     )
+    bad = F.concat(
+        F.lit("malformed line in "), F.col("file"), F.lit(": "), F.substring("line", 1, 200)
+    )
+    # Never gives a row.  The columns come from the line, so that no filter on them can
+    # prove this side empty and drop the test.
+    refused = (
+        _text_lines(spark, paths)
+        .where(F.when(~json_ok(F.col("line")), F.raise_error(bad).cast("boolean")).otherwise(False))
+        .select(F.from_json("line", EVENT_DDL).alias("parsed"), "file")
+        .select("parsed.*", "file")
+    )
+    return events.where(F.col("event.timepoint").isNotNull()).unionByName(refused)
 
 
 def scan_events_tolerant(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Same columns plus ``_corrupt_record``; malformed lines stay as rows of NULLs."""
-    return (
-        spark.read.schema(f"{EVENT_DDL}, _corrupt_record string")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(_paths(paths))
-        .withColumn("file", F.col("_metadata.file_path"))
+    """Same columns plus ``_corrupt_record``: malformed lines stay, as their text and NULLs.
+
+    ``data`` is written anew, without white space between its tokens.
+    """
+    lines = _text_lines(spark, paths).withColumn(
+        "parsed", parse_one(F.col("line"), f"struct<{EVENT_DDL}>")
     )
+    corrupt = F.when(F.col("parsed").isNull(), F.col("line"))
+    return lines.select("parsed.*", "file", corrupt.alias("_corrupt_record"))
 
 
 def scan_flat(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -90,15 +114,53 @@ def trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(_WHITESPACE))
 
 
+def cut_files(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``file`` of gzip files that end before their last block is complete.
+
+    What can be read of them comes as whole lines, so the lines do not tell.
+    """
+
+    def incomplete(batches):
+        for batch in batches:
+            cut = []
+            for content in batch["content"]:
+                stream = zlib.decompressobj(31)
+                rest = content.as_buffer()
+                whole = False
+                try:
+                    # Pieces bound what is decompressed at a time; members may follow each other.
+                    for at in range(0, len(rest), _PIECE):
+                        piece = rest[at : at + _PIECE].to_pybytes()
+                        while piece:
+                            if whole:
+                                stream, whole = zlib.decompressobj(31), False
+                            stream.decompress(piece)
+                            piece, whole = stream.unused_data, stream.eof
+                except zlib.error:
+                    whole = False
+                cut.append(not whole)
+            yield pa.record_batch([batch["file"].filter(pa.array(cut, pa.bool_()))], ["file"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(_paths(paths))
+    # A few files at a time: their whole content is in memory.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    return files.select(F.col("path").alias("file"), "content").mapInArrow(
+        incomplete, "file string"
+    )
+
+
 def read_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     """Non-empty trimmed lines: ``file, block, id, line, ok``.
 
+    For diagnosis: of a gzip file that was cut off, the lines before the cut.
+
     ``block`` is the start of the split a line was read from and ``id`` grows
     along it without holes, so (``block``, ``id``) orders the lines of a file.
     ``id`` depends on how the scan was split: ``pin`` the lines before they are
     joined with something derived from them.
     """
-    text = spark.read.option("lineSep", "\n").text(_paths(paths))
+    reader = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", True)
+    text = reader.text(_paths(paths))
     lines = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

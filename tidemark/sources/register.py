@@ -2,46 +2,71 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.schemas import REGISTER_TABLES, REGISTER_TYPE_RULES
+from tidemark.schemas import REGISTER_DDL
 from tidemark.sources.landing import Paths, _paths
 
+REJECTED = "_rejected"
 
-def column_type(name: str) -> str:
-    """Type of a register column, by its name."""
-    return next(t for pattern, t in REGISTER_TYPE_RULES if re.search(pattern, name))
+
+def register_schema(table: str) -> T.StructType:
+    """Documented columns of a register table."""
+    if table not in REGISTER_DDL:
+        raise ValueError(f"unknown register table {table!r}")
+    return T.StructType.fromDDL(REGISTER_DDL[table])
 
 
 def scan_register(
     spark: SparkSession, table: str, paths: Paths, json_array: bool = False
 ) -> DataFrame:
-    """One register table with typed columns; a value that does not fit its type is NULL.
+    """One register table with its documented columns, and ``_rejected``.
 
-    Names come from the header line, types from the names, so no pass over the
-    data infers anything.  Fields may hold tabs and line breaks in quotes, so a
-    file is read by one task; land large tables as several files.
+    A file whose header is not exactly the documented one, in order, fails the job;
+    of JSON objects fields go by name.  A value that does not fit its type is NULL
+    and stands in ``_rejected`` (column name to text), which is NULL for sound rows.
+    Nothing is inferred, so the data is read once.  Fields may hold tabs and line
+    breaks in quotes, so a file is read by one task; land large tables as several files.
     """
-    if table not in REGISTER_TABLES:
-        raise ValueError(f"unknown register table {table!r}")
+    schema = register_schema(table)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    reader = spark.read.schema(text).option("multiLine", True)
     if json_array:
-        raw = spark.read.option("multiLine", True).option("primitivesAsString", True).json(
-            _paths(paths)
-        )
+        raw = reader.option("mode", "FAILFAST").json(_paths(paths))
     else:
         raw = (
-            spark.read.option("sep", "\t")
+            reader.option("sep", "\t")
             .option("header", True)
-            .option("multiLine", True)
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
             .option("escape", '"')
             .csv(_paths(paths))
         )
-    return raw.select(
-        *(
-            F.col(f"`{c}`").try_cast(column_type(c.lower())).alias(c.lower())
-            for c in raw.columns
+    misfits = [
+        F.when(
+            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+            F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("text")),
         )
-    )
+        for f in schema
+        if f.dataType != T.StringType()
+    ]
+    found = F.array_compact(F.array(*misfits))
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    rejected = F.when(F.size(found) > 0, F.map_from_entries(found)).alias(REJECTED)
+    return raw.select(*typed, rejected)
+
+
+def rejected_rows(scanned: dict[str, DataFrame]) -> DataFrame:
+    """``table, column, rows`` of the values that did not fit, over several scans."""
+    parts = [
+        df.select(F.explode(F.map_keys(REJECTED)).alias("column"))
+        .groupBy("column")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(table).alias("table"), "column", "rows")
+        for table, df in scanned.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -20,11 +20,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import stream_of
+from tidemark.functions.files import exists, hadoop_path
+from tidemark.functions.names import common_stream, schema_name, stream_of
+from tidemark.operators.correction import require_confirmed
 from tidemark.operators.events import flatten
-from tidemark.operators.ranges import bounds_of, duplicate_range
+from tidemark.operators.ranges import duplicate_range
 from tidemark.operators.tables import sort_events
-from tidemark.session import pin
+from tidemark.schemas import check_stream
+from tidemark.session import pin, temporary
 from tidemark.sources.accounts import scan_accounts
 from tidemark.sources.landing import list_sink_files, scan_events, unloaded_files
 
@@ -32,17 +35,17 @@ Scan = Callable[[SparkSession, list[str]], DataFrame]
 
 _LISTING_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 _LEDGER_DDL = "file string, load bigint"
+_FILES_PER_CORE = 16
 
 
-def _path(spark: SparkSession, name: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+def table_path(lake: str, stream: str) -> str:
+    """Folder of a stream's table; the stream must be a known one."""
+    return f"{lake}/{schema_name(check_stream(stream))}"
 
 
 def read_ledger(spark: SparkSession, table: str) -> DataFrame:
     """``file, load`` of everything loaded into ``table``; empty before the first load."""
-    fs, path = _path(spark, f"{table}/ledger")
-    if not fs.exists(path):
+    if not exists(spark, f"{table}/ledger"):
         return spark.createDataFrame([], _LEDGER_DDL)
     return spark.read.schema(_LEDGER_DDL).parquet(f"{table}/ledger")
 
@@ -54,7 +57,10 @@ def _loads(spark: SparkSession, table: str) -> tuple[int, int]:
 
 
 def read_loaded(spark: SparkSession, table: str) -> DataFrame:
-    """Rows of the loads the ledger has."""
+    """Rows of the loads the ledger has.
+
+    While a correction is unfinished (``correct_loaded``) that may still be both copies.
+    """
     return spark.read.parquet(f"{table}/rows").where(
         F.col("load").between(*_loads(spark, table))
     )
@@ -138,6 +144,7 @@ def _load(
     order: str,
     file_column: str,
 ) -> DataFrame:
+    _require_whole(spark, table)
     before = _loads(spark, table)
 
     def store(session: SparkSession, names: list[str], batch: int) -> None:
@@ -147,19 +154,32 @@ def _load(
     return _added(spark, table, before, file_column)
 
 
+def _batch(spark: SparkSession) -> int:
+    return max(1000, _FILES_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
 def scan_for_load(spark: SparkSession, paths: list[str]) -> DataFrame:
     return scan_events(spark, paths).withColumn("stream", stream_of(F.col("file")))
 
 
 def load_events(
-    spark: SparkSession, landing: str, table: str, checkpoint: str, max_files: int = 1000
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    stream: str | None = None,
 ) -> DataFrame:
     """Load all event files not loaded yet; returns rows per newly loaded file.
 
-    ``max_files`` bounds one batch; a run goes on until nothing is left.
+    ``max_files`` bounds one batch (by default some files for each core, since a gzip
+    file is one task); a run goes on until nothing is left.  With ``stream`` the landing
+    folder must be that of a known stream.
     """
+    if stream is not None and not landing.rstrip("/").endswith(f"/{check_stream(stream)}"):
+        raise ValueError(f"{landing} is not the folder of {stream}")
     return _load(
-        spark, landing, "*.json.gz", table, checkpoint, max_files, scan_for_load,
+        spark, landing, "*.json.gz", table, checkpoint, max_files or _batch(spark), scan_for_load,
         "event.timepoint", "file",
     )
 
@@ -175,58 +195,113 @@ def load_accounts(
 
 
 def load_pending(
-    spark: SparkSession, glob: str, table: str, max_files: int = 1000
+    spark: SparkSession, glob: str, table: str, max_files: int | None = None
 ) -> DataFrame:
     """Load the event files under ``glob`` that the ledger lacks, oldest name first."""
+    _require_whole(spark, table)
     before = _loads(spark, table)
-    while True:
-        ledger = read_ledger(spark, table)
-        pending = unloaded_files(list_sink_files(spark, glob), ledger, max_files)
-        names = [r.file for r in pending.collect()]
-        if not names:
-            return _added(spark, table, before, "file")
-        load = min(_loads(spark, table)[0], 0) - 1
-        store_load(spark, table, load, names, scan_for_load, "event.timepoint")
+    size = max_files or _batch(spark)
+    with temporary(spark):
+        # Listed and compared with the ledger once.
+        files = unloaded_files(list_sink_files(spark, glob), read_ledger(spark, table))
+        pending, last = pin(files, "pending"), None
+        while True:
+            rest = pending if last is None else pending.where(F.col("file") > last)
+            names = [r.file for r in rest.orderBy("file").limit(size).collect()]
+            if not names:
+                break
+            load = min(_loads(spark, table)[0], 0) - 1
+            store_load(spark, table, load, names, scan_for_load, "event.timepoint")
+            last = names[-1]
+    return _added(spark, table, before, "file")
+
+
+def _job(table: str) -> str:
+    return f"{table}/correction"
+
+
+def _require_whole(spark: SparkSession, table: str) -> None:
+    if exists(spark, _job(table)):
+        raise RuntimeError(f"a correction of {table} was not finished: run correct_loaded again")
 
 
 def correct_loaded(
-    spark: SparkSession, table: str, dup: DataFrame, files: DataFrame
+    spark: SparkSession, table: str, files: DataFrame | None = None, root: str | None = None
 ) -> DataFrame:
-    """Take a duplicate range and its files out of a loaded table, to be loaded again once.
-
-    Only loads that hold the range or the files are rewritten, from a staged copy
-    in the shared folder; run again with the same bounds, it finishes what a
-    failed run left.  Returns the duplicate range that remains (NULLs when the
-    log is clean).
+    """Take doubly loaded files out of a loaded table, to be loaded again once.
+
+    Refused (ValueError) unless ``files`` are event files of one stream (under ``root``,
+    by default the folder above the stream's) and exactly what was loaded twice.  The
+    confirmed job is stored before anything changes; then the files leave the ledger,
+    then both copies of their rows go, by file and range.  A run that was stopped is
+    finished by the next call, whose ``files`` are not needed, and until then nothing is
+    loaded.  Returns the duplicate range that remains (NULLs when the log is clean).
     """
-    least, greatest = bounds_of(dup)
-    if least is None:
-        raise ValueError("no duplicate range to take out")
-    inside = F.col("event.timepoint").between(least, greatest)
-    rows = read_loaded(spark, table)
-    # One number per load folder, not per row.
-    touched = [r.load for r in rows.where(inside).select("load").distinct().collect()]
-    _replace_loads(spark, f"{table}/rows", rows.where(F.col("load").isin(touched) & ~inside), touched)
-    ledger = read_ledger(spark, table)
-    named = files.select("file")
-    cut = [r.load for r in ledger.join(named, "file").select("load").distinct().collect()]
-    left = ledger.where(F.col("load").isin(cut)).join(named, "file", "left_anti")
-    _replace_loads(spark, f"{table}/ledger", left, cut, keep_empty=True)
+    if not exists(spark, _job(table)):
+        _confirmed_job(spark, table, files, root)
+    with temporary(spark):
+        job = spark.read.parquet(_job(table))
+        named = job.select("file")
+        ledger = read_ledger(spark, table)
+        cut = ledger.join(named, "file", "left_semi").select("load").distinct()
+        _replace_loads(spark, f"{table}/ledger", ledger, cut, ledger.join(named, "file", "left_anti"))
+        rows = spark.read.parquet(f"{table}/rows")
+        lo, hi = job.agg(F.min("lo"), F.max("hi")).head()
+        hit = F.col("event.timepoint").between(lo, hi)
+        touched = rows.where(hit).join(named, "file", "left_semi").select("load").distinct()
+        # Rows outside the range stay without being compared by file.
+        kept = rows.where(~F.coalesce(hit, F.lit(False))).unionByName(
+            rows.where(hit).join(named, "file", "left_anti").select(*rows.columns)
+        )
+        _replace_loads(spark, f"{table}/rows", rows, touched, kept, "event.timepoint")
+    fs, path = hadoop_path(spark, _job(table))
+    fs.delete(path, True)
     return duplicate_range(flatten(read_loaded(spark, table)))
 
 
+def _confirmed_job(
+    spark: SparkSession, table: str, files: DataFrame | None, root: str | None
+) -> None:
+    if files is None:
+        raise ValueError("no files to take out")
+    # The files of one mistaken load: a handful of names.
+    names = sorted({r.file for r in files.select("file").collect()})
+    common_stream(names, root or "/".join(names[0].split("/")[:-2]) if names else "")
+    log = flatten(read_loaded(spark, table))
+    ranges = pin(
+        log.join(files.select("file").distinct(), "file", "left_semi")
+        .groupBy("file")
+        .agg(F.min("timepoint").alias("lo"), F.max("timepoint").alias("hi")),
+        "corrected-files",
+    )
+    require_confirmed(log, ranges, read_ledger(spark, table))
+    ranges.write.parquet(_job(table))
+
+
 def _replace_loads(
-    spark: SparkSession, folder: str, kept: DataFrame, loads: list[int], keep_empty: bool = False
+    spark: SparkSession,
+    folder: str,
+    before: DataFrame,
+    touched: DataFrame,
+    after: DataFrame,
+    order: str = "file",
 ) -> None:
-    staged = pin(kept, "corrected")
-    for load in loads:
-        part = staged.where(F.col("load") == load).drop("load")
-        target = f"{folder}/load={load}"
-        if keep_empty or not part.isEmpty():
-            part.write.mode("overwrite").parquet(target)
-        else:
-            fs, path = _path(spark, target)
-            fs.delete(path, True)
+    """Rewrite the loads ``touched`` of a table with what ``after`` has of them, in one job."""
+    loads = pin(touched, "touched")
+    staged = pin(after.join(loads, "load", "left_semi"), "corrected")
+    (
+        staged.repartition("load", F.spark_partition_id())
+        .sortWithinPartitions("load", order)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load")
+        .parquet(folder)
+    )
+    # Loads of which nothing is left: those made by mistake alone.
+    empty = loads.join(staged.select("load"), "load", "left_anti")
+    for row in empty.toLocalIterator():
+        fs, path = hadoop_path(spark, f"{folder}/load={row.load}")
+        fs.delete(path, True)
 
 
 def compact_loaded(
