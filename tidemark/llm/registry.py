@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm import (
     chat,
     exact_dedup,
+    nearest,
     ngram_join,
+    packing,
+    paragraph_dedup,
+    pieces,
+    quality,
     sharding,
     suffix_dedup,
 )
@@ -24,13 +30,24 @@ def on(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(table(prepare(spark), sf_dir, name))
 
 
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_formatting": on("conversations", chat.digest),
         "op2_ngram_jaccard_join": on("documents", ngram_join.digest),
+        "op3_sentencepiece": on("documents", pieces.digest),
+        "op4_quality_classifier": _scores,
+        "op5_paragraph_dedup": on("documents", paragraph_dedup.report),
         "op6_suffix_dedup": on("documents", suffix_dedup.digest),
         "op7_exact_dedup": on("documents", exact_dedup.decisions),
+        "op8_packing": on("documents", packing.pack),
+        "op9_nearest_neighbours": on("embeddings", nearest.digest),
         "op10_sharding": on("documents", sharding.shards),
+        "pipeline": corpus_pipeline.run,
     }
 
 

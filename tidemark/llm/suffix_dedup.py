@@ -285,43 +285,64 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     )
 
 
-def _strip():
-    """Texts without their spans; incomplete characters at the cuts stay in ``kept``."""
+def _kept(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, bytes]]:
+    """(bytes, bytes removed, maximal runs of them, bytes that stay) of each row."""
+    for text, blobs, lists in zip(
+        texts_of(batch["text"]), batch["__blobs"].to_pylist(), batch["__lists"].to_pylist(),
+        strict=True,
+    ):
+        pairs = [np.frombuffer(b, "<i8").reshape(-1, 2) for b in blobs or ()]
+        pairs += [np.array([(s["a"], s["b"]) for s in part], np.int64) for part in lists or ()]
+        # Spans that only touch are one run.
+        start, end = _merge(*np.concatenate(pairs).T) if pairs else ((), ())
+        keep, last = [], 0
+        for a, b in zip(map(int, start), map(int, end), strict=True):
+            keep.append(text[last:a])
+            last = b
+        keep.append(text[last:])
+        kept = b"".join(keep)
+        yield len(text), len(text) - len(kept), len(start), kept
+
+
+def _measure(batches):
+    for batch in batches:
+        columns = list(zip(*_kept(batch), strict=True)) or [(), (), (), ()]
+        own = [c for c in batch.schema.names if c not in ("text", "__blobs", "__lists")]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.record_batch(
+            [batch[c] for c in own]
+            + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=[*own, "n_bytes", "n_removed", "n_spans", "kept"],
+        )
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for text, blobs, lists in zip(
-                texts_of(batch["text"]), batch["blobs"].to_pylist(), batch["lists"].to_pylist(),
-                strict=True,
-            ):
-                pairs = [np.frombuffer(b, "<i8").reshape(-1, 2) for b in blobs or ()]
-                pairs += [
-                    np.array([(s["a"], s["b"]) for s in part], np.int64) for part in lists or ()
-                ]
-                if pairs:
-                    start, end = _merge(*np.concatenate(pairs).T)
-                else:
-                    start = end = np.zeros(0, np.int64)
-                # Spans that only touch are one run of removed bytes.
-                keep, last = [], 0
-                for a, b in zip(start.tolist(), end.tolist(), strict=True):
-                    keep.append(text[last:a])
-                    last = b
-                keep.append(text[last:])
-                kept = b"".join(keep)
-                out.append((len(text), len(text) - len(kept), len(start), kept))
-            drop = {"text", "blobs", "lists"}
-            own = [c for c in batch.schema.names if c not in drop]
-            columns = list(zip(*out, strict=True)) if out else [(), (), (), ()]
-            yield pa.record_batch(
-                [batch[c] for c in own]
-                + [pa.array(c, k) for c, k in zip(
-                    columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                names=[*own, "n_bytes", "n_removed", "n_spans", "kept"],
-            )
 
-    return run
+def _cut(batches):
+    for batch in batches:
+        out, some = [], []
+        for text, (size, removed, _, kept) in zip(
+            batch["text"].to_pylist(), _kept(batch), strict=True
+        ):
+            # A character that lost some of its bytes goes.
+            left = kept.decode("utf-8", "ignore") if removed else text
+            out.append(left)
+            some.append(not removed or bool(left))
+        own = [c for c in batch.schema.names if c not in ("__blobs", "__lists")]
+        columns = [pa.array(out, pa.string()) if c == "text" else batch[c] for c in own]
+        yield pa.record_batch(columns, names=own).filter(pa.array(some, pa.bool_()))
+
+
+def _with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    named = keyed(docs.withColumnsRenamed({"doc": "__doc", "tie": "__tie"}))
+    spans = repeated_spans(named, window, gram).groupBy("doc", "tie").agg(
+        F.collect_list("spans").alias("__blobs"), F.collect_list("list").alias("__lists")
+    )
+    joined = named.join(spans, ["doc", "tie"], "left").drop("doc", "tie")
+    return joined.withColumnsRenamed({"__doc": "doc", "__tie": "tie"})
+
+
+def _schema(df: DataFrame, *without: str) -> str:
+    fields = [f for f in df.schema.fields if f.name not in without]
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -332,20 +353,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     Rows equal in doc_id and text are one document, each reported; rows that share
     a doc_id are ordered by a hash of their text; NULL ids come last.
     """
-    added = ("n_bytes", "n_removed", "n_spans", "kept", "blobs", "lists", "spans", "list")
-    named = keyed(docs.drop(*added, "doc", "tie"))
-    spans = repeated_spans(named, window, gram).groupBy("doc", "tie").agg(
-        F.collect_list("spans").alias("blobs"), F.collect_list("list").alias("lists")
-    )
-    joined = named.join(spans, ["doc", "tie"], "left").drop("doc", "tie")
-    own = [f for f in joined.schema.fields if f.name not in ("text", "blobs", "lists")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
+    joined = _with_spans(docs.drop("n_bytes", "n_removed", "n_spans", "kept"), window, gram)
+    schema = _schema(joined, "text", "__blobs", "__lists")
     return arrow(
-        joined, _strip(),
-        f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary",
+        joined, _measure, f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
 
+def cut_texts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs``, all columns, with the repeats cut out of ``text``.
+
+    A character that loses some of its bytes goes whole.  A document of which nothing
+    is left goes too; one that was empty or NULL before stays as it is.
+    """
+    joined = _with_spans(docs, window, gram)
+    return arrow(joined, _cut, _schema(joined, "__blobs", "__lists"))
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """What the check compares: sizes and the hash of the bytes that are kept."""
     return remove_repeats(docs.select("doc_id", "text")).select(
