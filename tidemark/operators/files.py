@@ -263,6 +263,7 @@ def _overlaps(rng: DataFrame) -> DataFrame:
 def overlap_pairs(rng: DataFrame, timepoint: int | None = None) -> DataFrame:
     """Files that begin before an earlier one in name order has ended, each with one such.
 
+    ``width`` is how far the earlier one reaches behind the start of the later one.
     With ``timepoint`` both files of a pair hold it.  One row per later file at most:
     output grows with the files, not their square.
     """
@@ -272,7 +273,7 @@ def overlap_pairs(rng: DataFrame, timepoint: int | None = None) -> DataFrame:
     return _overlaps(files).select(
         F.col("earlier.file").alias("earlier"),
         F.col("file").alias("later"),
-        (F.least("earlier.hi", "hi") - F.greatest("earlier.lo", "lo") + 1).alias("width"),
+        (F.col("earlier.hi") - F.col("lo") + 1).alias("width"),
     )
 
 
@@ -317,7 +318,7 @@ def overlap_recommendation(rng: DataFrame, dup: DataFrame) -> DataFrame:
             F.when(keep_later, F.col("earlier_file")).otherwise(F.col("file")).alias("drop"),
             "reason",
             (e_lo - b_hi - 1).alias("gap_before"),
-            (F.least(e_hi, hi) - F.greatest(e_lo, lo) + 1).alias("overlap_width"),
+            (e_hi - lo + 1).alias("overlap_width"),
             (a_lo - hi - 1).alias("gap_after"),
             F.coalesce(
                 first_dup.between(F.greatest(e_lo, lo), F.least(e_hi, hi)), F.lit(False)

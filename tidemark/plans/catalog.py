@@ -575,7 +575,7 @@ def correct_loaded(spark, sf):
     # A load that read the two files again.
     load.store_load(spark, table, -1, names, load.scan_for_load, "event.timepoint")
     # These files each lie in a folder of their own, so that is what they have in common.
-    load.correct_loaded(spark, table, twice, root=path.rsplit("/", 1)[0])
+    load.correct_loaded(spark, table, twice, root=names[0].rsplit("/", 3)[0])
     load.load_pending(spark, f"{path}/*", table)
     return _numbered(flatten(load.read_loaded(spark, table)).select("file", *_ROW))
 

@@ -464,7 +464,7 @@ def oracle_sql() -> dict[str, str]:
     sql["overlap_pairs_streams"] = _with(
         _OVERLAPPING,
         """select earlier, later, width from (
-          select e.file as earlier, l.file as later, least(e.hi, l.hi) - greatest(e.lo, l.lo) + 1 as width,
+          select e.file as earlier, l.file as later, e.hi - l.lo + 1 as width,
             row_number() over (partition by l.file order by e.hi desc, e.idx desc) as n
           from orng e join orng l on e.stream = l.stream and e.idx < l.idx and e.hi >= l.lo)
         where n = 1""",
@@ -496,12 +496,12 @@ def oracle_sql() -> dict[str, str]:
       qualify row_number() over (partition by l.file order by e.hi desc, e.idx desc) = 1"""
     sql["overlap_pairs"] = _with(
         _RANGES,
-        f"select earlier, later, both_hi - both_lo + 1 as width from ({furthest.format('')})",
+        f"select earlier, later, e_hi - l_lo + 1 as width from ({furthest.format('')})",
     )
     holds = "and 2010 between e.lo and e.hi and 2010 between l.lo and l.hi"
     sql["overlap_pairs_at"] = _with(
         _RANGES,
-        f"select earlier, later, both_hi - both_lo + 1 as width from ({furthest.format(holds)})",
+        f"select earlier, later, e_hi - l_lo + 1 as width from ({furthest.format(holds)})",
     )
     sql["overlap_recommendation"] = _with(
         _RANGES
@@ -520,7 +520,7 @@ def oracle_sql() -> dict[str, str]:
           case when l_fits and not e_fits then 'later file fills the gap'
                when e_fits and not l_fits then 'earlier file fills the gap'
                else 'later file captures again what the earlier one holds' end as reason,
-          e_lo - b_hi - 1 as gap_before, both_hi - both_lo + 1 as overlap_width,
+          e_lo - b_hi - 1 as gap_before, e_hi - l_lo + 1 as overlap_width,
           a_lo - l_hi - 1 as gap_after, d_lo between both_lo and both_hi as holds_duplicate
         from judged cross join {dup}""",
     )
@@ -653,10 +653,9 @@ def oracle_sql() -> dict[str, str]:
     sql["repair_files"] = _with(
         _LINES,
         """select file, c.line_no - 1 as kept_lines,
-          count(l.line_no) filter (where l.ok) = c.line_no - 1 as verified
-        from classified c join names using (file_no)
-        left join lines l on l.file_no = c.file_no and l.line_no < c.line_no
-        where kind = 'broken_at_end' group by all""",
+          (select count(*) from lines l where l.ok and l.file_no = c.file_no
+             and l.line_no < c.line_no) = c.line_no - 1 as verified
+        from classified c join names using (file_no) where kind = 'broken_at_end'""",
     )
     # A cut extra line takes nothing from the events, so all broken files can be repaired.
     sql["repair_landing"] = _with(

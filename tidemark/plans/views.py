@@ -376,7 +376,7 @@ _REGISTER = {
     "charity": {
         "date_of_extract": "'2024-01-31'",
         "organisation_number": "c_custkey",
-        "registered_charity_number": "if(c_custkey % 50 = 7, 'none', c_custkey + 1)",
+        "registered_charity_number": "if(c_custkey % 50 = 7, 'none', cast(c_custkey + 1 as string))",
         "linked_charity_number": "c_nationkey",
         "charity_name": "c_name",
         "date_of_registration": "if(c_custkey % 40 = 3, '31/01/2024', '2001-02-03')",
