@@ -9,9 +9,10 @@ counts of the tokens in its prefix; a pair needs min(l) shared prefix tokens, an
 the room left behind them, before its sets are compared.
 
 Groups of thousands of near copies must not make all pairs.  Token lists are first
-linked in stars: every member is compared with one other, the least of the list it
-shares most tokens with.  Verified links give components, and in the second step only pairs
-across components of a list are candidates; pairs inside cannot change them.
+linked in stars: in each of a few rounds every set is compared with one other, the star
+of another component that it shares most tokens with.  Verified links give components,
+and in the last step only pairs across components of a list are candidates; pairs inside
+cannot change them.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tidemark.llm.common import arrow, signed, text_key, texts_of
 from tidemark.llm.graph import components
@@ -30,7 +32,10 @@ from tidemark.session import pin
 #: end of the order, so there are at most FREQUENT such tokens: 16 bytes each.
 FREQUENT = 1_000_000
 LONGEST = 8
+#: Rounds that link each set with one star, before all pairs across components.
+STAR_ROUNDS = 3
 _FLUSH = 4_000_000
+_MANY = (1 << 31) - 1
 
 _U = np.uint64
 
@@ -73,25 +78,29 @@ def _profile(batches):
 
 
 def _prefix(tokens: np.ndarray, frequent: np.ndarray, weight: np.ndarray):
-    """(tokens in global order, need): the cheapest l-prefix of a set."""
+    """(tokens in global order, need, end): the cheapest l-prefix of a set."""
     n = len(tokens)
     at = np.minimum(np.searchsorted(frequent, tokens), max(len(frequent) - 1, 0))
-    count = np.ones(n, np.int64)
+    rank = np.zeros(n, np.int64)
     if len(frequent):
         known = frequent[at] == tokens
-        count[known] = weight[at[known]]
+        rank[known] = weight[at[known]]
         if known.any():
             # Sets come sorted, and ties of the count stay so.
-            order = np.argsort(np.where(known, count, 0), kind="stable")
-            tokens, count = tokens[order], count[order]
+            order = np.argsort(rank, kind="stable")
+            tokens, rank = tokens[order], rank[order]
     first = n - (4 * n + 4) // 5 + 1
     longest = min(LONGEST, (4 * n + 4) // 5)
-    reach = np.cumsum(count[: first + longest - 1])[first - 1 :]
+    reach = np.cumsum(np.maximum(rank[: first + longest - 1], 1))[first - 1 :]
     need = np.arange(1, longest + 1)
     # Rows to move and list entries to meet, which l matches thin out.
     cost = first + need + reach / need
     need = int(need[np.argmin(cost)])
-    return tokens[: first + need - 1], need
+    last = first + need - 2
+    # Where the prefix ends in the global order; equal numbers say nothing.
+    many = min(int(rank[last]), _MANY)
+    end = many << 32 | (int(tokens[last]) >> 32 if many < _MANY else 0)
+    return tokens[: last + 1], need, end
 
 
 def _index(frequent: np.ndarray, weight: np.ndarray):
@@ -107,16 +116,16 @@ def _index(frequent: np.ndarray, weight: np.ndarray):
                     continue
                 if len(seen) < 1_000_000:  # only saves rows: repeated ones are merged later
                     seen.add(cls)
-                prefix, need = _prefix(tokens, frequent, weight)
+                prefix, need, end = _prefix(tokens, frequent, weight)
                 k = len(prefix)
-                parts.append((signed(prefix), np.full(k, cls), np.full(k, len(tokens)),
-                              np.arange(k), np.full(k, need)))
+                parts.append((signed(prefix), np.full(k, cls), np.full(k, end),
+                              np.full(k, len(tokens)), np.arange(k), np.full(k, need)))
             if parts:
                 columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
                 yield pa.record_batch(
-                    [pa.array(c) for c in columns[:2]]
-                    + [pa.array(c.astype(np.int32)) for c in columns[2:]],
-                    names=["token", "cls", "n", "pos", "need"],
+                    [pa.array(c) for c in columns[:3]]
+                    + [pa.array(c.astype(np.int32)) for c in columns[3:]],
+                    names=["token", "cls", "end", "n", "pos", "need"],
                 )
 
     return run
@@ -151,30 +160,179 @@ def _possible(n: Column, m: Column, shared: Column, last_n: Column, last_m: Colu
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (shared + room) >= 4 * (n + m))
 
 
-def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar."""
-    pairs = pin(pairs, "pairs")
-    classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+def _promising(met: DataFrame, of_token: WindowSpec) -> DataFrame:
+    """Lists of the sets that can have a partner, each with ``room``.
+
+    ``room`` is a set's size less the prefix tokens that no other set has in its prefix.
+    A set is out that shares fewer tokens than it and any partner need, and so are
+    lists it leaves with one member.
+    """
+    own = met.groupBy("cls").agg(
+        F.count("*").alias("shared"), F.first("n").alias("__n"), F.first("need").alias("__need"),
+        F.min("least_need").alias("__least"),
+    )
+    able = own.where("shared >= __least").select("cls", _room("__n", "__need").alias("room"))
+    return (
+        met.drop("least_need").join(able, "cls")
+        .withColumn("size", F.count("*").over(of_token))
+        .where("size > 1").drop("size")
+    )
+
+
+def _room(n: str, need: str) -> Column:
+    """Tokens of a set that may be shared, if of its prefix only ``shared`` ones may."""
+    size = F.col(n).cast("long")
+    length = F.least(size, size - F.call_function("div", 4 * size + 4, F.lit(5)) + F.col(need))
+    return size - length + F.col("shared")
+
+
+def _room_for_both(n: str, room: str, end: str, m: str, other: str, other_end: str) -> Column:
+    """Whether sets of n and m tokens can be similar, by what is left of one of them.
+
+    Of two prefixes the one that ends first lies whole in the other's part of the
+    order: its tokens that are nowhere else are not in the other set either.
+    """
+    most = (
+        F.when(F.col(end) < F.col(other_end), F.col(room))
+        .when(F.col(other_end) < F.col(end), F.col(other))
+        .otherwise(F.greatest(room, other))
+    )
+    return 9 * most >= 4 * (F.col(n) + F.col(m))
+
+
+def _sets_of(classes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cls, tokens): the whole sets of some classes, written once for all comparisons."""
     # One document of each class, found again by id and text hash.
+    names = ["no_id", "id", "key"]
+    no_id, own_id = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id")
     wanted = pin(
         members.where("cls is not null").groupBy("cls")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("d"))
-        .join(classes, "cls", "left_semi")
-        .select(F.col("d.doc_id").alias("__id"), F.col("d.key").alias("__key")),
+        .agg(F.min(F.struct(no_id, own_id, "key")).alias("d"))
+        .join(classes, "cls", "left_semi").select("d.*"),
         "wanted",
     )
-    texts = docs.select("doc_id", "text").withColumn("key", text_key()).join(
-        wanted,
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")),
-        "left_semi",
+    texts = docs.select(no_id, own_id, text_key().alias("key"), "text")
+    # Repeated rows meet in the partition that the join has made.
+    found = texts.join(wanted.hint("merge"), names).groupBy(*names).agg(F.first("text").alias("text"))
+    return pin(arrow(found.select("text"), _sets, "cls long, tokens binary"), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets are similar."""
+    left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
+    right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
+    both = pairs.hint("merge").join(left, "a").join(right.hint("merge"), "b")
+    return pin(arrow(both.select("a", "b", "ta", "tb"), _compare, "a long, b long"), "links")
+
+
+def _with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Lists with the component of each member, those of one component left out."""
+    of_token = Window.partitionBy("token")
+    # Both sides grow with the corpus: always by a shuffle, never by sending one to all.
+    known = lists.join(roots.hint("merge"), F.col("cls") == F.col("node"), "left").drop("node")
+    return (
+        known.withColumn("root", F.coalesce("root", "cls"))
+        .select("*", F.min("root").over(of_token).alias("low"),
+                F.max("root").over(of_token).alias("high"))
+        .where("low <> high").drop("high")
+    )
+
+
+def _star_pairs(mixed: DataFrame, tried: DataFrame) -> DataFrame:
+    """(a, b): each set with the star, of another component, that it shares most tokens with.
+
+    The star of a list is the member with the fewest tokens of its own, as an original
+    has among its edited copies; members of its component take the best of the others.
+    """
+    of_token = Window.partitionBy("token")
+    member = F.struct((F.col("n") - F.col("room")).alias("own"), "cls", "root", "n", "pos", "room", "end")
+    best = mixed.withColumn("star", F.min(member).over(of_token))
+    other = F.min(F.when(F.col("root") != F.col("star.root"), member)).over(of_token)
+    with_star = best.withColumn("other", other).withColumn(
+        "star", F.when(F.col("root") != F.col("star.root"), F.col("star")).otherwise(F.col("other"))
     )
-    sets = pin(arrow(texts.select("text"), _sets, "cls long, tokens binary").dropDuplicates(["cls"]),
-               "sets")
-    both = (
-        pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a")
-        .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
+    shared = (
+        with_star.where(_room_for_both("n", "room", "end", "star.n", "star.room", "star.end"))
+        .groupBy("cls", F.col("star.cls").alias("with"))
+        .agg(
+            F.count("*").alias("shared"), F.first("n").alias("n"), F.max("pos").alias("pos"),
+            F.first("star.n").alias("m"), F.max("star.pos").alias("last"),
+        )
+        .where(_possible(*map(F.col, ("n", "m", "shared", "pos", "last"))))
+        .select(F.least("cls", "with").alias("a"), F.greatest("cls", "with").alias("b"), "cls", "shared")
+        .join(tried, ["a", "b"], "left_anti")
     )
-    return pin(arrow(both.select("a", "b", "ta", "tb"), _compare, "a long, b long"), "links")
+    chosen = shared.groupBy("cls").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
+    return chosen.select("p.a", "p.b").distinct()
+
+
+def _most_needed(n: str, m: str, own: str, length: str) -> Column:
+    """Shared tokens that similar sets of n and m tokens have in the prefix that ends first.
+
+    ``own`` and ``length`` are of that prefix's set: what is not in it is behind it.
+    """
+    overlap = F.call_function("div", 4 * (F.col(n) + F.col(m)) + 8, F.lit(9))
+    return overlap - (F.col(own) - F.col(length))
+
+
+def _pairs_across(mixed: DataFrame) -> DataFrame:
+    """(a, b): all pairs across components of a list that meet what similar sets must.
+
+    A set that must share q of the u tokens it has in these lists shares one of the
+    first u - q + 1 of them; they are its rarest ones, and only they look for partners.
+    """
+    place = F.struct("pos", "token", "low")
+    # What a set has in lists of its own component is in no set of another one, so
+    # room is counted anew.
+    sets = mixed.groupBy("cls").agg(
+        *(F.first(c).alias(c) for c in ("n", "need", "end", "root")),
+        F.sort_array(F.collect_list(place)).alias("places"), F.count("*").alias("shared"),
+    )
+    sets = pin(
+        sets.withColumn("room", _room("n", "need")).withColumn(
+            "length", F.col("n") - F.col("room") + F.col("shared")
+        ),
+        "prefixes",
+    )
+    columns = ("cls", "n", "room", "end", "root", "length", "shared")
+    rows = sets.select(*columns, F.posexplode("places").alias("at", "place")).select(
+        *columns, "at", F.col("place.token").alias("token"), F.col("place.low").alias("low")
+    )
+
+    def side(name: str, df: DataFrame, *more: str) -> DataFrame:
+        return df.select("token", *more, *(F.col(c).alias(f"{name}_{c}") for c in (*columns, "at")))
+
+    def probes(e: str, o: str) -> Column:
+        needed = _most_needed("x_n", "y_n", f"{e}_n", f"{e}_length")
+        return (F.col(f"{e}_end") <= F.col(f"{o}_end")) & (
+            F.col(f"{e}_at") <= F.col(f"{e}_shared") - needed
+        )
+
+    # The least component of a list may be huge: it only meets the others.
+    pairs = (
+        side("x", rows.where("root <> low")).join(side("y", rows, "low"), "token")
+        .where("x_root <> y_root and (y_root = low or x_cls < y_cls)")
+        .where(5 * F.least("x_n", "y_n") >= 4 * F.greatest("x_n", "y_n"))
+        .where(_room_for_both("x_n", "x_room", "x_end", "y_n", "y_room", "y_end"))
+        .where(probes("x", "y") | probes("y", "x"))
+        .select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b"))
+        .distinct()
+    )
+
+    def prefix(name: str) -> DataFrame:
+        kept = ("n", "need", "end", "length")
+        return sets.select(
+            F.col("cls").alias(name), F.col("places.token").alias(f"{name}_tokens"),
+            *(F.col(c).alias(f"{name}_{c}") for c in kept),
+        )
+
+    both = pairs.hint("merge").join(prefix("a"), "a").join(prefix("b").hint("merge"), "b")
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    least = F.when(F.col("a_end") < F.col("b_end"), _most_needed("a_n", "b_n", "a_n", "a_length"))
+    least = least.when(
+        F.col("b_end") < F.col("a_end"), _most_needed("a_n", "b_n", "b_n", "b_length")
+    ).otherwise(0)
+    return both.where((shared >= F.least("a_need", "b_need")) & (shared >= least)).select("a", "b")
 
 
 def _profiled(docs: DataFrame) -> DataFrame:
@@ -210,75 +368,35 @@ def similar_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     frequent, weight = _frequent(profile, members)
     rows = arrow(
         docs.select("text"), _index(frequent, weight),
-        "token long, cls long, n int, pos int, need int",
+        "token long, cls long, end long, n int, pos int, need int",
     )
     of_token = Window.partitionBy("token")
-    lists = pin(
+    met = pin(
         rows.repartition("token").dropDuplicates(["token", "cls"])
-        .select(
-            "*", F.count("*").over(of_token).alias("size"),
-            F.min(F.struct("cls", "n", "pos")).over(of_token).alias("star"),
-        )
-        .where("size > 1"),
-        "lists",
-    )
-    stars = (
-        lists.where("cls <> star.cls")
-        .groupBy(F.col("star.cls").alias("a"), F.col("cls").alias("b"))
-        .agg(
-            F.count("*").alias("shared"), F.first("n").alias("n"), F.max("pos").alias("pos"),
-            F.first("star.n").alias("m"), F.max("star.pos").alias("last"),
-        )
-        .where(_possible(*map(F.col, ("n", "m", "shared", "pos", "last"))))
-    )
-    first = _verified(
-        stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")), members, docs
-    )
-    roots = components(first)
-
-    # Lists that still hold several components: all pairs across them.
-    known = lists.join(roots, F.col("cls") == F.col("node"), "left").withColumn(
-        "root", F.coalesce("root", "cls")
-    )
-    mixed = pin(
-        known.select(
-            "token", "cls", "n", "pos", "need", "root",
-            F.min("root").over(of_token).alias("low"), F.max("root").over(of_token).alias("high"),
-        ).where("low <> high"),
-        "mixed",
-    )
-    # The least component of a list may be huge: it only meets the others.
-    x = mixed.where("root <> low").select(
-        "token", *(F.col(c).alias(f"x_{c}") for c in ("cls", "n", "pos", "need", "root"))
-    )
-    y = mixed.select(
-        "token", "low", *(F.col(c).alias(f"y_{c}") for c in ("cls", "n", "pos", "need", "root"))
-    )
-    across = (
-        x.join(y, "token")
-        .where("x_root <> y_root and (y_root = low or x_cls < y_cls)")
-        # A size filter before the pairs are counted.
-        .where(5 * F.least("x_n", "y_n") >= 4 * F.greatest("x_n", "y_n"))
-        .select(
-            F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b"),
-            *(F.when(F.col("x_cls") < F.col("y_cls"), F.col(f"x_{c}")).otherwise(F.col(f"y_{c}"))
-              .alias(f"a_{c}") for c in ("n", "pos", "need")),
-            *(F.when(F.col("x_cls") < F.col("y_cls"), F.col(f"y_{c}")).otherwise(F.col(f"x_{c}"))
-              .alias(f"b_{c}") for c in ("n", "pos", "need")),
-        )
-        .groupBy("a", "b")
-        .agg(
-            F.count("*").alias("shared"), F.max("a_pos").alias("a_pos"),
-            F.max("b_pos").alias("b_pos"),
-            *(F.first(c).alias(c) for c in ("a_n", "b_n", "a_need", "b_need")),
-        )
-        .where(F.col("shared") >= F.least("a_need", "b_need"))
-        .where(_possible(*map(F.col, ("a_n", "b_n", "shared", "a_pos", "b_pos"))))
-        .select("a", "b")
+        .select("*", F.count("*").over(of_token).alias("size"),
+                F.min("need").over(of_token).alias("least_need"))
+        .where("size > 1").drop("size"),
+        "met",
     )
-    second = _verified(across, members, docs)
-    return members, components(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-                               .unionByName(second))
+    lists = pin(_promising(met, of_token), "lists")
+    sets = _sets_of(lists.select("cls").distinct(), members, docs)
+    spark = docs.sparkSession
+    roots = spark.createDataFrame([], "node long, root long")
+    tried = spark.createDataFrame([], "a long, b long")
+    for _ in range(STAR_ROUNDS):
+        pairs = pin(_star_pairs(_with_roots(lists, roots), tried), "pairs")
+        found = _verified(pairs, sets)
+        if found.isEmpty():
+            break
+        roots = components(_edges(roots).unionByName(found))
+        tried = tried.unionByName(pairs)
+    across = _pairs_across(pin(_with_roots(lists, roots), "mixed")).join(tried, ["a", "b"], "left_anti")
+    found = _verified(pin(across, "pairs"), sets)
+    return members, components(_edges(roots).unionByName(found))
+
+
+def _edges(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
 
 
 def _with_component(docs: DataFrame) -> DataFrame:
