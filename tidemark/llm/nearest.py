@@ -40,8 +40,8 @@ def unit(x: np.ndarray) -> np.ndarray:
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """Numbers of the ``k`` nearest rows of each row of unit vectors."""
     out = []
-    for i in range(0, len(x), 1024):
-        near = x[i : i + 1024] @ x.T
+    for i in range(0, len(x), 256):
+        near = x[i : i + 256] @ x.T
         near[np.arange(len(near)), np.arange(i, i + len(near))] = -2
         out.append(np.argpartition(-near, k - 1, axis=1)[:, :k])
     return np.concatenate(out)
