@@ -6,7 +6,7 @@ five-word shingles), and links make components, of which the first paragraph sta
 
 Equal shingle sets are one *class* from the start.  As in any list of thousands of
 alike paragraphs, not all pairs are made: each member of a band's list is compared
-with the least of it, and then only pairs across the components found so far.
+with one star of it, and then only pairs across the components found so far.
 """
 
 from __future__ import annotations
@@ -156,15 +156,15 @@ def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFram
         .groupBy("p.doc", "p.tie").agg(F.collect_list("p.para").alias("paras")),
         "wanted",
     )
-    texts = docs.select("doc", "tie", "text").join(wanted, ["doc", "tie"])
+    # Both sides of these joins grow with the corpus: always by a shuffle.
+    texts = docs.select("doc", "tie", "text").join(wanted.hint("merge"), ["doc", "tie"])
     sets = pin(
         arrow(texts.select("text", "paras"), _sets, "cls long, tokens binary").dropDuplicates(["cls"]),
         "sets",
     )
-    both = (
-        pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a")
-        .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
-    )
+    left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
+    right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
+    both = pairs.hint("merge").join(left, "a").join(right.hint("merge"), "b")
     return pin(arrow(both.select("a", "b", "ta", "tb"), _compare, "a long, b long"), "links")
 
 
@@ -185,13 +185,18 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = arrow(docs.select("text"), _bands, "band long, cls long, n int")
     lists = pin(
         rows.repartition("band").dropDuplicates(["band", "cls"])
-        .select("*", F.min("cls").over(of_band).alias("star"), F.max("cls").over(of_band).alias("last"))
-        .where("star <> last").drop("last"),
+        .withColumn("size", F.count("*").over(of_band)).where("size > 1").drop("size"),
         "bands",
     )
+    # The star of a list is the member that others share most bands with, as an original
+    # has among its edited copies.
+    own = lists.groupBy("cls").agg((-F.count("*")).alias("own"))
+    starred = lists.join(own.hint("merge"), "cls").withColumn(
+        "star", F.min(F.struct("own", "cls")).over(of_band)["cls"]
+    )
     # Sets of n and m shingles can only be similar if n and m are.
     near = 5 * F.least("n", "m") >= 4 * F.greatest("n", "m")
-    stars = lists.where("cls <> star").groupBy(F.col("star").alias("a"), F.col("cls").alias("b")).agg(
+    stars = starred.where("cls <> star").groupBy(F.col("star").alias("a"), F.col("cls").alias("b")).agg(
         F.count("*").alias("shared")
     )
     first = _verified(
@@ -199,7 +204,7 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         members, docs,
     )
     roots = components(first)
-    known = lists.join(roots, F.col("cls") == F.col("node"), "left").select(
+    known = lists.join(roots.hint("merge"), F.col("cls") == F.col("node"), "left").select(
         "band", "cls", "n", F.coalesce("root", "cls").alias("root")
     )
     mixed = pin(
@@ -216,7 +221,9 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = components(
         roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(second)
     )
-    placed = members.where("cls is not null").join(roots, F.col("cls") == F.col("node"), "left").select(
+    placed = members.where("cls is not null").join(
+        roots.hint("merge"), F.col("cls") == F.col("node"), "left"
+    ).select(
         "doc", "tie", "para", F.coalesce("root", "cls").alias("comp")
     )
     place = F.struct("doc", "tie", "para")
