@@ -33,7 +33,7 @@ from tidemark.session import pin
 FREQUENT = 1_000_000
 LONGEST = 8
 #: Rounds that link each set with one star, before all pairs across components.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 _FLUSH = 4_000_000
 _MANY = (1 << 31) - 1
 
@@ -278,8 +278,9 @@ def _most_needed(n: str, m: str, own: str, length: str) -> Column:
 def _pairs_across(mixed: DataFrame) -> DataFrame:
     """(a, b): all pairs across components of a list that meet what similar sets must.
 
-    A set that must share q of the u tokens it has in these lists shares one of the
-    first u - q + 1 of them; they are its rarest ones, and only they look for partners.
+    Of q shared tokens the first one has q - 1 behind it in either set, so it is among
+    the first u - q + 1 of the u tokens that a set has in these lists: its rarest ones,
+    and only they look for partners.
     """
     place = F.struct("pos", "token", "low")
     # What a set has in lists of its own component is in no set of another one, so
@@ -304,9 +305,8 @@ def _pairs_across(mixed: DataFrame) -> DataFrame:
 
     def probes(e: str, o: str) -> Column:
         needed = _most_needed("x_n", "y_n", f"{e}_n", f"{e}_length")
-        return (F.col(f"{e}_end") <= F.col(f"{o}_end")) & (
-            F.col(f"{e}_at") <= F.col(f"{e}_shared") - needed
-        )
+        first = [F.col(f"{s}_at") <= F.col(f"{s}_shared") - needed for s in (e, o)]
+        return (F.col(f"{e}_end") <= F.col(f"{o}_end")) & first[0] & first[1]
 
     # The least component of a list may be huge: it only meets the others.
     pairs = (
