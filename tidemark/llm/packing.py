@@ -33,8 +33,8 @@ QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 TOKENIZER = "byte_bpe_50k"
 _SPECIAL = "<|endoftext|>"
-#: Words an executor's worker remembers, about 0.2 KB each.
-_CACHE = 400_000
+#: Pieces a worker remembers in each of two generations, about 0.2 KB each.
+_CACHE = 300_000
 #: Separates documents, and ends each of them.
 END_ID = 0
 
@@ -49,11 +49,13 @@ class Encoder(dict):
 
     The tokenizer's own pattern never joins characters before white space with it,
     so a text is cut there and equal pieces are encoded once.  The dict maps a piece
-    to its ids.
+    to its ids; when it is full it becomes the older generation, from which pieces that
+    come up again are taken over.
     """
 
     def __init__(self, folder_file: str):
         super().__init__()
+        self._older: dict[str, bytes] = {}
         import tiktoken
 
         with open(f"{folder_file}.tiktoken", "rb") as lines:
@@ -64,9 +66,12 @@ class Encoder(dict):
         self._json = f"{folder_file}.json"
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._slow(piece)
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self._slow(piece)
         if len(piece) <= 64:
             if len(self) >= _CACHE:
+                self._older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
