@@ -104,3 +104,21 @@ def test_odd_texts(spark):
     assert all(r.decoded == (r.text or "").replace("▁", " ") for r in back)
     assert all(r.round_trip for r in pieces.digest(df).collect())
     assert pieces.digest(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_ids_are_the_librarys(spark):
+    """The model as it is, not switched to unigram: relational fold, merges in the task, whole texts."""
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    assert library.encode("international") == pieces.segment("▁international", TABLE)
+    words = sorted({u for r in table(spark, SF, "documents").collect() for u in pieces.units(r.text)})
+    rnd = random.Random(11)
+    some = [*UNITS, *rnd.sample([w for w in words if len(w) < pieces.LONGEST_UNIT], 2000)]
+    lattices = pieces.lattice(spark.createDataFrame([(u,) for u in some], "unit string"), TABLE)
+    for r in pieces.fold_merges(lattices).collect():
+        assert r.ids == pieces.merge_path(r.unit, TABLE), r.unit
+    texts = ["the international community", "naïve café 日本 12345", "a  b   c    ", "\x00 ▁x", "z" * 5000,
+             "".join(rnd.choice("theain▁") for _ in range(5000)), "".join(rnd.choice(words) for _ in range(300))]
+    df = table(spark, SF, "documents").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], DOCS))
+    for r in pieces.encode(df).collect():
+        assert r.ids == library.encode(r.text), r.text[:80]

@@ -4,17 +4,18 @@ No piece joins a character with a space mark after it, so a text splits into uni
 (space marks and what follows) that are encoded apart.  Frequent units are encoded
 once for the corpus, relationally: their substrings up to the longest piece are
 exploded and equi-joined to the piece table, the matches are the edges of a lattice,
-grouped by unit, and a higher-order aggregate folds Viterbi over them.  The result
-is a dictionary of at most ``DICTIONARY`` units, however large the corpus; the
-remaining units are folded where they stand, over the same pieces and scores.
+grouped by unit, and a higher-order aggregate folds them.  The result is a dictionary
+of at most ``DICTIONARY`` units, however large the corpus; the remaining units are
+folded where they stand, over the same pieces and scores.
 
-The result is the segmentation of most score, which is what SentencePiece gives for
-unigram models; for a BPE model, whose scores are merge ranks, it is the best
-segmentation under those scores and can differ from the order of merges.
+The ids are SentencePiece's.  For a BPE model, whose scores are merge ranks, the fold
+makes the merges: of the edges that join two neighbouring parts the one of most score,
+of equal ones the leftmost, until there is none.  For a unigram model it is Viterbi.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from array import array
 from collections.abc import Iterator
@@ -37,6 +38,8 @@ LONGEST_UNIT = 64
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 _CACHE = 300_000
+#: Units of more characters are merged by a heap.
+_LONG = 100
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 
 
@@ -51,6 +54,7 @@ class Pieces:
     unknown_score: float
     longest: int
     heads: frozenset[str] = field(default=frozenset())
+    merges: bool = False  # a BPE model: scores are merge ranks
 
     def bytes_of(self, character: str) -> list[int]:
         if self.bytes_from is None:
@@ -60,10 +64,14 @@ class Pieces:
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Pieces:
-    """Read a model; ValueError if its pieces cannot be split at space marks."""
+    """Read a model; ValueError if it is neither BPE nor unigram, or joins over space marks."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
+    kind = pb.ModelProto.FromString(model.serialized_model_proto()).trainer_spec.model_type
+    if kind not in (pb.TrainerSpec.BPE, pb.TrainerSpec.UNIGRAM):
+        raise ValueError(f"model type {kind} is neither BPE nor unigram")
     score, text, byte_ids = {}, [], []
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
@@ -82,6 +90,7 @@ def load(path: str) -> Pieces:
     return Pieces(
         score, text, byte_ids[0] if in_row else None, model.unk_id(),
         min(s for s, _ in score.values()) - 10, max(map(len, score)), heads,
+        kind == pb.TrainerSpec.BPE,
     )
 
 
@@ -115,6 +124,57 @@ def best_path(unit: str, pieces: Pieces) -> list[int]:
     return [p for part in reversed(out) for p in part]
 
 
+def merge_path(unit: str, pieces: Pieces) -> list[int]:
+    """Ids after all merges: the pair of most score first, of equal ones the leftmost."""
+    parts = list(unit) if len(unit) <= _LONG else _merged(unit, pieces)
+    score, none = pieces.score, (-np.inf, -1)
+    ranks = [score.get(a + b, none)[0] for a, b in zip(parts, parts[1:], strict=False)]
+    while ranks and (most := max(ranks)) > -np.inf:
+        i = ranks.index(most)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del ranks[i]
+        if i:
+            ranks[i - 1] = score.get(parts[i - 1] + parts[i], none)[0]
+        if i < len(ranks):
+            ranks[i] = score.get(parts[i] + parts[i + 1], none)[0]
+    out = []
+    for part in parts:
+        found = score.get(part)
+        out += [found[1]] if found else pieces.bytes_of(part)
+    return out
+
+
+def _merged(unit: str, pieces: Pieces) -> list[str]:
+    """The parts of a long unit after all merges, by a heap of pairs."""
+    n, score = len(unit), pieces.score
+    end = list(range(1, n + 1))  # of the part that starts here; 0: no part starts here
+    before = list(range(-1, n))
+    heap: list[tuple[float, int, int, int]] = []
+
+    def offer(i: int) -> None:
+        j = end[i]
+        if j < n and end[j] - i <= pieces.longest and (found := score.get(unit[i : end[j]])):
+            heapq.heappush(heap, (-found[0], i, j, end[j]))
+
+    for i in range(n):
+        offer(i)
+    while heap:
+        _, i, j, k = heapq.heappop(heap)
+        if end[i] != j or end[j] != k:
+            continue
+        end[i], end[j] = k, 0
+        before[k] = i
+        if before[i] >= 0:
+            offer(before[i])
+        offer(i)
+    return [unit[i : end[i]] for i in range(n) if end[i]]
+
+
+def segment(unit: str, pieces: Pieces) -> list[int]:
+    """Ids of a unit as the model's own algorithm gives them."""
+    return merge_path(unit, pieces) if pieces.merges else best_path(unit, pieces)
+
+
 def units(text: str) -> Iterator[str]:
     """The units of a text, the mark at its start included; an empty text has none."""
     if not text:
@@ -218,6 +278,43 @@ def fold(lattices: DataFrame) -> DataFrame:
     return lattices.select("unit", best.alias("ids"))
 
 
+def fold_merges(lattices: DataFrame) -> DataFrame:
+    """(unit, ids): the merges of a unit as a fold; the state is the bounds of its parts."""
+    wide = F.filter("edges", lambda e: e["end"] - e["start"] > 1)
+
+    def step(state, _):
+        def place(e):
+            return F.array_position(state, e["start"]).cast("int")
+
+        # Edges over two neighbouring parts: their end is the second bound after their start.
+        joins = F.filter(
+            "wide", lambda e: (place(e) > 0) & (F.get(state, place(e) + 1) == e["end"])
+        )
+        best = F.array_max(
+            F.transform(
+                joins,
+                lambda e: F.struct(
+                    e["score"].alias("score"), (-e["start"]).alias("early"),
+                    F.get(state, place(e)).alias("inner"),
+                ),
+            )
+        )
+        return F.coalesce(F.array_remove(state, best["inner"]), state)
+
+    n = F.char_length("unit")
+    bounds = F.aggregate(F.sequence(F.lit(1), n), F.sequence(F.lit(0), n), step)
+    part = F.transform(
+        F.slice("bounds", 1, F.size("bounds") - 1),
+        lambda start, i: F.get(
+            F.filter("edges", lambda e: (e["start"] == start) & (e["end"] == F.get("bounds", i + 1))), 0
+        )["ids"],
+    )
+    return (
+        lattices.withColumn("wide", wide).withColumn("bounds", bounds)
+        .select("unit", F.flatten(part).alias("ids"))
+    )
+
+
 def _encoder(path: str, known: dict[str, bytes]):
     def run(batches):
         pieces = load(path)
@@ -229,7 +326,7 @@ def _encoder(path: str, known: dict[str, bytes]):
                 for unit in units(text or ""):
                     ids = known.get(unit) or local.get(unit)
                     if ids is None:
-                        ids = array("i", best_path(unit, pieces)).tobytes()
+                        ids = array("i", segment(unit, pieces)).tobytes()
                         if len(unit) <= LONGEST_UNIT:
                             if len(local) >= _CACHE:
                                 local.clear()
@@ -258,7 +355,8 @@ def encode(docs: DataFrame, model: str | None = None, dictionary: int = DICTIONA
     """
     path = model or public_tokenizers.path(MODEL)
     pieces = load(path)
-    solved = fold(lattice(frequent_units(docs, dictionary), pieces)).toArrow()
+    solve = fold_merges if pieces.merges else fold
+    solved = solve(lattice(frequent_units(docs, dictionary), pieces)).toArrow()
     ids = solved["ids"].to_pylist()
     known = {u: array("i", i).tobytes() for u, i in zip(solved["unit"].to_pylist(), ids, strict=True)}
     docs = docs.drop("ids")
