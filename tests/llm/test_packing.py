@@ -100,3 +100,25 @@ def test_nulls_repeats_long_and_empty(spark):
     assert sorted((p.doc_id or 0, p.length) for p in again) == [(0, 2), (7, 3), (7, 3)]
     assert packing.pack(spark.createDataFrame([], DOCS)).collect() == []
     assert packing.pack(spark.createDataFrame([(1, None)], DOCS)).collect()[0].length == 1
+
+
+def test_long_documents_are_found_by_all_their_words(spark):
+    """Two documents of a topic whose rests hold none of its words meet in one window."""
+    rnd = random.Random(4)
+    rows = []
+    for topic in range(12):
+        words = [f"{'kxqz'[topic % 4]}{rnd.randint(1000, 9999)}" for _ in range(30)]
+        for copy in range(2):
+            head, text = " ".join(rnd.choice(words) for _ in range(150)), ""
+            while len(ids(head + text)) < 1024 + 500:  # the rest is of its own
+                text += f" {rnd.choice(['and', 'or', 'the', 'of', 'in', 'to', 'it', 'is'])}"
+            rows.append((topic + 12 * copy, head + text))
+    out = packing.pack(spark.createDataFrame(rows, DOCS).coalesce(1)).collect()
+    check(rows, out)
+    mixed = {}
+    for p in out:
+        if p.length < 1024:
+            mixed.setdefault(p.sequence_id, []).append(p)
+    first = [min(w, key=lambda p: p.offset).doc_id % 12 for w in mixed.values()]
+    second = [sorted(w, key=lambda p: p.offset)[1].doc_id % 12 for w in mixed.values() if len(w) > 1]
+    assert sum(a == b for a, b in zip(first, second)) >= 10

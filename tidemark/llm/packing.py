@@ -2,8 +2,9 @@
 
 Documents are tokenised once.  Windows that a long document fills alone are done;
 what remains of each document is packed.  The remainders are dealt into shards of
-at most ``SHARD`` documents; each shard has an inverted index with BM25 weights
-(document frequencies and lengths are those of the whole corpus).  A seed takes its
+at most ``SHARD`` documents; each shard has an inverted index with BM25 weights.  Terms
+and lengths are those of whole documents, not of what remains, and document frequencies
+those of the whole corpus; a seed asks with all its terms.  A seed takes its
 nearest unused neighbours, best first, until its window is full; the last of them
 is cut, and its rest stays in the shard.  Only the last window of a shard has room.
 """
@@ -28,8 +29,6 @@ from tidemark.session import pin
 
 WINDOW = 1024
 SHARD = 1024
-#: Terms of a seed that are looked up: those of most weight.
-QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 TOKENIZER = "byte_bpe_50k"
 _SPECIAL = "<|endoftext|>"
@@ -121,10 +120,19 @@ def _crc(ids: np.ndarray) -> int:
 
 _TOKENS = (
     "doc_id long, shard long, item int, doc_tokens long, crcs binary, tail binary, "
-    "token int, count long"
+    "terms binary, token int, count long"
 )
 
 
+def _pack_terms(term: np.ndarray, tf: np.ndarray) -> bytes:
+    return term.astype("<u2").tobytes() + tf.astype("<u4").tobytes()
+
+
+def _unpack_terms(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(blob) // 6
+    return np.frombuffer(blob, "<u2", n), np.frombuffer(blob, "<u4", n, 2 * n)
+
+
 def _tokenised(folder_file: str, window: int, shard_docs: int):
     """Documents in shards, in the order of a task; then counts of its documents per token."""
 
@@ -135,7 +143,7 @@ def _tokenised(folder_file: str, window: int, shard_docs: int):
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
             n = batch.num_rows
-            total, crcs, tails = [], [], []
+            total, crcs, tails, terms = [], [], [], []
             for text in batch["text"].to_pylist():
                 ids = np.append(encode(text or ""), np.array([END_ID], "<u2"))
                 full = len(ids) // window
@@ -146,24 +154,29 @@ def _tokenised(folder_file: str, window: int, shard_docs: int):
                 )
                 tail = ids[full * window :]
                 tails.append(tail.tobytes())
-                counts[np.unique(tail)] += 1
+                term, tf = np.unique(ids, return_counts=True)
+                counts[term] += 1
+                # Without a rest a document is neither seed nor neighbour.
+                terms.append(_pack_terms(term, tf) if len(tail) else b"")
             no = np.arange(seen, seen + n)
             seen += n
             yield pa.record_batch(
                 [batch["doc_id"], pa.array((part << 16) | (no // shard_docs)),
                  pa.array((no % shard_docs).astype(np.int32)), pa.array(total, pa.int64()),
                  pa.array(crcs, pa.binary()), pa.array(tails, pa.binary()),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
-                names=["doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "token", "count"],
+                 pa.array(terms, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
+                names=["doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "terms", "token",
+                       "count"],
             )
         token = np.flatnonzero(counts)
         n = len(token)
         if n:
             yield pa.record_batch(
                 [pa.nulls(n, k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int64(),
-                                          pa.binary(), pa.binary())]
+                                          pa.binary(), pa.binary(), pa.binary())]
                 + [pa.array(token.astype(np.int32)), pa.array(counts[token])],
-                names=["doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "token", "count"],
+                names=["doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "terms", "token",
+                       "count"],
             )
 
     return run
@@ -172,29 +185,29 @@ def _tokenised(folder_file: str, window: int, shard_docs: int):
 class Index:
     """BM25 inverted index of one shard: postings of each term, with weights."""
 
-    def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float):
-        size = np.array([len(t) for t in tails])
-        key = np.repeat(np.arange(len(tails)), size) << 16 | np.concatenate(tails).astype(np.int64)
-        key, tf = np.unique(key, return_counts=True)
-        doc, term = key >> 16, key & 0xFFFF
+    def __init__(self, blobs: list[bytes], size: np.ndarray, idf: np.ndarray, mean: float):
+        parts = [_unpack_terms(b) for b in blobs]
+        term = np.concatenate([t for t, _ in parts])
+        tf = np.concatenate([f for _, f in parts])
+        length = np.array([len(t) for t, _ in parts])
+        doc = np.repeat(np.arange(len(parts)), length)
         weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / mean)) * idf[term]
-        # Strongest terms of each document, for queries.
-        order = np.lexsort((term, -weight, doc))
-        begin = np.searchsorted(doc, np.arange(len(tails) + 1))
-        self._terms = [term[order[i : min(j, i + QUERY_TERMS)]]
-                       for i, j in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
         by_term = np.argsort(term, kind="stable")
         self._doc, self._weight = doc[by_term], weight[by_term]
-        self._known, first = np.unique(term[by_term], return_index=True)
-        self._cut = np.append(first, len(term))
-        self._n = len(tails)
+        known, first = np.unique(term[by_term], return_index=True)
+        cut = np.append(first, len(term))
+        # The postings of every term of a document, as ranges.
+        place = np.searchsorted(known, term)
+        self._from, self._to = cut[place], cut[place + 1]
+        self._begin = np.concatenate(([0], np.cumsum(length)))
+        self._n = len(parts)
 
     def neighbours(self, seed: int) -> np.ndarray:
         """All documents, best match first; equals and strangers in their order."""
-        score = np.zeros(self._n)
-        for k in np.searchsorted(self._known, self._terms[seed]):
-            i, j = self._cut[k], self._cut[k + 1]
-            score[self._doc[i:j]] += self._weight[i:j]
+        i, j = self._begin[seed], self._begin[seed + 1]
+        start, size = self._from[i:j], self._to[i:j] - self._from[i:j]
+        at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+        score = np.bincount(self._doc[at], self._weight[at], self._n)
         return np.argsort(-score, kind="stable")
 
 
@@ -246,7 +259,8 @@ def _packed(idf: np.ndarray, mean: float, window: int):
                 rows.append((doc_id, k * window, window, crc, total, base + sequence, 0))
                 sequence += 1
         if any(len(t) for t in tails):
-            for pieces in fill(tails, Index(tails, idf, mean), window):
+            index = Index(table["terms"].to_pylist(), np.array(totals), idf, mean)
+            for pieces in fill(tails, index, window):
                 offset = 0
                 for i, start, n in pieces:
                     before = totals[i] - len(tails[i])
@@ -277,14 +291,14 @@ def pack(
         "tokens",
     )
     items = rows.where("token is null")
-    n, length = items.agg(F.count("*"), F.sum(F.octet_length("tail")) / 2).first()
+    n, length = items.agg(F.count("*"), F.sum("doc_tokens")).first()
     # At most one row for each id of the vocabulary.
     found = rows.where("token is not null").groupBy("token").agg(F.sum("count").alias("n")).toArrow()
     count = np.zeros(1 << 16)
     count[found["token"].to_numpy()] = found["n"].to_numpy()
     idf = np.log1p((n - count + 0.5) / (count + 0.5))
     return (
-        items.select("doc_id", "shard", "item", "doc_tokens", "crcs", "tail")
+        items.select("doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "terms")
         .groupBy("shard")
         .applyInArrow(_packed(idf, max(1.0, (length or 0) / max(n, 1)), window), _PIECES)
     )
