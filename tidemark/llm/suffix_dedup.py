@@ -333,7 +333,11 @@ def _cut(batches):
 
 def _with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
     named = keyed(docs.withColumnsRenamed({"doc": "__doc", "tie": "__tie"}))
-    spans = repeated_spans(named, window, gram).groupBy("doc", "tie").agg(
+    # Rows equal in both are one document: its text counts once, its spans go to each.
+    # Only rows of ids that stand on several have a tie: the others need no shuffle.
+    rows = named.select("doc", "tie", "text")
+    once = rows.where("tie = 0").unionByName(rows.where("tie <> 0").dropDuplicates(["doc", "tie"]))
+    spans = repeated_spans(once, window, gram).groupBy("doc", "tie").agg(
         F.collect_list("spans").alias("__blobs"), F.collect_list("list").alias("__lists")
     )
     joined = named.join(spans, ["doc", "tie"], "left").drop("doc", "tie")
