@@ -98,3 +98,13 @@ def test_a_line_in_every_document(spark):
 def test_sets_of_lines():
     lines = [b"a b c d e f", b"", b"one"]
     assert [len(s) for s in shingle_sets(lines)] == [2, 0, 1]
+
+
+def test_short_lines(spark):
+    """Lines of one word or more repeat too; lines without words never do."""
+    near = "a line of some words that is long enough for one edit at its very end"
+    rows = [(1, "Same licence line\n\nown one\nx"), (2, "same LICENCE  line\n \nown two\nx\nx"),
+            (3, near), (4, near + " now"), (5, "one two three four five"), (6, "one two three four six")]
+    got = check(rows, spark.createDataFrame(rows, DOCS))
+    assert [(d, got[d].removed, got[d].kept_in) for d in sorted(got)] == [
+        (1, [], []), (2, [0, 3, 4], [1, 1, 1]), (3, [], []), (4, [0], [3]), (5, [], []), (6, [], [])]

@@ -1,6 +1,6 @@
 """Near-duplicate paragraphs by MinHash banding.
 
-A paragraph is a line.  Its signature is cut into bands; paragraphs with an equal
+A paragraph is a line with a word in it; one of fewer than five words is one shingle.  Its signature is cut into bands; paragraphs with an equal
 band collide, their whole shingle sets are compared (Jaccard of at least 0.8 on
 five-word shingles), and links make components, of which the first paragraph stays.
 
@@ -28,8 +28,6 @@ from tidemark.llm.shingles import (
 )
 from tidemark.session import pin
 
-#: Shorter paragraphs are left alone: headings, bylines and the like may repeat.
-MIN_WORDS = 20
 THRESHOLD = 0.8
 #: Share of pairs at the threshold that must collide.
 RECALL = 0.9995
@@ -69,7 +67,7 @@ def _paragraphs(text: bytes) -> list[bytes]:
 
 
 def _members(batches):
-    """A row for each long paragraph, and one with no class for each document."""
+    """A row for each paragraph with words, and one with no class for each document."""
     for batch in batches:
         doc, tie, para, cls, words = [], [], [], [], []
         rows = zip(batch["doc"].to_pylist(), batch["tie"].to_pylist(), texts_of(batch["text"]),
@@ -82,7 +80,7 @@ def _members(batches):
             cls.append(None)
             words.append(len(lines))
             for i, hashes in enumerate(word_hashes(lines)):
-                if len(hashes) >= MIN_WORDS:
+                if len(hashes):
                     doc.append(d)
                     tie.append(t)
                     para.append(i)
@@ -101,7 +99,7 @@ def _bands(batches):
         sets, cls = [], []
         for text in texts_of(batch["text"]):
             for hashes in word_hashes(_paragraphs(text)):
-                if len(hashes) < MIN_WORDS:
+                if not len(hashes):
                     continue
                 tokens = shingle_set(hashes)
                 own = set_hash(tokens)
@@ -284,12 +282,12 @@ def remove(docs: DataFrame) -> DataFrame:
 
 
 def brute_force(rows: list[tuple[int, str]]) -> dict[int, list[int]]:
-    """Removed lines of each document by comparing all pairs; for tests."""
+    """Removed lines of each document by comparing all pairs that share a shingle; for tests."""
     items = []
     for doc_id, text in sorted(rows):
         for i, line in enumerate(text.split("\n")):
-            if len(line.split()) >= MIN_WORDS:
-                items.append((doc_id, i, plain_set(line)))
+            if shingles := plain_set(line):
+                items.append((doc_id, i, shingles))
     root = list(range(len(items)))
 
     def find(i):
@@ -297,11 +295,21 @@ def brute_force(rows: list[tuple[int, str]]) -> dict[int, list[int]]:
             i = root[i]
         return i
 
+    # Only pairs with a common shingle can be linked; equal sets are looked at once.
+    first: dict[frozenset, int] = {}
+    holders: dict[tuple, list[int]] = {}
     for i in range(len(items)):
-        for j in range(i):
+        shingles = items[i][2]
+        j = first.setdefault(frozenset(shingles), i)
+        if j != i:
+            root[i] = find(j)
+            continue
+        for j in {j for s in shingles for j in holders.get(s, ())}:
             a, b = find(i), find(j)
-            if a != b and linked(items[i][2], items[j][2]):
+            if a != b and linked(shingles, items[j][2]):
                 root[max(a, b)] = min(a, b)
+        for s in shingles:
+            holders.setdefault(s, []).append(i)
     out: dict[int, list[int]] = {doc_id: [] for doc_id, _ in rows}
     for i, (doc_id, para, _) in enumerate(items):
         if find(i) != i:
