@@ -122,3 +122,18 @@ def test_long_documents_are_found_by_all_their_words(spark):
     first = [min(w, key=lambda p: p.offset).doc_id % 12 for w in mixed.values()]
     second = [sorted(w, key=lambda p: p.offset)[1].doc_id % 12 for w in mixed.values() if len(w) > 1]
     assert sum(a == b for a, b in zip(first, second)) >= 10
+
+
+def test_topics_spread_over_many_partitions(spark):
+    """Shards hold documents of like content, wherever they were read."""
+    rnd = random.Random(6)
+    topics = [[f"{'kxqz'[t % 4]}{rnd.randint(1000, 9999)}" for _ in range(40)] for t in range(12)]
+    # Each partition reads one document of each topic.
+    rows = [(i, " ".join(rnd.choice(topics[i % 12]) for _ in range(60))) for i in range(360)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 30), DOCS)
+    out = packing.pack(df, shard_docs=60).collect()
+    check(rows, out)
+    mixed = {}
+    for p in out:
+        mixed.setdefault(p.sequence_id, set()).add(p.doc_id % 12)
+    assert sum(len(t) == 1 for t in mixed.values()) > 0.6 * len(mixed)

@@ -1,8 +1,11 @@
 """Packing documents into token windows by lexical retrieval.
 
 Documents are tokenised once.  Windows that a long document fills alone are done;
-what remains of each document is packed.  The remainders are dealt into shards of
-at most ``SHARD`` documents; each shard has an inverted index with BM25 weights.  Terms
+what remains of each document is packed.  The remainders of the whole corpus are put in
+an order by content: the terms of a document, weighted by BM25, are projected to a
+vector, a tree of centroids learned from a sample gives its leaf, and the signs of what
+is left its place in the leaf.  Runs of that order, wherever their documents were read,
+are the shards, of at most ``SHARD`` documents; each shard has an inverted index with BM25 weights.  Terms
 and lengths are those of whole documents, not of what remains, and document frequencies
 those of the whole corpus; a seed asks with all its terms.  A seed takes its
 nearest unused neighbours, best first, until its window is full; the last of them
@@ -31,6 +34,11 @@ WINDOW = 1024
 SHARD = 1024
 K1, B = 1.2, 0.75
 TOKENIZER = "byte_bpe_50k"
+#: Size of a content vector, documents the tree is learned from, branches of each level.
+DIMS, SAMPLE, BRANCHES = 128, 8192, 32
+#: Shards that a task packs, and postings that close one early: bound the time and memory of a task.
+_TASK_SHARDS = 4
+_SHARD_TERMS = 4_000_000
 _SPECIAL = "<|endoftext|>"
 #: Pieces a worker remembers in each of two generations, about 0.2 KB each.
 _CACHE = 300_000
@@ -119,7 +127,7 @@ def _crc(ids: np.ndarray) -> int:
 
 
 _TOKENS = (
-    "doc_id long, shard long, item int, doc_tokens long, crcs binary, tail binary, "
+    "doc_id long, place long, doc_tokens long, crcs binary, tail binary, "
     "terms binary, token int, count long"
 )
 
@@ -133,8 +141,8 @@ def _unpack_terms(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(blob, "<u2", n), np.frombuffer(blob, "<u4", n, 2 * n)
 
 
-def _tokenised(folder_file: str, window: int, shard_docs: int):
-    """Documents in shards, in the order of a task; then counts of its documents per token."""
+def _tokenised(folder_file: str, window: int):
+    """Documents and where they were read; then counts of a task's documents per token."""
 
     def run(batches):
         encode = encoder(folder_file).ids
@@ -161,27 +169,100 @@ def _tokenised(folder_file: str, window: int, shard_docs: int):
             no = np.arange(seen, seen + n)
             seen += n
             yield pa.record_batch(
-                [batch["doc_id"], pa.array((part << 16) | (no // shard_docs)),
-                 pa.array((no % shard_docs).astype(np.int32)), pa.array(total, pa.int64()),
+                [batch["doc_id"], pa.array((part << 40) | no), pa.array(total, pa.int64()),
                  pa.array(crcs, pa.binary()), pa.array(tails, pa.binary()),
                  pa.array(terms, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
-                names=["doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "terms", "token",
+                names=["doc_id", "place", "doc_tokens", "crcs", "tail", "terms", "token",
                        "count"],
             )
         token = np.flatnonzero(counts)
         n = len(token)
         if n:
             yield pa.record_batch(
-                [pa.nulls(n, k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int64(),
+                [pa.nulls(n, k) for k in (pa.int64(), pa.int64(), pa.int64(),
                                           pa.binary(), pa.binary(), pa.binary())]
                 + [pa.array(token.astype(np.int32)), pa.array(counts[token])],
-                names=["doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "terms", "token",
+                names=["doc_id", "place", "doc_tokens", "crcs", "tail", "terms", "token",
                        "count"],
             )
 
     return run
 
 
+@lru_cache(maxsize=1)
+def _projection() -> np.ndarray:
+    return np.random.default_rng(8).standard_normal((1 << 16, DIMS), np.float32)
+
+
+def _vectors(blobs: list[bytes], size: np.ndarray, idf: np.ndarray, mean: float) -> np.ndarray:
+    """Unit vectors of documents, near each other where their weighted terms are."""
+    out = np.zeros((len(blobs), DIMS), np.float32)
+    for i, blob in enumerate(blobs):
+        term, tf = _unpack_terms(blob)
+        weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[i] / mean)) * idf[term]
+        out[i] = weight.astype(np.float32) @ _projection()[term]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def _centroids(x: np.ndarray) -> np.ndarray:
+    """Spherical k-means; each centroid is followed by the one most like it."""
+    k = min(BRANCHES, len(x))
+    c = x[np.random.default_rng(9).choice(len(x), k, replace=False)]
+    for _ in range(8):
+        near = np.argmax(x @ c.T, axis=1)
+        for b in range(k):
+            if (near == b).any():
+                c[b] = x[near == b].mean(axis=0)
+        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
+    like, chain = c @ c.T, [0]
+    while len(chain) < k:
+        row = like[chain[-1]].copy()
+        row[chain] = -np.inf
+        chain.append(int(np.argmax(row)))
+    return c[chain]
+
+
+def learn(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Two levels of centroids."""
+    top = _centroids(x)
+    near = np.argmax(x @ top.T, axis=1)
+    return top, [_centroids(x[near == b]) if (near == b).any() else top[b : b + 1]
+                 for b in range(len(top))]
+
+
+def _codes(x: np.ndarray, tree: tuple[np.ndarray, list[np.ndarray]]) -> np.ndarray:
+    """Leaf, then signs against its centroid: like documents have near codes."""
+    top, below = tree
+    near = np.argmax(x @ top.T, axis=1)
+    out = np.zeros(len(x), np.int64)
+    bits = np.int64(1) << np.arange(31, -1, -1)
+    for b in np.unique(near):
+        mine = np.flatnonzero(near == b)
+        leaf = np.argmax(x[mine] @ below[b].T, axis=1)
+        signs = (x[mine] - below[b][leaf])[:, :32] > 0
+        out[mine] = ((b * BRANCHES + leaf) << 32) | (signs @ bits)
+    return out
+
+
+def _project(idf: np.ndarray, mean: float):
+    def run(batches):
+        for batch in batches:
+            x = _vectors(batch["terms"].to_pylist(), batch["doc_tokens"].to_numpy(), idf, mean)
+            yield pa.record_batch([pa.array([v.tobytes() for v in x], pa.binary())], names=["vector"])
+
+    return run
+
+
+def _coded(idf: np.ndarray, mean: float, tree):
+    def run(batches):
+        for batch in batches:
+            x = _vectors(batch["terms"].to_pylist(), batch["doc_tokens"].to_numpy(), idf, mean)
+            yield pa.record_batch([*batch.columns, pa.array(_codes(x, tree))],
+                                  names=[*batch.schema.names, "code"])
+
+    return run
+
+
 class Index:
     """BM25 inverted index of one shard: postings of each term, with weights."""
 
@@ -247,30 +328,44 @@ _PIECES = (
 )
 
 
-def _packed(idf: np.ndarray, mean: float, window: int):
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("item")
-        ids, totals = table["doc_id"].to_pylist(), table["doc_tokens"].to_pylist()
-        tails = [np.frombuffer(t, "<u2") for t in table["tail"].to_pylist()]
-        base = table["shard"][0].as_py() << 26
-        rows, sequence = [], 0
-        for doc_id, total, crcs in zip(ids, totals, table["crcs"].to_pylist(), strict=True):
-            for k, crc in enumerate(np.frombuffer(crcs, "<u4").tolist()):
-                rows.append((doc_id, k * window, window, crc, total, base + sequence, 0))
-                sequence += 1
-        if any(len(t) for t in tails):
-            index = Index(table["terms"].to_pylist(), np.array(totals), idf, mean)
-            for pieces in fill(tails, index, window):
-                offset = 0
-                for i, start, n in pieces:
-                    before = totals[i] - len(tails[i])
-                    rows.append((ids[i], before + start, n, _crc(tails[i][start : start + n]),
-                                 totals[i], base + sequence, offset))
-                    offset += n
-                sequence += 1
-        names = [c.split()[0] for c in _PIECES.split(", ")]
-        columns = zip(*rows, strict=True)
-        return pa.table({k: pa.array(c, pa.int64()) for k, c in zip(names, columns, strict=True)})
+def _pack_shard(items: list[dict], base: int, idf: np.ndarray, mean: float, window: int) -> pa.RecordBatch:
+    ids, totals = [r["doc_id"] for r in items], [r["doc_tokens"] for r in items]
+    tails = [np.frombuffer(r["tail"], "<u2") for r in items]
+    rows, sequence = [], 0
+    for r in items:
+        for k, crc in enumerate(np.frombuffer(r["crcs"], "<u4").tolist()):
+            rows.append((r["doc_id"], k * window, window, crc, r["doc_tokens"], base + sequence, 0))
+            sequence += 1
+    if any(len(t) for t in tails):
+        index = Index([r["terms"] for r in items], np.array(totals), idf, mean)
+        for pieces in fill(tails, index, window):
+            offset = 0
+            for i, start, n in pieces:
+                before = totals[i] - len(tails[i])
+                rows.append((ids[i], before + start, n, _crc(tails[i][start : start + n]),
+                             totals[i], base + sequence, offset))
+                offset += n
+            sequence += 1
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+    columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+    return pa.record_batch(columns, names=names)
+
+
+def _packed(idf: np.ndarray, mean: float, window: int, shard_docs: int):
+    """Shards are runs of the rows of a task, which come in the order of content."""
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+        shard, items, terms = 0, [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if items and (len(items) == shard_docs or terms + len(row["terms"]) // 6 > _SHARD_TERMS):
+                    yield _pack_shard(items, ((part << 16) | shard) << 26, idf, mean, window)
+                    shard, items, terms = shard + 1, [], 0
+                items.append(row)
+                terms += len(row["terms"]) // 6
+        if items:
+            yield _pack_shard(items, ((part << 16) | shard) << 26, idf, mean, window)
 
     return run
 
@@ -287,7 +382,7 @@ def pack(
     """
     folder_file = tokenizer or public_tokenizers.path(f"{TOKENIZER}.json").removesuffix(".json")
     rows = pin(
-        arrow(docs.select("doc_id", "text"), _tokenised(folder_file, window, shard_docs), _TOKENS),
+        arrow(docs.select("doc_id", "text"), _tokenised(folder_file, window), _TOKENS),
         "tokens",
     )
     items = rows.where("token is null")
@@ -297,8 +392,20 @@ def pack(
     count = np.zeros(1 << 16)
     count[found["token"].to_numpy()] = found["n"].to_numpy()
     idf = np.log1p((n - count + 0.5) / (count + 0.5))
-    return (
-        items.select("doc_id", "shard", "item", "doc_tokens", "crcs", "tail", "terms")
-        .groupBy("shard")
-        .applyInArrow(_packed(idf, max(1.0, (length or 0) / max(n, 1)), window), _PIECES)
-    )
+    mean = max(1.0, (length or 0) / max(n, 1))
+    if not n:
+        return items.sparkSession.createDataFrame([], _PIECES)
+    # The only rows that reach the driver: at most SAMPLE vectors of half a kilobyte.
+    sample = items.where("octet_length(tail) > 0").select("terms", "doc_tokens", "place")
+    share = SAMPLE / n
+    if share < 0.5:
+        sample = sample.where(F.pmod(F.xxhash64("place"), F.lit(1 << 30)) < int(2 * share * (1 << 30)))
+    sample = sample.orderBy(F.xxhash64("place")).limit(SAMPLE).select("terms", "doc_tokens")
+    x = arrow(sample, _project(idf, mean), "vector binary").toArrow()["vector"].to_pylist()
+    x = np.frombuffer(b"".join(x), np.float32).reshape(-1, DIMS) if x else np.zeros((1, DIMS), np.float32)
+    columns = items.select("doc_id", "place", "doc_tokens", "crcs", "tail", "terms")
+    coded = arrow(columns, _coded(idf, mean, learn(x)),
+                  "doc_id long, place long, doc_tokens long, crcs binary, tail binary, terms binary, code long")
+    tasks = -(-n // (shard_docs * _TASK_SHARDS))
+    ordered = coded.repartitionByRange(tasks, "code", "place").sortWithinPartitions("code", "place")
+    return arrow(ordered, _packed(idf, mean, window, shard_docs), _PIECES)
