@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidemark.llm import (
+    best_fit,
     chat,
     exact_dedup,
+    hard_negatives,
     nearest,
     ngram_join,
     packing,
     paragraph_dedup,
     pieces,
     quality,
+    resampling,
     sharding,
     suffix_dedup,
 )
@@ -35,6 +38,11 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_formatting": on("conversations", chat.digest),
@@ -47,6 +55,9 @@ def queries() -> dict[str, Query]:
         "op8_packing": on("documents", packing.pack),
         "op9_nearest_neighbours": on("embeddings", nearest.digest),
         "op10_sharding": on("documents", sharding.shards),
+        "op11_hard_negatives": on("embeddings", hard_negatives.hard_negatives),
+        "op12_importance_resampling": _resampled,
+        "op13_best_fit_packing": on("documents", best_fit.pack),
         "pipeline": corpus_pipeline.run,
     }
 
@@ -56,4 +67,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_formatting": chat.ORACLE,
         "op7_exact_dedup": exact_dedup.ORACLE,
         "op10_sharding": sharding.ORACLE,
+        "op11_hard_negatives": hard_negatives.ORACLE,
     }
