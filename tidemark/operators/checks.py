@@ -60,7 +60,8 @@ def check_freshness(
     )
 
 
-def _null_data() -> Column:
+def null_data() -> Column:
+    """Is an event without data, though no tombstone."""
     # An event without a type is not counted: the comparison gives NULL.
     return F.col("data").isNull() & (F.col("type") != "deleted")
 
@@ -71,7 +72,7 @@ def check_null_data(ev: DataFrame) -> DataFrame:
     A plain filter, so parquet statistics skip row groups without a null.
     """
     return (
-        ev.where(_null_data())
+        ev.where(null_data())
         .agg(F.count(F.lit(1)).alias("null_rows"))
         .select("null_rows", (F.col("null_rows") == 0).alias("ok"))
     )
@@ -87,7 +88,7 @@ def verify_events(ev: DataFrame, now: str, start: int = 0) -> DataFrame:
     inside = F.col("timepoint") >= start
     seen = ev.select(
         *(F.when(inside, F.col(c)).alias(c) for c in ("timepoint", "published_at")),
-        _null_data().alias("lacks_data"),
+        null_data().alias("lacks_data"),
     )
     words = timepoint_words(
         seen, F.max("published_at").alias("newest"), F.count_if("lacks_data").alias("null_rows")
@@ -97,6 +98,11 @@ def verify_events(ev: DataFrame, now: str, start: int = 0) -> DataFrame:
         F.max("newest").alias("newest"),
         F.coalesce(F.sum("null_rows"), F.lit(0)).alias("null_rows"),
     )
+    return table_report(facts, now)
+
+
+def table_report(facts: DataFrame, now: str) -> DataFrame:
+    """One row per table check from the one row of facts."""
     checks = (
         _report(
             "contiguity",

@@ -10,6 +10,8 @@ third of the rows costs one row per task.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ def _word(tp: Column) -> Column:
     return F.shiftright(tp, 6)
 
 
-def timepoint_words(ev: DataFrame, *more: Column) -> DataFrame:
-    """``word, mask, odd, n, lo, hi`` for all timepoints of the log.
+def timepoint_words(ev: DataFrame, *more: Column, by: Sequence[str] = ()) -> DataFrame:
+    """``word, mask, odd, n, lo, hi`` for all timepoints of the log, or of each group ``by``.
 
     ``odd`` has the bits that occur an odd number of times.  ``more`` are further
     aggregates to take in the same pass; rows without a timepoint then make a word of
@@ -36,7 +38,7 @@ def timepoint_words(ev: DataFrame, *more: Column) -> DataFrame:
     tp = F.col("timepoint")
     bit = F.expr("shiftleft(1L, cast(timepoint & 63 as int))")
     rows = ev if more else ev.where(tp.isNotNull())
-    return rows.groupBy(_word(tp).alias("word")).agg(
+    return rows.groupBy(*by, _word(tp).alias("word")).agg(
         F.bit_or(bit).alias("mask"),
         F.bit_xor(bit).alias("odd"),
         F.count(tp).alias("n"),
@@ -46,6 +48,18 @@ def timepoint_words(ev: DataFrame, *more: Column) -> DataFrame:
     )
 
 
+def merged_words(words: DataFrame, *more: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Words of several logs, one row for each, as of all of them together."""
+    return words.groupBy(*by, "word").agg(
+        F.bit_or("mask").alias("mask"),
+        F.bit_xor("odd").alias("odd"),
+        F.sum("n").alias("n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        *more,
+    )
+
+
 def words_summary(words: DataFrame, *more: Column) -> DataFrame:
     """Row count, exact distinct count and bounds of the whole log (one row)."""
     return words.agg(
@@ -89,10 +103,10 @@ def _missing(words: DataFrame, span: int) -> DataFrame:
 
 def duplicate_timepoints(ev: DataFrame) -> DataFrame:
     """Timepoints that occur more than once."""
-    return _duplicates(pin(timepoint_words(ev), "words"), ev)
+    return _duplicates(pin(timepoint_words(ev), "words"), lambda: ev)
 
 
-def _duplicates(words: DataFrame, ev: DataFrame) -> DataFrame:
+def _duplicates(words: DataFrame, log: Callable[[], DataFrame]) -> DataFrame:
     """Duplicated timepoints from ``words`` (pinned), as a rule without a second look at the log.
 
     A bit that is set but not odd occurs at least twice.  Where the rows beyond one per
@@ -110,7 +124,8 @@ def _duplicates(words: DataFrame, ev: DataFrame) -> DataFrame:
     if unclear.isEmpty():
         return plain
     counted = (
-        ev.where(F.col("timepoint").isNotNull())
+        log()
+        .where(F.col("timepoint").isNotNull())
         .groupBy("timepoint")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
@@ -164,9 +179,15 @@ def timepoint_issues(ev: DataFrame, span: int = SPAN) -> DataFrame:
 
     Both come from one pass over the log.
     """
-    words = pin(timepoint_words(ev), "words")
+    return issues_of_words(pin(timepoint_words(ev), "words"), lambda: ev, span)
+
+
+def issues_of_words(
+    words: DataFrame, log: Callable[[], DataFrame], span: int = SPAN
+) -> DataFrame:
+    """The same from ``words`` (pinned); the log is read only if a timepoint stands three times."""
     missing = _missing(words, span).withColumn("kind", F.lit("missing"))
-    duplicate = _runs(_duplicates(words, ev), span).withColumn("kind", F.lit("duplicate"))
+    duplicate = _runs(_duplicates(words, log), span).withColumn("kind", F.lit("duplicate"))
     return (
         missing.unionByName(duplicate)
         .select("kind", "range_min", "range_max")

@@ -30,7 +30,7 @@ from tidemark.sources import accounts as acc_src
 from tidemark.sources import landing
 from tidemark.sources import register as reg_src
 from tidemark.streaming import index as idx
-from tidemark.streaming import load, snapshot as stream
+from tidemark.streaming import load, presence, snapshot as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -590,6 +590,55 @@ def compact_loaded(spark, sf):
     return _numbered(flatten(load.read_loaded(spark, out)).select("file", *_ROW))
 
 
+def _loaded_table(spark, sf, ev):
+    """Landing files of a log, and a table that has loaded them in several loads."""
+    path = v.land_events(spark, sf, ev)
+    table, mark = scratch(spark, "events"), scratch(spark, "mark")
+    load.load_events(spark, path, table, mark, max_files=60)
+    return path, table
+
+
+def _load_twice(spark, table):
+    """Load two files again by mistake; their ledger entries."""
+    twice = load.read_ledger(spark, table).where(v.number_of(F.col("file")).between(1, 2))
+    names = [r.file for r in twice.collect()]
+    load.store_load(spark, table, -1, names, load.scan_for_load, "event.timepoint")
+    return pin(twice, "twice"), names[0].rsplit("/", 3)[0]
+
+
+@_query
+def verify_loaded(spark, sf):
+    """The table checks from presence kept per load: as a table is loaded, doubled, corrected, compacted."""
+    path, table = _loaded_table(spark, sf, v.jumping(spark, sf))
+    done = []
+
+    def check(case, table):
+        report = presence.verify_loaded(spark, table, v.NOW)
+        done.append(pin(report.select(F.lit(case).alias("case"), "*"), "report"))
+
+    check("loaded", table)
+    twice, root = _load_twice(spark, table)
+    check("doubled", table)
+    load.correct_loaded(spark, table, twice, root=root)
+    check("corrected", table)
+    load.load_pending(spark, f"{path}/*", table)
+    check("loaded again", table)
+    out = scratch(spark, "compacted")
+    load.compact_loaded(spark, table, out)
+    presence.carry_presence(spark, table, out)
+    check("compacted", out)
+    return reduce(DataFrame.unionByName, done)
+
+
+@_query
+def loaded_issues(spark, sf):
+    """Missing and duplicate ranges of a loaded table, from presence kept per load."""
+    _, table = _loaded_table(spark, sf, v.gapped(spark, sf))
+    presence.refresh_presence(spark, table)
+    _load_twice(spark, table)
+    return presence.loaded_issues(spark, table)
+
+
 # --- Lines and repair ---
 
 

@@ -21,12 +21,23 @@ log as (
     cast(event_id // 500 as bigint) as file_no
   from events)"""
 
-_DAMAGED = (
+_GAPPED = (
     _LOG
     + """,
 gapped as (
   select * replace (
-    timepoint + (timepoint - 1) // 96 + 221 * ((timepoint - 1) // 4000) as timepoint) from log),
+    timepoint + (timepoint - 1) // 96 + 221 * ((timepoint - 1) // 4000) as timepoint) from log)"""
+)
+
+_JUMPING = (
+    _LOG
+    + """,
+jumping as (select * replace (timepoint + 7 * ((timepoint - 1) // 1500) as timepoint) from log)"""
+)
+
+_DAMAGED = (
+    _GAPPED
+    + """,
 damaged as (select * from gapped union all select * from gapped where file_no % 8 = 1)"""
 )
 
@@ -341,6 +352,37 @@ def oracle_sql() -> dict[str, str]:
           from (select resource_uri from latest group by 1 having count(*) > 1)""",
     )
 
+    cases = {
+        "loaded": "jumping", "loaded again": "jumping", "compacted": "jumping",
+        "doubled": "(select * from jumping union all select * from jumping where file_no between 1 and 2)",
+        "corrected": "(select * from jumping where file_no not between 1 and 2)",
+    }
+    sql["verify_loaded"] = _with(
+        _JUMPING,
+        " union all ".join(
+            f"""select '{case}' as "case", 'contiguity' as "check", count(*) = count(distinct timepoint)
+              and count(distinct timepoint) = max(timepoint) - min(timepoint) + 1 as ok,
+              concat_ws(',', count(*), count(distinct timepoint), max(timepoint) - min(timepoint) + 1) as detail
+            from {rows}
+            union all select '{case}', 'freshness',
+              date_diff('second', cast(max(published_at) as timestamp), {_NOW}) <= 48 * 3600,
+              max(published_at) from {rows}
+            union all select '{case}', 'null_data', count(*) = 0, cast(count(*) as varchar)
+            from {rows} where data is null and type != 'deleted'"""
+            for case, rows in cases.items()
+        ),
+    )
+    sql["loaded_issues"] = _with(
+        _GAPPED,
+        """select 'missing' as kind, prev + 1 as range_min, timepoint - 1 as range_max
+        from (select timepoint, lag(timepoint) over (order by timepoint) as prev from gapped)
+        where timepoint - prev > 1
+        union all
+        select 'duplicate', min(timepoint), max(timepoint)
+        from (select timepoint, timepoint - row_number() over (order by timepoint) as g
+              from gapped where file_no between 1 and 2) group by g""",
+    )
+
     # Landing checks
     stats = """select file, min(timepoint) as lo, max(timepoint) as hi, count(*) as row_count
       from damaged group by file"""

@@ -59,13 +59,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log(spark, sf_dir).drop("file_no")
 
 
+def gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log with numbers left out."""
+    skipped = F.expr("(timepoint - 1) div 96 + 221 * ((timepoint - 1) div 4000)")
+    return log(spark, sf_dir).withColumn("timepoint", F.col("timepoint") + skipped)
+
+
+def jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log with seven numbers left out after every third file."""
+    return log(spark, sf_dir).withColumn(
+        "timepoint", F.col("timepoint") + F.expr("7 * ((timepoint - 1) div 1500)")
+    )
+
+
 def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole log with numbers left out and every eighth file loaded twice."""
-    tp = F.col("timepoint")
-    gapped = log(spark, sf_dir).withColumn(
-        "timepoint", tp + F.expr("(timepoint - 1) div 96 + 221 * ((timepoint - 1) div 4000)")
-    )
-    return gapped.unionByName(gapped.where("file_no % 8 = 1"))
+    ev = gapped(spark, sf_dir)
+    return ev.unionByName(ev.where("file_no % 8 = 1"))
 
 
 def double_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,10 +236,10 @@ def _by_file(df: DataFrame) -> DataFrame:
     return df.repartition("file_no").sortWithinPartitions("file_no", "pos")
 
 
-def land_events(spark: SparkSession, sf_dir: str) -> str:
-    """The log as gzip NDJSON, one file per five hundred events."""
+def land_events(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> str:
+    """The log (or ``ev``, with numbered files) as gzip NDJSON, one file per five hundred events."""
     path = scratch(spark, "landing")
-    nested = log(spark, sf_dir).select(
+    nested = (log(spark, sf_dir) if ev is None else ev).select(
         "file_no",
         F.col("timepoint").alias("pos"),
         "resource_kind",

@@ -50,7 +50,7 @@ def read_ledger(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(_LEDGER_DDL).parquet(f"{table}/ledger")
 
 
-def _loads(spark: SparkSession, table: str) -> tuple[int, int]:
+def read_loads(spark: SparkSession, table: str) -> tuple[int, int]:
     """Least and greatest number in the ledger; (0, -1) before the first load."""
     least, greatest = read_ledger(spark, table).agg(F.min("load"), F.max("load")).head()
     return (0, -1) if least is None else (least, greatest)
@@ -62,7 +62,7 @@ def read_loaded(spark: SparkSession, table: str) -> DataFrame:
     While a correction is unfinished (``correct_loaded``) that may still be both copies.
     """
     return spark.read.parquet(f"{table}/rows").where(
-        F.col("load").between(*_loads(spark, table))
+        F.col("load").between(*read_loads(spark, table))
     )
 
 
@@ -85,7 +85,7 @@ def _added(
     """Rows per file of the loads outside ``before``."""
     new = ~F.col("load").between(*before)
     files = read_ledger(spark, table).where(new).select("file")
-    if _loads(spark, table) == before:
+    if read_loads(spark, table) == before:
         return files.select("file", F.lit(0).cast("bigint").alias("rows"))
     rows = (
         read_loaded(spark, table)
@@ -145,7 +145,7 @@ def _load(
     file_column: str,
 ) -> DataFrame:
     _require_whole(spark, table)
-    before = _loads(spark, table)
+    before = read_loads(spark, table)
 
     def store(session: SparkSession, names: list[str], batch: int) -> None:
         store_load(session, table, batch, names, scan, order)
@@ -199,7 +199,7 @@ def load_pending(
 ) -> DataFrame:
     """Load the event files under ``glob`` that the ledger lacks, oldest name first."""
     _require_whole(spark, table)
-    before = _loads(spark, table)
+    before = read_loads(spark, table)
     size = max_files or _batch(spark)
     with temporary(spark):
         # Listed and compared with the ledger once.
@@ -210,7 +210,7 @@ def load_pending(
             names = [r.file for r in rest.orderBy("file").limit(size).collect()]
             if not names:
                 break
-            load = min(_loads(spark, table)[0], 0) - 1
+            load = min(read_loads(spark, table)[0], 0) - 1
             store_load(spark, table, load, names, scan_for_load, "event.timepoint")
             last = names[-1]
     return _added(spark, table, before, "file")
@@ -316,7 +316,7 @@ def compact_loaded(
     Rows and ledger go under the number of the last load, so a loader with the
     same checkpoint goes on with ``out`` where it left off.
     """
-    last = _loads(spark, table)[1]
+    last = read_loads(spark, table)[1]
     rows = read_loaded(spark, table).drop("load")
     parts = max(1, -(-rows.count() // target_rows))
     sort_events(rows, parts, by).write.parquet(f"{out}/rows/load={last}")
