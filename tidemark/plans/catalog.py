@@ -810,6 +810,20 @@ def scan_register_json(spark, sf):
     return _filled(reg_src.scan_register(spark, "charity_policy", path, json_array=True))
 
 
+@_query
+def scan_register_split(spark, sf):
+    """The same files in splits of 16 KiB, cut anywhere."""
+    path = v.land_register(spark, sf)
+    return _filled(reg_src.scan_register_split(spark, "charity", path, split_bytes=1 << 14))
+
+
+@_query
+def scan_register_json_split(spark, sf):
+    path = v.land_register(spark, sf, "charity_policy", json_array=True)
+    scan = reg_src.scan_register_split(spark, "charity_policy", path, True, split_bytes=1 << 14)
+    return _filled(scan)
+
+
 @_query
 def register_rejects(spark, sf):
     """How many values of each column did not fit, over the tables."""

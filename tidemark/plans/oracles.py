@@ -794,6 +794,8 @@ def oracle_sql() -> dict[str, str]:
         ("charity_trustee", "trustee_date_of_appointment", "c_custkey % 30 = 4"),
         ("charity_policy", "linked_charity_number", "c_custkey % 20 = 5"),
     )
+    sql["scan_register_split"] = sql["scan_register"]
+    sql["scan_register_json_split"] = sql["scan_register_json"]
     sql["register_rejects"] = " union all ".join(
         f"""select '{t}' as "table", '{c}' as "column", count(*) as rows from customer where {test}"""
         for t, c, test in rejects
