@@ -30,7 +30,7 @@ from tidemark.sources import accounts as acc_src
 from tidemark.sources import landing
 from tidemark.sources import register as reg_src
 from tidemark.streaming import index as idx
-from tidemark.streaming import load, presence, snapshot as stream
+from tidemark.streaming import live, load, presence, snapshot as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -272,6 +272,18 @@ def order_breaks(spark, sf):
     return rng.order_breaks(lines, start=1)
 
 
+@_query
+def watch_order(spark, sf):
+    """Breaks in the order of three streams, found as they land; the stream starts anew for each wave."""
+    path, out, mark = (scratch(spark, n) for n in ("waves", "watched", "mark"))
+    starts = {"companies": 1, "officers": 0}
+    for _ in v.land_waves(spark, sf, path):
+        live.watch_order(spark, path, out, mark, starts).awaitTermination()
+    found = live.read_watch(spark, out)
+    number = F.regexp_extract("file", r"(\d+)\.json\.gz$", 1).cast("bigint")
+    return found.select("kind", "stream", number.alias("file_no"), "line_no", "prev_tp", "tp")
+
+
 # --- File index, replay, overlaps ---
 
 

@@ -458,6 +458,19 @@ def oracle_sql() -> dict[str, str]:
         where tp <> prev_tp + 1""",
     )
 
+    sql["watch_order"] = _with(
+        _SINK,
+        """select 'break' as kind, stream, file_no, line_no, prev_tp, tp from (
+          select *, coalesce(lag(tp) over (partition by stream order by pos),
+            case stream when 'companies' then 0 when 'officers' then -1 end) as prev_tp
+          from (select *, case when pos % 100 = 50 then pos + 1
+                when pos % 100 = 51 then pos - 1 else pos end as tp,
+                row_number() over (partition by stream, file_no order by pos) as line_no
+              from (select split_part(file, '/', 3) as stream, file_no, timepoint // 3 as pos
+                    from sink)))
+        where tp <> prev_tp + 1""",
+    )
+
     # File index, replay, overlaps
     sql["update_file_index"] = _with(_SINK, "select filename, min, max, stream from idx")
     sql["index_file_count"] = _with(

@@ -6,6 +6,8 @@ The SQL twins of these views are in ``oracles``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -355,7 +357,6 @@ def land_streams(spark: SparkSession, sf_dir: str) -> str:
     Each stream counts its own timepoints.  Of every ten files one ends in a cut extra line.
     """
     path = scratch(spark, "streams")
-    staged = scratch(spark, "staged")
     own = sink(spark, sf_dir).withColumn("timepoint", F.expr("timepoint div 3"))
     ev = own.withColumns(
         {
@@ -368,10 +369,16 @@ def land_streams(spark: SparkSession, sf_dir: str) -> str:
     cut = ev.where("file_no % 10 = 1").groupBy("stream", "name").agg(
         (F.max("pos") + 1).alias("pos"), F.lit('{"event":{"timep').alias("line")
     )
+    columns = ("stream", "name", "pos", "line")
+    _place_lines(spark, ev.select(*columns).unionByName(cut.select(*columns)), path)
+    return path
+
+
+def _place_lines(spark: SparkSession, lines: DataFrame, path: str) -> None:
+    """Lines as gzip files ``<stream>/<name>``, in the order of ``pos``."""
+    staged = scratch(spark, "staged")
     (
-        ev.select("stream", "name", "pos", "line")
-        .unionByName(cut.select("stream", "name", "pos", "line"))
-        .repartition("stream", "name")
+        lines.repartition("stream", "name")
         .sortWithinPartitions("stream", "name", "pos")
         .select("stream", "name", "line")
         .write.partitionBy("stream", "name")
@@ -379,7 +386,29 @@ def land_streams(spark: SparkSession, sf_dir: str) -> str:
         .text(staged)
     )
     place_parts(spark, staged, path)
-    return path
+
+
+def land_waves(spark: SparkSession, sf_dir: str, path: str, waves: int = 3) -> Iterator[int]:
+    """Three streams that land in several waves; of every hundred events two are swapped.
+
+    Gives the number of each wave when its files are there.
+    """
+    own = sink(spark, sf_dir).withColumns({"pos": F.expr("timepoint div 3")}).withColumn(
+        "timepoint",
+        F.expr("case when pos % 100 = 50 then pos + 1 when pos % 100 = 51 then pos - 1 else pos end"),
+    )
+    lines = own.withColumns(
+        {
+            "line": F.expr(_LINE),
+            "stream": F.element_at(F.split("file", "/"), -2),
+            "name": F.element_at(F.split("file", "/"), -1),
+        }
+    ).select("stream", "name", "pos", "line", "file_no")
+    last = own.agg(F.max("file_no")).head()[0]
+    for wave in range(waves):
+        mine = F.floor(F.col("file_no") * waves / (last + 1)) == wave
+        _place_lines(spark, lines.where(mine), path)
+        yield wave
 
 
 _REGISTER = {
