@@ -30,7 +30,7 @@ from tidemark.sources import accounts as acc_src
 from tidemark.sources import landing
 from tidemark.sources import register as reg_src
 from tidemark.streaming import index as idx
-from tidemark.streaming import live, load, presence, snapshot as stream
+from tidemark.streaming import buckets, live, load, presence, snapshot as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -137,6 +137,26 @@ def stream_snapshot(spark, sf):
     return stream.current_snapshot(spark, state).select(*_ROW)
 
 
+def _bucketed(spark, sf):
+    """The state in 16 buckets after four batches, newest part of the log first."""
+    state = scratch(spark, "buckets")
+    for n, batch in enumerate(_late_first(spark, sf)):
+        buckets.apply_batch(spark, state, batch, n, buckets=16)
+    return state
+
+
+@_query
+def bucketed_snapshot(spark, sf):
+    return buckets.bucketed_snapshot(spark, _bucketed(spark, sf)).select(*_ROW)
+
+
+@_query
+def bucket_lookup(spark, sf):
+    """Some keys of the state, a deleted and an unknown one among them maybe."""
+    keys = [f"/resource/{n}" for n in (1, 7, 42, 99, 123_456_789)]
+    return buckets.lookup(spark, _bucketed(spark, sf), keys).select(*_ROW)
+
+
 @_query
 def snapshot_counts(spark, sf):
     return snp.snapshot_counts(snp.latest_snapshot(v.events(spark, sf)))

@@ -277,6 +277,13 @@ def oracle_sql() -> dict[str, str]:
             for name, (old, new, live) in streams.items()
         ),
     )
+    sql["bucketed_snapshot"] = sql["latest_snapshot"]
+    sql["bucket_lookup"] = _with(
+        _LOG,
+        f"""select {_ROW} from log
+        where resource_uri in ('/resource/1', '/resource/7', '/resource/42', '/resource/99')
+        qualify row_number() over (partition by resource_uri order by timepoint desc) = 1""",
+    )
     sql["latest_by_join"] = _with(
         _LOG,
         f"""select {_ROW} from (select * from log where timepoint > 500)
