@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import SAMPLE_ROWS, SPLIT_FILE_BYTES
+from tidemark.session import pin, temporary
 
 EXTENSIONS = {"json": ".json", "csv": ".csv", "parquet": ".parquet"}
 # Text as zstd needs a native Hadoop library that Spark's own distribution lacks, so it
@@ -123,7 +128,7 @@ def export_split(
     """Write parts of about ``file_bytes``.  ``df`` must be pinned.
 
     Rows per part follow from the bytes per row of the pinned copy (parquet), so
-    the target is for parquet; text parts are larger by their lower compression.
+    the target is for parquet; ``export_split_text`` cuts text by its own bytes.
     """
     row_bytes = _stored_bytes(df) / max(df.count(), 1)
     per_file = max(1, int(file_bytes / max(1.0, row_bytes)))
@@ -132,6 +137,85 @@ def export_split(
     return describe_export(written, fmt, compression, description, path, split=True)
 
 
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with their number in the task and the bytes of the lines ahead of them there."""
+    number = ahead = 0
+    for batch in batches:
+        size = pc.binary_length(batch["line"]).to_numpy().astype(np.int64) + 1
+        after = ahead + np.cumsum(size)
+        yield pa.record_batch(
+            [batch["block"], pa.array(np.arange(number, number + len(size))), pa.array(after - size),
+             pa.array(size), batch["line"]],
+            names=["block", "number", "start", "size", "line"],
+        )
+        if len(size):
+            number, ahead = number + len(size), int(after[-1])
+
+
+def _lines(df: DataFrame, fmt: str) -> tuple[Column, str | None]:
+    """A row as a line of text, and the line ahead of all rows."""
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    if fmt == "json":
+        return F.to_json(row, {"ignoreNullFields": "false"}), None
+    if fmt != "csv":
+        raise ValueError(f"no text format: {fmt!r}")
+    names = df.sparkSession.range(1).select(F.to_csv(F.struct(*(F.lit(c).alias(f"c{i}") for i, c in enumerate(df.columns))), {"escape": '"'}))
+    return F.to_csv(row, {"escape": '"'}), names.head()[0]
+
+
+def export_split_text(
+    df: DataFrame,
+    path: str,
+    fmt: str = "json",
+    compression: str = "gzip",
+    file_bytes: int = SPLIT_FILE_BYTES,
+    description: str = "",
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Write JSON or CSV in parts ``part=<i>`` of ``file_bytes`` before the codec.
+
+    Rows are encoded once.  Running sums of their bytes, in each task and then over the
+    tasks, give the place of every row in the whole text, which is cut at multiples of
+    the target: a row belongs to the part that it begins in, so a part misses the target
+    by less than a row (the last one holds what is left).  Parts of CSV begin with the
+    header, which counts.  Parts follow ``order``, or else the order of the rows.  A table
+    without rows is one part with no row.
+    """
+    spark = df.sparkSession
+    line, header = _lines(df, fmt)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    encoded = rows.select(F.spark_partition_id().cast("bigint").alias("block"), line.alias("line"))
+    schema = "block bigint, number bigint, start bigint, size bigint, line string"
+    with temporary(spark):
+        lines = pin(encoded.mapInArrow(_measured, schema), "lines")
+        earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        # One row for each task.
+        ahead = lines.groupBy("block").agg(F.sum("size").alias("bytes")).select(
+            "block", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("ahead")
+        )
+        of_header = 0 if header is None else len(header.encode()) + 1
+        room = F.lit(max(1, file_bytes - of_header))
+        part = F.floor((F.col("ahead") + F.col("start")) / room)
+        placed = lines.join(ahead, "block").select(part.alias("part"), "block", "number", "line")
+        if header is not None:
+            none = F.lit(-1).cast("bigint")
+            known = placed.select("part").unionByName(spark.range(1).select(F.col("id").alias("part")))
+            heads = known.distinct().select(
+                "part", none.alias("block"), none.alias("number"), F.lit(header).alias("line")
+            )
+            placed = placed.unionByName(heads)
+        (
+            placed.repartition("part")
+            .sortWithinPartitions("part", "block", "number")
+            .select("part", "line")
+            .write.partitionBy("part")
+            .option("compression", _codec(fmt, compression))
+            .text(path)
+        )
+    written = export_manifest(spark, path, fmt)
+    return describe_export(written, fmt, compression, description, path, split=True)
+
+
 def sample_rows(
     df: DataFrame, key: str = "resource_uri", n: int = SAMPLE_ROWS, seed: str = "sample"
 ) -> DataFrame:

@@ -922,6 +922,32 @@ def export_split(spark, sf):
     return spark.read.parquet(out)
 
 
+def _part_sizes(spark, path):
+    """Rows and bytes before the codec of each part that was written."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.groupBy("part").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes")
+    )
+
+
+@_query
+def export_split_json(spark, sf):
+    """The log as JSON in parts of 100,000 bytes; how large they are."""
+    out = scratch(spark, "split")
+    rows = v.events(spark, sf).select(*_ROW)
+    export.export_split_text(rows, out, "json", file_bytes=100_000, order=["timepoint"])
+    return _part_sizes(spark, out)
+
+
+@_query
+def export_split_csv(spark, sf):
+    """The same as CSV, whose parts have a header each."""
+    out = scratch(spark, "split")
+    rows = v.events(spark, sf).select(*_ROW)
+    export.export_split_text(rows, out, "csv", file_bytes=100_000, order=["timepoint"])
+    return _part_sizes(spark, out)
+
+
 @_query
 def export_sample(spark, sf):
     """A sample of the log as published JSON, read back."""

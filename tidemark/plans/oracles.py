@@ -851,6 +851,19 @@ def oracle_sql() -> dict[str, str]:
 
     # Exports
     sql["export_split"] = _with(_LOG, f"select {_ROW} from log")
+    quoted = """'"' || replace({}, '"', '{}') || '"'"""
+    as_json = f"""'{{"timepoint":' || timepoint || ',"type":"' || type || '","published_at":"' || published_at
+        || '","resource_uri":"' || resource_uri || '","data":' || coalesce({quoted.format("data", chr(92) + '"')}, 'null') || '}}'"""
+    as_csv = f"""timepoint || ',' || type || ',' || published_at || ',' || resource_uri || ','
+        || coalesce(case when data = '{{}}' then data else {quoted.format("data", '""')} end, '')"""
+    for fmt, line, head in (("json", as_json, 0), ("csv", as_csv, len(_ROW.replace(" ", "")) + 1)):
+        sql[f"export_split_{fmt}"] = _with(
+            _LOG,
+            f"""select cast(part as integer) as part, count(*) + {min(head, 1)} as lines,
+              cast(sum(bytes) + {head} as bigint) as bytes
+            from (select bytes, (sum(bytes) over (order by timepoint) - bytes) // {100_000 - head} as part
+                  from (select timepoint, strlen({line}) + 1 as bytes from log)) group by part""",
+        )
     sql["export_sample"] = _with(
         _LOG,
         f"""select {_ROW} from log
