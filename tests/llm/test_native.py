@@ -132,3 +132,9 @@ def test_sharding_copies_overflow(spark, tmp_path):
     sharding.write_shards(df, str(tmp_path / "out"), 30)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 25_001
     assert sharding.shards(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_keep_one_keeps_all_columns(spark):
+    rows = [(1, "a b", "x", "y", "z", "w"), (2, "ab", "x", "y", "z", "w"), (3, "c", "x", "y", "z", "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __hash string, row string, __norm string, __rank string")
+    assert sorted(map(tuple, exact_dedup.keep_one(df).collect())) == [rows[0], rows[2]]

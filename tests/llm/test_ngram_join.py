@@ -106,3 +106,19 @@ def test_components(spark):
                 changed = True
     assert got == root
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_words_whose_places_cancel(spark):
+    a, b = "a", "b"
+    for _ in range(12):
+        a, b = a + b, b + a
+        df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string") if len(a) >= 1024 else None
+        if df is not None:
+            assert {r.component_id for r in ngram_join.digest(df).collect()} == {1, 2}
+
+
+def test_keep_one_keeps_all_columns(spark):
+    rows = [(1, "a b c", "x", "y", "z", "w"), (2, "a b c", "x", "y", "z", "w"), (3, "d", "x", "y", "z", "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __text string, row string, __id string, __key string")
+    assert sorted(map(tuple, ngram_join.keep_one(df).collect())) == [rows[0], rows[2]]
+    assert ngram_join.keep_one(df).columns == df.columns

@@ -108,3 +108,17 @@ def test_short_lines(spark):
     got = check(rows, spark.createDataFrame(rows, DOCS))
     assert [(d, got[d].removed, got[d].kept_in) for d in sorted(got)] == [
         (1, [], []), (2, [0, 3, 4], [1, 1, 1]), (3, [], []), (4, [0], [3]), (5, [], []), (6, [], [])]
+
+
+def test_words_whose_places_cancel(spark):
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    check([(1, a), (2, b)], spark.createDataFrame([(1, a), (2, b)], DOCS))
+
+
+def test_remove_keeps_all_columns(spark):
+    rows = [(i, "one two three four five six\n" + str(i), "x", "y", "z") for i in (1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, doc string, __doc string, gone string")
+    out = {r.doc_id: r for r in paragraph_dedup.remove(df).collect()}
+    assert tuple(out[1]) == rows[0] and tuple(out[2]) == (2, "2", "x", "y", "z")

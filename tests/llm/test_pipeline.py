@@ -88,3 +88,31 @@ def test_run_is_the_stages(spark, stages):
     rows, _ = stages
     got = corpus_pipeline.run(spark, SF).select("doc_id", "doc_tokens").distinct().collect()
     assert sorted(map(tuple, got)) == sorted({(r[0], r[4]) for r in rows[5]})
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.mark.parametrize("rows", [
+    [],
+    [(1, None, None, None, None), (None, None, "en", "a", 0), (2, "", "en", "a", 0), (2, "", "en", "a", 0)],
+])
+def test_stages_on_odd_tables(spark, tmp_path, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+    assert docs.columns[:2] == ["doc_id", "start"]
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    own = ["doc", "tie", "row", "score", "shard", "kept", "__hash", "__text", "token"]
+    docs = table(spark, SF, "documents")
+    docs = docs.select("*", *(docs["doc_id"].alias(c) for c in own))
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        assert set(own) <= set(docs.columns)
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+        if i < 4:
+            assert docs.where(" or ".join(f"doc_id <> `{c}`" for c in own)).isEmpty()
+    assert docs.columns[0] == "doc_id"

@@ -85,3 +85,28 @@ def test_equal_rows_keep_their_text(spark):
         assert gone in ([(0, 0), (0, 0), (1, len(text))], [(0, len(text)), (0, len(text)), (1, 0)])
         assert [r.n_removed for r in got if r.doc_id == 9] == [len(text)]
         assert [r.n_removed for r in got if r.doc_id is None] == [0, 0]
+
+
+def mirrored(steps):
+    """Two texts of two letters whose places cancel in sums over powers."""
+    a, b = "a", "b"
+    for _ in range(steps):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_two_letters(spark):
+    a, b = mirrored(10)
+    check(run(spark, [(1, a[:300]), (2, b[:300]), (3, "x" + a[64:500]), (4, b[100:800] + a[3:160])]))
+
+
+def test_cut_texts_keeps_all_columns(spark):
+    text = "".join(chr(97 + i * 7 % 26) + str(i) for i in range(60))
+    names = ["doc", "tie", "text", "row", "__doc", "__blobs", "left", "again", "doc_id", "score"]
+    rows = [(*[f"{c}{i}" if c != "text" else text + "tail" * i for c in names[:8]], i, None) for i in (1, 2)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in names[:8]) + ", doc_id long, score double")
+    out = {r.doc_id: r for r in suffix_dedup.cut_texts(df).collect()}
+    assert suffix_dedup.cut_texts(df).columns == names
+    assert tuple(out[1]) == rows[0] and out[2].doc == "doc2" and out[2].left == "left2" and len(out[2].text) < 10
+    kept = suffix_dedup.remove_repeats(df)
+    assert kept.columns == [c for c in names if c != "text"] + ["n_bytes", "n_removed", "n_spans", "kept"]

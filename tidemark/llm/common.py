@@ -57,44 +57,62 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[int, np.ndarray] = {}
+#: A 64-bit value for each byte.
+BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
 
+_PLACES = np.zeros(0, _U)
 
-def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 ... base**(n-1), modulo 2**64; kept for the next call."""
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        out = np.full(max(n, 1 << 16), base, _U)
-        out[0] = 1
-        have = _POWERS[base] = np.multiply.accumulate(out)
-        if n > 1 << 23:  # a single huge text: not worth keeping
-            _POWERS.pop(base)
-    return have[:n]
 
+def _places(n: int) -> np.ndarray:
+    """An odd factor for each place of a span; kept for the next call."""
+    global _PLACES
+    if len(_PLACES) >= n:
+        return _PLACES[:n]
+    made = mix(np.arange(1, max(n, 1 << 12) + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+    if n <= 1 << 20:  # a single huge word: not worth keeping
+        _PLACES = made
+    return made[:n]
 
-#: A 64-bit value for each byte.
-BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
 
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = BYTE) -> np.ndarray:
+    """Of each ``buf[start:end]``; spans are in order, not empty, and do not overlap.
 
-class Rolling:
-    """Hashes of any substrings of a buffer, from one prefix sum."""
+    A sum over the places of a span, each with a factor of its own: no pattern of bytes
+    cancels, as it can where factors are powers of one number.
+    """
+    if not len(start):
+        return np.zeros(0, _U)
+    size = end - start
+    first = np.cumsum(size) - size
+    inner = np.arange(int(size.sum())) - np.repeat(first, size)
+    at = inner + np.repeat(start, size)
+    total = np.add.reduceat(values[buf[at]] * _places(int(size.max()))[inner], first)
+    return mix(total + size.astype(_U) * _U(0xC2B2AE3D27D4EB4F))
 
-    def __init__(self, buf: np.ndarray, values: np.ndarray = BYTE):
-        n = len(buf)
-        self.prefix = np.zeros(n + 1, _U)
-        np.cumsum(values[buf] * _powers(_BASE, n), out=self.prefix[1:])
-        self.inverse = _powers(_BASE_INVERSE, n + 1)
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Of ``buf[start:end]``, the same wherever the bytes stand."""
-        return mix((self.prefix[end] - self.prefix[start]) * self.inverse[start])
+def grams(buf: np.ndarray, sizes: tuple[int, ...], seed: int = 0) -> list[np.ndarray]:
+    """Hashes of every ``k`` bytes in a row, for ascending ``sizes``.
 
-    def grams(self, k: int) -> np.ndarray:
-        """Of every ``k`` bytes in a row."""
-        n = len(self.prefix) - k
-        return mix((self.prefix[k:] - self.prefix[:-k]) * self.inverse[:n])
+    Hashes of twice the length are made from two that follow each other, and of any length
+    from two that overlap, scrambled at every step: equal only for equal bytes.
+    """
+    first, second = mix(np.array([2 * seed + 1, 2 * seed + 2], _U)) | _U(1)
+
+    def joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = x * first
+        out += y * second
+        out ^= out >> _U(31)
+        return out
+
+    out = []
+    level, span = mix(BYTE + _U(seed))[buf], 1
+    for k in sizes:
+        while 2 * span <= k:
+            level = joined(level[:-span], level[span:]) if len(level) > span else level[:0]
+            span *= 2
+        n = max(0, len(buf) - k + 1)
+        out.append(mix(level[:n] if span == k else joined(level[:n], level[k - span : k - span + n])))
+    return out
 
 
 def signed(x: np.ndarray) -> np.ndarray:

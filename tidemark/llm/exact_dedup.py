@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
-_OWN = ("__hash", "__norm", "__rank")
 
 
 def normalised(text: Column | str = "text") -> Column:
@@ -68,14 +67,10 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Exactly one whole row of every group, with the columns of ``docs``."""
-    columns = docs.columns
     order = F.struct("__rank", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return (
-        _hashed(docs.drop(*_OWN))
-        .groupBy("__hash", "__norm")
-        .agg(F.min_by(F.struct(*columns), order).alias("row"))
-        .select("row.*")
-    )
+    # The caller's row is one column, so no name of it can meet one of ours.
+    rows = _hashed(docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")))
+    return rows.groupBy("__hash", "__norm").agg(F.min_by("row", order).alias("row")).select("row.*")
 
 
 ORACLE = r"""

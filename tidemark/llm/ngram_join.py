@@ -34,7 +34,9 @@ FREQUENT = 1_000_000
 LONGEST = 8
 #: Rounds that link each set with one star, before all pairs across components.
 STAR_ROUNDS = 1
-_FLUSH = 4_000_000
+_FLUSH = 2_000_000
+#: Classes a task remembers.
+_SEEN = 1 << 18
 _MANY = (1 << 31) - 1
 
 _U = np.uint64
@@ -114,7 +116,7 @@ def _index(frequent: np.ndarray, weight: np.ndarray):
                 cls = set_hash(tokens)
                 if cls in seen:
                     continue
-                if len(seen) < 1_000_000:  # only saves rows: repeated ones are merged later
+                if len(seen) < _SEEN:  # only saves rows: repeated ones are merged later
                     seen.add(cls)
                 prefix, need, end = _prefix(tokens, frequent, weight)
                 k = len(prefix)
@@ -436,11 +438,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(),
         "gone",
     )
-    return docs.withColumn("__text", text_key()).join(
+    # The caller's row is one column, so no name of it can meet one of ours.
+    whole = docs.select("doc_id", text_key().alias("__text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return whole.join(
         gone,
         F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")),
         "left_anti",
-    ).drop("__text")
+    ).select("row.*")
 
 
 def brute_force(rows: list[tuple[int, str | None]]) -> list[tuple[int, int, int]]:

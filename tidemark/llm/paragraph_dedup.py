@@ -31,6 +31,8 @@ from tidemark.session import pin
 THRESHOLD = 0.8
 #: Share of pairs at the threshold that must collide.
 RECALL = 0.9995
+#: Classes a task remembers.
+_SEEN = 1 << 18
 _U = np.uint64
 
 
@@ -105,7 +107,7 @@ def _bands(batches):
                 own = set_hash(tokens)
                 if own in seen:
                     continue
-                if len(seen) < 1_000_000:  # only saves rows
+                if len(seen) < _SEEN:  # only saves rows
                     seen.add(own)
                 sets.append(tokens)
                 cls.append(own)
@@ -258,27 +260,26 @@ def report(docs: DataFrame) -> DataFrame:
 def _without(batches):
     for batch in batches:
         out = []
-        for text, gone in zip(batch["text"].to_pylist(), batch["__gone"].to_pylist(), strict=True):
+        for text, gone in zip(batch["text"].to_pylist(), batch["gone"].to_pylist(), strict=True):
             if gone:
                 drop = set(gone)
                 text = "\n".join(p for i, p in enumerate(text.split("\n")) if i not in drop)
             out.append(text)
-        names = [n for n in batch.schema.names if n != "__gone"]
-        columns = [pa.array(out, pa.string()) if n == "text" else batch[n] for n in names]
-        yield pa.record_batch(columns, names=names)
+        yield pa.record_batch([batch["row"], pa.array(out, pa.string())], names=["row", "left"])
 
 
 def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated paragraphs cut out of their texts."""
-    named = keyed(docs.withColumnsRenamed({"doc": "__doc", "tie": "__tie"}))
+    # The caller's row is one column, so no name of it can meet one of ours.
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    named = keyed(docs.select("doc_id", "text", F.struct(*columns).alias("row")))
     _, repeats = duplicates(named)
-    gone = repeats.groupBy("doc", "tie").agg(F.collect_list("para").alias("__gone"))
-    rows = named.join(gone, ["doc", "tie"], "left").drop("doc", "tie")
-    rows = rows.withColumnsRenamed({"__doc": "doc", "__tie": "tie"})
-    schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__gone"
+    gone = repeats.groupBy("doc", "tie").agg(F.collect_list("para").alias("gone"))
+    rows = named.join(gone, ["doc", "tie"], "left").select("row", "text", "gone")
+    kind = rows.schema["row"].dataType.simpleString()
+    return arrow(rows, _without, f"row {kind}, left string").select(
+        *(F.col("left").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns)
     )
-    return arrow(rows, _without, schema)
 
 
 def brute_force(rows: list[tuple[int, str]]) -> dict[int, list[int]]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BYTE, Rolling, arrow, chunks, texts_of
+from tidemark.llm.common import arrow, chunks, span_hashes, texts_of
 from tidemark.session import pin
 
 PASSAGE = 64
@@ -97,7 +97,7 @@ def _encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         kinds = np.bincount(of_byte * _CLASSES + _CLASS[buf[at]], minlength=n * _CLASSES)
         kinds = kinds.reshape(n, _CLASSES)
         x[:, :_CLASSES] = kinds / np.maximum(1, kinds.sum(axis=1, keepdims=True))
-        hashes = Rolling(buf).of(start, end)
+        hashes = span_hashes(buf, start, end)
         words = np.bincount(passage, minlength=n)
         share = 1 / np.maximum(1, words)
 

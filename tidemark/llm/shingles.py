@@ -9,10 +9,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-from tidemark.llm.common import BYTE, Rolling, chunks, mix
+from tidemark.llm.common import BYTE, chunks, mix, span_hashes
 
 SIZE = 5
-_CHUNK = 2 << 20
+_CHUNK = 1 << 18
 _U = np.uint64
 
 _SPACE = np.zeros(256, bool)
@@ -52,7 +52,7 @@ def _hashes(texts: Sequence[bytes]) -> list[np.ndarray]:
     inside = np.concatenate(([False], ~_SPACE[buf]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
-    hashes = Rolling(buf, _FOLDED).of(start, end)
+    hashes = span_hashes(buf, start, end, _FOLDED)
     size = np.array([len(t) + 1 for t in texts])
     cut = np.searchsorted(start, np.concatenate(([0], np.cumsum(size))))
     return [hashes[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]

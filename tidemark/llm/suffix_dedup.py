@@ -14,7 +14,8 @@ first, and a suffix leaves as soon as its group has one member:
    texts, is ordered by whole windows.
 
 Equal groups after the last digit are the repeated windows.  Digits are compared
-as 64-bit hashes, and every decision rests on two of them (anchor and text).
+as 64-bit hashes, and every decision rests on two of them (anchor and text), made from
+different seeds by scrambling steps that no pattern of bytes passes unseen.
 """
 
 from __future__ import annotations
@@ -27,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rolling, arrow, chunks, keyed, signed, texts_of
+from tidemark.llm.common import arrow, chunks, grams, keyed, mix, signed, texts_of
 from tidemark.session import pin
 
 WINDOW = 100
 GRAM = 24
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 #: Runs gathered before equal ones are combined.
-_COMBINE = 500_000
+_COMBINE = 150_000
 _SHIFT = 7  # bits for the windows of a run; there are at most 77
 
 _U = np.uint64
@@ -64,9 +65,8 @@ def _runs(texts: list[bytes], window: int, gram: int) -> Iterator[tuple[np.ndarr
             continue
         buf = np.frombuffer(b"\n".join(texts[lo:hi]), np.uint8)
         begin = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        rolling = Rolling(buf)
-        grams = rolling.grams(gram)
-        anchor = _anchors(grams, window - gram + 1)
+        gram_hash = grams(buf, (gram,), 1)[0]
+        anchor = _anchors(gram_hash, window - gram + 1)
         start = np.arange(len(anchor))
         doc = np.repeat(np.arange(hi - lo), sizes + 1)[: len(anchor)]
         inside = start + window <= (begin + sizes)[doc]
@@ -76,9 +76,11 @@ def _runs(texts: list[bytes], window: int, gram: int) -> Iterator[tuple[np.ndarr
         i = np.flatnonzero(first)
         j = np.append(i[1:], len(start)) - 1
         p, q = start[i], start[j]
-        # The place of the anchor goes with the text: equal runs are equal there too.
-        text = rolling.of(p, q + window) + (anchor[i] - p).astype(_U)
-        yield doc[i] + lo, grams[anchor[i]], text, p - begin[doc[i]], q - p + 1
+        # First and last window of a run overlap, so they are its whole text.  The place of
+        # the anchor goes with it: equal runs are equal there too.
+        whole = grams(buf, (window,), 2)[0]
+        text = mix(whole[p] + mix(whole[q] + (q - p).astype(_U))) + (anchor[i] - p).astype(_U)
+        yield doc[i] + lo, gram_hash[anchor[i]], text, p - begin[doc[i]], q - p + 1
 
 
 def _merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,11 +204,11 @@ def _repeated_windows(window: int):
         sizes = np.array([len(t) for t in texts])
         begin = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
         count = sizes - window + 1
-        rolling = Rolling(np.frombuffer(b"\n".join(texts), np.uint8))
+        whole = grams(np.frombuffer(b"\n".join(texts), np.uint8), (window,), 2)[0]
         row = np.repeat(np.arange(len(texts)), count)
         inner = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         p = begin[row] + inner
-        digit = rolling.of(p, p + window)
+        digit = whole[p]
         group = anchor[row].view(_U)
         order = np.lexsort((np.arange(len(row)), digit, group))
         again = np.zeros(len(row), bool)
@@ -307,32 +309,29 @@ def _kept(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, bytes]]:
 def _measure(batches):
     for batch in batches:
         columns = list(zip(*_kept(batch), strict=True)) or [(), (), (), ()]
-        own = [c for c in batch.schema.names if c not in ("text", "__blobs", "__lists")]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         yield pa.record_batch(
-            [batch[c] for c in own]
-            + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=[*own, "n_bytes", "n_removed", "n_spans", "kept"],
+            [batch["row"]] + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["row", "n_bytes", "n_removed", "n_spans", "kept"],
         )
 
 
 def _cut(batches):
     for batch in batches:
         out, some = [], []
-        for text, (size, removed, _, kept) in zip(
-            batch["text"].to_pylist(), _kept(batch), strict=True
-        ):
+        for text, (_, removed, _, kept) in zip(batch["text"].to_pylist(), _kept(batch), strict=True):
             # A character that lost some of its bytes goes.
             left = kept.decode("utf-8", "ignore") if removed else text
             out.append(left)
             some.append(not removed or bool(left))
-        own = [c for c in batch.schema.names if c not in ("__blobs", "__lists")]
-        columns = [pa.array(out, pa.string()) if c == "text" else batch[c] for c in own]
-        yield pa.record_batch(columns, names=own).filter(pa.array(some, pa.bool_()))
+        rows = pa.record_batch([batch["row"], pa.array(out, pa.string())], names=["row", "left"])
+        yield rows.filter(pa.array(some, pa.bool_()))
 
 
-def _with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    named = keyed(docs.withColumnsRenamed({"doc": "__doc", "tie": "__tie"}))
+def _with_spans(docs: DataFrame, window: int, gram: int, *without: str) -> DataFrame:
+    """``row`` (the caller's columns but ``without``), ``text``, ``__blobs`` and ``__lists``."""
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in without]
+    named = keyed(docs.select("doc_id", "text", F.struct(*columns).alias("row")))
     # Rows equal in both are one document: its text counts once, its spans go to each.
     # Only rows of ids that stand on several have a tie: the others need no shuffle.
     rows = named.select("doc", "tie", "text")
@@ -340,13 +339,12 @@ def _with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
     spans = repeated_spans(once, window, gram).groupBy("doc", "tie").agg(
         F.collect_list("spans").alias("__blobs"), F.collect_list("list").alias("__lists")
     )
-    joined = named.join(spans, ["doc", "tie"], "left").drop("doc", "tie")
-    return joined.withColumnsRenamed({"__doc": "doc", "__tie": "tie"})
+    joined = named.join(spans, ["doc", "tie"], "left")
+    return joined.select("row", "text", "__blobs", "__lists")
 
 
-def _schema(df: DataFrame, *without: str) -> str:
-    fields = [f for f in df.schema.fields if f.name not in without]
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+def _row_type(df: DataFrame) -> str:
+    return df.schema["row"].dataType.simpleString()
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -357,11 +355,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     Rows equal in doc_id and text are one document, each reported; rows that share
     a doc_id are ordered by a hash of their text; NULL ids come last.
     """
-    joined = _with_spans(docs.drop("n_bytes", "n_removed", "n_spans", "kept"), window, gram)
-    schema = _schema(joined, "text", "__blobs", "__lists")
-    return arrow(
-        joined, _measure, f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+    own = ("n_bytes", "n_removed", "n_spans", "kept")
+    joined = _with_spans(docs, window, gram, "text", *own)
+    schema = f"row {_row_type(joined)}, n_bytes long, n_removed long, n_spans long, kept binary"
+    return arrow(joined, _measure, schema).select("row.*", *own)
 
 
 def cut_texts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -370,8 +367,11 @@ def cut_texts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     A character that loses some of its bytes goes whole.  A document of which nothing
     is left goes too; one that was empty or NULL before stays as it is.
     """
-    joined = _with_spans(docs, window, gram)
-    return arrow(joined, _cut, _schema(joined, "__blobs", "__lists"))
+    joined = _with_spans(docs, window, gram, "text")
+    rows = arrow(joined, _cut, f"row {_row_type(joined)}, left string")
+    return rows.select(
+        *(F.col("left").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns)
+    )
 
 
 def digest(docs: DataFrame) -> DataFrame:
