@@ -12,9 +12,11 @@ from tidemark.operators import (
     accounts as acc,
     checks,
     correction,
+    digests,
     export,
     files as fil,
     lines as lin,
+    overlap,
     ranges as rng,
     register as reg,
     publish,
@@ -22,6 +24,7 @@ from tidemark.operators import (
     snapshot as snp,
     tables,
 )
+from tidemark.functions.names import stream_of
 from tidemark.functions.order import with_position
 from tidemark.operators.events import flatten, nest
 from tidemark.plans import views as v
@@ -184,6 +187,26 @@ def compare_snapshots(spark, sf):
     )
 
 
+@_query
+def compare_by_digest(spark, sf):
+    """The same by digests of hash ranges, joining only those that differ."""
+    ev = v.log(spark, sf)
+    a, b = (
+        pin(df, name)
+        for df, name in (
+            (snp.latest_snapshot(ev), "snapshot"),
+            (snp.latest_snapshot(ev.where("published_at < '2024-01-29'")), "older"),
+        )
+    )
+    fields = ["timepoint", "published_at", "data"]
+    return digests.compare_by_digest(a, b, "resource_uri", fields, join_rows=100)
+
+
+@_query
+def repeated_keys(spark, sf):
+    return digests.repeated_keys(v.log(spark, sf), "resource_uri")
+
+
 # --- Table checks ---
 
 
@@ -417,6 +440,26 @@ def overlap_pairs_at(spark, sf):
     return fil.overlap_pairs(v.ranges(spark, sf), timepoint=2010)
 
 
+@_query
+def overlap_depth(spark, sf):
+    return overlap.overlap_depth(v.ranges(spark, sf))
+
+
+@_query
+def overlap_depth_streams(spark, sf):
+    """Where two files or more of a stream overlap."""
+    rows = _sink_ranges(spark, sf).withColumn("stream", stream_of(F.col("file")))
+    return overlap.overlap_depth(rows, ["stream"], least=2)
+
+
+@_query
+def files_at_timepoints(spark, sf):
+    """The files that hold each tenth timepoint, from an index of blocks."""
+    index = pin(overlap.stab_index(v.ranges(spark, sf)), "stab-index")
+    wanted = v.log(spark, sf).select("timepoint").where("timepoint % 10 = 0")
+    return overlap.files_at(index, wanted)
+
+
 @_query
 def overlap_recommendation(spark, sf):
     dup = rng.duplicate_range(v.double_loaded(spark, sf))

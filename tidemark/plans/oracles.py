@@ -326,6 +326,9 @@ def oracle_sql() -> dict[str, str]:
         from latest a full join older b on a.resource_uri = b.resource_uri""",
     )
 
+    sql["compare_by_digest"] = sql["compare_snapshots"]
+    sql["repeated_keys"] = sql["check_unique_resources"]
+
     # Table checks
     contiguity = """
       select count(*) as row_count, count(distinct timepoint) as distinct_timepoints,
@@ -465,6 +468,20 @@ def oracle_sql() -> dict[str, str]:
         where tp <> prev_tp + 1""",
     )
 
+    depth = """select {by} place as lo, following - 1 as hi, cast(depth as bigint) as depth from (
+        select *, sum(step) over ({part} order by place) as depth, lead(place) over ({part} order by place) as following
+        from (select {by} place, sum(step) as step
+              from (select {by} lo as place, 1 as step from {rows} union all select {by} hi + 1, -1 from {rows})
+              group by {by} place having sum(step) <> 0)) where depth >= {least}"""
+    sql["overlap_depth"] = _with(_RANGES, depth.format(by="", part="", rows="rng", least=1))
+    sql["overlap_depth_streams"] = _with(
+        _OVERLAPPING, depth.format(by="stream,", part="partition by stream", rows="orng", least=2)
+    )
+    sql["files_at_timepoints"] = _with(
+        _RANGES,
+        """select timepoint, rng.file from log join rng on timepoint between lo and hi
+        where timepoint % 10 = 0""",
+    )
     sql["watch_order"] = _with(
         _SINK,
         """select 'break' as kind, stream, file_no, line_no, prev_tp, tp from (
