@@ -20,7 +20,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _FOLDED = BYTE.copy()
 _FOLDED[65:91] = BYTE[97:123]
 #: Odd factors, one for each word of a shingle.
-_PLACE = mix(np.arange(11, 11 + SIZE, dtype=_U)) | _U(1)
+PLACE = mix(np.arange(11, 11 + SIZE, dtype=_U)) | _U(1)
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -47,12 +47,17 @@ def word_hashes(texts: Sequence[bytes]) -> Iterator[np.ndarray]:
             yield from _hashes(texts[lo:hi])
 
 
-def _hashes(texts: Sequence[bytes]) -> list[np.ndarray]:
-    buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words of a buffer that ends in white space."""
     inside = np.concatenate(([False], ~_SPACE[buf]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
-    hashes = span_hashes(buf, start, end, _FOLDED)
+    return start, end, span_hashes(buf, start, end, _FOLDED)
+
+
+def _hashes(texts: Sequence[bytes]) -> list[np.ndarray]:
+    buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    start, _, hashes = word_spans(buf)
     size = np.array([len(t) + 1 for t in texts])
     cut = np.searchsorted(start, np.concatenate(([0], np.cumsum(size))))
     return [hashes[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
@@ -64,12 +69,12 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
         if not len(words):
             return words
         with np.errstate(over="ignore"):
-            one = (words * _PLACE[: len(words)]).sum(dtype=_U) + _U(len(words))
+            one = (words * PLACE[: len(words)]).sum(dtype=_U) + _U(len(words))
         return mix(np.array([one], _U))
     n = len(words) - SIZE + 1
-    total = words[:n] * _PLACE[0]
+    total = words[:n] * PLACE[0]
     for k in range(1, SIZE):
-        total += words[k : k + n] * _PLACE[k]
+        total += words[k : k + n] * PLACE[k]
     total = mix(total)
     total.sort()
     keep = np.ones(n, bool)
