@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -122,3 +123,18 @@ def test_ids_are_the_librarys(spark):
         spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], DOCS))
     for r in pieces.encode(df).collect():
         assert r.ids == library.encode(r.text), r.text[:80]
+
+
+def test_many_units_at_once():
+    """The same as one by one, whatever stands in the batch."""
+    path = public_tokenizers.path(pieces.MODEL)
+    table = pieces.load(path)
+    rnd = random.Random(6)
+    letters = "aaabcdeeeghinorst▁éßñ日\U0001f600\x00'-."
+    parts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 40))) for _ in range(1500)]
+    parts += [rnd.choice(list(table.score)) + rnd.choice(list(table.score)) for _ in range(1500)]
+    parts += ["▁the", "▁" * 30, "a" * 100, "x"]
+    got = pieces.merge_many(parts, path)
+    for unit, ids in zip(parts, got, strict=True):
+        assert np.frombuffer(ids, np.int32).tolist() == pieces.merge_path(unit, table), unit
+    assert pieces.merge_many([], path) == []

@@ -6,7 +6,7 @@ once for the corpus, relationally: their substrings up to the longest piece are
 exploded and equi-joined to the piece table, the matches are the edges of a lattice,
 grouped by unit, and a higher-order aggregate folds them.  The result is a dictionary
 of at most ``DICTIONARY`` units, however large the corpus; the remaining units are
-folded where they stand, over the same pieces and scores.
+folded where they stand, many at once, over the same pieces and scores.
 
 The ids are SentencePiece's.  For a BPE model, whose scores are merge ranks, the fold
 makes the merges: of the edges that join two neighbouring parts the one of most score,
@@ -315,24 +315,163 @@ def fold_merges(lattices: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Merges:
+    """Two symbols and the one they make, for all pieces; symbols are piece ids, then characters."""
+
+    chars: np.ndarray  # code points, sorted
+    symbol: np.ndarray  # of each
+    pairs: np.ndarray  # left * size + right, sorted
+    made: np.ndarray  # of each
+    rank: np.ndarray  # of each piece id: higher is merged first
+    size: int
+    maybe: np.ndarray  # by a hash of a pair: is there one
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What pairs of symbols make; -1: nothing.  Symbols may be -1."""
+        pair = left * self.size + right
+        out = np.full(len(pair), -1, np.int64)
+        likely = np.flatnonzero(self.maybe[_slot(pair)] & (left >= 0) & (right >= 0))
+        pair = pair[likely]
+        k = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        out[likely] = np.where(self.pairs[k] == pair, self.made[k], -1)
+        return out
+
+
+def _slot(pair: np.ndarray) -> np.ndarray:
+    return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)
+
+
+@lru_cache(maxsize=4)
+def merge_table(path: str) -> Merges:
+    pieces = load(path)
+    score = pieces.score
+    loose = sorted({c for p in score for c in p if c not in score})
+    number = {p: i for p, (_, i) in score.items()} | {c: len(pieces.text) + k for k, c in enumerate(loose)}
+    size = len(pieces.text) + len(loose)
+    made = {}
+    for piece, (_, i) in score.items():
+        for k in range(1, len(piece)):
+            left, right = number.get(piece[:k]), number.get(piece[k:])
+            if left is not None and right is not None:
+                made[left * size + right] = i
+    pairs = np.array(sorted(made), np.int64)
+    rank = np.full(size, -1, np.int64)
+    ids = np.array([i for _, i in score.values()])
+    rank[ids] = np.unique([s for s, _ in score.values()], return_inverse=True)[1]
+    points = sorted((ord(p), i) for p, i in number.items() if len(p) == 1)
+    maybe = np.zeros(1 << 21, bool)
+    maybe[_slot(pairs)] = True
+    return Merges(
+        np.array([c for c, _ in points]), np.array([i for _, i in points]),
+        pairs, np.array([made[int(p)] for p in pairs], np.int64), rank, size, maybe,
+    )
+
+
+def merge_many(parts: list[str], path: str) -> list[bytes]:
+    """``merge_path`` of many units at once, as 32-bit ids: each step merges one pair in each unit."""
+    table, pieces = merge_table(path), load(path)
+    if not parts:
+        return []
+    text = "".join(parts)
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    at = np.minimum(np.searchsorted(table.chars, code), len(table.chars) - 1)
+    symbol = np.where(table.chars[at] == code, table.symbol[at], -1)
+    length = np.array([len(p) for p in parts])
+    unit = np.arange(len(parts))
+    last = np.zeros(len(symbol), bool)
+    last[np.cumsum(length) - 1] = True
+
+    def joined(places: np.ndarray) -> np.ndarray:
+        """What symbols at these places make with the next one; -1: nothing."""
+        right = symbol[np.minimum(places + 1, len(symbol) - 1)]
+        return table.of(symbol[places], np.where(last[places], -1, right))
+
+    # Where a symbol began, and by that what a step looks for: the highest rank, of equal ones
+    # the leftmost.
+    begin = np.arange(len(symbol))
+    low = (1 << 32) - 1
+    makes = joined(begin)
+    value = np.where(makes >= 0, (table.rank[makes] << 32) | (low - begin), -1)
+    done: list[tuple[np.ndarray, ...]] = []
+    while len(unit):
+        first = np.cumsum(length) - length
+        best = np.maximum.reduceat(value, first)
+        active = best >= 0
+        if not active.all():
+            own = np.repeat(active, length)
+            done.append((unit[~active], length[~active], symbol[~own], begin[~own]))
+            symbol, makes, value, begin, last = symbol[own], makes[own], value[own], begin[own], last[own]
+            unit, length, best = unit[active], length[active], best[active]
+            if not len(unit):
+                break
+        place = np.searchsorted(begin, low - (best & low))
+        symbol[place] = makes[place]
+        last[place] = last[place + 1]
+        keep = np.ones(len(symbol), bool)
+        keep[place + 1] = False
+        symbol, makes, value, begin, last = symbol[keep], makes[keep], value[keep], begin[keep], last[keep]
+        place -= np.arange(len(place))  # one symbol went in every unit ahead
+        length = length - 1
+        first = np.cumsum(length) - length
+        changed = np.concatenate([place, place[place > first] - 1])
+        made = joined(changed)
+        makes[changed] = made
+        value[changed] = np.where(made >= 0, (table.rank[made] << 32) | (low - begin[changed]), -1)
+    units_done, lengths, ids, begin = (np.concatenate(c) for c in zip(*done, strict=True))
+    cut = np.concatenate(([0], np.cumsum(lengths)))
+    # Characters that are no piece become bytes.
+    odd = np.flatnonzero((ids < 0) | (ids >= len(pieces.text)))
+    strange = set((np.searchsorted(cut, odd, side="right") - 1).tolist())
+    data = ids.astype(np.int32).tobytes()
+    out: list[bytes] = [b""] * len(parts)
+    for k, (u, i, j) in enumerate(zip(units_done.tolist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+        if k not in strange:
+            out[u] = data[4 * i : 4 * j]
+            continue
+        found = array("i")
+        for one, at in zip(ids[i:j].tolist(), begin[i:j].tolist(), strict=True):
+            found.extend([one] if 0 <= one < len(pieces.text) else pieces.bytes_of(text[at]))
+        out[u] = found.tobytes()
+    return out
+
+
+#: Units solved at once.
+_MANY = 20_000
+
+
+def _solved(new: list[str], path: str, pieces: Pieces) -> Iterator[tuple[str, bytes]]:
+    """Ids of units that are not in the dictionary."""
+    if not pieces.merges:
+        for unit in new:
+            yield unit, array("i", segment(unit, pieces)).tobytes()
+        return
+    short = [u for u in new if len(u) <= _LONG]
+    for k in range(0, len(short), _MANY):
+        yield from zip(short[k : k + _MANY], merge_many(short[k : k + _MANY], path), strict=True)
+    for unit in new:
+        if len(unit) > _LONG:
+            yield unit, array("i", segment(unit, pieces)).tobytes()
+
+
 def _encoder(path: str, known: dict[str, bytes]):
     def run(batches):
         pieces = load(path)
         local: dict[str, bytes] = {}
         for batch in batches:
+            texts = [list(units(text or "")) for text in batch["text"].to_pylist()]
+            new = {u for text in texts for u in text if u not in known and u not in local}
+            if len(local) + len(new) > _CACHE:
+                local = {u: local[u] for text in texts for u in text if u in local}
+            local.update(_solved(list(new), path, pieces))
             out = []
-            for text in batch["text"].to_pylist():
-                parts = []
-                for unit in units(text or ""):
-                    ids = known.get(unit) or local.get(unit)
-                    if ids is None:
-                        ids = array("i", segment(unit, pieces)).tobytes()
-                        if len(unit) <= LONGEST_UNIT:
-                            if len(local) >= _CACHE:
-                                local.clear()
-                            local[unit] = ids
-                    parts.append(ids)
+            for text in texts:
+                parts = [known.get(u) or local[u] for u in text]
                 out.append(np.frombuffer(b"".join(parts), np.int32))
+            # Long units are not worth keeping.
+            for u in new:
+                if len(u) > LONGEST_UNIT:
+                    del local[u]
             offsets = np.concatenate(([0], np.cumsum([len(o) for o in out]))).astype(np.int32)
             values = np.concatenate(out) if out else np.zeros(0, np.int32)
             yield pa.record_batch(
