@@ -18,6 +18,7 @@ import base64
 import re
 import zlib
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow, texts_of
+from tidemark.llm.common import arrow, mix, texts_of
 from tidemark.session import pin
 
 WINDOW = 1024
@@ -40,29 +41,30 @@ DIMS, SAMPLE, BRANCHES = 128, 8192, 32
 _TASK_SHARDS = 4
 _SHARD_TERMS = 4_000_000
 _SPECIAL = "<|endoftext|>"
-#: Pieces a worker remembers in each of two generations, about 0.2 KB each.
-_CACHE = 300_000
 #: Separates documents, and ends each of them.
 END_ID = 0
 
-# White space that the split below would not treat as the tokenizer does.
-_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-_WIDE = re.compile("[ \t\n\r][ \t\n\r]")
-_PIECE = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+$")
+#: Characters encoded at once.
+_LONG = 1 << 20
+_CUT = re.compile(r"(?<=[!-~])[ \n]")
 
 
-class Encoder(dict):
-    """Token ids (16 bits) of texts, through a cache of words.
+def _parts(text: str) -> Iterator[str]:
+    """A very long text cut ahead of blanks, over which the tokenizer's own pattern joins nothing."""
+    at = 0
+    while len(text) - at > _LONG:
+        found = _CUT.search(text, at + _LONG)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
 
-    The tokenizer's own pattern never joins characters before white space with it,
-    so a text is cut there and equal pieces are encoded once.  The dict maps a piece
-    to its ids; when it is full it becomes the older generation, from which pieces that
-    come up again are taken over.
-    """
+
+class Encoder:
+    """Token ids (16 bits) of texts."""
 
     def __init__(self, folder_file: str):
-        super().__init__()
-        self._older: dict[str, bytes] = {}
         import tiktoken
 
         with open(f"{folder_file}.tiktoken", "rb") as lines:
@@ -72,18 +74,9 @@ class Encoder(dict):
         )
         self._json = f"{folder_file}.json"
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._older.get(piece)
-        if ids is None:
-            ids = self._slow(piece)
-        if len(piece) <= 64:
-            if len(self) >= _CACHE:
-                self._older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def _slow(self, text: str) -> bytes:
+    def _ordinary(self, text: str) -> bytes:
+        if not text:
+            return b""
         try:
             ids = self._plain.encode_ordinary(text)
         except BaseException as error:  # its pattern engine panics on some very long runs
@@ -92,22 +85,11 @@ class Encoder(dict):
             ids = _whole_tokenizer(self._json).encode(text, add_special_tokens=False).ids
         return array("H", ids).tobytes()
 
-    def _ordinary(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _ODD.search(text):
-            return self._slow(text)
-        if _WIDE.search(text):
-            return b"".join([self[p] for p in _PIECE.findall(text)])
-        # The common case: single spaces and line breaks between words.
-        words = text.replace("\n", "\x00\n").replace("\t", "\x00\t").replace("\r", "\x00\r")
-        words = words.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else _PIECE.findall(text)
-        return b"".join([self[p] for p in words if p])
-
     def ids(self, text: str) -> np.ndarray:
-        parts = text.split(_SPECIAL) if _SPECIAL in text else [text]
         special = np.array([50256], "<u2").tobytes()
-        return np.frombuffer(special.join([self._ordinary(p) for p in parts]), "<u2")
+        parts = text.split(_SPECIAL) if _SPECIAL in text else [text]
+        encoded = [b"".join(map(self._ordinary, _parts(p) if len(p) > _LONG else [p])) for p in parts]
+        return np.frombuffer(special.join(encoded), "<u2")
 
 
 @lru_cache(maxsize=1)
@@ -253,12 +235,21 @@ def _project(idf: np.ndarray, mean: float):
     return run
 
 
-def _coded(idf: np.ndarray, mean: float, tree):
+def _coded(idf: np.ndarray, mean: float, tree, cuts: np.ndarray):
+    """Codes, and the part of the order that ``cuts`` puts each in.
+
+    A code that several cuts have is spread over their parts, by the place of the row.
+    """
+
     def run(batches):
         for batch in batches:
             x = _vectors(batch["terms"].to_pylist(), batch["doc_tokens"].to_numpy(), idf, mean)
-            yield pa.record_batch([*batch.columns, pa.array(_codes(x, tree))],
-                                  names=[*batch.schema.names, "code"])
+            code = _codes(x, tree)
+            low, high = (np.searchsorted(cuts, code, side=s) for s in ("left", "right"))
+            place = mix(batch["place"].to_numpy().view(np.uint64))
+            part = low + (place % (high - low + 1).astype(np.uint64)).astype(np.int64)
+            yield pa.record_batch([*batch.columns, pa.array(code), pa.array(part.astype(np.int32))],
+                                  names=[*batch.schema.names, "code", "part"])
 
     return run
 
@@ -404,8 +395,12 @@ def pack(
     x = arrow(sample, _project(idf, mean), "vector binary").toArrow()["vector"].to_pylist()
     x = np.frombuffer(b"".join(x), np.float32).reshape(-1, DIMS) if x else np.zeros((1, DIMS), np.float32)
     columns = items.select("doc_id", "place", "doc_tokens", "crcs", "tail", "terms")
-    coded = arrow(columns, _coded(idf, mean, learn(x)),
-                  "doc_id long, place long, doc_tokens long, crcs binary, tail binary, terms binary, code long")
     tasks = -(-n // (shard_docs * _TASK_SHARDS))
-    ordered = coded.repartitionByRange(tasks, "code", "place").sortWithinPartitions("code", "place")
+    tree = learn(x)
+    # The sample's codes cut the order into parts of about equal size.
+    known = np.sort(_codes(x, tree))
+    cuts = known[np.arange(1, tasks) * len(known) // tasks]
+    coded = arrow(columns, _coded(idf, mean, tree, cuts),
+                  "doc_id long, place long, doc_tokens long, crcs binary, tail binary, terms binary, code long, part int")
+    ordered = coded.repartitionById(tasks, "part").sortWithinPartitions("code", "place")
     return arrow(ordered, _packed(idf, mean, window, shard_docs), _PIECES)
