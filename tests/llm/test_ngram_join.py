@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from conftest import SF, SF01
 
@@ -122,3 +123,13 @@ def test_keep_one_keeps_all_columns(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, __text string, row string, __id string, __key string")
     assert sorted(map(tuple, ngram_join.keep_one(df).collect())) == [rows[0], rows[2]]
     assert ngram_join.keep_one(df).columns == df.columns
+
+
+def test_sets_differ_in_no_more_bits_than_tokens():
+    rnd = np.random.default_rng(3)
+    for _ in range(200):
+        pool = np.unique(rnd.integers(0, 2**63, 900).astype(np.uint64))
+        a, b = pool[: rnd.integers(1, 800)], pool[rnd.integers(0, 300) :]
+        differ = sum((x ^ y).bit_count() if x ^ y >= 0 else 64 - (~(x ^ y)).bit_count()
+                     for x, y in zip(ngram_join._bits(a), ngram_join._bits(b)))
+        assert differ <= len(np.setxor1d(a, b))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tidemark.llm.common import arrow, signed, text_key, texts_of
+from tidemark.llm.common import arrow, mix, signed, text_key, texts_of
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import plain_set, linked, set_hash, shingle_sets
 from tidemark.session import pin
@@ -38,6 +38,8 @@ _FLUSH = 2_000_000
 #: Classes a task remembers.
 _SEEN = 1 << 18
 _MANY = (1 << 31) - 1
+#: Parities kept of a set.
+_BITS = 512
 
 _U = np.uint64
 
@@ -133,13 +135,20 @@ def _index(frequent: np.ndarray, weight: np.ndarray):
     return run
 
 
+def _bits(tokens: np.ndarray) -> list[int]:
+    """Parities of a set's tokens by a hash: two sets differ in no more bits than tokens."""
+    odd = np.bincount((mix(tokens) & _U(_BITS - 1)).astype(np.int64), minlength=_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _sets(batches):
     for batch in batches:
         found = [s for s in shingle_sets(texts_of(batch["text"])) if len(s)]
         yield pa.record_batch(
             [pa.array([set_hash(s) for s in found], pa.int64()),
-             pa.array([s.tobytes() for s in found], pa.binary())],
-            names=["cls", "tokens"],
+             pa.array([s.tobytes() for s in found], pa.binary()),
+             pa.array([_bits(s) for s in found], pa.list_(pa.int64()))],
+            names=["cls", "tokens", "bits"],
         )
 
 
@@ -203,7 +212,7 @@ def _room_for_both(n: str, room: str, end: str, m: str, other: str, other_end: s
 
 
 def _sets_of(classes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(cls, tokens): the whole sets of some classes, written once for all comparisons."""
+    """(cls, tokens, bits): the whole sets of some classes, written once for all comparisons."""
     # One document of each class, found again by id and text hash.
     names = ["no_id", "id", "key"]
     no_id, own_id = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id")
@@ -216,7 +225,7 @@ def _sets_of(classes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFra
     texts = docs.select(no_id, own_id, text_key().alias("key"), "text")
     # Repeated rows meet in the partition that the join has made.
     found = texts.join(wanted.hint("merge"), names).groupBy(*names).agg(F.first("text").alias("text"))
-    return pin(arrow(found.select("text"), _sets, "cls long, tokens binary"), "sets")
+    return pin(arrow(found.select("text"), _sets, "cls long, tokens binary, bits array<long>"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -277,10 +286,19 @@ def _most_needed(n: str, m: str, own: str, length: str) -> Column:
     return overlap - (F.col(own) - F.col(length))
 
 
-def _pairs_across(mixed: DataFrame) -> DataFrame:
+def _few_bits_differ(x: str, y: str, n: str, m: str) -> Column:
+    """Whether sets of n and m tokens can be similar, by the parities of their tokens.
+
+    Similar sets differ in at most (n + m) / 9 tokens, and in no more bits than tokens.
+    """
+    differ = sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(_BITS // 64)), F.lit(0))
+    return 9 * differ <= F.col(n) + F.col(m)
+
+
+def _pairs_across(mixed: DataFrame, bits: DataFrame) -> DataFrame:
     """(a, b): all pairs across components of a list that meet what similar sets must.
 
-    Of q shared tokens the first one has q - 1 behind it in either set, so it is among
+    ``bits`` has the parities of each class.  Of q shared tokens the first one has q - 1 behind it in either set, so it is among
     the first u - q + 1 of the u tokens that a set has in these lists: its rarest ones,
     and only they look for partners.
     """
@@ -292,12 +310,12 @@ def _pairs_across(mixed: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(place)).alias("places"), F.count("*").alias("shared"),
     )
     sets = pin(
-        sets.withColumn("room", _room("n", "need")).withColumn(
-            "length", F.col("n") - F.col("room") + F.col("shared")
-        ),
+        sets.withColumn("room", _room("n", "need"))
+        .withColumn("length", F.col("n") - F.col("room") + F.col("shared"))
+        .join(bits.hint("merge"), "cls"),
         "prefixes",
     )
-    columns = ("cls", "n", "room", "end", "root", "length", "shared")
+    columns = ("cls", "n", "room", "end", "root", "length", "shared", "bits")
     rows = sets.select(*columns, F.posexplode("places").alias("at", "place")).select(
         *columns, "at", F.col("place.token").alias("token"), F.col("place.low").alias("low")
     )
@@ -316,6 +334,7 @@ def _pairs_across(mixed: DataFrame) -> DataFrame:
         .where("x_root <> y_root and (y_root = low or x_cls < y_cls)")
         .where(5 * F.least("x_n", "y_n") >= 4 * F.greatest("x_n", "y_n"))
         .where(_room_for_both("x_n", "x_room", "x_end", "y_n", "y_room", "y_end"))
+        .where(_few_bits_differ("x_bits", "y_bits", "x_n", "y_n"))
         .where(probes("x", "y") | probes("y", "x"))
         .select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b"))
         .distinct()
@@ -392,7 +411,8 @@ def similar_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             break
         roots = components(_edges(roots).unionByName(found))
         tried = tried.unionByName(pairs)
-    across = _pairs_across(pin(_with_roots(lists, roots), "mixed")).join(tried, ["a", "b"], "left_anti")
+    mixed = pin(_with_roots(lists, roots), "mixed")
+    across = _pairs_across(mixed, sets.select("cls", "bits")).join(tried, ["a", "b"], "left_anti")
     found = _verified(pin(across, "pairs"), sets)
     return members, components(_edges(roots).unionByName(found))
 
