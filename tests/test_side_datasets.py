@@ -263,3 +263,26 @@ def test_publish_with_split(spark, make_log, tmp_path):
     files = spark.read.parquet(f"{out}/filings-files").collect()
     assert {f.path for f in files} == {d.path for d in row.downloads}
     assert len(files) == sum(d.file_count for d in row.downloads)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_covered_starts_are_looked_up(spark, seed):
+    rnd = random.Random(seed)
+
+    def day(n):
+        return (dt.date(1000, 1, 1) + dt.timedelta(days=n)) if n is not None else None
+
+    rows = []
+    for i in range(150):
+        lo = rnd.choice([None, *[rnd.randrange(300_000)] * 9])
+        width = rnd.choice([-5, 0, 30, 40_000, 90_000]) if i % 10 == 0 else 0
+        url = rnd.choice(["Accounts_Monthly_Data-x", None]) if i % 10 == 0 else "Accounts_Bulk_Data-x"
+        hi = None if lo is None or rnd.random() < 0.02 else lo + width
+        rows.append((i, url, day(lo), day(hi)))
+    # Starts on the ends of a range, and one behind it.
+    rows += [(900, "Accounts_Monthly_Data-x", day(310_000), day(310_030))]
+    rows += [(901 + k, "Accounts_Bulk_Data-x", day(n), day(n)) for k, n in enumerate((309_999, 310_000, 310_030, 310_031))]
+    df = spark.createDataFrame(rows, "id int, zip_url string, zip_start date, zip_end date")
+    got = sorted(map(tuple, acc.accounts_dedup_asof(df, span_days=rnd.choice([7, 4096, 10**6])).collect()))
+    assert got == sorted(map(tuple, acc.accounts_dedup(df).collect()))
+    assert {r[0] for r in got} & {901, 902, 903, 904} == {901, 904}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.order import floor_div, with_running_max
 from tidemark.schemas import ACCOUNTS_HISTORY_START, ACCOUNTS_NAME_COLUMNS, DAILY_ACCOUNTS_LIKE
 
 
@@ -28,6 +29,32 @@ def accounts_dedup(accounts: DataFrame) -> DataFrame:
     return accounts.join(F.broadcast(covered), dropped, "left_anti")
 
 
+def accounts_dedup_asof(accounts: DataFrame, span_days: int = 4096) -> DataFrame:
+    """The same without laying out days: each start looks up how far any range before it reaches.
+
+    Longer ranges and the distinct starts of daily rows go into one order, in which the
+    greatest end so far is carried on; a start is covered if that reaches it.  So nothing
+    depends on how long ranges are, and what is sent to tasks, if Spark finds it small
+    enough, are covered starts only.
+    """
+    longer = F.coalesce(~F.col("zip_url").like(DAILY_ACCOUNTS_LIKE), F.lit(False))
+    ranges = (
+        accounts.where(longer & (F.col("zip_start") <= F.col("zip_end")))
+        .groupBy(F.col("zip_start").alias("day"))
+        .agg(F.max("zip_end").alias("last"))
+        .withColumn("kind", F.lit(0))
+    )
+    starts = accounts.where(~longer & F.col("zip_start").isNotNull()).select(F.col("zip_start").alias("day")).distinct()
+    both = ranges.unionByName(
+        starts.withColumns({"last": F.lit(None).cast("date"), "kind": F.lit(1)})
+    )
+    # A range that begins on the day itself is ahead of it.
+    bucket = floor_div(F.unix_date("day").cast("bigint"), span_days)
+    reach = with_running_max(both, bucket, ["day", "kind"], F.col("last"), "reach")
+    covered = reach.where("kind = 1 and reach >= day").select("day")
+    return accounts.join(covered, (F.col("zip_start") == F.col("day")) & ~longer, "left_anti")
+
+
 def accounts_zip_counts(accounts: DataFrame, first: str, last: str) -> DataFrame:
     """Rows per archive whose range starts between two days."""
     return (

@@ -33,7 +33,7 @@ from tidemark.sources import accounts as acc_src
 from tidemark.sources import landing
 from tidemark.sources import register as reg_src
 from tidemark.streaming import index as idx
-from tidemark.streaming import buckets, live, load, presence, snapshot as stream
+from tidemark.streaming import buckets, live, load, presence, samples, snapshot as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -714,6 +714,17 @@ def loaded_issues(spark, sf):
     return presence.loaded_issues(spark, table)
 
 
+@_query
+def sample_loaded(spark, sf):
+    """A sample of a loaded table and one of its second half, from sketches kept per load."""
+    _, table = _loaded_table(spark, sf, v.log(spark, sf))
+    samples.refresh_samples(spark, table, n=300)
+    _load_twice(spark, table)
+    whole = samples.sample_loaded(spark, table, n=300).select(F.lit("all").alias("days"), *_ROW)
+    late = samples.sample_loaded(spark, table, n=300, first_day="2024-01-15")
+    return whole.unionByName(late.select(F.lit("late").alias("days"), *_ROW))
+
+
 # --- Lines and repair ---
 
 
@@ -843,6 +854,11 @@ def accounts_dedup(spark, sf):
     return acc.accounts_dedup(v.accounts(spark, sf))
 
 
+@_query
+def accounts_dedup_asof(spark, sf):
+    return acc.accounts_dedup_asof(v.accounts(spark, sf))
+
+
 @_query
 def accounts_zip_counts(spark, sf):
     return acc.accounts_zip_counts(v.accounts(spark, sf), "1995-01-01", "1997-12-31")

@@ -382,6 +382,14 @@ def oracle_sql() -> dict[str, str]:
             for case, rows in cases.items()
         ),
     )
+    sql["sample_loaded"] = _with(
+        _DOUBLED,
+        " union all ".join(
+            f"""select * from (select '{days}' as days, {_ROW} from doubled where published_at >= '{first}'
+              order by md5('sample|' || timepoint), timepoint limit 300)"""
+            for days, first in (("all", ""), ("late", "2024-01-15"))
+        ),
+    )
     sql["loaded_issues"] = _with(
         _GAPPED,
         """select 'missing' as kind, prev + 1 as range_min, timepoint - 1 as range_max
@@ -759,6 +767,7 @@ def oracle_sql() -> dict[str, str]:
     # Accounts
     sql["scan_accounts"] = _LANDED_ACCOUNTS
     sql["accounts_dedup"] = _with(_ACCOUNTS, "select * from kept")
+    sql["accounts_dedup_asof"] = sql["accounts_dedup"]
     sql["accounts_zip_counts"] = _with(
         _ACCOUNTS,
         """select zip_url, zip_start, zip_end, count(*) as n from accounts

@@ -47,7 +47,7 @@ def read_marks(spark: SparkSession, table: str) -> DataFrame:
     return _read(spark, f"{table}/presence/marks", _MARKS_DDL)
 
 
-def _stored_files(spark: SparkSession, table: str) -> DataFrame:
+def stored_files(spark: SparkSession, table: str) -> DataFrame:
     """``load, files, digest``: names and sizes of the files of each load, none of them opened.
 
     Written files have names that never come again, so a load that was rewritten differs.
@@ -66,7 +66,8 @@ def _stored_files(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
-def _in_table(spark: SparkSession, table: str) -> Column:
+def in_table(spark: SparkSession, table: str) -> Column:
+    """Is a load one of those the ledger has."""
     return F.col("load").between(*read_loads(spark, table))
 
 
@@ -95,7 +96,7 @@ def refresh_presence(spark: SparkSession, table: str, start: int | None = None)
     all loads are indexed anew.  Marks of loads that are gone are deleted.  A run
     that was stopped leaves a load without a valid mark, which the next run indexes.
     """
-    stored = pin(_stored_files(spark, table).where(_in_table(spark, table)), "stored-files")
+    stored = pin(stored_files(spark, table).where(in_table(spark, table)), "stored-files")
     same = ["load", "files", "digest"]
     known = read_marks(spark, table)
     if start is None:
@@ -107,9 +108,9 @@ def refresh_presence(spark: SparkSession, table: str, start: int | None = None)
     if loads:
         folders = [f"{table}/rows/load={n}" for n in loads]
         rows = spark.read.option("basePath", f"{table}/rows").parquet(*folders)
-        _write(_words(rows, start).repartitionByRange("load", "word").sortWithinPartitions("load", "word"),
+        write_loads(_words(rows, start).repartitionByRange("load", "word").sortWithinPartitions("load", "word"),
                f"{table}/presence/words")
-        _write(_marks(spark, table, stale, start), f"{table}/presence/marks")
+        write_loads(_marks(spark, table, stale, start), f"{table}/presence/marks")
     gone = read_marks(spark, table).join(stored, "load", "left_anti").select("load")
     for row in gone.toLocalIterator():
         for kind in ("marks", "words"):
@@ -118,7 +119,8 @@ def refresh_presence(spark: SparkSession, table: str, start: int | None = None)
     return spark.createDataFrame([(n,) for n in sorted(loads)], "load bigint")
 
 
-def _write(df: DataFrame, path: str) -> None:
+def write_loads(df: DataFrame, path: str) -> None:
+    """Replace the folders ``load=<n>`` that ``df`` has rows of."""
     (
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("load").parquet(path)
@@ -175,7 +177,7 @@ def seams(bounds: list[tuple[int, int]], most: int = _MOST_SEAMS) -> list[tuple[
 def _counted_again(spark: SparkSession, table: str, marks: list) -> DataFrame:
     """``again``: timepoints that the sums of the loads count more than once."""
     bounds = [(m.min_tp >> 6, m.max_tp >> 6) for m in marks if m.min_tp is not None]
-    words = _read(spark, f"{table}/presence/words", _WORDS_DDL).where(_in_table(spark, table))
+    words = _read(spark, f"{table}/presence/words", _WORDS_DDL).where(in_table(spark, table))
     inside = F.lit(False)
     for lo, hi in seams(bounds):
         inside = inside | F.col("word").between(lo, hi)
@@ -213,7 +215,7 @@ def loaded_words(spark: SparkSession, table: str) -> DataFrame:
     """``timepoint_words`` of a loaded table, merged from its loads."""
     refresh_presence(spark, table)
     words = _read(spark, f"{table}/presence/words", _WORDS_DDL)
-    return merged_words(words.where(F.col("word").isNotNull() & _in_table(spark, table)))
+    return merged_words(words.where(F.col("word").isNotNull() & in_table(spark, table)))
 
 
 def loaded_issues(spark: SparkSession, table: str, span: int = SPAN) -> DataFrame:
@@ -236,11 +238,11 @@ def carry_presence(spark: SparkSession, table: str, out: str) -> None:
         counts = [read_loaded(spark, path).count() for path in (table, out)]
         if counts[0] != counts[1]:
             raise ValueError(f"{out} has {counts[1]} rows, {table} has {counts[0]}")
-        stored = pin(_stored_files(spark, out), "stored-files")
+        stored = pin(stored_files(spark, out), "stored-files")
         load = stored.select("load").head()[0]
-        words = _read(spark, f"{table}/presence/words", _WORDS_DDL).where(_in_table(spark, table))
+        words = _read(spark, f"{table}/presence/words", _WORDS_DDL).where(in_table(spark, table))
         newest = (F.max("newest").alias("newest"), F.sum("null_rows").alias("null_rows"))
         whole = merged_words(words, *newest, by=["checked"]).withColumn("load", F.lit(load))
-        _write(whole.repartitionByRange("word").sortWithinPartitions("word"), f"{out}/presence/words")
+        write_loads(whole.repartitionByRange("word").sortWithinPartitions("word"), f"{out}/presence/words")
         start = read_marks(spark, table).agg(F.max("start")).head()[0]
-        _write(_marks(spark, out, stored, start), f"{out}/presence/marks")
+        write_loads(_marks(spark, out, stored, start), f"{out}/presence/marks")
