@@ -21,6 +21,7 @@ from tidemark.operators import (
     register as reg,
     publish,
     repair,
+    requests,
     snapshot as snp,
     tables,
 )
@@ -737,6 +738,24 @@ def number_lines(spark, sf):
     return _numbered(lin.number_lines(pin(_lines(spark, sf), "lines")))
 
 
+@_query
+def captures(spark, sf):
+    path = v.land_captures(spark, sf)
+    files = landing.list_sink_files(spark, f"{path}/*")
+    lines = pin(landing.read_lines(spark, f"{path}/*"), "lines")
+    return _numbered(requests.captures(files, lines))
+
+
+@_query
+def stream_names(spark, sf):
+    return requests.stream_names(v.requested_files(spark, sf))
+
+
+@_query
+def check_requests(spark, sf):
+    return requests.check_requests(v.requested_files(spark, sf), "/sink")
+
+
 @_query
 def clean_landing(spark, sf):
     return _numbered(lin.clean_landing(pin(_lines(spark, sf), "lines")))

@@ -698,6 +698,24 @@ def oracle_sql() -> dict[str, str]:
     )
     # Lines and repair
     sql["number_lines"] = _with(_LINES, "select file_no, line_no, line, ok from lines")
+    sql["captures"] = _with(
+        _LINES,
+        """select file_no, case when file_no % 3 = 1 then 0 else n end as lines, file_no % 3 <> 1 as upload
+        from (select file_no, count(*) filter (where ok or line_no < last) as n
+              from (select *, max(line_no) over (partition by file_no) as last from lines) group by file_no)""",
+    )
+    asked = """(select o_custkey as request,
+        case when o_custkey % 11 = 0 and o_orderkey % 3 = 0 then 'other' else 'sink' end as root,
+        case when o_custkey % 5 = 0 and o_orderkey % 2 = 0 then 'filings' when o_custkey % 7 = 0 then 'parcels'
+          else 'companies' end as stream,
+        o_custkey % 13 = 0 and o_orderstatus = 'F' as csv from orders)"""
+    sql["stream_names"] = f"""select distinct stream, stream in ('companies', 'filings') as known, stream as "table" from {asked}"""
+    sql["check_requests"] = f"""select request, files, case when problem is null then stream end as stream, problem from (
+        select request, count(*) as files, min(stream) as stream,
+          case when bool_or(root = 'other') then 'outside the root' when bool_or(csv) then 'not an event file'
+               when min(stream) <> max(stream) then 'several streams'
+               when min(stream) = 'parcels' then 'unknown stream' end as problem
+        from {asked} group by request)"""
     sql["clean_landing"] = _with(
         _LINES,
         """select file_no, line from lines

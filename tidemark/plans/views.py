@@ -311,6 +311,28 @@ def land_lines(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def land_captures(spark: SparkSession, sf_dir: str) -> str:
+    """The damaged lines as captured files, of every three of which one is blank."""
+    path = scratch(spark, "captures")
+    lines = damaged_lines(spark, sf_dir).withColumn("line", F.expr("if(file_no % 3 = 1, '  ', line)"))
+    _by_file(lines).select("file_no", "line").write.partitionBy("file_no").option("compression", "gzip").text(path)
+    return path
+
+
+def requested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of one customer each, for a file per order; some ask for what they may not."""
+    stream = F.expr(
+        "case when o_custkey % 5 = 0 and o_orderkey % 2 = 0 then 'filings' when o_custkey % 7 = 0 then 'parcels'"
+        " else 'companies' end"
+    )
+    root = F.expr("case when o_custkey % 11 = 0 and o_orderkey % 3 = 0 then '/other/' else '/sink/' end")
+    end = F.expr("if(o_custkey % 13 = 0 and o_orderstatus = 'F', '.csv', '.json.gz')")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("request"),
+        F.concat(root, stream, F.lit("/"), F.col("o_orderkey").cast("string"), end).alias("file"),
+    )
+
+
 def land_accounts(spark: SparkSession, sf_dir: str) -> str:
     """Orders as accounts CSV, one folder of parts per month; pending ones report an error."""
     from tidemark.sources.accounts import accounts_schema

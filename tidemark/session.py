@@ -6,13 +6,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.files import hadoop_path
 
 _LOCAL_ROOTS: dict[str, str] = {}
-_SCOPES: list[list[str]] = []
+#: Scratch folders of the innermost ``temporary`` block of this thread; jobs of one session
+#: in several threads each have their own.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -22,6 +25,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Rows and bytes of one Arrow batch: bound the memory of a Python task.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 
@@ -60,8 +66,9 @@ def work_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared root; nothing is ever reused."""
     path = f"{work_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -73,11 +80,11 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     not leave the block.
     """
     made: list[str] = []
-    _SCOPES.append(made)
+    outer = _SCOPE.set(made)
     try:
         yield
     finally:
-        _SCOPES.remove(made)
+        _SCOPE.reset(outer)
         for name in made:
             fs, path = hadoop_path(spark, name)
             fs.delete(path, True)

@@ -142,8 +142,7 @@ def cut_files(spark: SparkSession, paths: Paths) -> DataFrame:
             yield pa.record_batch([batch["file"].filter(pa.array(cut, pa.bool_()))], ["file"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(_paths(paths))
-    # A few files at a time: their whole content is in memory.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    # Whole files are in memory, as many as ``prepare`` allows a batch in bytes.
     return files.select(F.col("path").alias("file"), "content").mapInArrow(
         incomplete, "file string"
     )
