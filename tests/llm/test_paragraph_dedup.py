@@ -186,3 +186,12 @@ def test_remove_keeps_all_columns(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, doc string, __doc string, gone string")
     out = {r.doc_id: r for r in paragraph_dedup.remove(df).collect()}
     assert tuple(out[1]) == rows[0] and tuple(out[2]) == (2, "2", "x", "y", "z")
+
+
+def test_sets_differ_in_no_more_bits_than_tokens():
+    rnd = np.random.default_rng(3)
+    for _ in range(300):
+        pool = np.unique(rnd.integers(0, 2**63, 60).astype(np.uint64))
+        a, b = pool[: rnd.integers(1, 50)], pool[rnd.integers(0, 30) :]
+        x, y = paragraph_dedup.parities(np.concatenate([a, b]), np.array([0, len(a)])).view(np.uint64).tolist()
+        assert (x ^ y).bit_count() <= len(np.setxor1d(a, b))

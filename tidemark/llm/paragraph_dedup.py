@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow, chunks, keyed, mix, texts_of
@@ -96,6 +96,15 @@ class Paragraphs:
         return mix(total + self.size.astype(_U)).view(np.int64)
 
 
+def parities(tokens: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64 bits of each set: parities of its tokens by a hash.
+
+    Two sets differ in no more bits than tokens, which sifts pairs before whole sets move.
+    """
+    bit = _U(1) << (mix(tokens + _U(77)) & _U(63))
+    return np.bitwise_xor.reduceat(bit, start).view(np.int64)
+
+
 def _windows(text: bytes) -> Iterator[bytes]:
     """A huge text cut behind line breaks, or else sentence ends, blanks, or not at all."""
     at = 0
@@ -208,7 +217,8 @@ def _bands(batches):
         for p in paragraphs(texts_of(batch["text"])):
             cls = p.cls
             able = p.size >= _LEAST
-            able &= ~np.isin(cls, seen)
+            if len(seen):
+                able &= seen[np.minimum(np.searchsorted(seen, cls), len(seen) - 1)] != cls
             pick = np.flatnonzero(able)
             pick = pick[np.unique(cls[pick], return_index=True)[1]]
             if not len(pick):
@@ -221,8 +231,9 @@ def _bands(batches):
             bands = signature(p.tokens[at], start)
             yield pa.record_batch(
                 [pa.array(bands.ravel().view(np.int64)), pa.array(np.repeat(cls[pick], BANDS)),
-                 pa.array(np.repeat(size, BANDS).astype(np.int32))],
-                names=["band", "cls", "n"],
+                 pa.array(np.repeat(size, BANDS).astype(np.int32)),
+                 pa.array(np.repeat(parities(p.tokens[at], start), BANDS))],
+                names=["band", "cls", "n", "bits"],
             )
 
 
@@ -276,6 +287,15 @@ def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFram
     return pin(arrow(both.select("a", "b", "ta", "tb"), _compare, "a long, b long"), "links")
 
 
+def _able(n: str, m: str, bits: str, other: str) -> Column:
+    """Whether sets of n and m shingles can be similar.
+
+    Similar ones have sizes of a ratio of 0.8 and more and differ in at most (n + m) / 9.
+    """
+    differ = F.bit_count(F.col(bits).bitwiseXOR(F.col(other)))
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * differ <= F.col(n) + F.col(m))
+
+
 def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, repeats) of rows of :func:`keyed`.
 
@@ -291,7 +311,7 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         arrow(rows, _members, "doc long, tie long, para int, cls long, words int"), "paragraphs"
     )
     of_band = Window.partitionBy("band")
-    bands = arrow(docs.select("text"), _bands, "band long, cls long, n int")
+    bands = arrow(docs.select("text"), _bands, "band long, cls long, n int, bits long")
     lists = pin(
         bands.repartition("band").dropDuplicates(["band", "cls"])
         .withColumn("size", F.count("*").over(of_band)).where("size > 1").drop("size"),
@@ -301,12 +321,13 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # has among its edited copies.
     own = lists.groupBy("cls").agg((-F.count("*")).alias("own"))
     starred = lists.join(own.hint("merge"), "cls").withColumn(
-        "star", F.min(F.struct("own", "cls")).over(of_band)["cls"]
+        "star", F.min(F.struct("own", "cls", "n", "bits")).over(of_band)
     )
-    # Sets of n and m shingles can only be similar if n and m are.
-    near = 5 * F.least("n", "m") >= 4 * F.greatest("n", "m")
-    stars = starred.where("cls <> star").groupBy(F.col("star").alias("a"), F.col("cls").alias("b")).agg(
-        F.count("*").alias("shared")
+    stars = (
+        starred.where(F.col("cls") != F.col("star.cls"))
+        .where(_able("n", "star.n", "bits", "star.bits"))
+        .groupBy(F.col("star.cls").alias("a"), F.col("cls").alias("b"))
+        .agg(F.count("*").alias("shared"))
     )
     first = _verified(
         stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"),
@@ -314,17 +335,22 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     roots = components(first)
     known = lists.join(roots.hint("merge"), F.col("cls") == F.col("node"), "left").select(
-        "band", "cls", "n", F.coalesce("root", "cls").alias("root")
+        "band", "cls", "n", "bits", F.coalesce("root", "cls").alias("root")
     )
     mixed = pin(
         known.select("*", F.min("root").over(of_band).alias("low"), F.max("root").over(of_band).alias("high"))
         .where("low <> high"),
         "mixed",
     )
-    x = mixed.where("root <> low").select("band", F.col("cls").alias("x"), F.col("n"), F.col("root").alias("xr"))
-    y = mixed.select("band", "low", F.col("cls").alias("y"), F.col("n").alias("m"), F.col("root").alias("yr"))
-    across = x.join(y, "band").where("xr <> yr and (yr = low or x < y)").where(near).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+
+    def side(name: str, df: DataFrame, *more: str) -> DataFrame:
+        return df.select("band", *more, *(F.col(c).alias(f"{name}_{c}") for c in ("cls", "n", "bits", "root")))
+
+    across = (
+        side("x", mixed.where("root <> low")).join(side("y", mixed, "low"), "band")
+        .where("x_root <> y_root and (y_root = low or x_cls < y_cls)")
+        .where(_able("x_n", "y_n", "x_bits", "y_bits"))
+        .select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b"))
     )
     second = _verified(across, members, docs)
     roots = components(
@@ -334,9 +360,13 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = members.where("cls is not null").join(linked_classes.hint("merge"), "cls", "left").select(
         "doc", "tie", "para", "words", F.coalesce("root", "cls").alias("comp")
     )
+    # Most paragraphs stand once.  Written lists, so Spark can split the joins where one
+    # paragraph stands in very many documents.
+    often = pin(placed.groupBy("comp").count().where("count > 1").select("comp"), "often")
+    again = pin(placed.join(often.hint("merge"), "comp"), "again")
     place = F.struct("doc", "tie", "para")
-    groups = placed.groupBy("comp").agg(F.count("*").alias("size"), F.min(place).alias("kept")).where("size > 1")
-    found = placed.join(groups, "comp").where(place != F.col("kept")).select(
+    kept = pin(again.groupBy("comp").agg(F.min(place).alias("kept")), "kept")
+    found = again.join(kept.hint("merge"), "comp").where(place != F.col("kept")).select(
         "doc", "tie", "para", "words", F.col("kept.doc").alias("doc_kept")
     )
     # Repeated paragraphs that follow each other are one passage.
