@@ -25,15 +25,17 @@ def ledger_missing(wanted: DataFrame, ledger: DataFrame) -> DataFrame:
 FLAGS = ("range_match", "contiguous", "all_duplicated", "all_in_ledger")
 
 
-def confirm_double_load(ev: DataFrame, rng: DataFrame, ledger: DataFrame) -> DataFrame:
+def confirm_double_load(
+    ev: DataFrame, rng: DataFrame, ledger: DataFrame, twice: DataFrame | None = None
+) -> DataFrame:
     """Are the files ``rng`` exactly the doubly loaded part of the log (one row of flags).
 
     Their range is the duplicate range, they follow each other without a gap,
     every timepoint in it is duplicated, and all of them were loaded.  One pass over
-    the log.
+    the log, or none with its duplicate timepoints ``twice`` (pinned).
     """
     lo, hi = rng.agg(F.min("lo"), F.max("hi")).head()
-    doubled = duplicate_timepoints(ev).agg(
+    doubled = (duplicate_timepoints(ev) if twice is None else twice).agg(
         F.min("timepoint").alias("least"),
         F.max("timepoint").alias("greatest"),
         F.count_if(F.col("timepoint").between(lo, hi)).alias("inside"),

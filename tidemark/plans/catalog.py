@@ -487,9 +487,10 @@ def confirm_double_load(spark, sf):
         pin(f(spark, sf), n)
         for f, n in ((v.double_loaded, "doubled"), (v.ranges, "ranges"), (v.ledger, "ledger"))
     )
+    twice = pin(rng.duplicate_timepoints(ev), "twice")
     cases = {"both": (1, 2), "one more": (1, 2, 3), "gap": (1, 4), "not loaded": (1, 5)}
     parts = [
-        correction.confirm_double_load(ev, ranges.where(F.col("idx").isin(*files)), ledger).select(
+        correction.confirm_double_load(ev, ranges.where(F.col("idx").isin(*files)), ledger, twice).select(
             F.lit(case).alias("case"), "*"
         )
         for case, files in cases.items()
