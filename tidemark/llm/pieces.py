@@ -175,14 +175,13 @@ def segment(unit: str, pieces: Pieces) -> list[int]:
     return merge_path(unit, pieces) if pieces.merges else best_path(unit, pieces)
 
 
-def units(text: str) -> Iterator[str]:
+def units(text: str) -> list[str]:
     """The units of a text, the mark at its start included; an empty text has none."""
     if not text:
-        return iter(())
-    marked = text.replace(" ", SPACE)
+        return []
     if SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-        return (SPACE + w for w in text.split(" "))
-    return iter(_UNIT.findall(SPACE + marked))
+        return (SPACE + text.replace(" ", f" {SPACE}")).split(" ")
+    return _UNIT.findall(SPACE + text.replace(" ", SPACE))
 
 
 def frequent_units(docs: DataFrame, most: int = DICTIONARY) -> DataFrame:
@@ -457,21 +456,21 @@ def _solved(new: list[str], path: str, pieces: Pieces) -> Iterator[tuple[str, by
 def _encoder(path: str, known: dict[str, bytes]):
     def run(batches):
         pieces = load(path)
-        local: dict[str, bytes] = {}
+        ids_of = dict(known)
         for batch in batches:
-            texts = [list(units(text or "")) for text in batch["text"].to_pylist()]
-            new = {u for text in texts for u in text if u not in known and u not in local}
-            if len(local) + len(new) > _CACHE:
-                local = {u: local[u] for text in texts for u in text if u in local}
-            local.update(_solved(list(new), path, pieces))
-            out = []
+            texts = [units(text or "") for text in batch["text"].to_pylist()]
+            new: set[str] = set()
             for text in texts:
-                parts = [known.get(u) or local[u] for u in text]
-                out.append(np.frombuffer(b"".join(parts), np.int32))
+                new.update(set(text).difference(ids_of))
+            if len(ids_of) + len(new) > len(known) + _CACHE:
+                used = set().union(*texts).intersection(ids_of)
+                ids_of = known | {u: ids_of[u] for u in used}
+            ids_of.update(_solved(list(new), path, pieces))
+            out = [np.frombuffer(b"".join(map(ids_of.__getitem__, text)), np.int32) for text in texts]
             # Long units are not worth keeping.
             for u in new:
                 if len(u) > LONGEST_UNIT:
-                    del local[u]
+                    del ids_of[u]
             offsets = np.concatenate(([0], np.cumsum([len(o) for o in out]))).astype(np.int32)
             values = np.concatenate(out) if out else np.zeros(0, np.int32)
             yield pa.record_batch(
@@ -502,13 +501,34 @@ def encode(docs: DataFrame, model: str | None = None, dictionary: int = DICTIONA
     return arrow(docs, _encoder(path, known), f"{_schema(docs)}ids array<int>")
 
 
+#: Ids decoded at once.
+_IDS = 1 << 18
+
+
 def _decoder(path: str):
     def run(batches):
         text = load(path).text
+        blob = np.frombuffer(b"".join(text), np.uint8)
+        size = np.array([len(t) for t in text])
+        start = np.cumsum(size) - size
+
+        def decoded(ids: np.ndarray) -> bytes:
+            parts = []
+            for k in range(0, len(ids), _IDS):
+                some = ids[k : k + _IDS]
+                n = size[some]
+                at = np.arange(int(n.sum())) + np.repeat(start[some] - np.cumsum(n) + n, n)
+                parts.append(blob[at].tobytes())
+            return b"".join(parts)
+
         for batch in batches:
+            column = batch["ids"]
+            cut = column.offsets.to_numpy()
+            flat = column.values.to_numpy(zero_copy_only=False)
+            none = column.is_null().to_numpy(zero_copy_only=False)
             out = []
-            for ids in batch["ids"].to_pylist():
-                whole = b"".join([text[i] for i in ids or ()])
+            for k, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+                whole = b"" if none[k] else decoded(flat[i:j])
                 # The space that encoding puts first.
                 out.append(whole.removeprefix(b" ").decode("utf-8", "replace"))
             yield pa.record_batch(
