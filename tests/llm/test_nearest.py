@@ -90,3 +90,17 @@ def test_repeated_query_ids(spark):
     rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (3, [-1.0, -1.0])]
     got = by_query(nearest.digest(spark.createDataFrame(rows, VECTORS)).collect())
     assert [i for i, _ in got[50]] == [1, 2, 3]
+
+
+def test_recall_without_structure(spark):
+    rnd = np.random.default_rng(8)
+    x = rnd.normal(size=(9_000, 48)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], VECTORS).repartition(4)
+    got = by_query(nearest.digest(df).collect())
+    unit = nearest.unit(x.astype(float))
+    queries = np.arange(0, len(x), 50)
+    near = unit[queries] @ unit.T
+    near[np.arange(len(queries)), queries] = -2
+    want = np.argsort(-near, axis=1)[:, :5]
+    hits = sum(len({i for i, _ in got[q]} & set(w.tolist())) for q, w in zip(queries.tolist(), want, strict=True))
+    assert hits >= 0.9 * want.size

@@ -3,9 +3,11 @@
 On a bounded sample the neighbour graph is cut into balanced parts (repeated
 bisection at the median of a smooth vector of the graph, then swaps), and a small
 classifier learns from a vector the parts its neighbours lie in.  It places every
-row in its most probable part and routes a query to its ``PROBES`` most probable
-ones, whose rows are compared exactly.  Parts are cut into blocks, so a part of any
-size, a single vector repeated a million times included, is many tasks.
+row in its most probable part and routes a query to its most probable ones, whose
+rows are compared exactly.  How many those are is measured: some queries are compared
+with every row, and all search as many parts as hold ``RECALL`` of what those found;
+vectors without any structure are compared with all.  Parts are cut into blocks, so a part
+of any size, a single vector repeated a million times included, is many tasks.
 """
 
 from __future__ import annotations
@@ -24,7 +26,10 @@ from tidemark.session import pin
 SAMPLE = 8_192
 #: Sample vectors for each part, and the most parts.
 PART, MOST_PARTS = 256, 32
+#: The least number of parts to search.
 PROBES = 10
+#: Share of the nearest vectors to be found, and the queries on which that is measured.
+RECALL, MEASURED = 0.97, 512
 NEIGHBOURS = 5
 QUERY_EVERY = 50
 GRAPH = 12
@@ -173,6 +178,11 @@ def _placer(router: Router):
     return run
 
 
+def _route(router: Router, x: np.ndarray) -> np.ndarray:
+    """Parts for each vector, the most probable one first."""
+    return np.argsort(-router.scores(unit(x.astype(float))), axis=1, kind="stable")
+
+
 def _routed(router: Router, sizes: np.ndarray, probes: int, k: int):
     """Parts to search for each query: the most probable ones, more if they hold few rows."""
 
@@ -180,9 +190,7 @@ def _routed(router: Router, sizes: np.ndarray, probes: int, k: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            order = np.argsort(
-                -router.scores(unit(_matrix(batch["embedding"]).astype(float))), axis=1, kind="stable"
-            )
+            order = _route(router, _matrix(batch["embedding"]))
             before = np.cumsum(sizes[order], axis=1) - sizes[order]
             take = (np.arange(order.shape[1]) < probes) | (before < 4 * k + 4)
             parts = [o[t].tolist() for o, t in zip(order, take, strict=True)]
@@ -195,9 +203,13 @@ def _routed(router: Router, sizes: np.ndarray, probes: int, k: int):
 
 
 def exact_top(
-    query_id: np.ndarray, q: np.ndarray, vec_id: np.ndarray, x: np.ndarray, k: int
+    query_id: np.ndarray, q: np.ndarray, vec_id: np.ndarray, x: np.ndarray, k: int,
+    places: bool = False,
 ) -> list[tuple[int, int, float]]:
-    """(query_id, vec_id, cosine) of the ``k`` best of each query, ties to smaller ids."""
+    """(query_id, vec_id, cosine) of the ``k`` best of each query, ties to smaller ids.
+
+    With ``places`` the number of the row in ``x`` stands for its id.
+    """
     q, x = q.astype(float), x.astype(float)
     qn, xn = unit(q), unit(x)
     rough = qn @ xn.T
@@ -210,7 +222,8 @@ def exact_top(
         near = np.flatnonzero((row >= limit - 1e-9) & (row > -np.inf))
         score = cosine(q[i], x[near])
         best = np.lexsort((vec_id[near], -score))[:k]
-        out += [(int(query_id[i]), int(vec_id[near[b]]), float(score[b])) for b in best]
+        named = near[best] if places else vec_id[near[best]]
+        out += [(int(query_id[i]), int(v), float(score[b])) for v, b in zip(named, best, strict=True)]
     return out
 
 
@@ -241,6 +254,67 @@ def _compare(k: int):
     return run
 
 
+def _nearest_with_part(query_id: np.ndarray, q: np.ndarray, k: int):
+    """(query_id, vec_id, score, part): the ``k`` nearest of the rows that a task reads."""
+
+    def run(batches):
+        held = np.empty((0, 4), object)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch["vec_id"].to_numpy(zero_copy_only=False)
+            # Rows are told apart by their place: of a repeated id each has its own part.
+            found = exact_top(query_id, q, ids, _matrix(batch["embedding"]), k, places=True)
+            parts = batch["part"].to_numpy(zero_copy_only=False)
+            new = [(i, int(ids[at]), score, int(parts[at])) for i, at, score in found]
+            held = np.concatenate((held, np.array(new, object).reshape(-1, 4)))
+            order = np.lexsort((held[:, 1].astype(np.int64), -held[:, 2].astype(float), held[:, 0].astype(np.int64)))
+            held = held[order]
+            own = held[:, 0].astype(np.int64)
+            held = held[np.arange(len(own)) - np.searchsorted(own, own) < k]
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32())
+        names = ["query_id", "vec_id", "score", "part"]
+        yield pa.record_batch([pa.array(held[:, i].tolist(), t) for i, t in enumerate(kinds)], names)
+
+    return run
+
+
+def enough_probes(
+    placed: DataFrame, queries: DataFrame, router: Router, k: int, least: int,
+    recall: float = RECALL, measured: int = MEASURED,
+) -> int:
+    """Parts to search so that ``recall`` of the ``k`` nearest of some queries are in them.
+
+    ``measured`` queries, chosen by a hash, are compared with all rows.
+    """
+    parts = router.w2.shape[1]
+    if least >= parts:
+        return parts
+    sample = queries.orderBy(F.xxhash64("own", F.lit("recall")), "own").limit(measured).select(
+        "vec_id", "embedding").toArrow()
+    if not sample.num_rows:
+        return least
+    ids, q = sample["vec_id"].to_numpy(), _matrix(sample["embedding"])
+    near = arrow(
+        placed.select("vec_id", "embedding", "part"), _nearest_with_part(ids, q, k),
+        "query_id long, vec_id long, score double, part int",
+    ).groupBy("query_id", "vec_id").agg(
+        F.max("score").alias("score"), F.max_by("part", "score").alias("part")
+    )
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # At most k rows for each measured query.
+    truth = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+        "query_id", "part").toArrow()
+    place = np.argsort(_route(router, q), axis=1)
+    first = {}
+    for i, row in zip(ids.tolist(), place, strict=True):
+        first[i] = np.minimum(first[i], row) if i in first else row
+    asked, held = truth["query_id"].to_pylist(), truth["part"].to_pylist()
+    need = np.array([first[i][p] for i, p in zip(asked, held, strict=True)], np.int64)
+    found = np.cumsum(np.bincount(need, minlength=parts)) >= recall * len(need)
+    return max(least, int(np.argmax(found)) + 1)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of rows that can be compared.
 
@@ -287,9 +361,10 @@ def search(
     sizes = np.zeros(router.w2.shape[1], np.int64)
     for row in per_part:
         sizes[row["part"]] = row["count"]
+    asking = placed.where(is_query).select("vec_id", "embedding", "own")
+    probes = enough_probes(placed, asking, router, k, probes)
     queries = arrow(
-        placed.where(is_query).select("vec_id", "embedding", "own"),
-        _routed(router, sizes, probes, k), f"{schema}, own long, parts array<int>",
+        asking, _routed(router, sizes, probes, k), f"{schema}, own long, parts array<int>",
     ).withColumn("part", F.explode("parts")).drop("parts")
     asked = queries.groupBy("part").count().collect()
     # A row for each part: how many blocks its rows and its queries make.
