@@ -5,7 +5,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.plans import views
 from tidemark.session import settings
 from tidemark.sources import records
 from tidemark.sources import register as reg
@@ -105,3 +107,17 @@ def test_one_file_is_many_tasks(spark, tmp_path):
     assert split.count() == 500
     # The session's own setting is as before.
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "1024"
+
+
+def test_landed_arrays_have_files_of_their_own(spark, tmp_path):
+    rows = [(n, f"name {n}", n % 25, float(n), "segment") for n in range(200)]
+    ddl = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/customer.parquet")
+    # As many tasks as large tables have.
+    spread = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    with settings(spark, spread):
+        path = views.land_register(spark, str(tmp_path), "charity_policy", json_array=True)
+    held = spark.read.text(path).groupBy(F.col("_metadata.file_path")).count()
+    assert [r["count"] for r in held.collect()] == [1] * 4
+    scan = reg.scan_register_split(spark, "charity_policy", path, True, split_bytes=1 << 10)
+    assert sorted(r.organisation_number for r in scan.collect()) == list(range(200))

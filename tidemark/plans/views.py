@@ -462,6 +462,10 @@ _REGISTER = {
 }
 
 
+#: Rows of one array, which one task puts together.
+_ROWS_PER_ARRAY = 100_000
+
+
 def land_register(
     spark: SparkSession, sf_dir: str, name: str = "charity", json_array: bool = False
 ) -> str:
@@ -479,12 +483,14 @@ def land_register(
     ]
     rows = table(spark, sf_dir, "customer").select(*columns)
     if json_array:
-        # One array for each of four files.
-        part = F.pmod(F.xxhash64("organisation_number"), F.lit(4))
+        # One array for each of four files, or more of them when there are many rows.
+        files = max(4, -(-rows.count() // _ROWS_PER_ARRAY))
+        part = F.pmod(F.xxhash64("organisation_number"), F.lit(files))
         arrays = rows.groupBy(part.alias("part")).agg(
             F.to_json(F.collect_list(F.struct("*"))).alias("value")
         )
-        arrays.select("value").repartition(4).write.text(path)
+        # Whatever tasks the arrays come to, a file has one of them.
+        arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
         return path
     (
         rows.repartition(4)
