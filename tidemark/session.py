@@ -25,6 +25,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Many small files are listed by some tasks for each core, not by one for each path.
+    tasks = max(32, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
     # Rows and bytes of one Arrow batch: bound the memory of a Python task.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
