@@ -63,6 +63,42 @@ def test_batch_that_runs_again_loads_nothing_twice(spark, tmp_path, dirs, lost):
     assert load.read_ledger(spark, table).count() == 4
 
 
+def test_loads_of_one_batch(spark, tmp_path, dirs, monkeypatch):
+    """Several loads are one batch; stopped between rows and ledger, it comes again with the same loads."""
+    landing, table, mark = dirs
+    for i in range(7):
+        # Listings print the blank plain, scans escaped.
+        write(tmp_path / "landing" / "s", f"{i} a.json.gz", "" if i in (2, 3) else event(i) + "\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(load, "exists", _stopped_at_rows(load.exists))
+        with pytest.raises(Exception, match="stopped"):
+            load.load_events(spark, landing, table, mark, max_files=2)
+    load.load_events(spark, landing, table, mark, max_files=2)
+    assert [n for n in os.listdir(f"{mark}/commits") if n.isdigit()] == ["0"]
+    ledger = {}
+    for r in load.read_ledger(spark, table).collect():
+        ledger.setdefault(r.load, []).append(r.file)
+    assert sorted(len(ledger[n]) for n in range(4)) == [1, 2, 2, 2]
+    rows = load.read_loaded(spark, table)
+    assert sorted(r.timepoint for r in flatten(rows).collect()) == [0, 1, 4, 5, 6]
+    for r in rows.collect():
+        assert r.file.replace("%20", " ") in ledger[r.load]
+    # A load whose files are all blank has a folder as well.
+    assert all(os.path.exists(f"{table}/rows/load={n}") for n in range(4))
+    write(tmp_path / "landing" / "s", "8.json.gz", event(8) + "\n")
+    load.load_events(spark, landing, table, mark, max_files=2)
+    assert load.read_loads(spark, table) == (0, 4)
+
+
+def _stopped_at_rows(exists):
+    def stopped(spark, name):
+        if "/rows/load=" in name:
+            raise RuntimeError("stopped")
+        return exists(spark, name)
+
+    return stopped
+
+
 def test_correction_and_second_load(spark, tmp_path, dirs):
     landing, table, mark = dirs
     for i in range(4):

@@ -6,17 +6,20 @@ their own folder, so a load that runs again changes nothing, and rows count only
 once the ledger has their load.
 
 New files are found by a stream over the listing of the landing folder: every
-file is one row, its content is not read by the source.  The checkpoint gives a
-batch that runs again the same files.  Files taken out of the ledger by a
-correction are old to that stream; ``load_pending`` finds them by comparing the
-listing with the ledger.  Stream loads count up from 0, pending ones down from
+file is one row, its content is not read by the source.  A batch of the stream is
+several loads, written by one job.  The checkpoint gives a batch that runs again the
+same files, and the ledger then gives them the same loads.  Files taken out of the
+ledger by a correction are old to that stream; ``load_pending`` finds them by comparing
+the listing with the ledger.  Stream loads count up from 0, pending ones down from
 -1, so the two never share a folder.  One job at a time writes to a table.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +38,10 @@ Scan = Callable[[SparkSession, list[str]], DataFrame]
 
 _LISTING_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 _LEDGER_DDL = "file string, load bigint"
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9_.:=/-]*")
 _FILES_PER_CORE = 16
+#: Files that one batch takes, in as many loads (or parts of an index) as that makes.
+_FILES_PER_BATCH = 4096
 
 
 def table_path(lake: str, stream: str) -> str:
@@ -79,6 +85,75 @@ def store_load(
     names.coalesce(1).write.mode("overwrite").parquet(f"{table}/ledger/load={load}")
 
 
+def store_loads(
+    spark: SparkSession,
+    table: str,
+    loads: dict[int, list[str]],
+    scan: Scan,
+    order: str,
+    file_column: str = "file",
+) -> None:
+    """``store_load`` of several loads, whose rows are one job and whose ledger entries another."""
+    if len(loads) == 1:
+        [(load, paths)] = loads.items()
+        return store_load(spark, table, load, paths, scan, order)
+    named = [(p, n) for n, paths in loads.items() for p in paths]
+    for load in loads:
+        # What a batch that was stopped has left; a load without rows would keep it.
+        fs, path = hadoop_path(spark, f"{table}/rows/load={load}")
+        fs.delete(path, True)
+    rows = scan(spark, [p for p, _ in named])
+    scanned = [(_as_scanned(spark, p), n) for p, n in named]
+    of_file = F.broadcast(_listed(spark, scanned).withColumnRenamed("file", file_column))
+    lost = F.raise_error(F.concat(F.lit("not a file of this load: "), F.col(file_column)))
+    placed = rows.join(of_file, file_column, "left").select(
+        *rows.columns, F.coalesce("load", lost.cast("bigint")).alias("load")
+    )
+    # Loads of some small files come to a few files, a large load to many.
+    together = placed.hint("rebalance", F.col("load"))
+    together.sortWithinPartitions("load", order).write.mode("append").partitionBy("load").parquet(
+        f"{table}/rows"
+    )
+    for load, paths in loads.items():
+        if not exists(spark, f"{table}/rows/load={load}"):
+            store_load(spark, table, load, paths, scan, order)
+    # One task: a file for each load.
+    (
+        _listed(spark, named).coalesce(1)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load").parquet(f"{table}/ledger")
+    )
+
+
+def _listed(spark: SparkSession, named: list[tuple[str, int]]) -> DataFrame:
+    """Names and loads as a table; it is made without a Python task."""
+    files, loads = zip(*named, strict=True)
+    return spark.createDataFrame(pa.table({"file": pa.array(files, pa.string()), "load": pa.array(loads, pa.int64())}))
+
+
+def _as_scanned(spark: SparkSession, name: str) -> str:
+    """A listed name as ``_metadata.file_path`` has it: characters that URIs escape are escaped."""
+    if _PLAIN_NAME.fullmatch(name):
+        return name
+    return spark._jvm.org.apache.hadoop.fs.Path(name).toUri().toString()
+
+
+def _numbered(
+    spark: SparkSession, table: str, names: list[str], max_files: int
+) -> dict[int, list[str]]:
+    """The loads that a batch of names becomes: they follow those that the ledger has of others.
+
+    So a batch that runs again, after some of its loads or all of them, has the same ones.
+    """
+    others = read_ledger(spark, table).where("load >= 0").join(
+        F.broadcast(_listed(spark, [(n, 0) for n in names]).select("file")), "file", "left_anti"
+    )
+    last = others.agg(F.max("load")).head()[0]
+    first = 0 if last is None else last + 1
+    parts = range(0, len(names), max_files)
+    return {first + k: names[at : at + max_files] for k, at in enumerate(parts)}
+
+
 def _added(
     spark: SparkSession, table: str, before: tuple[int, int], file_column: str
 ) -> DataFrame:
@@ -108,9 +183,10 @@ def for_each_batch_of_files(
 ) -> None:
     """Call ``store(session, names, batch)`` for all files not seen yet, then return.
 
-    A batch has at most ``max_files`` names; one that failed comes again with the
-    same names and number.
+    A batch has at most ``max_files`` names, or as many times that as make some thousands;
+    one that failed comes again with the same names and number.
     """
+    many = max_files * max(1, _FILES_PER_BATCH // max_files)
 
     def take(files: DataFrame, batch: int) -> None:
         names = [r.path for r in files.sort("path").collect()]
@@ -122,7 +198,7 @@ def for_each_batch_of_files(
         .schema(_LISTING_DDL)
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files)
+        .option("maxFilesPerTrigger", many)
         .load(landing)
         .select("path")
         .writeStream.foreachBatch(take)
@@ -148,7 +224,7 @@ def _load(
     before = read_loads(spark, table)
 
     def store(session: SparkSession, names: list[str], batch: int) -> None:
-        store_load(session, table, batch, names, scan, order)
+        store_loads(session, table, _numbered(session, table, names, max_files), scan, order, file_column)
 
     for_each_batch_of_files(spark, landing, pattern, checkpoint, max_files, store)
     return _added(spark, table, before, file_column)
@@ -172,7 +248,7 @@ def load_events(
 ) -> DataFrame:
     """Load all event files not loaded yet; returns rows per newly loaded file.
 
-    ``max_files`` bounds one batch (by default some files for each core, since a gzip
+    ``max_files`` bounds one load (by default some files for each core, since a gzip
     file is one task); a run goes on until nothing is left.  With ``stream`` the landing
     folder must be that of a known stream.
     """
