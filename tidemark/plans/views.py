@@ -374,11 +374,22 @@ def land_accounts(spark: SparkSession, sf_dir: str) -> str:
 
 
 def land_streams(spark: SparkSession, sf_dir: str) -> str:
-    """Lines of the log as gzip files ``<stream>/<number>.json.gz`` of three streams.
+    """Lines of the log as gzip files ``<stream>/<number>.json.gz`` of three streams."""
+    path = scratch(spark, "streams")
+    place_parts(spark, stage_streams(spark, sf_dir), path)
+    return path
+
+
+def placed_name(file: Column) -> Column:
+    """The name that a file of ``stage_streams`` has in ``land_streams``."""
+    return F.regexp_replace(file, "/stream=([^/]+)/name=([^/]+)/[^/]+$", "/$1/$2")
+
+
+def stage_streams(spark: SparkSession, sf_dir: str) -> str:
+    """The files of ``land_streams``, each in a folder that says its name.
 
     Each stream counts its own timepoints.  Of every ten files one ends in a cut extra line.
     """
-    path = scratch(spark, "streams")
     own = sink(spark, sf_dir).withColumn("timepoint", F.expr("timepoint div 3"))
     ev = own.withColumns(
         {
@@ -392,12 +403,11 @@ def land_streams(spark: SparkSession, sf_dir: str) -> str:
         (F.max("pos") + 1).alias("pos"), F.lit('{"event":{"timep').alias("line")
     )
     columns = ("stream", "name", "pos", "line")
-    _place_lines(spark, ev.select(*columns).unionByName(cut.select(*columns)), path)
-    return path
+    return _stage_lines(spark, ev.select(*columns).unionByName(cut.select(*columns)))
 
 
-def _place_lines(spark: SparkSession, lines: DataFrame, path: str) -> None:
-    """Lines as gzip files ``<stream>/<name>``, in the order of ``pos``."""
+def _stage_lines(spark: SparkSession, lines: DataFrame) -> str:
+    """Lines as gzip files in folders ``stream=<stream>/name=<name>``, in the order of ``pos``."""
     staged = scratch(spark, "staged")
     (
         lines.repartition("stream", "name")
@@ -407,7 +417,7 @@ def _place_lines(spark: SparkSession, lines: DataFrame, path: str) -> None:
         .option("compression", "gzip")
         .text(staged)
     )
-    place_parts(spark, staged, path)
+    return staged
 
 
 def land_waves(spark: SparkSession, sf_dir: str, path: str, waves: int = 3) -> Iterator[int]:
@@ -429,7 +439,7 @@ def land_waves(spark: SparkSession, sf_dir: str, path: str, waves: int = 3) -> I
     last = own.agg(F.max("file_no")).head()[0]
     for wave in range(waves):
         mine = F.floor(F.col("file_no") * waves / (last + 1)) == wave
-        _place_lines(spark, lines.where(mine), path)
+        place_parts(spark, _stage_lines(spark, lines.where(mine)), path)
         yield wave
 
 
