@@ -10,6 +10,7 @@ from test_lines import event, write
 from tidemark.functions.json import line_timepoint
 from tidemark.operators import lines as lin
 from tidemark.operators import ranges
+from tidemark.plans import catalog, views
 from tidemark.session import pin, settings
 from tidemark.sources import landing
 from tidemark.streaming import live
@@ -94,3 +95,19 @@ def test_no_data_and_cap(spark, tmp_path, dirs):
     assert time.monotonic() - begun < 60 and not query.isActive
     write(tmp_path / "landing" / "s", "1.json.gz", event(1) + "\n")
     assert live.run_bounded(live.watch_order(spark, *dirs)) == "ended"
+
+
+def test_files_under_other_names(spark, tmp_path, dirs):
+    """Files that stay in the folders they were written to give what they give under their names."""
+    for k, tps in enumerate(([1, 2, 4], [5, 7])):
+        write(tmp_path / "landing" / "wave-0" / "stream=s" / f"name={k}.json.gz", "part-0.txt.gz",
+              "\n".join(map(event, tps)) + "\n")
+    rows = watch(spark, dirs, pattern="*.gz", name=views.placed_name, starts={"s": 1})
+    assert sorted((r.stream, r.file.split("/wave-0/")[1], r.line_no, r.prev_tp, r.tp) for r in rows) == [
+        ("s", "s/0.json.gz", 3, 2, 4), ("s", "s/1.json.gz", 2, 5, 7)]
+
+
+def test_no_file_is_renamed_by_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(views, "place_parts", lambda *_: pytest.fail("renames every file"))
+    sf = "/root/testdata/sf0.001"
+    assert catalog.queries()["watch_order"](spark, sf).count() > 0

@@ -322,7 +322,8 @@ def watch_order(spark, sf):
     path, out, mark = (scratch(spark, n) for n in ("waves", "watched", "mark"))
     starts = {"companies": 1, "officers": 0}
     for _ in v.land_waves(spark, sf, path):
-        live.watch_order(spark, path, out, mark, starts).awaitTermination()
+        query = live.watch_order(spark, path, out, mark, starts, pattern="*.gz", name=v.placed_name)
+        query.awaitTermination()
     found = live.read_watch(spark, out)
     number = F.regexp_extract("file", r"(\d+)\.json\.gz$", 1).cast("bigint")
     return found.select("kind", "stream", number.alias("file_no"), "line_no", "prev_tp", "tp")

@@ -406,9 +406,9 @@ def stage_streams(spark: SparkSession, sf_dir: str) -> str:
     return _stage_lines(spark, ev.select(*columns).unionByName(cut.select(*columns)))
 
 
-def _stage_lines(spark: SparkSession, lines: DataFrame) -> str:
+def _stage_lines(spark: SparkSession, lines: DataFrame, staged: str | None = None) -> str:
     """Lines as gzip files in folders ``stream=<stream>/name=<name>``, in the order of ``pos``."""
-    staged = scratch(spark, "staged")
+    staged = staged or scratch(spark, "staged")
     (
         lines.repartition("stream", "name")
         .sortWithinPartitions("stream", "name", "pos")
@@ -423,7 +423,8 @@ def _stage_lines(spark: SparkSession, lines: DataFrame) -> str:
 def land_waves(spark: SparkSession, sf_dir: str, path: str, waves: int = 3) -> Iterator[int]:
     """Three streams that land in several waves; of every hundred events two are swapped.
 
-    Gives the number of each wave when its files are there.
+    Gives the number of each wave when its files are there.  They stay in the folders that
+    they were written to; ``placed_name`` gives their names.
     """
     own = sink(spark, sf_dir).withColumns({"pos": F.expr("timepoint div 3")}).withColumn(
         "timepoint",
@@ -439,7 +440,7 @@ def land_waves(spark: SparkSession, sf_dir: str, path: str, waves: int = 3) -> I
     last = own.agg(F.max("file_no")).head()[0]
     for wave in range(waves):
         mine = F.floor(F.col("file_no") * waves / (last + 1)) == wave
-        place_parts(spark, _stage_lines(spark, lines.where(mine)), path)
+        _stage_lines(spark, lines.where(mine), f"{path}/wave-{wave}")
         yield wave
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import time
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,15 +38,18 @@ _OUT = "kind string, stream string, file string, line_no bigint, prev_tp bigint,
 _STATE = "next bigint, known boolean, idle boolean"
 
 
-def _lines(spark: SparkSession, landing: str, pattern: str, max_files: int | None) -> DataFrame:
+def _lines(
+    spark: SparkSession, landing: str, pattern: str, max_files: int | None, name: Callable[[Column], Column] | None
+) -> DataFrame:
     reader = (
         spark.readStream.format("text").option("lineSep", "\n")
         .option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    file = F.col("_metadata.file_path")
     text = reader.load(landing).select(
-        F.col("_metadata.file_path").alias("file"),
+        (name(file) if name else file).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         trimmed(F.col("value")).alias("line"),
     )
@@ -169,6 +172,7 @@ def watch_order(
     pattern: str = "*.json.gz",
     max_files: int | None = None,
     interval: str | None = None,
+    name: Callable[[Column], Column] | None = None,
 ) -> StreamingQuery:
     """Start a stream that appends to ``out`` every event that does not follow the one before.
 
@@ -177,13 +181,14 @@ def watch_order(
     event for ``idle_s`` seconds.  Files of one batch follow each other by name, batches as they
     land.  ``starts`` has the timepoint that a stream's first event is compared with.  Lines
     without a timepoint are counted and skipped.  ``line_no`` counts non-empty lines of the
-    file; for breaks inside a later split of an uncompressed file, those of the split.
+    file; for breaks inside a later split of an uncompressed file, those of the split.  ``name``
+    makes the name of a file from its path, where it lies under another one; no two may be equal.
 
     Without ``interval`` all that has landed is read and the stream ends.  What a batch
     found is committed with it, so a stream that is started again repeats nothing.
     """
     timers = GroupStateTimeout.NoTimeout if idle_s is None else GroupStateTimeout.ProcessingTimeTimeout
-    found = _lines(spark, landing, pattern, max_files).mapInArrow(_neighbours, _FOUND)
+    found = _lines(spark, landing, pattern, max_files, name).mapInArrow(_neighbours, _FOUND)
     rows = found.groupBy("stream", "salt").applyInPandasWithState(
         _followed(starts or {}, None if idle_s is None else int(idle_s * 1000)),
         _OUT, _STATE, "append", timers,
