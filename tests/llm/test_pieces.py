@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import SF
@@ -138,3 +139,26 @@ def test_many_units_at_once():
     for unit, ids in zip(parts, got, strict=True):
         assert np.frombuffer(ids, np.int32).tolist() == pieces.merge_path(unit, table), unit
     assert pieces.merge_many([], path) == []
+
+
+def test_a_task_holds_the_units_of_some_texts(monkeypatch):
+    """However large the batch: units of few characters at a time, and few of those met before."""
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(40)) for _ in range(200)]
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    expected = [[i for u in pieces.units(t) for i in pieces.segment(u, TABLE)] for t in texts]
+    held, most, known = [], [], {"▁w1": np.array(pieces.segment("▁w1", TABLE), np.int32).tobytes()}
+    cut, solve = pieces.units, pieces._solved
+    monkeypatch.setattr(pieces, "_TEXT", 2000)
+    monkeypatch.setattr(pieces, "_CACHE", 500)
+    monkeypatch.setattr(pieces, "units", lambda text: held.append(len(text)) or cut(text))
+
+    def solved(new, *more):
+        most.append(sum(held))
+        held.clear()
+        return solve(new, *more)
+
+    monkeypatch.setattr(pieces, "_solved", solved)
+    (out,) = pieces._encoder(PATH, known)([batch])
+    assert out["ids"].to_pylist() == expected
+    assert max(most) <= 2000 and len(known) <= 501

@@ -19,8 +19,8 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow
+from tidemark.llm.common import arrow, chunks
 from tidemark.session import pin
 
 #: Units encoded relationally and sent to all tasks: at most some 20 MB.
@@ -37,7 +37,10 @@ DICTIONARY = 200_000
 LONGEST_UNIT = 64
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-_CACHE = 300_000
+#: Other units that a task remembers: at most some 20 MB.
+_CACHE = 100_000
+#: Characters whose units a task has in memory at a time, or one text.
+_TEXT = 1 << 19
 #: Units of more characters are merged by a heap.
 _LONG = 100
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
@@ -53,9 +56,13 @@ class Pieces:
     unknown: int
     unknown_score: float
     longest: int
-    heads: frozenset[str] = field(default=frozenset())
     merges: bool = False  # a BPE model: scores are merge ranks
 
+    @cached_property
+    def heads(self) -> frozenset[str]:
+        """What pieces begin with; only the search of most score asks for it."""
+        return frozenset(p[:k] for p in self.score for k in range(1, len(p) + 1))
+
     def bytes_of(self, character: str) -> list[int]:
         if self.bytes_from is None:
             return [self.unknown]
@@ -86,10 +93,9 @@ def load(path: str) -> Pieces:
             score[piece] = (model.get_score(i), i)
             text.append(piece.replace(SPACE, " ").encode())
     in_row = len(byte_ids) == 256 and byte_ids == list(range(byte_ids[0], byte_ids[0] + 256))
-    heads = frozenset(p[:k] for p in score for k in range(1, len(p) + 1))
     return Pieces(
         score, text, byte_ids[0] if in_row else None, model.unk_id(),
-        min(s for s, _ in score.values()) - 10, max(map(len, score)), heads,
+        min(s for s, _ in score.values()) - 10, max(map(len, score)),
         kind == pb.TrainerSpec.BPE,
     )
 
@@ -456,21 +462,32 @@ def _solved(new: list[str], path: str, pieces: Pieces) -> Iterator[tuple[str, by
 def _encoder(path: str, known: dict[str, bytes]):
     def run(batches):
         pieces = load(path)
-        ids_of = dict(known)
-        for batch in batches:
-            texts = [units(text or "") for text in batch["text"].to_pylist()]
+        # The task's own copy; what it adds is in ``recent``.
+        ids_of = known
+        recent: set[str] = set()
+
+        def encoded(texts: list[str]) -> list[np.ndarray]:
+            parts = [units(text) for text in texts]
             new: set[str] = set()
-            for text in texts:
+            for text in parts:
                 new.update(set(text).difference(ids_of))
-            if len(ids_of) + len(new) > len(known) + _CACHE:
-                used = set().union(*texts).intersection(ids_of)
-                ids_of = known | {u: ids_of[u] for u in used}
+            if len(recent) + len(new) > _CACHE:
+                for u in recent.difference(*parts):
+                    del ids_of[u]
+                recent.intersection_update(ids_of)
             ids_of.update(_solved(list(new), path, pieces))
-            out = [np.frombuffer(b"".join(map(ids_of.__getitem__, text)), np.int32) for text in texts]
+            out = [np.frombuffer(b"".join(map(ids_of.__getitem__, text)), np.int32) for text in parts]
             # Long units are not worth keeping.
             for u in new:
                 if len(u) > LONGEST_UNIT:
                     del ids_of[u]
+                else:
+                    recent.add(u)
+            return out
+
+        for batch in batches:
+            texts = [text or "" for text in batch["text"].to_pylist()]
+            out = [ids for i, j in chunks(texts, _TEXT) for ids in encoded(texts[i:j])]
             offsets = np.concatenate(([0], np.cumsum([len(o) for o in out]))).astype(np.int32)
             values = np.concatenate(out) if out else np.zeros(0, np.int32)
             yield pa.record_batch(
@@ -502,7 +519,7 @@ def encode(docs: DataFrame, model: str | None = None, dictionary: int = DICTIONA
 
 
 #: Ids decoded at once.
-_IDS = 1 << 18
+_IDS = 1 << 16
 
 
 def _decoder(path: str):
