@@ -133,3 +133,39 @@ def test_sets_differ_in_no_more_bits_than_tokens():
         differ = sum((x ^ y).bit_count() if x ^ y >= 0 else 64 - (~(x ^ y)).bit_count()
                      for x, y in zip(ngram_join._bits(a), ngram_join._bits(b)))
         assert differ <= len(np.setxor1d(a, b))
+
+
+def test_only_sets_of_pairs_are_made(spark, monkeypatch):
+    """Sets that meet others in a list, but are compared with none, are not made and moved."""
+    rnd = random.Random(31)
+    texts = []
+    for _ in range(30):
+        words = [str(rnd.randrange(10**9)) for _ in range(60)]
+        for edits in (0, 1, 3, 9):
+            changed = list(words)
+            for i in rnd.sample(range(60), edits):
+                changed[i] = str(rnd.randrange(10**9))
+            texts.append(" ".join(changed))
+    rows = list(enumerate(texts))
+    made, write = [], ngram_join.pin
+    monkeypatch.setattr(ngram_join, "pin", lambda df, label: made.append((label, write(df, label))) or made[-1][1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.digest(df).collect())
+    assert got == ngram_join.brute_force(rows)
+    pairs = [{c for r in df.collect() for c in r} for label, df in made if label == "pairs"]
+    sets = [sorted(r.cls for r in df.collect()) for label, df in made if label == "sets"]
+    assert sets == [sorted(p) for p in pairs] and sets[0]
+    lists = next(df for label, df in made if label == "lists")
+    assert len(sets[-1]) < lists.select("cls").distinct().count()
+
+
+def test_texts_nobody_asks_for_are_left_out(spark, monkeypatch):
+    rows = spark.range(-500, 4000).withColumnRenamed("id", "key")
+    wanted = spark.range(-500, 4000, 100).withColumnRenamed("id", "key")
+    kept = {r.key for r in ngram_join._maybe_in(rows, wanted, "key").collect()}
+    assert kept >= set(range(-500, 4000, 100)) and len(kept) < 60
+    # Few places: more is kept, never less.
+    monkeypatch.setattr(ngram_join, "SIFT", 1)
+    kept = {r.key for r in ngram_join._maybe_in(rows, wanted, "key").collect()}
+    assert kept >= set(range(-500, 4000, 100))
+    assert ngram_join._maybe_in(rows, wanted.limit(0), "key").isEmpty()

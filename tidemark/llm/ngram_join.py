@@ -40,6 +40,8 @@ _SEEN = 1 << 18
 _MANY = (1 << 31) - 1
 #: Parities kept of a set.
 _BITS = 512
+#: Rows of the bitmap that says which texts are asked for: at most some 16 MB for each task's machine.
+SIFT = 1 << 18
 
 _U = np.uint64
 
@@ -52,7 +54,7 @@ def _profile(batches):
         often = count >= 3
         return signed(tokens[often]), count[often]
 
-    def out(doc_id, key, cls, n, token, count):
+    def out(doc_id, key, cls, n, bits, token, count):
         size = max(len(doc_id), len(token))
 
         def column(values, kind):
@@ -61,24 +63,26 @@ def _profile(batches):
 
         return pa.record_batch(
             [column(doc_id, pa.int64()), column(key, pa.int64()), column(cls, pa.int64()),
-             column(n, pa.int64()), column(token, pa.int64()), column(count, pa.int64())],
-            names=["doc_id", "key", "cls", "n", "token", "count"],
+             column(n, pa.int64()), column(bits, pa.list_(pa.int64())),
+             column(token, pa.int64()), column(count, pa.int64())],
+            names=["doc_id", "key", "cls", "n", "bits", "token", "count"],
         )
 
     gathered, size = [], 0
     for batch in batches:
-        cls, n = [], []
+        cls, n, bits = [], [], []
         for tokens in shingle_sets(texts_of(batch["text"])):
             cls.append(set_hash(tokens) if len(tokens) else None)
             n.append(len(tokens))
+            bits.append(_bits(tokens) if len(tokens) else None)
             gathered.append(tokens)
             size += len(tokens)
             if size >= _FLUSH:
-                yield out([], [], [], [], *counts(gathered))
+                yield out([], [], [], [], [], *counts(gathered))
                 gathered, size = [], 0
-        yield out(batch["doc_id"].to_pylist(), batch["key"].to_pylist(), cls, n, [], [])
+        yield out(batch["doc_id"].to_pylist(), batch["key"].to_pylist(), cls, n, bits, [], [])
     if size:
-        yield out([], [], [], [], *counts(gathered))
+        yield out([], [], [], [], [], *counts(gathered))
 
 
 def _prefix(tokens: np.ndarray, frequent: np.ndarray, weight: np.ndarray):
@@ -146,9 +150,8 @@ def _sets(batches):
         found = [s for s in shingle_sets(texts_of(batch["text"])) if len(s)]
         yield pa.record_batch(
             [pa.array([set_hash(s) for s in found], pa.int64()),
-             pa.array([s.tobytes() for s in found], pa.binary()),
-             pa.array([_bits(s) for s in found], pa.list_(pa.int64()))],
-            names=["cls", "tokens", "bits"],
+             pa.array([s.tobytes() for s in found], pa.binary())],
+            names=["cls", "tokens"],
         )
 
 
@@ -211,8 +214,27 @@ def _room_for_both(n: str, room: str, end: str, m: str, other: str, other_end: s
     return 9 * most >= 4 * (F.col(n) + F.col(m))
 
 
+def _maybe_in(rows: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """Rows whose ``name`` may be one of ``wanted``, by a bitmap; an exact join has to follow.
+
+    The bitmap has one row for each 64 places, at most ``SIFT``, however many are wanted.
+    """
+    place = F.pmod(F.xxhash64(name), F.lit(64 * SIFT))
+    bit = F.lit(1).cast("long")
+    words = (
+        wanted.select(place.alias("place"))
+        .select(F.floor(F.col("place") / 64).cast("int").alias("__slot"),
+                F.call_function("shiftleft", bit, (F.col("place") % 64).cast("int")).alias("one"))
+        .groupBy("__slot").agg(F.bit_or("one").alias("__word"))
+    )
+    here = rows.withColumn("__place", place)
+    met = here.join(F.broadcast(words), F.floor(F.col("__place") / 64).cast("int") == F.col("__slot"))
+    at = (F.col("__place") % 64).cast("int")
+    return met.where(F.call_function("shiftrightunsigned", "__word", at).bitwiseAND(bit) == 1).select(*rows.columns)
+
+
 def _sets_of(classes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(cls, tokens, bits): the whole sets of some classes, written once for all comparisons."""
+    """(cls, tokens): the whole sets of some classes, written once for a comparison."""
     # One document of each class, found again by id and text hash.
     names = ["no_id", "id", "key"]
     no_id, own_id = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id")
@@ -222,14 +244,17 @@ def _sets_of(classes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFra
         .join(classes, "cls", "left_semi").select("d.*"),
         "wanted",
     )
-    texts = docs.select(no_id, own_id, text_key().alias("key"), "text")
+    # Texts that nobody asks for stay where they are.
+    texts = _maybe_in(docs.select(no_id, own_id, text_key().alias("key"), "text"), wanted, "key")
     # Repeated rows meet in the partition that the join has made.
     found = texts.join(wanted.hint("merge"), names).groupBy(*names).agg(F.first("text").alias("text"))
-    return pin(arrow(found.select("text"), _sets, "cls long, tokens binary, bits array<long>"), "sets")
+    return pin(arrow(found.select("text"), _sets, "cls long, tokens binary"), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar."""
+def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets are similar; only sets of a pair are made."""
+    sides = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
+    sets = _sets_of(sides.distinct(), members, docs)
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.hint("merge").join(left, "a").join(right.hint("merge"), "b")
@@ -359,7 +384,7 @@ def _pairs_across(mixed: DataFrame, bits: DataFrame) -> DataFrame:
 def _profiled(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").withColumn("key", text_key())
     return pin(
-        arrow(rows, _profile, "doc_id long, key long, cls long, n long, token long, count long"),
+        arrow(rows, _profile, "doc_id long, key long, cls long, n long, bits array<long>, token long, count long"),
         "profile",
     )
 
@@ -400,20 +425,25 @@ def similar_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "met",
     )
     lists = pin(_promising(met, of_token), "lists")
-    sets = _sets_of(lists.select("cls").distinct(), members, docs)
+    # One class, one set: its parities stand with each of its documents.
+    bits = (
+        profile.where("cls is not null").select("cls", "bits")
+        .join(lists.select("cls").distinct().hint("merge"), "cls", "left_semi")
+        .groupBy("cls").agg(F.first("bits").alias("bits"))
+    )
     spark = docs.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
     tried = spark.createDataFrame([], "a long, b long")
     for _ in range(STAR_ROUNDS):
         pairs = pin(_star_pairs(_with_roots(lists, roots), tried), "pairs")
-        found = _verified(pairs, sets)
+        found = _verified(pairs, members, docs)
         if found.isEmpty():
             break
         roots = components(_edges(roots).unionByName(found))
         tried = tried.unionByName(pairs)
     mixed = pin(_with_roots(lists, roots), "mixed")
-    across = _pairs_across(mixed, sets.select("cls", "bits")).join(tried, ["a", "b"], "left_anti")
-    found = _verified(pin(across, "pairs"), sets)
+    across = _pairs_across(mixed, bits).join(tried, ["a", "b"], "left_anti")
+    found = _verified(pin(across, "pairs"), members, docs)
     return members, components(_edges(roots).unionByName(found))
 
 
