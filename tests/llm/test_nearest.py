@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from conftest import SF, SF01
@@ -57,6 +59,19 @@ def test_parts_are_balanced():
     assert (nearest.train_router(x, target).scores(x).argmax(axis=1) == label).mean() > 0.95
 
 
+def test_neighbour_graph_keeps_only_neighbours():
+    """Memory of some blocks of rows, not of all pairs."""
+    x = nearest.unit(np.random.default_rng(1).normal(size=(4_096, 8)))
+    tracemalloc.start()
+    graph = nearest.neighbour_graph(x, 4)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < len(x) ** 2 * 8 / 2
+    near = x @ x.T
+    np.fill_diagonal(near, -2)
+    assert np.allclose(np.sort(np.take_along_axis(near, graph, 1)), np.sort(near)[:, -4:])
+
+
 def test_ties_and_a_hot_vector(spark, monkeypatch):
     monkeypatch.setattr(nearest, "BLOCK_ROWS", 64)
     monkeypatch.setattr(nearest, "BLOCK_QUERIES", 4)
