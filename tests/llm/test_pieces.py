@@ -162,3 +162,31 @@ def test_a_task_holds_the_units_of_some_texts(monkeypatch):
     (out,) = pieces._encoder(PATH, known)([batch])
     assert out["ids"].to_pylist() == expected
     assert max(most) <= 2000 and len(known) <= 501
+
+
+def test_parts_are_merged_apart(monkeypatch):
+    """Texts are cut where no piece goes on, by blocks, and no other unit is solved."""
+    texts = ["the sea,and\nthe sky. ", "", "  x", "naïve日本\U0001f600", "▁a▁▁b", "a" * 50]
+    marked = [pieces.SPACE + t.replace(" ", pieces.SPACE) if t else "" for t in texts]
+    pairs = {p[i : i + 2] for p in TABLE.score for i in range(len(p) - 1)}
+    for block in (1 << 19, 7, 1):
+        monkeypatch.setattr(pieces, "_TEXT", block)
+        got, ends = pieces.parts_of(texts, PATH)
+        got = got.dictionary_decode().to_pylist()
+        assert [got[i:j] for i, j in zip([0, *ends], ends, strict=False)] == [
+            [p for p in "".join(
+                c + ("\x01" if k + 1 == len(t) or t[k : k + 2] not in pairs else "") for k, c in enumerate(t)
+            ).split("\x01") if p] for t in marked]
+    assert "▁sea" in got and "," in got
+    asked, solve = [], pieces._solved
+    monkeypatch.setattr(pieces, "_solved", lambda new, *more: asked.extend(new) or solve(new, *more))
+    known = {"▁sea": np.array(pieces.segment("▁sea", TABLE), np.int32).tobytes()}
+    (out,) = pieces._encoder(PATH, known)([pa.record_batch([pa.array(["sea, sea. sea\nsea"])], names=["text"])])
+    assert out["ids"].to_pylist() == [[i for u in pieces.units("sea, sea. sea\nsea") for i in pieces.segment(u, TABLE)]]
+    assert not [u for u in asked if "sea" in u and u != "sea"]
+
+
+def test_frequent_units_are_parts(spark):
+    df = spark.createDataFrame([(i, "sea, sky. sea\nsky\u2581 " + "z" * 70) for i in range(9)], DOCS)
+    got = {r.unit for r in pieces.frequent_units(df).collect()}
+    assert {"▁sea", ",", "▁sky", "."} <= got and "▁sea," not in got and not any("z" in u for u in got)

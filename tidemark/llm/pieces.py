@@ -1,7 +1,8 @@
 """SentencePiece encoding by a relational lattice, and decoding.
 
 No piece joins a character with a space mark after it, so a text splits into units
-(space marks and what follows) that are encoded apart.  Frequent units are encoded
+(space marks and what follows) that are encoded apart; so are the parts of a unit
+between characters that stand side by side in no piece (BPE).  Frequent units are encoded
 once for the corpus, relationally: their substrings up to the longest piece are
 exploded and equi-joined to the piece table, the matches are the edges of a lattice,
 grouped by unit, and a higher-order aggregate folds them.  The result is a dictionary
@@ -41,6 +42,8 @@ SPACE = "▁"
 _CACHE = 100_000
 #: Characters whose units a task has in memory at a time, or one text.
 _TEXT = 1 << 19
+#: Spans gathered at once.
+_IDS = 1 << 16
 #: Units of more characters are merged by a heap.
 _LONG = 100
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
@@ -190,15 +193,37 @@ def units(text: str) -> list[str]:
     return _UNIT.findall(SPACE + text.replace(" ", SPACE))
 
 
-def frequent_units(docs: DataFrame, most: int = DICTIONARY) -> DataFrame:
-    """(unit) of words that stand most often: at most ``most``, whole classes of counts."""
+def _counted_parts(path: str):
+    """The parts of words, with the words' counts."""
+
+    def run(batches):
+        for batch in batches:
+            words = batch["word"].to_pylist()
+            parts, ends = parts_of(words, path)
+            count = np.repeat(batch["count"].to_numpy(), np.diff(ends, prepend=0))
+            yield pa.record_batch(
+                [parts.dictionary_decode(), pa.array(count, pa.int64())], names=["unit", "count"]
+            )
+
+    return run
+
+
+def frequent_units(docs: DataFrame, most: int = DICTIONARY, model: str | None = None) -> DataFrame:
+    """(unit) of parts that stand most often in repeated words: at most ``most``, whole classes of counts."""
     words = docs.select(F.explode(F.split("text", " ")).alias("word")).where(
-        (F.col("word") != "") & (F.char_length("word") < LONGEST_UNIT)
+        # The characters are counted once for each different word, below.
+        (F.col("word") != "") & (F.octet_length("word") < 4 * LONGEST_UNIT)
+    )
+    repeated = words.groupBy("word").count().where(
+        (F.col("count") >= 8) & (F.char_length("word") < LONGEST_UNIT)
         & ~F.contains("word", F.lit(SPACE))
     )
+    parts = arrow(
+        repeated, _counted_parts(model or public_tokenizers.path(MODEL)), "unit string, count long"
+    )
     counts = pin(
-        words.groupBy("word").count().where("count >= 8")
-        .select("word", F.floor(F.log2("count")).alias("size")),
+        parts.groupBy("unit").agg(F.sum("count").alias("count"))
+        .select("unit", F.floor(F.log2("count")).alias("size")),
         "words",
     )
     # At most 64 rows.
@@ -209,9 +234,7 @@ def frequent_units(docs: DataFrame, most: int = DICTIONARY) -> DataFrame:
         if total > most:
             break
         least = row["size"]
-    return counts.where(F.col("size") >= least).select(
-        F.concat(F.lit(SPACE), "word").alias("unit")
-    )
+    return counts.where(F.col("size") >= least).select("unit")
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
@@ -441,6 +464,57 @@ def merge_many(parts: list[str], path: str) -> list[bytes]:
     return out
 
 
+@lru_cache(maxsize=4)
+def inner_pairs(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character (0: in no piece), and by two numbers: may they stand side by side in a piece."""
+    score = load(path).score
+    number = np.zeros(0x110000, np.int32)
+    points = sorted({ord(c) for p in score for c in p})
+    number[points] = np.arange(1, len(points) + 1)
+    inner = np.zeros((len(points) + 1, len(points) + 1), bool)
+    for a, b in {p[i : i + 2] for p in score for i in range(len(p) - 1)}:
+        inner[number[ord(a)], number[ord(b)]] = True
+    return number, inner
+
+
+def parts_of(texts: list[str], path: str) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """What texts are cut into, one after another, and how many parts there are up to the end of each.
+
+    Parts of a unigram model are the units.  For a BPE model these are cut again wherever no piece
+    goes on: nothing is merged over such a place, so that parts are merged apart.
+    """
+    text = "".join(SPACE + t.replace(" ", SPACE) if t else "" for t in texts)
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    ends = np.cumsum([len(t) + 1 if t else 0 for t in texts])
+    end = np.zeros(len(code), bool)
+    merges = load(path).merges
+    for k in range(0, len(code), _TEXT):
+        some = code[k : k + _TEXT + 1]
+        if merges:
+            number, inner = inner_pairs(path)
+            some = number[some]
+            apart = ~inner[some[:-1], some[1:]]
+        else:
+            apart = (some[:-1] != ord(SPACE)) & (some[1:] == ord(SPACE))
+        end[k : k + len(apart)] = apart
+    end[ends[ends > 0] - 1] = True
+    last = np.flatnonzero(end)
+    width = 1 + (code >= 0x80).astype(np.uint8) + (code >= 0x800) + (code >= 0x10000)
+    offsets = np.concatenate(([0], np.cumsum(width, dtype=np.int32)[last])).astype(np.int32)
+    parts = pa.StringArray.from_buffers(len(last), pa.py_buffer(offsets), pa.py_buffer(text.encode()))
+    return parts.dictionary_encode(), np.searchsorted(last, ends)
+
+
+def _gathered(values: np.ndarray, start: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """``values`` of the spans ``which``, one after another; some at once."""
+    out = [values[:0]]
+    for k in range(0, len(which), _IDS):
+        some = which[k : k + _IDS]
+        n = size[some]
+        out.append(values[np.arange(int(n.sum())) + np.repeat(start[some] - np.cumsum(n) + n, n)])
+    return np.concatenate(out)
+
+
 #: Units solved at once.
 _MANY = 20_000
 
@@ -466,30 +540,33 @@ def _encoder(path: str, known: dict[str, bytes]):
         ids_of = known
         recent: set[str] = set()
 
-        def encoded(texts: list[str]) -> list[np.ndarray]:
-            parts = [units(text) for text in texts]
-            new: set[str] = set()
-            for text in parts:
-                new.update(set(text).difference(ids_of))
+        def encoded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            """Ids of the texts, one after another, and how many each has."""
+            parts, ends = parts_of(texts, path)
+            names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+            which = parts.indices.to_numpy()
+            found = list(map(ids_of.get, names))
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            new = dict(_solved([names[k] for k in missing], path, pieces))
+            for k in missing:
+                found[k] = new[names[k]]
             if len(recent) + len(new) > _CACHE:
-                for u in recent.difference(*parts):
+                for u in recent:
                     del ids_of[u]
-                recent.intersection_update(ids_of)
-            ids_of.update(_solved(list(new), path, pieces))
-            out = [np.frombuffer(b"".join(map(ids_of.__getitem__, text)), np.int32) for text in parts]
+                recent.clear()
             # Long units are not worth keeping.
-            for u in new:
-                if len(u) > LONGEST_UNIT:
-                    del ids_of[u]
-                else:
-                    recent.add(u)
-            return out
+            new = {u: ids for u, ids in new.items() if len(u) <= LONGEST_UNIT}
+            ids_of.update(new)
+            recent.update(new)
+            size = np.array([len(ids) for ids in found], np.int64) // 4
+            ids = _gathered(np.frombuffer(b"".join(found), np.int32), np.cumsum(size) - size, size, which)
+            return ids, np.diff(np.concatenate(([0], np.cumsum(size[which])))[ends], prepend=0)
 
         for batch in batches:
             texts = [text or "" for text in batch["text"].to_pylist()]
-            out = [ids for i, j in chunks(texts, _TEXT) for ids in encoded(texts[i:j])]
-            offsets = np.concatenate(([0], np.cumsum([len(o) for o in out]))).astype(np.int32)
-            values = np.concatenate(out) if out else np.zeros(0, np.int32)
+            out = [encoded(texts[i:j]) for i, j in chunks(texts, _TEXT)]
+            values, sizes = map(np.concatenate, zip(*out, strict=True)) if out else (np.zeros(0, np.int32), [])
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
             yield pa.record_batch(
                 [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
                 names=[*batch.schema.names, "ids"],
@@ -511,17 +588,13 @@ def encode(docs: DataFrame, model: str | None = None, dictionary: int = DICTIONA
     path = model or public_tokenizers.path(MODEL)
     pieces = load(path)
     solve = fold_merges if pieces.merges else fold
-    solved = solve(lattice(frequent_units(docs, dictionary), pieces)).toArrow()
+    solved = solve(lattice(frequent_units(docs, dictionary, path), pieces)).toArrow()
     ids = solved["ids"].to_pylist()
     known = {u: array("i", i).tobytes() for u, i in zip(solved["unit"].to_pylist(), ids, strict=True)}
     docs = docs.drop("ids")
     return arrow(docs, _encoder(path, known), f"{_schema(docs)}ids array<int>")
 
 
-#: Ids decoded at once.
-_IDS = 1 << 16
-
-
 def _decoder(path: str):
     def run(batches):
         text = load(path).text
@@ -529,15 +602,6 @@ def _decoder(path: str):
         size = np.array([len(t) for t in text])
         start = np.cumsum(size) - size
 
-        def decoded(ids: np.ndarray) -> bytes:
-            parts = []
-            for k in range(0, len(ids), _IDS):
-                some = ids[k : k + _IDS]
-                n = size[some]
-                at = np.arange(int(n.sum())) + np.repeat(start[some] - np.cumsum(n) + n, n)
-                parts.append(blob[at].tobytes())
-            return b"".join(parts)
-
         for batch in batches:
             column = batch["ids"]
             cut = column.offsets.to_numpy()
@@ -545,7 +609,7 @@ def _decoder(path: str):
             none = column.is_null().to_numpy(zero_copy_only=False)
             out = []
             for k, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
-                whole = b"" if none[k] else decoded(flat[i:j])
+                whole = b"" if none[k] else _gathered(blob, start, size, flat[i:j]).tobytes()
                 # The space that encoding puts first.
                 out.append(whole.removeprefix(b" ").decode("utf-8", "replace"))
             yield pa.record_batch(
@@ -569,7 +633,7 @@ def digest(docs: DataFrame) -> DataFrame:
     A space mark in the text itself comes back as a space; such texts are compared so.
     """
     back = decode(encode(docs.select("doc_id", "text")))
-    text = F.translate(F.coalesce("text", F.lit("")), SPACE, " ")
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(" "))
     return back.select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
         (F.col("decoded") == text).alias("round_trip"),
